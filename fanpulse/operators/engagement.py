@@ -164,7 +164,8 @@ def ordered_funnel(
     keys = list(journey_keys)
     e = events.where(F.col(name).isin(*entry_events, *steps))
     if drop_null_keys:
-        e = e.where(F.greatest(*[F.col(k).isNull().cast("int") for k in keys]) == 0)
+        for k in keys:
+            e = e.where(F.col(k).isNotNull())
     j = e.groupBy(*keys).agg(
         F.min(ts).alias("first_event_at"),
         *[min_if(F.col(name) == s, ts).alias(_step_col(s)) for s in steps],

@@ -233,7 +233,9 @@ def key_moment_engagement(match_events: DataFrame, app_events: DataFrame, minute
     )
 
 
-def key_moments_report(match_events: DataFrame, app_events: DataFrame, matches: DataFrame, minutes: int = 5) -> DataFrame:
+def key_moments_report(
+    match_events: DataFrame, app_events: DataFrame, matches: DataFrame, minutes: int = 5, keep_id: bool = False
+) -> DataFrame:
     """Extract form: all shots, half-open windows, fractional-minute baseline,
     sorted by engagement (ties by match and event id)."""
     moments = key_moments(match_events, all_shots=True).select(*_MOMENT_COLS)
@@ -245,13 +247,14 @@ def key_moments_report(match_events: DataFrame, app_events: DataFrame, matches:
     base = baseline_rate(match_windows(match_events), app_events, half_open=True, fractional=True)
     m = matches.select("match_id", "competition_name", "home_team_name", "away_team_name")
     j = counts.join(base, "match_id").join(m, "match_id")
-    return j.select(
+    j = j.select(
         "match_id", "minute", "event_type", "shot_outcome", "shot_xg", "team_id", "player_id",
         "app_events_plus_minus_5m", round6("baseline_app_events_10m").alias("baseline_app_events_10m"),
         round6(safe_divide("app_events_plus_minus_5m", "baseline_app_events_10m")).alias("engagement_lift_vs_baseline"),
         "competition_name", "home_team_name", "away_team_name", match_label().alias("match_label"),
         "event_id",
-    ).orderBy(F.desc("app_events_plus_minus_5m"), "match_id", "event_id").drop("event_id")
+    ).orderBy(F.desc("app_events_plus_minus_5m"), "match_id", "event_id")
+    return j if keep_id else j.drop("event_id")
 
 
 def session_anchor_audit(app_events: DataFrame, match_events: DataFrame, minutes: int = 10) -> DataFrame:

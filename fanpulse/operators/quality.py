@@ -37,7 +37,9 @@ def _row(spark: SparkSession, name: str, observed: Column, expected: str, source
 def key_stats(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """(duplicates beyond the first per key with NULLs equal, rows with a NULL key part)
     in one two-stage aggregate (partial aggregation keeps hot keys cheap)."""
-    any_null = F.greatest(*[F.col(k).isNull().cast("int") for k in keys]) == 1
+    any_null = F.lit(False)
+    for k in keys:
+        any_null = any_null | F.col(k).isNull()
     g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c"))
     return g.agg(
         F.coalesce(F.sum(F.col("_c") - 1), F.lit(0)).alias("duplicates"),
