@@ -87,6 +87,95 @@ def sessionize_single_window(
     return e.withColumn(number_col, F.sum(flag_col).over(w.rowsBetween(_UNB, 0)).cast("long"))
 
 
+def derived_sessions(
+    events: DataFrame,
+    key: str = "user_id",
+    ts: str = "event_ts",
+    tiebreak: str = "event_id",
+    gap_minutes: int = 30,
+    bucket_seconds: int = 6 * 3600,
+    checkpoint: bool = True,
+) -> DataFrame:
+    """Session mart directly from events, with a single exchange of the events.
+
+    1. Events are partitioned by (key, time bucket); inside each bucket a lag
+       window flags provisional session starts (a bucket's first event always
+       counts) and numbers them -> *pieces* (key, bucket, local number) are
+       aggregated on the same partitioning (no second exchange). Pieces are
+       checkpointed to the shared checkpoint folder: they are read twice and
+       are far smaller than the events.
+    2. Per (key, bucket): pieces, first and last timestamp -> a window over
+       these bucket summaries (bounded by time span / bucket width per key)
+       decides whether the bucket's first piece continues the previous
+       bucket's last session, and gives each bucket its number offset.
+    3. Pieces get their global session number and are merged per session
+       (a session spanning buckets has one piece per bucket).
+    """
+    name = F.col("event_name")
+    b = "_bucket"
+    e = events.withColumn(b, bin_of(ts, bucket_seconds))
+    w = Window.partitionBy(key, b).orderBy(ts, tiebreak)
+    prev = F.lag(F.col(ts)).over(w)
+    e = e.withColumn("_new", F.when(prev.isNull() | (whole_minutes(prev, F.col(ts)) > gap_minutes), 1).otherwise(0))
+    e = e.withColumn("_local", F.sum("_new").over(w.rowsBetween(_UNB, 0)))
+    pieces = e.groupBy(key, b, "_local").agg(
+        F.min(ts).alias("_first_ts"),
+        F.max(ts).alias("_last_ts"),
+        F.min(F.struct(F.col(ts).alias("t"), F.col(tiebreak).alias("k"), F.col("match_id").alias("m"))).alias("_first"),
+        F.count(F.lit(1)).alias("_n"),
+        F.collect_set(name).alias("_names"),
+        F.bool_or(name == "match_center_view").alias("_mc"),
+        F.bool_or(name == "highlight_view").alias("_hl"),
+        F.bool_or(name == "subscription_start").alias("_conv"),
+        F.sum("revenue_usd").alias("_rev"),
+    )
+    if checkpoint:
+        from fanpulse.session import cut_lineage
+
+        pieces = cut_lineage(pieces)
+    per_bucket = pieces.groupBy(key, b).agg(
+        F.max("_local").alias("_pieces"), F.min("_first_ts").alias("_bfirst"), F.max("_last_ts").alias("_blast")
+    )
+    by_key = Window.partitionBy(key).orderBy(b)
+    prev_last = F.lag("_blast").over(by_key)
+    per_bucket = per_bucket.withColumn(
+        "_cont", F.when(prev_last.isNotNull() & (whole_minutes(prev_last, F.col("_bfirst")) <= gap_minutes), 1).otherwise(0)
+    ).withColumn("_new_sessions", F.col("_pieces") - F.col("_cont"))
+    offsets = per_bucket.select(
+        key, b, "_cont",
+        F.coalesce(F.sum("_new_sessions").over(by_key.rowsBetween(_UNB, -1)), F.lit(0)).alias("_offset"),
+    )
+    numbered = pieces.join(offsets, [key, b]).withColumn(
+        "derived_session_number", (F.col("_offset") + F.col("_local") - F.col("_cont")).cast("long")
+    )
+    g = numbered.groupBy(key, "derived_session_number").agg(
+        F.min("_first").alias("_first"),
+        F.min("_first_ts").alias("session_started_at"),
+        F.max("_last_ts").alias("session_ended_at"),
+        F.sum("_n").alias("event_count"),
+        F.size(F.array_distinct(F.flatten(F.collect_list("_names")))).cast("long").alias("unique_event_types"),
+        F.bool_or("_mc").alias("viewed_match_center"),
+        F.bool_or("_hl").alias("viewed_highlight"),
+        F.bool_or("_conv").alias("converted"),
+        F.sum("_rev").alias("net_revenue_usd"),
+    )
+    return g.select(
+        F.concat(F.col(key).cast("string"), F.lit("-"), F.col("derived_session_number").cast("string")).alias("derived_session_id"),
+        key,
+        F.col("_first.m").alias("match_id"),
+        F.to_date("session_started_at").alias("event_date"),
+        "session_started_at",
+        "session_ended_at",
+        whole_seconds("session_started_at", "session_ended_at").alias("duration_seconds"),
+        "event_count",
+        "unique_event_types",
+        "viewed_match_center",
+        "viewed_highlight",
+        "converted",
+        F.round("net_revenue_usd", 6).alias("net_revenue_usd"),
+    )
+
+
 def session_rollup(
     sessions: DataFrame,
     key: str = "user_id",
@@ -124,4 +213,4 @@ def session_rollup(
     )
 
 
-__all__ = ["sessionize", "sessionize_single_window", "session_rollup", "count_if"]
+__all__ = ["sessionize", "sessionize_single_window", "session_rollup", "derived_sessions", "count_if"]

@@ -8,14 +8,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from fanpulse.operators import engagement, experiment, football, marketing, quality
-from fanpulse.operators.sessions import session_rollup, sessionize
+from fanpulse.operators.sessions import derived_sessions
 
 Tables = dict[str, DataFrame]
 
 
 def mart_sessions(t: Tables) -> DataFrame:
     ev = t["fact_app_events"].select("event_id", "user_id", "match_id", "event_name", "event_ts", "revenue_usd")
-    return session_rollup(sessionize(ev))
+    return derived_sessions(ev)
 
 
 def mart_product_daily(t: Tables) -> DataFrame:
