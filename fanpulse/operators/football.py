@@ -200,7 +200,11 @@ def baseline_rate(windows: DataFrame, app_events: DataFrame, half_open: bool = F
     ev = app_events.select(F.col("match_id").alias("_m"), F.col("event_ts").alias("_ts"), F.col("event_id").alias("_id"))
     upper = F.col("_ts") < F.col("window_end") if half_open else F.col("_ts") <= F.col("window_end")
     cond = (F.col("match_id") == F.col("_m")) & (F.col("_ts") >= F.col("window_start")) & upper
-    counted = windows.join(ev, cond, "left").groupBy("match_id", "window_start", "window_end").agg(
+    # inner join (the window side can be broadcast; events stream without a
+    # shuffle) + union of the windows themselves for matches without events
+    inside = ev.join(windows, cond, "inner").select("match_id", "window_start", "window_end", "_id")
+    empty = windows.select("match_id", "window_start", "window_end", F.lit(None).cast(ev.schema["_id"].dataType).alias("_id"))
+    counted = inside.unionByName(empty).groupBy("match_id", "window_start", "window_end").agg(
         F.count("_id").alias("_n")
     )
     if fractional:

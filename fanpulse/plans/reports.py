@@ -614,3 +614,21 @@ props AS (
     OR highlight_users > match_center_users OR subscription_users > highlight_users) FROM funnel_mart)
 SELECT check_name, CASE WHEN o = 0 THEN 'PASS' ELSE 'FAIL' END AS status, CAST(o AS BIGINT) AS observed,
   CAST(0 AS BIGINT) AS expected FROM props"""))(q_props)
+
+
+# ============================================================== top-k charts
+def key_moments_top12(t):
+    """The 12 moments with the most app events (ties: match, event id)."""
+    return r7(t, keep_id=True).orderBy(F.desc("app_events_plus_minus_5m"), "match_id", "event_id").limit(12).drop("event_id")
+
+
+def match_rank_top5(t):
+    return r9(t).limit(5)
+
+
+register("key_moments_top12", with_tables(["app_events", "match_events", "dim_matches"], _MOMENTS_REPORT + f"""
+SELECT {_R7_COLS} FROM moments_report ORDER BY app_events_plus_minus_5m DESC, match_id, event_id LIMIT 12"""))(key_moments_top12)
+register("match_rank_top5", with_tables(["app_events", "dim_content", "match_events", "dim_matches"], _SPORTS + """
+SELECT match_label, MAX(unique_viewers) AS unique_viewers, CAST(SUM(views) AS BIGINT) AS views,
+  CAST(SUM(subscriptions) AS BIGINT) AS subscriptions, MAX(xg) AS xg
+FROM sports GROUP BY match_label ORDER BY unique_viewers DESC, match_label LIMIT 5"""))(match_rank_top5)

@@ -1,0 +1,9 @@
+"""Streaming: intentionally empty.
+
+The product suite this library re-expresses is batch-only (nightly marts over
+partitioned facts); it has no watermark, windowed streaming aggregate or
+stateful operator, and its session rule is a batch rule. No streaming
+operator is provided so as not to add behaviour the suite does not have.
+Every operator is a plain DataFrame function, so it can be applied inside a
+``foreachBatch`` sink unchanged if a caller wants micro-batch refreshes.
+"""
