@@ -76,3 +76,28 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
 
 def default_parallelism() -> int:
     return int(os.environ.get("BENCH_CPUS", os.cpu_count() or 8))
+
+
+def scale_conf(input_bytes: int, executors: int, cores_per_executor: int,
+               target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Shuffle and scan sizing for a cluster run (e.g. 100 TB on 1000 executors).
+
+    Initial shuffle partitions: about one per GB of input (shuffles carry a
+    pruned, pre-aggregated fraction of the input), clamped to 2..20 waves of
+    the cluster's task slots; AQE then coalesces to ~``target_partition_bytes``
+    per reducer and splits skewed partitions at runtime. Scans read ~512 MB
+    splits. Broadcasts stay behind AQE's runtime size check (the threshold is
+    a byte bound, never a hint).
+    """
+    slots = executors * cores_per_executor
+    partitions = min(max(2 * slots, -(-input_bytes // (1 << 30))), 20 * slots)
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(512 << 20),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+    }
