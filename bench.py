@@ -31,7 +31,8 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     only = [a for a in sys.argv[1:]]
     spark = get_session(f"local[{cpus}]", shuffle_partitions=2 * cpus,
-                        extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEM", "16g")})
+                        extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEM", "16g"),
+                               "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     qs = all_queries()
     names = [n for n in HEADLINE if not only or n in only]
