@@ -14,15 +14,14 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from fanpulse.plans.registry import all_queries  # noqa: E402
+from fanpulse.sources.bindings import canonical_tables  # noqa: E402
 from fanpulse.session import get_session  # noqa: E402
 
-HEADLINE = (
+# all registered queries are timed; the marts and reports come first
+ORDER_FIRST = (
     "mart_sessions", "mart_product_daily", "mart_retention_cohort", "mart_conversion_funnel",
     "mart_sports_engagement", "mart_football_team_match", "mart_key_moment_engagement",
     "mart_marketing_economics", "mart_ab_test_match_center_v2", "mart_data_quality",
-    "report_executive_daily", "report_retention", "report_funnel", "report_sports_engagement",
-    "report_marketing", "report_ab_test", "report_key_moments", "report_quality", "session_anchor_audit",
-    "engagement_drill",
 )
 
 
@@ -35,17 +34,25 @@ def main() -> None:
                                "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     qs = all_queries()
-    names = [n for n in HEADLINE if not only or n in only]
-    # warm-up: JVM, parquet footers, codegen caches
-    qs["source_counts"](spark, sf_dir).write.format("noop").mode("overwrite").save()
+    names = [n for n in ORDER_FIRST] + sorted(n for n in qs if n not in ORDER_FIRST)
+    names = [n for n in names if not only or n in only]
+    # warm-up: JVM and codegen only (touches no test table)
+    spark.range(1000).selectExpr("sum(id)").collect()
     times: dict[str, float] = {}
+    # ingest: derive the ten canonical tables from the raw tables and write
+    # them with their layout (what every query then reads)
+    t0 = time.perf_counter()
+    tables = canonical_tables(spark, sf_dir)
+    for name in tables:
+        tables[name]
+    times["ingest_canonical_tables"] = round(time.perf_counter() - t0, 3)
     for name in names:
         t0 = time.perf_counter()
         qs[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - t0, 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({
-        "metric": "headline_queries_total_time", "value": round(sum(times.values()), 3), "unit": "sec",
+        "metric": "all_queries_total_time", "value": round(sum(times.values()), 3), "unit": "sec",
         "queries": times, "sf": float(sf) if sf.replace(".", "").isdigit() else sf, "cpus": cpus,
     }))
     spark.stop()

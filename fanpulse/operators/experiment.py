@@ -67,7 +67,15 @@ def user_outcomes(assignments: DataFrame, events: DataFrame, experiment: str | N
     )
 
 
-def variant_metrics(outcomes: DataFrame) -> DataFrame:
+def variant_metrics(outcomes: DataFrame, denominator: str = "sql") -> DataFrame:
+    """Per-variant metrics. ``denominator='sql'``: users without events have a
+    NULL conversion flag and leave the rate's denominator (the mart's SQL);
+    ``'assigned'``: the rate is over all assigned users (the dictionary's
+    definition), i.e. no events counts as not converted."""
+    if denominator == "assigned":
+        outcomes = outcomes.withColumn("converted", F.coalesce("converted", F.lit(False)))
+    elif denominator != "sql":
+        raise ValueError(f"unknown denominator {denominator!r}")
     return outcomes.groupBy("variant").agg(
         F.count(F.lit(1)).alias("users"),
         count_if(F.col("converted")).alias("converted_users"),
@@ -120,8 +128,11 @@ def two_proportion_test(metrics: DataFrame, control: str = "control", treatment:
     return s.select(*out)
 
 
-def ab_test_mart(assignments: DataFrame, events: DataFrame, experiment: str = "match_center_v2", conversion: Column | None = None) -> DataFrame:
-    return two_proportion_test(variant_metrics(user_outcomes(assignments, events, experiment, conversion)))
+def ab_test_mart(
+    assignments: DataFrame, events: DataFrame, experiment: str = "match_center_v2",
+    conversion: Column | None = None, denominator: str = "sql",
+) -> DataFrame:
+    return two_proportion_test(variant_metrics(user_outcomes(assignments, events, experiment, conversion), denominator))
 
 
 def ab_test_report(assignments: DataFrame, events: DataFrame, conversion: Column | None = None, experiment: str | None = None) -> DataFrame:

@@ -34,10 +34,25 @@ def _daily_revenue(events: DataFrame) -> DataFrame:
     return events.groupBy("user_id", "event_date").agg(F.sum("revenue_usd").alias("_rev"))
 
 
-def unit_economics(users: DataFrame, events: DataFrame, spend: DataFrame, window_days: int = 30) -> DataFrame:
+def check_spend_grain(spend: DataFrame) -> None:
+    """Raise if a (date, channel) has several spend rows: the user rollup is
+    per (date, channel), so each such row would repeat its users and revenue."""
+    from fanpulse.functions.joins import CardinalityError, duplicate_keys
+
+    bad = duplicate_keys(spend.select("spend_date", "channel"), ["spend_date", "channel"]).limit(1).collect()
+    if bad:
+        raise CardinalityError(f"several spend rows per (spend_date, channel): {bad[0].asDict()}")
+
+
+def unit_economics(
+    users: DataFrame, events: DataFrame, spend: DataFrame, window_days: int = 30, validate_grain: bool = False
+) -> DataFrame:
     """Per spend row (date, channel): spend, funnel counts, new users, 30-day
     revenue (signup day .. signup + 30 inclusive) and the ratios. Ratios use the
-    un-coalesced user side, so they are NULL where no users joined."""
+    un-coalesced user side, so they are NULL where no users joined.
+    ``validate_grain`` first checks one spend row per (date, channel)."""
+    if validate_grain:
+        check_spend_grain(spend)
     acquired = users.where(F.col("acquisition_channel").isin(*PAID_CHANNELS)).select(
         "signup_date", F.col("acquisition_channel").alias("channel"), "user_id"
     )

@@ -115,8 +115,10 @@ _STEP_LABELS = (("Notification", "notification_users"), ("Match center", "match_
                 ("Highlight", "highlight_users"), ("Subscription", "subscription_users"))
 
 
-def d1(t, platform: str = "all", variant: str = "treatment"):
-    rows = r3(t).where(F.col("experiment_variant") == variant)
+def funnel_steps(funnel_rows: DataFrame, platform: str = "all", variant: str = "treatment") -> DataFrame:
+    """Step totals of one variant (all or one platform) and each step's share of
+    the first step, from report-funnel rows."""
+    rows = funnel_rows.where(F.col("experiment_variant") == variant)
     if platform != "all":
         rows = rows.where(F.col("platform") == platform)
     sums = rows.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for _, c in _STEP_LABELS])
@@ -129,21 +131,33 @@ def d1(t, platform: str = "all", variant: str = "treatment"):
     return sums.select(F.inline(steps))
 
 
-def d2(t):
-    rows = r2(t)
-    days = (1, 7, 30)
-    w = rows.agg(*[safe_divide(F.sum(F.col(f"retention_d{d}") * F.col("cohort_size")), F.sum("cohort_size")).alias(f"_d{d}")
-                   for d in days])
+def weighted_retention(retention_rows: DataFrame, days=(1, 7, 30)) -> DataFrame:
+    """Cohort-size-weighted retention per day over report-retention rows."""
+    w = retention_rows.agg(*[
+        safe_divide(F.sum(F.col(f"retention_d{d}") * F.col("cohort_size")), F.sum("cohort_size")).alias(f"_d{d}")
+        for d in days])
     arr = F.array(*[F.struct(F.lit(d).alias("day"), round6(f"_d{d}").alias("retention")) for d in days])
     return w.select(F.inline(arr))
 
 
-def d3(t):
-    return r2(t).groupBy("acquisition_channel").agg(
+def retention_by_channel(retention_rows: DataFrame) -> DataFrame:
+    return retention_rows.groupBy("acquisition_channel").agg(
         round6(safe_divide(F.sum(F.col("retention_d30") * F.col("cohort_size")), F.sum("cohort_size"))).alias("retention_d30")
     ).orderBy(F.desc("retention_d30"), "acquisition_channel")
 
 
+def d1(t, platform: str = "all", variant: str = "treatment"):
+    return funnel_steps(r3(t), platform, variant)
+
+
+def d2(t):
+    return weighted_retention(r2(t))
+
+
+def d3(t):
+    return retention_by_channel(r2(t))
+
+
 def d4(t):
     return marketing.marketing_decision(r5(t))
 
@@ -188,16 +202,21 @@ _SCORE_GROUPS = (
 
 
 def d10(t):
-    suite = r8(t).select("check_name", "status", F.col("observed").try_cast("long").alias("observed"))
-    mart = marts.mart_data_quality(t, as_of=AS_OF).select("check_name", "status", "observed")
-    allc = suite.withColumn("_suite", F.lit(True)).unionByName(mart.withColumn("_suite", F.lit(False)))
-    tagged = allc.select("*", F.lit("quality_checks").alias("check_group")).where("_suite")
+    """Scorecard groups over the contract suite and the mart checks; every
+    check row is tagged with all its groups (array + explode), so the suite
+    is computed once."""
+    suite = r8(t).select("check_name", "status", F.col("observed").try_cast("long").alias("observed"),
+                         F.lit(True).alias("_suite"))
+    mart = marts.mart_data_quality(t, as_of=AS_OF).select("check_name", "status", "observed", F.lit(False).alias("_suite"))
+    allc = suite.unionByName(mart)
+    tags = [F.when(F.col("_suite"), F.lit("quality_checks"))]
     for name, patterns in _SCORE_GROUPS:
         cond = None
         for p in patterns:
             c = F.col("check_name").like(p)
             cond = c if cond is None else (cond | c)
-        tagged = tagged.unionByName(allc.where(cond).select("*", F.lit(name).alias("check_group")))
+        tags.append(F.when(cond, F.lit(name)))
+    tagged = allc.select("*", F.explode(F.array_compact(F.array(*tags))).alias("check_group"))
     return tagged.groupBy("check_group").agg(
         count_if(F.col("status") == "PASS").alias("passed"), F.count(F.lit(1)).alias("total"),
         F.coalesce(F.sum(F.greatest(F.col("observed"), F.lit(0))), F.lit(0)).alias("observed"),

@@ -46,3 +46,12 @@ def test_assign_variant_is_stable_and_balanced(tables):
     total = sum(counts.values())
     assert set(counts) == {"control", "treatment"} and abs(counts["control"] / total - 0.5) < 0.1
     assert a.groupBy("user_id").agg(F.count_distinct("variant").alias("n")).where("n > 1").count() == 0
+
+
+def test_assigned_denominator_counts_inactive_users(spark):
+    ev = app_events(spark, [(1, 1, "2024-01-01 10:00:00", "subscription_start"),
+                            (2, 3, "2024-01-01 10:00:00", "subscription_start")])
+    sql = ab_test_mart(_assignments(spark), ev).collect()[0]
+    assigned = ab_test_mart(_assignments(spark), ev, denominator="assigned").collect()[0]
+    assert sql.control_rate == 1.0 and assigned.control_rate == 0.5
+    assert sql.control_users == assigned.control_users == 2

@@ -45,3 +45,13 @@ def test_target_blend_flags(spark):
     assert not rows["partner"].cac_above_target and not rows["partner"].roas_below_one
     assert abs(rows["social"].spend_to_target - 60000 / 57780) < 1e-6
     assert actual.select(F.count("*")).first()[0] == 2
+
+
+def test_spend_grain_guard(spark):
+    from fanpulse.operators.marketing import check_spend_grain
+    spend = spark.createDataFrame(
+        [(d("2024-01-01"), "social_a", "social", 1, 1, 1, 1.0, 1.0), (d("2024-01-01"), "social_b", "social", 1, 1, 1, 1.0, 1.0)],
+        CONTRACTS["fact_campaign_spend"])
+    with pytest.raises(CardinalityError):
+        check_spend_grain(spend)
+    check_spend_grain(spend.limit(1))
