@@ -147,28 +147,34 @@ def ab_test_report(assignments: DataFrame, events: DataFrame, conversion: Column
         F.avg(nulls("match_center_views")).alias("avg_match_center_views"),
         F.avg(nulls("net_revenue_usd")).alias("arpu_usd"),
     )
+    # one row holding both arms and the statistics, then one output row per arm
+    # (inline of an array of structs) - no join of the two shapes
     v = F.col("variant")
-    stats = m.agg(
-        F.max(F.when(v == "control", F.col("conversion_rate"))).alias("_cr"),
-        F.max(F.when(v == "treatment", F.col("conversion_rate"))).alias("_tr"),
-        F.max(F.when(v == "control", F.col("users"))).alias("_cu"),
-        F.max(F.when(v == "treatment", F.col("users"))).alias("_tu"),
-    )
-    cr, tr = F.col("_cr"), F.col("_tr")
-    se = F.sqrt(safe_divide(cr * (1 - cr), "_cu") + safe_divide(tr * (1 - tr), "_tu"))
-    stats = stats.select(
-        (tr - cr).alias("absolute_lift"), safe_divide(tr - cr, cr).alias("relative_lift"),
-        (tr - cr - Z_95 * se).alias("ci_95_lower"), (tr - cr + Z_95 * se).alias("ci_95_upper"),
-    ).withColumn("significant_at_95pct", ~((F.col("ci_95_lower") <= 0) & (F.col("ci_95_upper") >= 0)))
-    # stats is one row: attach it to both variant rows by a constant-key equi-join
-    j = m.withColumn("_one", F.lit(1)).join(stats.withColumn("_one", F.lit(1)), "_one").drop("_one")
-    return j.select(
-        "variant", "users", "converted_users", round6("conversion_rate").alias("conversion_rate"),
-        round6("avg_match_center_views").alias("avg_match_center_views"), round6("arpu_usd").alias("arpu_usd"),
-        round6("absolute_lift").alias("absolute_lift"), round6("relative_lift").alias("relative_lift"),
-        round6("ci_95_lower").alias("ci_95_lower"), round6("ci_95_upper").alias("ci_95_upper"),
-        "significant_at_95pct",
-    )
+    arms = ("control", "treatment")
+    cols = ("users", "converted_users", "conversion_rate", "avg_match_center_views", "arpu_usd")
+    wide = m.agg(*[F.max(F.when(v == a, F.col(c))).alias(f"{a}_{c}") for a in arms for c in cols])
+    cr, tr = F.col("control_conversion_rate"), F.col("treatment_conversion_rate")
+    se = F.sqrt(safe_divide(cr * (1 - cr), "control_users") + safe_divide(tr * (1 - tr), "treatment_users"))
+    lo, hi = tr - cr - Z_95 * se, tr - cr + Z_95 * se
+    stats = {
+        "absolute_lift": round6(tr - cr), "relative_lift": round6(safe_divide(tr - cr, cr)),
+        "ci_95_lower": round6(lo), "ci_95_upper": round6(hi),
+        "significant_at_95pct": ~((lo <= 0) & (hi >= 0)),
+    }
+    rows = F.array(*[
+        F.struct(
+            F.lit(a).alias("variant"), F.col(f"{a}_users").alias("users"),
+            F.col(f"{a}_converted_users").alias("converted_users"),
+            round6(f"{a}_conversion_rate").alias("conversion_rate"),
+            round6(f"{a}_avg_match_center_views").alias("avg_match_center_views"),
+            round6(f"{a}_arpu_usd").alias("arpu_usd"),
+            *[e.alias(k) for k, e in stats.items()],
+        )
+        for a in arms
+    ])
+    present = F.array(*[F.col(f"{a}_users").isNotNull() for a in arms])
+    out = wide.select(F.inline(F.filter(F.arrays_zip(rows.alias("r"), present.alias("p")), lambda x: x["p"])))
+    return out.select("r.*")
 
 
 def experiment_decision(mart: DataFrame) -> DataFrame:

@@ -126,8 +126,8 @@ def insights_record(
     """One nested record: generated_from, kpis, top_* and the chart arrays.
 
     Each input is already small (one row, or a top-k / per-day extract); the
-    chart arrays are built by ``collect_list`` inside Spark and the parts are
-    combined by a constant-key equi-join of one-row frames.
+    chart arrays are built by ``collect_list`` inside Spark and the one-row
+    parts are combined by a union + ``first(ignorenulls)`` aggregate (no join).
     """
     parts = [nan_safe(sources).select(F.struct("*").alias("generated_from")),
              nan_safe(kpis).select(F.struct("*").alias("kpis"))]
@@ -135,10 +135,13 @@ def insights_record(
         parts.append(nan_safe(df).agg(F.first(F.struct("*")).alias(name)))
     for name, df in charts.items():
         parts.append(nan_safe(df).agg(F.collect_list(F.struct("*")).alias(f"chart_{name}")))
-    out = parts[0].withColumn("_one", F.lit(1))
-    for p in parts[1:]:
-        out = out.join(p.withColumn("_one", F.lit(1)), "_one")
-    return out.drop("_one")
+    fields = [(p.columns[0], p.schema[p.columns[0]].dataType) for p in parts]
+    out = None
+    for p in parts:
+        own = p.columns[0]
+        row = p.select(*[F.col(n) if n == own else F.lit(None).cast(t).alias(n) for n, t in fields])
+        out = row if out is None else out.unionByName(row)
+    return out.agg(*[F.first(n, ignorenulls=True).alias(n) for n, _ in fields])
 
 
 def write_insights(record: DataFrame, path: str) -> None:
