@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fanpulse.functions.scalar import count_if, distinct_if, min_if, round6, safe_divide
@@ -19,24 +19,50 @@ def trailing_distinct(
     days: int = 30,
     out_date: str = "metric_date",
     out_col: str = "mau",
+    method: str = "ranges",
 ) -> DataFrame:
     """Distinct keys active in the trailing ``days`` days (today and days-1 before)
     for every date that itself has activity.
 
-    A theta join ``d - days < d' <= d`` would plan as a nested-loop join. Here
-    each distinct (key, day) is fanned out to the ``days`` metric dates it
-    counts for (explode of a date sequence, ``days`` x user-days, linear),
-    restricted to active dates by a semi-join on the (calendar-bounded) set
-    of active dates, then counted with Spark's partial-aggregating distinct
-    count (exchange on (date, key) first, so no hot date lands in one task).
+    A theta join ``d - days < d' <= d`` plans as a nested-loop join; two exact
+    linear plans are offered instead:
+
+    * ``"ranges"`` (default): a key active on day ``a`` is counted on metric
+      dates ``[a, a + days - 1]``. Per key, the coverage ranges of its active
+      days are merged (lag over the key's distinct days - at most one row per
+      calendar day, whatever the key's event volume), each merged range adds
+      +1 at its start and -1 after its end, and a running sum over the
+      calendar gives the distinct count. Work is O(distinct key-days), the
+      per-date rows are bounded by the calendar span.
+    * ``"explode"``: fan each distinct (key, day) out to the ``days`` metric
+      dates it counts for and distinct-count per date (``days`` x key-days).
     """
     user_days = activity.select(F.col(date_col).alias("_d"), F.col(key).alias("_k")).distinct()
     active_dates = user_days.select(F.col("_d").alias(out_date)).distinct()
-    fanned = user_days.select(
-        "_k", F.explode(F.sequence(F.col("_d"), F.date_add(F.col("_d"), days - 1))).alias(out_date)
-    )
-    fanned = fanned.join(active_dates, out_date, "left_semi")
-    return fanned.groupBy(out_date).agg(F.count_distinct("_k").alias(out_col))
+    if method == "explode":
+        fanned = user_days.select(
+            "_k", F.explode(F.sequence(F.col("_d"), F.date_add(F.col("_d"), days - 1))).alias(out_date)
+        )
+        fanned = fanned.join(active_dates, out_date, "left_semi")
+        return fanned.groupBy(out_date).agg(F.count_distinct("_k").alias(out_col))
+    if method != "ranges":
+        raise ValueError(f"unknown method {method!r}")
+    by_key = Window.partitionBy("_k").orderBy("_d")
+    prev = F.lag("_d").over(by_key)
+    starts = user_days.withColumn("_new", F.when(prev.isNull() | (F.datediff("_d", prev) >= days), 1).otherwise(0))
+    ranged = starts.withColumn("_r", F.sum("_new").over(by_key.rowsBetween(Window.unboundedPreceding, 0)))
+    spans = ranged.groupBy("_k", "_r").agg(F.min("_d").alias("_lo"), F.max("_d").alias("_hi"))
+    edges = spans.select(F.explode(F.array(
+        F.struct(F.col("_lo").alias("_day"), F.lit(1).alias("_delta")),
+        F.struct(F.date_add("_hi", days).alias("_day"), F.lit(-1).alias("_delta")),
+    )).alias("_e")).select("_e._day", "_e._delta")
+    # every active date gets a row (delta 0) so the running sum is evaluated there
+    marks = active_dates.select(F.col(out_date).alias("_day"), F.lit(0).alias("_delta"))
+    deltas = edges.unionByName(marks).groupBy("_day").agg(F.sum("_delta").alias("_delta"))
+    # one row per calendar date touched: the running sum is a small ordered scan
+    calendar = Window.orderBy("_day").rowsBetween(Window.unboundedPreceding, 0)
+    counts = deltas.select(F.col("_day").alias(out_date), F.sum("_delta").over(calendar).cast("long").alias(out_col))
+    return counts.join(active_dates, out_date, "left_semi")
 
 
 # --------------------------------------------------------------------------- product daily (M2)

@@ -9,13 +9,23 @@ from fanpulse.operators.engagement import (cohort_retention, funnel_mart, funnel
 
 def test_trailing_distinct_matches_brute_force(tables):
     ev = tables["fact_app_events"].select("event_date", "user_id")
-    got = {r.metric_date: r.mau for r in trailing_distinct(ev, days=7).collect()}
     rows = ev.distinct().collect()
     dates = {r.event_date for r in rows}
-    for day in dates:
-        lo = day - dt.timedelta(days=6)
-        assert got[day] == len({r.user_id for r in rows if lo <= r.event_date <= day})
-    assert set(got) == dates  # only dates with activity (no calendar fill)
+    for days in (1, 7, 30):
+        for method in ("ranges", "explode"):
+            got = {r.metric_date: r.mau for r in trailing_distinct(ev, days=days, method=method).collect()}
+            for day in dates:
+                lo = day - dt.timedelta(days=days - 1)
+                assert got[day] == len({r.user_id for r in rows if lo <= r.event_date <= day}), (days, method)
+            assert set(got) == dates  # only dates with activity (no calendar fill)
+
+
+def test_trailing_distinct_sparse_days(spark):
+    ev = spark.createDataFrame(
+        [(d("2024-01-01"), 1), (d("2024-01-30"), 1), (d("2024-01-31"), 1), (d("2024-03-01"), 1),
+         (d("2024-01-31"), 2), (d("2024-03-01"), 2)], "event_date date, user_id long")
+    got = {r.metric_date.isoformat(): r.mau for r in trailing_distinct(ev).collect()}
+    assert got == {"2024-01-01": 1, "2024-01-30": 1, "2024-01-31": 2, "2024-03-01": 2}
 
 
 def test_no_nested_loop_in_trailing_plan(tables):
