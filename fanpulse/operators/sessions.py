@@ -6,19 +6,17 @@ minutes (truncating, so a 30m59s gap stays in the session).
 
 Scale design: a plain ``Window.partitionBy(key)`` puts all events of one key
 into one task, which breaks when a single key holds a large share of the
-rows. Instead the windows run per (key, time bucket):
-
-1. per (key, bucket): the last (ts, tiebreak) -> a window over these small
-   summaries (one row per key-bucket) gives each bucket the last timestamp
-   of the key's previous non-empty bucket;
-2. per (key, bucket) window: lag inside the bucket, falling back to (1) for
-   the bucket's first event -> new-session flag and local running count;
-3. per (key, bucket): number of new sessions -> running total over earlier
-   buckets (again a window over summaries) -> global session number.
-
-All event-level work is partitioned by (key, bucket); only the summaries are
-partitioned by key alone, and those are bounded by time span / bucket width.
-The result is exactly the single-window definition.
+rows. Both forms here run their event-level windows per (key, time bucket)
+and only windows over per-bucket summaries (bounded by time span / bucket
+width per key) are partitioned by key alone:
+
+* ``derived_sessions`` - the session mart, one exchange of the events (see
+  its docstring); used by the registered query.
+* ``sessionize`` - event-level labels (flag + session number per event); it
+  needs the previous bucket's last timestamp before the window and the
+  per-bucket session counts after it, so it reads the events twice.
+* ``sessionize_single_window`` - the textbook one-window form, kept as the
+  reference in tests.
 """
 
 from __future__ import annotations
