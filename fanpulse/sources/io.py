@@ -2,7 +2,7 @@
 
 * ``read_tables``      - load named Parquet tables (S1)
 * ``write_tables``     - one Parquet dataset per table, replacing (S7)
-* ``write_with_layout``- date partitions + clustered files, returns row counts (S11)
+* ``write_with_layout``- date partitions + sorted (clustered) files, returns row counts (S11)
 * ``export_*``         - CSV extracts, manifest, insights record (S8-S10, S13, S14)
 * ``read_campaign_targets`` - target sheet CSV with an explicit schema (S15)
 """
@@ -31,9 +31,12 @@ def write_tables(tables: Mapping[str, DataFrame], path: str) -> None:
 def layout_plan(df: DataFrame, table: str) -> tuple[DataFrame, list[str]]:
     """Apply a table's physical layout; return (frame to write, partition columns).
 
-    Range-repartitioning on (partition column, cluster columns) keeps a hot
-    day from landing in one task (it is split by the cluster key), and the
-    in-partition sort gives Parquet min/max statistics that prune row groups.
+    ``REBALANCE`` on the date partition column: rows of a day go to the same
+    writers (few files per date directory) while AQE splits a hot day into
+    several advisory-sized tasks and merges small ones - without the extra
+    sampling pass over the input that range partitioning needs. The sort on
+    (date, cluster columns) inside each task gives Parquet min/max statistics
+    that prune row groups.
     """
     spec = LAYOUT.get(table, {})
     part = spec.get("partition")
@@ -46,7 +49,7 @@ def layout_plan(df: DataFrame, table: str) -> tuple[DataFrame, list[str]]:
         parts = [part]
     order = parts + clusters
     if order:
-        df = df.repartitionByRange(*order).sortWithinPartitions(*order)
+        df = (df.hint("rebalance", *parts) if parts else df.hint("rebalance")).sortWithinPartitions(*order)
     return df, parts
 
 
