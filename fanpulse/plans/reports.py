@@ -63,11 +63,19 @@ def r8(t):
     return quality.with_checked_at(quality.validate(t, session_bucket=bucket), AS_OF)
 
 
-def r9(t):
-    return r4(t).groupBy("match_label").agg(
+def match_rollup(sports_rows: DataFrame, by: str = "match_label") -> DataFrame:
+    """Per match: widest content-type reach (max, not a distinct count across
+    types), total views and subscriptions, xG. ``by='match_label'`` follows the
+    extract (a repeated pairing merges); ``by='match_id'`` keeps matches apart."""
+    keys = ["match_label"] if by == "match_label" else ["match_id", "match_label"]
+    return sports_rows.groupBy(*keys).agg(
         F.max("unique_viewers").alias("unique_viewers"), F.sum("views").alias("views"),
         F.sum("subscriptions").alias("subscriptions"), F.max("xg").alias("xg"),
-    ).orderBy(F.desc("unique_viewers"), "match_label")
+    ).orderBy(F.desc("unique_viewers"), *keys)
+
+
+def r9(t):
+    return match_rollup(r4(t))
 
 
 def r10(t):
