@@ -11,11 +11,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fanpulse.functions.scalar import calendar_columns, campaign_key, count_if, round6, safe_divide  # noqa: F401
+from fanpulse.functions.scalar import campaign_key, count_if, round6, safe_divide
 from fanpulse.operators import engagement, experiment, football, marketing, quality
 from fanpulse.operators.experiment import assign_variant, event_conversion_rate
 from fanpulse.plans import marts
-from fanpulse.plans.oracle import _COHORT, _FUNNEL_MART, _MART_CHECKS, _USER_DAYS, AS_OF, SQL, r6, sdiv
+from fanpulse.plans.oracle import _COHORT, _FUNNEL_MART, _MART_CHECKS, _USER_DAYS, AS_OF, r6, sdiv
 from fanpulse.plans.oracle_bindings import with_tables
 from fanpulse.plans.registry import register, test_data_conversion
 from fanpulse.schemas import CONTRACTS, PAID_CHANNELS, PRIMARY_KEYS
