@@ -239,8 +239,10 @@ def d11(t):
         F.count_distinct("user_id").alias("unique_viewers"),
         count_if(F.col("event_name") == "subscription_start").alias("subscriptions"),
     )
-    return g.select("competition_name", "match_id", "content_type", F.col("level").cast("int").alias("level"),
-                    "views", "unique_viewers", "subscriptions")
+    # match_id is a drill label here (NULL on the competition and total levels):
+    # emitted as text so NULL-able ids never turn into floats downstream
+    return g.select("competition_name", F.col("match_id").cast("string").alias("match_id"), "content_type",
+                    F.col("level").cast("int").alias("level"), "views", "unique_viewers", "subscriptions")
 
 
 def d12(t, start: str | None = None, end: str | None = None):
@@ -594,7 +596,7 @@ SELECT check_group, COUNT(*) FILTER (WHERE status = 'PASS') AS passed, COUNT(*)
   CAST(COALESCE(SUM(GREATEST(observed, 0)), 0) AS BIGINT) AS observed
 FROM tagged GROUP BY check_group"""))(d10)
 register("engagement_drill", with_tables(["app_events", "dim_content", "dim_matches"], """
-SELECT m.competition_name, e.match_id, c.content_type,
+SELECT m.competition_name, CAST(e.match_id AS VARCHAR) AS match_id, c.content_type,
   CAST(GROUPING(m.competition_name, e.match_id, c.content_type) AS INTEGER) AS level,
   COUNT(*) AS views, COUNT(DISTINCT e.user_id) AS unique_viewers,
   COUNT(*) FILTER (WHERE e.event_name = 'subscription_start') AS subscriptions

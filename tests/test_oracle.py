@@ -17,7 +17,7 @@ def _norm(v):
     if v is None or (isinstance(v, float) and math.isnan(v)):
         return None
     if isinstance(v, float):
-        return round(v, 6)
+        return repr(v)  # bit-exact: both sides round derived doubles to 6 dp themselves
     if isinstance(v, pd.Timestamp):
         return v.to_pydatetime().replace(tzinfo=None).isoformat()
     if isinstance(v, datetime.datetime):
