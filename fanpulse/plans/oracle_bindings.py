@@ -45,8 +45,8 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     """ + VARIANT_CASE.format(u="user_id") + """ AS experiment_variant,
     CASE WHEN acquisition_channel IN ('paid_search', 'social', 'partner')
          THEN acquisition_channel || '_' || strftime(event_date, '%Y%m%d') END AS campaign_id,
-    CASE WHEN event_name = 'subscription_start' THEN 9.99
-         WHEN event_name = 'subscription_cancel' THEN -9.99 ELSE 0.0 END AS revenue_usd,
+    CAST(CASE WHEN event_name = 'subscription_start' THEN 9.99
+         WHEN event_name = 'subscription_cancel' THEN -9.99 ELSE 0.0 END AS DOUBLE) AS revenue_usd,
     value
   FROM _ev_named"""),
     "dim_users": ((), """
@@ -93,13 +93,13 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
       CASE WHEN o_orderstatus = 'P' THEN 'Incomplete' ELSE 'Complete' END END AS pass_outcome,
     CASE WHEN substr(o_orderpriority, 1, 1) = '3' THEN
       CASE WHEN o_orderstatus = 'F' THEN 'Tackle' ELSE 'Aerial Lost' END END AS duel_type,
-    o_totalprice > 100000 AS under_pressure, 0.0 AS duration_seconds
+    o_totalprice > 100000 AS under_pressure, CAST(0.0 AS DOUBLE) AS duration_seconds
   FROM orders"""),
     "campaign_spend": ((), """
   SELECT spend_date, channel || '_' || strftime(spend_date, '%Y%m%d') AS campaign_id, channel,
     50 * clicks AS impressions, clicks, installs, spend_usd,
-    CASE channel WHEN 'paid_search' THEN 2568.0 WHEN 'social' THEN 1926.0 WHEN 'partner' THEN 1105.67 END
-      AS target_spend_usd
+    CAST(CASE channel WHEN 'paid_search' THEN 2568.0 WHEN 'social' THEN 1926.0 WHEN 'partner' THEN 1105.67 END
+      AS DOUBLE) AS target_spend_usd
   FROM (
     SELECT CAST(DATE '2023-12-20' + CAST(l.l_orderkey % 30 AS INTEGER) AS DATE) AS spend_date,
       """ + CHANNEL_CASE.format(seg="c.c_mktsegment") + """ AS channel,

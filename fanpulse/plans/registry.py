@@ -47,11 +47,31 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+# Driver-facing outputs carry dates as midnight timestamps on both engines, so
+# the two results convert to identical Python/pandas values (a DATE column
+# becomes datetime.date on one side and datetime64 on the other otherwise).
+DATE_OUTPUTS = ("date", "event_date", "metric_date", "cohort_date", "funnel_date", "match_date")
+
+
+def dates_as_timestamps(df: DataFrame) -> DataFrame:
+    cols = [F.col(f.name).cast("timestamp_ntz").alias(f.name) if f.dataType.typeName() == "date" else F.col(f.name)
+            for f in df.schema.fields]
+    return df.select(*cols)
+
+
+def oracle_dates_as_timestamps(sql: str, columns) -> str:
+    present = [c for c in DATE_OUTPUTS if c in columns]
+    if not present:
+        return sql
+    repl = ", ".join(f"CAST({c} AS TIMESTAMP) AS {c}" for c in present)
+    return f"SELECT * REPLACE ({repl}) FROM (\n{sql}\n) AS q"
+
+
 def spark_query(name: str) -> Callable[[SparkSession, str], DataFrame]:
     builder = BUILDERS[name]
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return builder(canonical_tables(spark, sf_dir))
+        return dates_as_timestamps(builder(canonical_tables(spark, sf_dir)))
 
     run.__name__ = name
     return run
@@ -62,9 +82,20 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: spark_query(name) for name in BUILDERS}
 
 
+# date columns of each query's result (kept in sync by tests/test_oracle.py)
+ORACLE_DATE_COLUMNS: dict[str, tuple[str, ...]] = {
+    "date_dimension": ("date",), "mart_conversion_funnel": ("funnel_date",),
+    "mart_football_team_match": ("match_date",), "mart_marketing_economics": ("metric_date",),
+    "mart_product_daily": ("metric_date",), "mart_retention_cohort": ("cohort_date",),
+    "mart_sessions": ("event_date",), "mart_sports_engagement": ("match_date",), "metric_selector": ("event_date",),
+    "report_executive_daily": ("event_date",), "report_sports_engagement": ("match_date",),
+}
+
+
 def all_oracles() -> dict[str, str]:
     _load_extensions()
-    return {name: sql for name, sql in SQL.items() if name in BUILDERS}
+    return {name: oracle_dates_as_timestamps(sql, ORACLE_DATE_COLUMNS.get(name, ()))
+            for name, sql in SQL.items() if name in BUILDERS}
 
 
 def _load_extensions() -> None:

@@ -62,3 +62,14 @@ def test_every_query_has_oracle_or_is_listed():
 def test_entry_runs(spark):
     df = entry.entry(spark)
     assert df.count() > 0 and "derived_session_id" in df.columns
+
+
+def test_result_types_agree(spark, con):
+    """Same column types on both engines (no DATE, DECIMAL or HUGEINT on the DuckDB side)."""
+    names = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+             "timestamp_ntz": "TIMESTAMP"}
+    for name, sql in ORACLES.items():
+        sdf = QUERIES[name](spark, SF)
+        st = {f.name: names.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in sdf.schema.fields}
+        ot = {d[0]: str(d[1]) for d in con.execute(sql).description}
+        assert st == ot, (name, {k: (st.get(k), ot.get(k)) for k in set(st) | set(ot) if st.get(k) != ot.get(k)})
