@@ -12,16 +12,16 @@ width per key) are partitioned by key alone:
 
 * ``derived_sessions`` - the session mart, one exchange of the events (see
   its docstring); used by the registered query.
-* ``sessionize`` - event-level labels (flag + session number per event); it
-  needs the previous bucket's last timestamp before the window and the
-  per-bucket session counts after it, so it reads the events twice.
+* ``sessionize`` - event-level labels (flag + session number per event): a
+  narrow pass (key, bucket, time, tiebreak) yields the bucket offsets, one
+  full pass labels the events.
 * ``sessionize_single_window`` - the textbook one-window form, kept as the
   reference in tests.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fanpulse.functions.scalar import bin_of, count_if, first_by_time, whole_minutes, whole_seconds
@@ -29,6 +29,23 @@ from fanpulse.functions.scalar import bin_of, count_if, first_by_time, whole_min
 _UNB = Window.unboundedPreceding
 
 
+def _bucket_offsets(pieces: DataFrame, key: str, b: str, gap_minutes: int) -> DataFrame:
+    """From per-(key, bucket) provisional piece counts and first/last timestamps:
+    whether the bucket's first piece continues the previous bucket's last
+    session (``_cont``) and how many sessions started in earlier buckets
+    (``_offset``). Window over bucket summaries: bounded per key by the time
+    span / bucket width, whatever the key's event volume."""
+    by_key = Window.partitionBy(key).orderBy(b)
+    prev_last = F.lag("_blast").over(by_key)
+    per_bucket = pieces.withColumn(
+        "_cont", F.when(prev_last.isNotNull() & (whole_minutes(prev_last, F.col("_bfirst")) <= gap_minutes), 1).otherwise(0)
+    ).withColumn("_new_sessions", F.col("_pieces") - F.col("_cont"))
+    return per_bucket.select(
+        key, b, "_cont",
+        F.coalesce(F.sum("_new_sessions").over(by_key.rowsBetween(_UNB, -1)), F.lit(0)).alias("_offset"),
+    )
+
+
 def sessionize(
     events: DataFrame,
     key: str = "user_id",
@@ -39,31 +56,32 @@ def sessionize(
     number_col: str = "derived_session_number",
     flag_col: str = "is_new_session",
 ) -> DataFrame:
-    """Return ``events`` with ``is_new_session`` (0/1) and the session number per key."""
+    """Return ``events`` with ``is_new_session`` (0/1) and the session number per key.
+
+    A narrow pass over (key, bucket, ts, tiebreak) counts the provisional
+    session starts per bucket (a bucket's first event always counts) and
+    derives the bucket offsets; the full pass then labels every event with
+    one window per (key, bucket) and the small offset table.
+    """
     b = "_bucket"
     e = events.withColumn(b, bin_of(ts, bucket_seconds))
 
-    by_key = Window.partitionBy(key).orderBy(b)
-    last_in_bucket = e.groupBy(key, b).agg(F.max(F.col(ts)).alias("_last_ts"))
-    prev_bucket = last_in_bucket.select(
-        key, b, F.lag("_last_ts").over(by_key).alias("_prev_bucket_ts")
-    )
-    e = e.join(prev_bucket, [key, b], "inner")
-
-    in_bucket = Window.partitionBy(key, b).orderBy(ts, tiebreak)
-    prev = F.coalesce(F.lag(F.col(ts)).over(in_bucket), F.col("_prev_bucket_ts"))
-    e = e.withColumn(
-        flag_col,
-        F.when(prev.isNull() | (whole_minutes(prev, F.col(ts)) > gap_minutes), 1).otherwise(0),
-    ).withColumn("_local_no", F.sum(flag_col).over(in_bucket.rowsBetween(_UNB, 0)))
-
-    new_per_bucket = e.groupBy(key, b).agg(F.sum(flag_col).alias("_n"))
-    offsets = new_per_bucket.select(
-        key, b, F.coalesce(F.sum("_n").over(by_key.rowsBetween(_UNB, -1)), F.lit(0)).alias("_offset")
-    )
-    e = e.join(offsets, [key, b], "inner")
-    return e.withColumn(number_col, (F.col("_offset") + F.col("_local_no")).cast("long")).drop(
-        b, "_prev_bucket_ts", "_local_no", "_offset"
+    def starts(df: DataFrame) -> Column:
+        prev = F.lag(F.col(ts)).over(Window.partitionBy(key, b).orderBy(ts, tiebreak))
+        return F.when(prev.isNull() | (whole_minutes(prev, F.col(ts)) > gap_minutes), 1).otherwise(0)
+
+    narrow = e.select(key, b, ts, tiebreak).withColumn("_new", starts(e))
+    pieces = narrow.groupBy(key, b).agg(
+        F.sum("_new").alias("_pieces"), F.min(ts).alias("_bfirst"), F.max(ts).alias("_blast"))
+    offsets = _bucket_offsets(pieces, key, b, gap_minutes)
+
+    w = Window.partitionBy(key, b).orderBy(ts, tiebreak)
+    full = e.join(offsets, [key, b], "inner")
+    first_in_bucket = F.lag(F.col(ts)).over(w).isNull()
+    full = full.withColumn("_prov", starts(full)).withColumn("_local", F.sum("_prov").over(w.rowsBetween(_UNB, 0)))
+    full = full.withColumn(flag_col, F.when(first_in_bucket & (F.col("_cont") == 1), 0).otherwise(F.col("_prov")))
+    return full.withColumn(number_col, (F.col("_offset") + F.col("_local") - F.col("_cont")).cast("long")).drop(
+        b, "_prov", "_local", "_offset", "_cont"
     )
 
 
@@ -134,15 +152,7 @@ def derived_sessions(
     per_bucket = pieces.groupBy(key, b).agg(
         F.max("_local").alias("_pieces"), F.min("_first_ts").alias("_bfirst"), F.max("_last_ts").alias("_blast")
     )
-    by_key = Window.partitionBy(key).orderBy(b)
-    prev_last = F.lag("_blast").over(by_key)
-    per_bucket = per_bucket.withColumn(
-        "_cont", F.when(prev_last.isNotNull() & (whole_minutes(prev_last, F.col("_bfirst")) <= gap_minutes), 1).otherwise(0)
-    ).withColumn("_new_sessions", F.col("_pieces") - F.col("_cont"))
-    offsets = per_bucket.select(
-        key, b, "_cont",
-        F.coalesce(F.sum("_new_sessions").over(by_key.rowsBetween(_UNB, -1)), F.lit(0)).alias("_offset"),
-    )
+    offsets = _bucket_offsets(per_bucket, key, b, gap_minutes)
     numbered = pieces.join(offsets, [key, b]).withColumn(
         "derived_session_number", (F.col("_offset") + F.col("_local") - F.col("_cont")).cast("long")
     )

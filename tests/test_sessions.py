@@ -59,3 +59,12 @@ def test_duration_truncates_seconds(spark):
     assert r.duration_seconds == 1 and r.event_count == 2
     assert r.event_date.isoformat() == "2024-01-01"
     assert derived_sessions(ev, checkpoint=True).select(F.sum("event_count")).first()[0] == 2
+
+
+def test_event_labels_equal_single_window(tables):
+    ev = tables["fact_app_events"].select("event_id", "user_id", "match_id", "event_name", "event_ts", "revenue_usd")
+    cols = ["event_id", "is_new_session", "derived_session_number"]
+    expected = sessionize_single_window(ev).select(*cols)
+    for bucket in (900, 3600, 6 * 3600):
+        got = sessionize(ev, bucket_seconds=bucket).select(*cols)
+        assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
