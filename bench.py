@@ -29,7 +29,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     only = [a for a in sys.argv[1:]]
-    spark = get_session(f"local[{cpus}]", shuffle_partitions=2 * cpus,
+    spark = get_session(f"local[{cpus}]", shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus)),
                         extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEM", "16g"),
                                "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
