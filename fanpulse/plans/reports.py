@@ -204,6 +204,7 @@ _SCORE_GROUPS = (
     ("duplicate_keys", ("%.primary_key_unique", "fact_app_events.duplicate_event_id")),
     ("variant_crossover", ("experiment.no_crossover", "experiment.variant_crossover")),
     ("unknown_users", ("app_events.user_fk", "app_events.unknown_user")),
+    ("fk_gaps", ("*_fk", "app_events.unknown_user")),
     ("invalid_xg", ("match_events.xg_range", "fact_match_events.invalid_xg")),
     ("reconciliation", ("product_daily.revenue_reconciliation",)),
 )
@@ -221,7 +222,7 @@ def d10(t):
     for name, patterns in _SCORE_GROUPS:
         cond = None
         for p in patterns:
-            c = F.col("check_name").like(p)
+            c = F.col("check_name").endswith(p[1:]) if p.startswith("*") else F.col("check_name").like(p)
             cond = c if cond is None else (cond | c)
         tags.append(F.when(cond, F.lit(name)))
     tagged = allc.select("*", F.explode(F.array_compact(F.array(*tags))).alias("check_group"))
@@ -590,6 +591,7 @@ tagged AS (
   UNION ALL SELECT 'variant_crossover', * FROM allc
     WHERE check_name IN ('experiment.no_crossover', 'experiment.variant_crossover')
   UNION ALL SELECT 'unknown_users', * FROM allc WHERE check_name IN ('app_events.user_fk', 'app_events.unknown_user')
+  UNION ALL SELECT 'fk_gaps', * FROM allc WHERE ends_with(check_name, '_fk') OR check_name = 'app_events.unknown_user'
   UNION ALL SELECT 'invalid_xg', * FROM allc WHERE check_name IN ('match_events.xg_range', 'fact_match_events.invalid_xg')
   UNION ALL SELECT 'reconciliation', * FROM allc WHERE check_name = 'product_daily.revenue_reconciliation')
 SELECT check_group, COUNT(*) FILTER (WHERE status = 'PASS') AS passed, COUNT(*) AS total,

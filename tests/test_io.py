@@ -45,3 +45,15 @@ def test_read_campaign_targets(spark, tmp_path):
     p.write_text("channel,target_spend_usd,target_cac_usd,target_roas_30d\nsocial,57780,9,1.20\n")
     r = read_campaign_targets(spark, str(p)).collect()[0]
     assert r.channel == "social" and r.target_roas_30d == 1.2
+
+
+def test_checkpoint_dir_comes_from_session(spark):
+    from fanpulse.session import cut_lineage, ensure_checkpoint_dir, scale_conf
+
+    d = ensure_checkpoint_dir(spark)
+    assert d and d == spark.sparkContext.getCheckpointDir()
+    df = cut_lineage(spark.range(10))
+    assert df.count() == 10
+    conf = scale_conf(100 << 40, 1000, 8)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 102400
+    assert int(scale_conf(1 << 30, 10, 4)["spark.sql.shuffle.partitions"]) == 80
