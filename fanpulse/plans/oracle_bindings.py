@@ -119,8 +119,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
   SELECT CAST(n_nationkey AS BIGINT) AS team_id, n_name AS team_name FROM nation WHERE n_nationkey < 16"""),
     "dim_players": (("dim_teams",), """
   SELECT c.c_custkey AS player_id, c.c_name AS player_name, c.c_custkey % 16 AS team_id, t.team_name
-  FROM customer c LEFT JOIN dim_teams t ON t.team_id = c.c_custkey % 16
-  WHERE c.c_custkey < 100"""),
+  FROM customer c LEFT JOIN dim_teams t ON t.team_id = c.c_custkey % 16"""),
     "dim_date": (("dim_users", "app_events"), """
   SELECT d AS date, CAST(year(d) AS INTEGER) AS year, CAST(quarter(d) AS INTEGER) AS quarter,
     CAST(month(d) AS INTEGER) AS month, monthname(d) AS month_name, CAST(weekofyear(d) AS INTEGER) AS iso_week,
