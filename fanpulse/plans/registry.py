@@ -18,7 +18,7 @@ from fanpulse.sources.bindings import canonical_tables
 Tables = dict[str, DataFrame]
 
 
-def test_data_conversion():
+def conversion_on_test_data():
     """Conversion event on the test data (nearly every active user purchases)."""
     return (F.col("event_name") == "subscription_start") & (F.col("value") > 150)
 
@@ -33,7 +33,7 @@ BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {
     "mart_key_moment_engagement": marts.mart_key_moment_engagement,
     "mart_marketing_economics": marts.mart_marketing_economics,
     "mart_ab_test_match_center_v2": lambda t: marts.experiment.ab_test_mart(
-        t["fact_experiment_assignments"], t["fact_app_events"], conversion=test_data_conversion()),
+        t["fact_experiment_assignments"], t["fact_app_events"], conversion=conversion_on_test_data()),
     "mart_data_quality": lambda t: marts.mart_data_quality(t, as_of=AS_OF),
 }
 

@@ -17,7 +17,7 @@ from fanpulse.operators.experiment import assign_variant, event_conversion_rate
 from fanpulse.plans import marts
 from fanpulse.plans.oracle import _COHORT, _FUNNEL_MART, _MART_CHECKS, _USER_DAYS, AS_OF, r6, sdiv
 from fanpulse.plans.oracle_bindings import with_tables
-from fanpulse.plans.registry import register, test_data_conversion
+from fanpulse.plans.registry import register, conversion_on_test_data
 from fanpulse.schemas import CONTRACTS, PAID_CHANNELS, PRIMARY_KEYS
 
 # canonical table name -> oracle CTE name
@@ -51,7 +51,7 @@ def r5(t):
 
 
 def r6_(t):
-    return experiment.ab_test_report(t["fact_experiment_assignments"], t["fact_app_events"], conversion=test_data_conversion())
+    return experiment.ab_test_report(t["fact_experiment_assignments"], t["fact_app_events"], conversion=conversion_on_test_data())
 
 
 def r7(t, keep_id=False):
@@ -183,7 +183,7 @@ def d6(t):
 
 def d7(t):
     return experiment.experiment_decision(marts.experiment.ab_test_mart(
-        t["fact_experiment_assignments"], t["fact_app_events"], conversion=test_data_conversion()))
+        t["fact_experiment_assignments"], t["fact_app_events"], conversion=conversion_on_test_data()))
 
 
 def d8(t):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from fanpulse.operators.experiment import user_outcomes
 from fanpulse.operators.football import interval_counts, key_moments
 from fanpulse.plans import marts
-from fanpulse.plans.registry import test_data_conversion
+from fanpulse.plans.registry import conversion_on_test_data
 
 
 def test_retention_and_funnel_figures(tables):
@@ -20,7 +20,7 @@ def test_retention_and_funnel_figures(tables):
 
 def test_experiment_figures(tables):
     o = user_outcomes(tables["fact_experiment_assignments"], tables["fact_app_events"], "match_center_v2",
-                      test_data_conversion())
+                      conversion_on_test_data())
     rows = o.groupBy("variant").agg(F.count("*").alias("n"), F.count_if(F.col("has_events")).alias("active"),
                                     F.avg(F.col("converted").cast("int")).alias("rate")).orderBy("variant").collect()
     assert [(r.n, r.active) for r in rows] == [(75, 8), (75, 7)]
