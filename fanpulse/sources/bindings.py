@@ -292,7 +292,12 @@ class CanonicalTables(dict):
             raise KeyError(name)
         df = self._BUILD[name](self)
         if self.materialize_to:
-            df = self._materialize(name, df)
+            try:
+                df = self._materialize(name, df)
+            except Exception as exc:  # unwritable folder: keep the lazy plan
+                import warnings
+
+                warnings.warn(f"{name} not materialised ({type(exc).__name__}); using the lazy plan", RuntimeWarning)
         self[name] = df
         return df
 
