@@ -266,12 +266,15 @@ def session_anchor_audit(app_events: DataFrame, match_events: DataFrame, minutes
     the session's matches, with the nearest such anchor (ties: earlier anchor)."""
     starts = app_events.groupBy("session_id").agg(F.min("event_ts").alias("session_started_at"))
     pairs = app_events.select("session_id", "match_id").distinct().join(starts, "session_id")
-    anchors = match_events.select("match_id", F.col("event_ts").alias("anchor_ts"), F.col("event_id").alias("anchor_id"))
+    # one anchor row per (match, timestamp): the count is summed, and the
+    # nearest-anchor tie-break (gap, time, id) needs only the smallest id
+    anchors = match_events.groupBy("match_id", F.col("event_ts").alias("anchor_ts")).agg(
+        F.min("event_id").alias("anchor_id"), F.count(F.lit(1)).alias("anchor_n"))
     gap = F.abs(F.unix_micros(F.col("_e_anchor_ts").cast("timestamp")) - F.unix_micros(F.col("session_started_at").cast("timestamp")))
     near = interval_counts(
         pairs, anchors, "match_id", "session_started_at", "anchor_ts", minutes, minutes,
         aggs=[
-            F.count("_e_anchor_id").alias("anchors_within"),
+            F.coalesce(F.sum("_e_anchor_n"), F.lit(0)).alias("anchors_within"),
             F.min_by(
                 F.col("_e_anchor_ts"),
                 F.when(F.col("_e_anchor_ts").isNotNull(), F.struct(gap, F.col("_e_anchor_ts"), F.col("_e_anchor_id"))),
