@@ -9,8 +9,7 @@
 
 from __future__ import annotations
 
-import json
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -153,11 +152,3 @@ def write_insights(record: DataFrame, path: str) -> None:
 
 def read_campaign_targets(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(TARGET_SCHEMA).option("header", True).csv(path)
-
-
-def to_json_lines(df: DataFrame) -> list[dict]:
-    """Small results only (a few rows): the JSON of each row."""
-    return [json.loads(r) for r in df.toJSON().collect()]
-
-
-Builder = Callable[[Mapping[str, DataFrame]], DataFrame]
