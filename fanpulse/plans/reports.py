@@ -210,7 +210,7 @@ _SCORE_GROUPS = (
 )
 
 
-def d10(t):
+def d10(t, max_lag_days: int = 2):
     """Scorecard groups over the contract suite and the mart checks; every
     check row is tagged with all its groups (array + explode), so the suite
     is computed once."""
@@ -226,10 +226,21 @@ def d10(t):
             cond = c if cond is None else (cond | c)
         tags.append(F.when(cond, F.lit(name)))
     tagged = allc.select("*", F.explode(F.array_compact(F.array(*tags))).alias("check_group"))
-    return tagged.groupBy("check_group").agg(
+    groups = tagged.groupBy("check_group").agg(
         count_if(F.col("status") == "PASS").alias("passed"), F.count(F.lit(1)).alias("total"),
         F.coalesce(F.sum(F.greatest(F.col("observed"), F.lit(0))), F.lit(0)).alias("observed"),
     )
+    return groups.unionByName(freshness(t["fact_app_events"], AS_OF, max_lag_days))
+
+
+def freshness(events: DataFrame, as_of: str, max_lag_days: int = 2) -> DataFrame:
+    """Freshness tile: days from the latest event date to the as-of date."""
+    lag = F.datediff(F.lit(as_of).cast("date"), F.max("event_date"))
+    return events.agg(lag.cast("long").alias("observed")).select(
+        F.lit("freshness").alias("check_group"),
+        F.when(F.col("observed") <= max_lag_days, 1).otherwise(0).cast("long").alias("passed"),
+        F.lit(1).cast("long").alias("total"), "observed",
+    )
 
 
 def d11(t):
@@ -596,7 +607,11 @@ tagged AS (
   UNION ALL SELECT 'reconciliation', * FROM allc WHERE check_name = 'product_daily.revenue_reconciliation')
 SELECT check_group, COUNT(*) FILTER (WHERE status = 'PASS') AS passed, COUNT(*) AS total,
   CAST(COALESCE(SUM(GREATEST(observed, 0)), 0) AS BIGINT) AS observed
-FROM tagged GROUP BY check_group"""))(d10)
+FROM tagged GROUP BY check_group
+UNION ALL
+SELECT 'freshness', CAST(CASE WHEN date_diff('day', MAX(event_date), DATE '""" + AS_OF[:10] + """') <= 2 THEN 1 ELSE 0 END AS BIGINT),
+  CAST(1 AS BIGINT), CAST(date_diff('day', MAX(event_date), DATE '""" + AS_OF[:10] + """') AS BIGINT)
+FROM app_events"""))(d10)
 register("engagement_drill", with_tables(["app_events", "dim_content", "dim_matches"], """
 SELECT m.competition_name, CAST(e.match_id AS VARCHAR) AS match_id, c.content_type,
   CAST(GROUPING(m.competition_name, e.match_id, c.content_type) AS INTEGER) AS level,
