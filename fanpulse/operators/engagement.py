@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fanpulse.functions.scalar import count_if, distinct_if, min_if, round6, safe_divide
+from fanpulse.functions.scalar import count_if, min_if, round6, safe_divide
 from fanpulse.schemas import FUNNEL_ENTRY, FUNNEL_STEPS, VIEW_EVENTS
 
 
@@ -99,19 +99,35 @@ def product_daily(events: DataFrame, days: int = 30) -> DataFrame:
 
 def executive_daily(events: DataFrame, days: int = 30) -> DataFrame:
     """Report form: sessions = distinct session ids of the day; adds cancellations
-    and active viewers (distinct users with a view event, 0 when none)."""
+    and active viewers (distinct users with a view event, 0 when none).
+
+    Plan: one aggregate per (day, user) - counts, revenue and a viewer flag -
+    gives DAU, events, subscriptions, cancellations, revenue and active viewers
+    by a second, small aggregate, and feeds the trailing MAU; sessions come
+    from a narrow (day, session) distinct. No Expand of the event rows for the
+    three distinct counts.
+    """
     name = F.col("event_name")
-    daily = events.groupBy("event_date").agg(
-        F.count_distinct("user_id").alias("dau"),
-        F.count_distinct("session_id").alias("sessions"),
-        F.count("event_id").alias("events"),
-        count_if(name == "subscription_start").alias("subscriptions"),
-        count_if(name == "subscription_cancel").alias("cancellations"),
-        F.sum("revenue_usd").alias("revenue_usd"),
-        distinct_if(name.isin(*VIEW_EVENTS), "user_id").alias("active_viewers"),
+    ud = events.groupBy("event_date", "user_id").agg(
+        F.count("event_id").alias("_events"),
+        count_if(name == "subscription_start").alias("_subs"),
+        count_if(name == "subscription_cancel").alias("_cancels"),
+        F.sum("revenue_usd").alias("_rev"),
+        F.bool_or(name.isin(*VIEW_EVENTS)).alias("_viewer"),
+    )
+    has_user = F.col("user_id").isNotNull()
+    daily = ud.groupBy("event_date").agg(
+        F.count("user_id").alias("dau"),
+        F.sum("_events").alias("events"),
+        F.sum("_subs").alias("subscriptions"),
+        F.sum("_cancels").alias("cancellations"),
+        F.sum("_rev").alias("revenue_usd"),
+        count_if(has_user & F.col("_viewer")).alias("active_viewers"),
     )
-    mau = trailing_distinct(events, "event_date", "user_id", days, out_date="event_date")
-    j = daily.join(mau, "event_date", "inner")
+    sessions = events.select("event_date", "session_id").distinct().groupBy("event_date").agg(
+        F.count("session_id").alias("sessions"))
+    mau = trailing_distinct(ud.where(has_user), "event_date", "user_id", days, out_date="event_date")
+    j = daily.join(sessions, "event_date", "inner").join(mau, "event_date", "inner")
     return j.select(
         "event_date", "dau", "sessions", "events", "subscriptions", "cancellations",
         round6("revenue_usd").alias("revenue_usd"), "active_viewers", "mau",
