@@ -76,14 +76,26 @@ def team_match(matches: DataFrame, match_events: DataFrame, possession_denominat
 
 # --------------------------------------------------------------------------- M5, R4
 def _engagement(app_events: DataFrame, content: DataFrame) -> DataFrame:
+    """Per (match, content type incl. NULL): views, distinct viewers and
+    sessions, subscriptions, revenue. A (match, type, user) pre-aggregate
+    carries the counts and the viewer count; sessions come from a narrow
+    (match, type, session) distinct - no Expand of the event rows."""
     ev = app_events.join(content.select("content_id", "content_type"), "content_id", "left")
-    return ev.groupBy("match_id", "content_type").agg(
-        F.count(F.lit(1)).alias("views"),
-        F.count_distinct("user_id").alias("unique_viewers"),
-        F.count_distinct("session_id").alias("sessions"),
-        count_if(F.col("event_name") == "subscription_start").alias("subscriptions"),
-        F.sum("revenue_usd").alias("net_revenue_usd"),
+    keys = ["match_id", "content_type"]
+    per_user = ev.groupBy(*keys, "user_id").agg(
+        F.count(F.lit(1)).alias("_views"),
+        count_if(F.col("event_name") == "subscription_start").alias("_subs"),
+        F.sum("revenue_usd").alias("_rev"),
     )
+    totals = per_user.groupBy(*keys).agg(
+        F.sum("_views").alias("views"),
+        F.count("user_id").alias("unique_viewers"),
+        F.sum("_subs").alias("subscriptions"),
+        F.sum("_rev").alias("net_revenue_usd"),
+    )
+    sessions = ev.select(*keys, "session_id").distinct().groupBy(*keys).agg(F.count("session_id").alias("sessions"))
+    j = totals.join(sessions, [totals[k].eqNullSafe(sessions[k]) for k in keys], "inner")
+    return j.select(*[totals[k] for k in keys], "views", "unique_viewers", "sessions", "subscriptions", "net_revenue_usd")
 
 
 def sports_engagement(app_events: DataFrame, content: DataFrame, match_events: DataFrame, matches: DataFrame) -> DataFrame:
