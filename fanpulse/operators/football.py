@@ -94,8 +94,10 @@ def _engagement(app_events: DataFrame, content: DataFrame) -> DataFrame:
         F.sum("_rev").alias("net_revenue_usd"),
     )
     sessions = ev.select(*keys, "session_id").distinct().groupBy(*keys).agg(F.count("session_id").alias("sessions"))
-    j = totals.join(sessions, [totals[k].eqNullSafe(sessions[k]) for k in keys], "inner")
-    return j.select(*[totals[k] for k in keys], "views", "unique_viewers", "sessions", "subscriptions", "net_revenue_usd")
+    sessions = sessions.select(*[F.col(k).alias(f"_s_{k}") for k in keys], "sessions")
+    cond = [F.col(k).eqNullSafe(F.col(f"_s_{k}")) for k in keys]  # the content type may be NULL
+    j = totals.join(sessions, cond, "inner")
+    return j.select(*keys, "views", "unique_viewers", "sessions", "subscriptions", "net_revenue_usd")
 
 
 def sports_engagement(app_events: DataFrame, content: DataFrame, match_events: DataFrame, matches: DataFrame) -> DataFrame:
