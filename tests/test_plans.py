@@ -22,3 +22,10 @@ def test_projection_and_filter_reach_the_scan(tables):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(period), LessThanOrEqual(period,4)" in plan
     assert "ReadSchema: struct<" in plan and "x:double" not in plan   # unused columns pruned
+
+
+@pytest.mark.parametrize("name", ["report_executive_daily", "mart_sports_engagement", "report_sports_engagement",
+                                  "mart_sessions", "mart_product_daily"])
+def test_no_expand_for_multiple_distinct_counts(tables, name):
+    plan = BUILDERS[name](tables)._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan, name
