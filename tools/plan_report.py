@@ -50,7 +50,10 @@ def main() -> None:
     qs = all_queries()
     print(f"# Physical plans (AQE final) at {os.path.basename(sf_dir)}\n")
     print("Generated by `tools/plan_report.py`. Exchanges = hash/range shuffles; single = SinglePartition "
-          "exchanges (after partial aggregation, one row per partition); scan cols = columns read per scan.\n")
+          "exchanges (after partial aggregation, one row per partition); scan cols = columns read per scan. "
+          "Windows keyed by user/session alone run over per-bucket summaries (bounded by time span / bucket "
+          "width); the one window without a key is the MAU prefix sum over per-date rows (bounded by the "
+          "calendar span).\n")
     print("| query | shuffles | shuffle keys | single | joins | windows (partition keys) | scan cols | flags |")
     print("|---|---|---|---|---|---|---|---|")
     for name in sorted(qs):
