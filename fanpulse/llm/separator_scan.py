@@ -44,7 +44,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int, i
             values = [([kind], pa.string()), ([file], pa.int32()), ([at], pa.int32()), ([data], pa.binary()), ([ids], pa.list_(pa.int64()))]
             return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in values], names=["kind", "file", "block", "data", "doc_ids"])
 
-        for batch in text_slices(batches, 1024):
+        for batch in text_slices(batches, 4096):
             tokens, lengths = encoder.encode(batch.column(1))
             if len(tokens) and (tokens == end_id).any():
                 raise ValueError("a text's own ids hold the end id; choose another one")

@@ -114,7 +114,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col: str =
             held.clear(), ids.clear(), sizes.clear()
             return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, types)], names=names)
 
-        for batch in text_slices(batches, 1024):
+        for batch in text_slices(batches, 4096):
             tokens, lengths = encoder.encode(batch.column(1))
             start = 0
             for doc_id, n in zip(batch.column(0).to_pylist(), lengths.tolist()):

@@ -17,8 +17,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Encodings a worker keeps at most; beyond that it starts anew.
-KEPT_PIECES = 1_000_000
+#: Encodings of pieces and of chunks that a worker keeps at most (about 250 MB); beyond that it starts anew.
+KEPT_PIECES = 1_200_000
+KEPT_CHUNKS = 600_000
 
 _PLAIN = re.compile(r"[a-z]+|[0-9]|[!-/:-@\[-`{-~]+")
 _LETTERS = re.compile(r"[^\W\d_]+|[0-9]|[!-/:-@\[-`{-~]+")
@@ -43,6 +44,7 @@ class PieceEncoder:
         for word, i in vocabulary.items():
             self.ends[i] = word.endswith("</w>")
         self.pieces: dict[str, bytes] = {}
+        self.chunks: dict[str, bytes] = {}
         self.dtype = np.dtype("<u2") if len(self.ends) <= 1 << 16 else np.dtype("<u4")
 
     @staticmethod
@@ -67,44 +69,62 @@ class PieceEncoder:
                 return pieces
         return [chunk]
 
-    def _learn(self, new: list[str]) -> None:
-        simple = [p for p in new if p.isascii() and _PLAIN.fullmatch(p.lower()) or p.isalpha() and unicodedata.is_normalized("NFC", p) and p.lower().isalpha()]
-        for at in range(0, len(simple), 4096):
-            part = simple[at : at + 4096]
-            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, dtype=self.dtype)
-            ends = np.flatnonzero(self.ends[ids]) + 1
+    def _learn(self, cuts: list[list[str]], chunks: list[str]) -> None:
+        """Encode the pieces of ``cuts`` that aren't known; whole chunks that were not cut go one by one."""
+        known = self.pieces
+        simple, rest = set(), set()
+        for chunk, cut in zip(chunks, cuts):
+            if len(cut) == 1 and cut[0] == chunk and not chunk.isalnum():
+                if chunk not in known:
+                    rest.add(chunk)
+            else:
+                simple.update(p for p in cut if p not in known)
+        new = list(simple)
+        for at in range(0, len(new), 4096):
+            part = new[at : at + 4096]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, dtype=self.dtype)
+            ends = (np.flatnonzero(self.ends[ids]) + 1) * self.dtype.itemsize
             if len(ends) == len(part):
-                start = 0
+                data, start = ids.tobytes(), 0
                 for piece, end in zip(part, ends.tolist()):
-                    self.pieces[piece] = ids[start:end].tobytes()
+                    known[piece] = data[start:end]
                     start = end
-            # else: a piece was no single pre-token after all; the loop below encodes each by itself
-        rest = [p for p in new if p not in self.pieces]
-        for at in range(0, len(rest), 4096):
-            part = rest[at : at + 4096]
-            for piece, e in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False)):
-                self.pieces[piece] = np.array(e.ids, dtype=self.dtype).tobytes()
+            else:  # some piece was no single pre-token after all: each by itself
+                rest.update(part)
+        if rest:
+            one_by_one = list(rest)
+            for piece, e in zip(one_by_one, self.tokenizer.encode_batch_fast(one_by_one, add_special_tokens=False)):
+                known[piece] = np.array(e.ids, dtype=self.dtype).tobytes()
+
+    def _bytes_of(self, chunks: list[str]) -> list[bytes]:
+        if len(self.chunks) > KEPT_CHUNKS:
+            self.chunks.clear()
+        if len(self.pieces) > KEPT_PIECES:
+            self.pieces.clear()
+        known = self.chunks
+        new = [c for c in chunks if c not in known]
+        cuts = list(map(self._cut, new))
+        self._learn(cuts, new)
+        piece = self.pieces
+        for c, cut in zip(new, cuts):
+            known[c] = piece[cut[0]] if len(cut) == 1 else b"".join([piece[p] for p in cut])
+        return [known[c] for c in chunks]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after another, number of ids of each text); null texts have none."""
         split = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))
         flat, offsets = split.flatten(), np.asarray(split.offsets)
         coded = flat.dictionary_encode()
-        chunks, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False)
-        if len(self.pieces) > KEPT_PIECES:
-            self.pieces.clear()
-        cuts = [self._cut(c) for c in chunks]
-        if new := list({p for cut in cuts for p in cut if p not in self.pieces}):
-            self._learn(new)
-        known = self.pieces
-        of_chunk = [b"".join([known[p] for p in cut]) for cut in cuts]
-        size = self.dtype.itemsize
-        n = np.array([len(b) // size for b in of_chunk], dtype=np.int64)
+        codes = coded.indices.to_numpy(zero_copy_only=False)
+        if not len(codes):
+            return np.zeros(0, self.dtype), np.zeros(len(texts), np.int64)
+        of_chunk = self._bytes_of(coded.dictionary.to_pylist())
+        n = np.fromiter(map(len, of_chunk), np.int32, len(of_chunk)) // np.int32(self.dtype.itemsize)
         values = np.frombuffer(b"".join(of_chunk), dtype=self.dtype)
-        first = np.cumsum(n) - n
-        lengths = n[codes] if len(codes) else np.zeros(0, np.int64)
-        ends = np.cumsum(lengths)
-        at = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - lengths, lengths) + np.repeat(first[codes] if len(codes) else lengths, lengths)
-        total = np.concatenate([[0], ends])
-        bounds = total[offsets - offsets[0]]
-        return values[at] if len(at) else np.zeros(0, self.dtype), np.diff(bounds)
+        first = np.cumsum(n, dtype=np.int32) - n
+        lengths = n[codes]
+        total = np.concatenate([np.zeros(1, np.int64), np.cumsum(lengths, dtype=np.int64)])
+        # place of a token = place of its chunk's first id + its number in the chunk
+        at = np.repeat((first[codes] - total[:-1]).astype(np.int64), lengths)
+        at += np.arange(len(at))
+        return values[at], np.diff(total[offsets - offsets[0]])
