@@ -189,7 +189,7 @@ def mix(spark: SparkSession, rows: DataFrame, sources: list[tuple], seed: int =
     docs = docs.withColumn("block", F.explode(F.sequence(F.expr(f"start div {block_words}"), F.expr(f"(start + size - 1) div {block_words}"))))
     first, last = F.greatest("start", F.col("block") * size), F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * size)
     pieces = docs.select("src", "block", "doc_id", "text_hash", "start", (first - F.col("start")).alias("from_word"), (last - first).alias("n"))
-    return slots(spark, sources, seed).join(pieces, ["src", "block"])
+    return slots(spark, sources, seed).join(pieces.hint("merge"), ["src", "block"])  # both sides grow with the corpus
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
