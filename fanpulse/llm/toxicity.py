@@ -188,9 +188,10 @@ def _curve(train: DataFrame, lexicon: Lexicon) -> tuple[float, float]:
             x = [normalised(s[0], s[2]) for s in (strength(fold(t), a) for t in batch.column(0).to_pylist())]
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.float64()), batch.column(1).cast(pa.int64())], names=["x", "y"])
 
-    rows = train.select("text", F.col("y").cast("long").alias("y")).mapInArrow(features, "x double, y long").orderBy("x", "y").collect()
-    x = np.array([[1.0, min(r["x"], 30.0)] for r in rows])
-    y = np.array([float(r["y"] > 0) for r in rows])
+    rows = train.select("text", F.col("y").cast("long").alias("y")).mapInArrow(features, "x double, y long").collect()
+    rows = sorted((min(r["x"], 30.0), float(r["y"] > 0)) for r in rows)  # one order of sums, whatever the partitions
+    x = np.array([[1.0, a] for a, _ in rows])
+    y = np.array([b for _, b in rows])
     beta = np.zeros(2)
     for _ in range(50):
         p = 1.0 / (1.0 + np.exp(-np.clip(x @ beta, -30, 30)))
