@@ -8,7 +8,7 @@ another key each time the source starts anew), and blocks join slots by (source,
 
 Sources by code point, null last, weigh 5, 2, 1, 5, 2, 1, ...; targets share all words by weight, stop at 3 times their
 source's size, and the excess is reshared by weight until none is above. A block is thus taken 3 times at most, and so is
-every word. The only error against the targets is the rounding to whole blocks.
+every word. The only error against the targets is the rounding to whole blocks: at most one and a half per source.
 
 Words are ``[^\\x20\\x09-\\x0D]+``. Null and empty texts have size 0 and are never taken. A null source is a source of its
 own. Repeated rows are documents of their own. All draws depend on ``seed`` alone, so reruns agree. The driver holds one

@@ -27,9 +27,9 @@ SYMBOLS = "#*$%&|<>"
 class Bands:
     """Limits by length in bytes: (from this length on, least ratio, most ratio); chunks have one band of their own."""
 
-    whole: tuple[tuple[int, float, float], ...] = ((0, 0.0, 2.5), (128, 0.9, 3.5), (512, 1.1, 4.0), (2048, 1.2, 5.0), (16384, 1.25, 6.0))
+    whole: tuple[tuple[int, float, float], ...] = ((0, 0.0, 2.5), (128, 0.9, 3.5), (512, 1.15, 4.0), (2048, 1.4, 5.0), (16384, 1.45, 6.0))  # text in base64 has 1.33
     chunk_bytes: int = 2048
-    chunk: tuple[float, float] = (1.15, 6.0)
+    chunk: tuple[float, float] = (1.4, 6.0)
     most_outside: float = 0.25  # share of the chunks that may lie outside
     level: int = 3
 
