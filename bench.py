@@ -14,7 +14,6 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from fanpulse.plans.registry import all_queries  # noqa: E402
-from fanpulse.sources.bindings import canonical_tables  # noqa: E402
 from fanpulse.session import get_session  # noqa: E402
 
 # all registered queries are timed; the marts and reports come first
@@ -39,13 +38,6 @@ def main() -> None:
     # warm-up: JVM and codegen only (touches no test table)
     spark.range(1000).selectExpr("sum(id)").collect()
     times: dict[str, float] = {}
-    # ingest: derive the ten canonical tables from the raw tables and write
-    # them with their layout (what every query then reads)
-    t0 = time.perf_counter()
-    tables = canonical_tables(spark, sf_dir)
-    for name in tables:
-        tables[name]
-    times["ingest_canonical_tables"] = round(time.perf_counter() - t0, 3)
     for name in names:
         t0 = time.perf_counter()
         qs[name](spark, sf_dir).write.format("noop").mode("overwrite").save()

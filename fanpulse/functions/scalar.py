@@ -35,29 +35,11 @@ def min_if(cond: Column, value: ColumnOrName) -> Column:
     return F.min(F.when(cond, col(value)))
 
 
-def distinct_if(cond: Column, value: ColumnOrName) -> Column:
-    return F.count_distinct(F.when(cond, col(value)))
-
-
-def sum_if(cond: Column, value: ColumnOrName) -> Column:
-    return F.sum(F.when(cond, col(value)).otherwise(F.lit(0)))
-
-
 def first_by_time(value: ColumnOrName, ts: ColumnOrName, tiebreak: ColumnOrName) -> Column:
     """Value of the earliest row, ties broken by ``tiebreak`` (tie-safe ANY_VALUE HAVING MIN)."""
     return F.min_by(col(value), F.struct(col(ts), col(tiebreak)))
 
 
-def nan_to_null(c: ColumnOrName) -> Column:
-    c = col(c)
-    return F.when(F.isnan(c), F.lit(None)).otherwise(c)
-
-
-def round6(c: ColumnOrName) -> Column:
-    """Round derived doubles so results do not depend on summation order."""
-    return F.round(col(c), 6)
-
-
 def campaign_key(channel: ColumnOrName, day: ColumnOrName, paid: tuple[str, ...]) -> Column:
     """``{channel}_{yyyyMMdd}`` for paid channels, NULL otherwise."""
     channel = col(channel)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fanpulse.functions.scalar import count_if, min_if, round6, safe_divide
+from fanpulse.functions.scalar import count_if, min_if, safe_divide
 from fanpulse.schemas import FUNNEL_ENTRY, FUNNEL_STEPS, VIEW_EVENTS
 
 
@@ -37,14 +37,14 @@ def trailing_distinct(
     * ``"explode"``: fan each distinct (key, day) out to the ``days`` metric
       dates it counts for and distinct-count per date (``days`` x key-days).
     """
-    user_days = activity.select(F.col(date_col).alias("_d"), F.col(key).alias("_k")).distinct()
-    active_dates = user_days.select(F.col("_d").alias(out_date)).distinct()
+    both = activity.select(F.col(date_col).alias("_d"), F.col(key).alias("_k")).distinct()
+    active_dates = both.select(F.col("_d").alias(out_date)).distinct()
+    user_days = both.where(F.col("_k").isNotNull())  # a date keeps its row, a NULL key is nobody
     if method == "explode":
         fanned = user_days.select(
             "_k", F.explode(F.sequence(F.col("_d"), F.date_add(F.col("_d"), days - 1))).alias(out_date)
         )
-        fanned = fanned.join(active_dates, out_date, "left_semi")
-        return fanned.groupBy(out_date).agg(F.count_distinct("_k").alias(out_col))
+        return active_dates.join(fanned, out_date, "left").groupBy(out_date).agg(F.count_distinct("_k").alias(out_col))
     if method != "ranges":
         raise ValueError(f"unknown method {method!r}")
     by_key = Window.partitionBy("_k").orderBy("_d")
@@ -79,7 +79,7 @@ def product_daily(events: DataFrame, days: int = 30) -> DataFrame:
     """Daily DAU / trailing MAU / sessions / subscriptions / revenue (SQL definitions)."""
     ud = user_days(events)
     daily = ud.groupBy(F.col("event_date").alias("metric_date")).agg(
-        F.count(F.lit(1)).alias("dau"),
+        F.count("user_id").alias("dau"),
         F.sum("sessions").alias("sessions"),
         F.sum("event_count").alias("events"),
         F.sum("subscriptions").alias("subscriptions"),
@@ -89,11 +89,11 @@ def product_daily(events: DataFrame, days: int = 30) -> DataFrame:
     j = daily.join(mau, "metric_date", "inner")
     return j.select(
         "metric_date", "dau", "mau", "sessions", "events", "subscriptions",
-        round6("revenue_usd").alias("revenue_usd"),
-        round6(safe_divide("dau", "mau")).alias("dau_mau_stickiness"),
-        round6(safe_divide("events", "dau")).alias("events_per_active_user"),
-        round6(safe_divide("subscriptions", "dau")).alias("daily_subscription_conversion"),
-        round6(safe_divide("revenue_usd", "dau")).alias("arpu_usd"),
+        F.col("revenue_usd"),
+        safe_divide("dau", "mau").alias("dau_mau_stickiness"),
+        safe_divide("events", "dau").alias("events_per_active_user"),
+        safe_divide("subscriptions", "dau").alias("daily_subscription_conversion"),
+        safe_divide("revenue_usd", "dau").alias("arpu_usd"),
     )
 
 
@@ -126,14 +126,14 @@ def executive_daily(events: DataFrame, days: int = 30) -> DataFrame:
     )
     sessions = events.select("event_date", "session_id").distinct().groupBy("event_date").agg(
         F.count("session_id").alias("sessions"))
-    mau = trailing_distinct(ud.where(has_user), "event_date", "user_id", days, out_date="event_date")
+    mau = trailing_distinct(ud, "event_date", "user_id", days, out_date="event_date")
     j = daily.join(sessions, "event_date", "inner").join(mau, "event_date", "inner")
     return j.select(
         "event_date", "dau", "sessions", "events", "subscriptions", "cancellations",
-        round6("revenue_usd").alias("revenue_usd"), "active_viewers", "mau",
-        round6(safe_divide("dau", "mau")).alias("stickiness"),
-        round6(safe_divide("revenue_usd", "dau")).alias("arpu_usd"),
-        round6(safe_divide("subscriptions", "dau")).alias("subscription_conversion"),
+        F.col("revenue_usd"), "active_viewers", "mau",
+        safe_divide("dau", "mau").alias("stickiness"),
+        safe_divide("revenue_usd", "dau").alias("arpu_usd"),
+        safe_divide("subscriptions", "dau").alias("subscription_conversion"),
     )
 
 
@@ -168,12 +168,12 @@ def cohort_retention(
     group = (["cohort_date"] if by_cohort_date else []) + keys
     per_user = rows.groupBy(*group, "_u").agg(*[F.max(f"_f{d}").alias(f"_f{d}") for d in days])
     agg = per_user.groupBy(*group).agg(
-        F.count(F.lit(1)).alias("cohort_size"),
+        F.count("_u").alias("cohort_size"),
         *[F.coalesce(F.sum(f"_f{d}"), F.lit(0)).cast("long").alias(f"retained_d{d}") for d in days],
     )
-    rates = {f"retention_d{d}": round6(safe_divide(f"retained_d{d}", "cohort_size")) for d in days}
+    rates = {f"retention_d{d}": safe_divide(f"retained_d{d}", "cohort_size") for d in days}
     last = days[-1]
-    churn = round6(F.lit(1.0) - safe_divide(f"retained_d{last}", "cohort_size")).alias(f"churn_d{last}")
+    churn = (F.lit(1.0) - safe_divide(f"retained_d{last}", "cohort_size")).alias(f"churn_d{last}")
     if by_cohort_date:
         return agg.select(
             *group, "cohort_size", *[f"retained_d{d}" for d in days],
@@ -231,11 +231,11 @@ def funnel_summary(journeys: DataFrame, group: Sequence[str], total_name: str, s
         *[count_if(F.col(f"reached_{s}")).alias(o) for s, o in zip(steps, _FUNNEL_OUT)],
     )
     rates = [
-        round6(safe_divide(b, a)).alias(r) for (a, b), r in zip(zip(_FUNNEL_OUT, _FUNNEL_OUT[1:]), _FUNNEL_RATES)
+        safe_divide(b, a).alias(r) for (a, b), r in zip(zip(_FUNNEL_OUT, _FUNNEL_OUT[1:]), _FUNNEL_RATES)
     ]
     return g.select(
         *group, total_name, *_FUNNEL_OUT, *rates,
-        round6(safe_divide(_FUNNEL_OUT[-1], total_name)).alias("end_to_end_conversion"),
+        safe_divide(_FUNNEL_OUT[-1], total_name).alias("end_to_end_conversion"),
     )
 
 

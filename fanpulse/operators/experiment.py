@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fanpulse.functions.scalar import count_if, round6, safe_divide
+from fanpulse.functions.scalar import count_if, safe_divide
 
 Z_95 = 1.96  # two-sided 95% critical value
 
@@ -24,10 +24,11 @@ def assign_variant(
     buckets: int = 10_000,
     assigned_at: str = "signup_date",
 ) -> DataFrame:
-    """Deterministic assignment: hash of (experiment, user) -> bucket -> variant.
+    """Deterministic assignment: 32 bits of md5 of "experiment:user" -> bucket -> variant.
     A user always gets the same variant for an experiment (no crossover), and
     every executor computes it locally without a lookup table."""
-    bucket = F.pmod(F.xxhash64(F.lit(experiment), F.col("user_id")), F.lit(buckets))
+    digest = F.md5(F.concat_ws(":", F.lit(experiment), F.col("user_id").cast("string")))
+    bucket = F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("long"), F.lit(buckets))
     total = float(sum(weights))
     expr, acc = None, 0.0
     for v, w in zip(variants, weights):
@@ -121,11 +122,7 @@ def two_proportion_test(metrics: DataFrame, control: str = "control", treatment:
         "ci_95_upper": lift + Z_95 * F.col("lift_standard_error"),
         "significant_at_95pct": F.abs(z) >= Z_95,
     })
-    out = []
-    for c in s.columns:
-        dt = s.schema[c].dataType.simpleString()
-        out.append(round6(c).alias(c) if dt == "double" else F.col(c))
-    return s.select(*out)
+    return s
 
 
 def ab_test_mart(
@@ -157,17 +154,17 @@ def ab_test_report(assignments: DataFrame, events: DataFrame, conversion: Column
     se = F.sqrt(safe_divide(cr * (1 - cr), "control_users") + safe_divide(tr * (1 - tr), "treatment_users"))
     lo, hi = tr - cr - Z_95 * se, tr - cr + Z_95 * se
     stats = {
-        "absolute_lift": round6(tr - cr), "relative_lift": round6(safe_divide(tr - cr, cr)),
-        "ci_95_lower": round6(lo), "ci_95_upper": round6(hi),
+        "absolute_lift": tr - cr, "relative_lift": safe_divide(tr - cr, cr),
+        "ci_95_lower": lo, "ci_95_upper": hi,
         "significant_at_95pct": ~((lo <= 0) & (hi >= 0)),
     }
     rows = F.array(*[
         F.struct(
             F.lit(a).alias("variant"), F.col(f"{a}_users").alias("users"),
             F.col(f"{a}_converted_users").alias("converted_users"),
-            round6(f"{a}_conversion_rate").alias("conversion_rate"),
-            round6(f"{a}_avg_match_center_views").alias("avg_match_center_views"),
-            round6(f"{a}_arpu_usd").alias("arpu_usd"),
+            F.col(f"{a}_conversion_rate").alias("conversion_rate"),
+            F.col(f"{a}_avg_match_center_views").alias("avg_match_center_views"),
+            F.col(f"{a}_arpu_usd").alias("arpu_usd"),
             *[e.alias(k) for k, e in stats.items()],
         )
         for a in arms
@@ -188,5 +185,5 @@ def event_conversion_rate(events: DataFrame, variant: str = "experiment_variant"
     """Event-level share of subscription starts per variant."""
     return events.groupBy(variant).agg(
         F.count(F.lit(1)).alias("events"),
-        round6(F.avg((F.col("event_name") == "subscription_start").cast("int"))).alias("event_conversion_rate"),
+        F.avg((F.col("event_name") == "subscription_start").cast("int")).alias("event_conversion_rate"),
     )

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fanpulse.functions.scalar import add_minutes, bin_of, count_if, round6, safe_divide, whole_minutes
+from fanpulse.functions.scalar import add_minutes, bin_of, count_if, safe_divide, whole_minutes
 from fanpulse.schemas import KEY_MOMENT_TYPES
 
 MATCH_COLUMNS = (
@@ -67,10 +67,10 @@ def team_match(matches: DataFrame, match_events: DataFrame, possession_denominat
     z = lambda c: F.coalesce(F.col(c), F.lit(0)).alias(c)
     return j.select(
         "match_id", "match_date", "competition_name", "team_id", "team_name",
-        z("shots"), z("goals"), round6(F.coalesce("xg", F.lit(0.0))).alias("xg"), z("passes"),
-        z("completed_passes"), round6(safe_divide("completed_passes", "passes")).alias("pass_completion_rate"),
+        z("shots"), z("goals"), F.coalesce("xg", F.lit(0.0)).alias("xg"), z("passes"),
+        z("completed_passes"), safe_divide("completed_passes", "passes").alias("pass_completion_rate"),
         z("tackles"), z("duels"), z("events_under_pressure"),
-        round6(safe_divide("possession_event_count", "match_event_count")).alias("possession_share"),
+        safe_divide("possession_event_count", "match_event_count").alias("possession_share"),
     )
 
 
@@ -113,9 +113,9 @@ def sports_engagement(app_events: DataFrame, content: DataFrame, match_events: D
     return j.select(
         "match_id", "match_date", "competition_name", "season_name", "home_team_name", "away_team_name",
         "home_score", "away_score", "content_type", "shots", "goals_in_events",
-        round6("total_xg").alias("total_xg"), "passes", "duels", "views", "unique_viewers", "sessions",
-        "subscriptions", round6("net_revenue_usd").alias("net_revenue_usd"),
-        round6(safe_divide("subscriptions", "unique_viewers")).alias("viewer_conversion_rate"),
+        F.col("total_xg"), "passes", "duels", "views", "unique_viewers", "sessions",
+        "subscriptions", F.col("net_revenue_usd"),
+        safe_divide("subscriptions", "unique_viewers").alias("viewer_conversion_rate"),
     )
 
 
@@ -136,9 +136,9 @@ def sports_report(app_events: DataFrame, content: DataFrame, match_events: DataF
     j = _engagement(app_events, content).join(football, "match_id").join(matches, "match_id")
     return j.select(
         "match_id", "content_type", "views", "unique_viewers", "sessions", "subscriptions",
-        round6("net_revenue_usd").alias("revenue_usd"), "shots", "goals", round6("xg").alias("xg"),
+        F.col("net_revenue_usd").alias("revenue_usd"), "shots", "goals", F.col("xg"),
         "passes", "tackles", *MATCH_COLUMNS,
-        round6(safe_divide("subscriptions", "unique_viewers")).alias("viewer_conversion_rate"),
+        safe_divide("subscriptions", "unique_viewers").alias("viewer_conversion_rate"),
         match_label().alias("match_label"),
     )
 
@@ -246,8 +246,8 @@ def key_moment_engagement(match_events: DataFrame, app_events: DataFrame, minute
     j = counts.join(base, "match_id")
     return j.select(
         *_MOMENT_COLS, "app_events_plus_minus_5m", "users_plus_minus_5m", "subscriptions_plus_minus_5m",
-        round6("baseline_app_events_10m").alias("baseline_app_events_10m"),
-        round6(safe_divide("app_events_plus_minus_5m", "baseline_app_events_10m")).alias("engagement_lift_vs_baseline"),
+        F.col("baseline_app_events_10m"),
+        safe_divide("app_events_plus_minus_5m", "baseline_app_events_10m").alias("engagement_lift_vs_baseline"),
     )
 
 
@@ -267,8 +267,8 @@ def key_moments_report(
     j = counts.join(base, "match_id").join(m, "match_id")
     j = j.select(
         "match_id", "minute", "event_type", "shot_outcome", "shot_xg", "team_id", "player_id",
-        "app_events_plus_minus_5m", round6("baseline_app_events_10m").alias("baseline_app_events_10m"),
-        round6(safe_divide("app_events_plus_minus_5m", "baseline_app_events_10m")).alias("engagement_lift_vs_baseline"),
+        "app_events_plus_minus_5m", F.col("baseline_app_events_10m"),
+        safe_divide("app_events_plus_minus_5m", "baseline_app_events_10m").alias("engagement_lift_vs_baseline"),
         "competition_name", "home_team_name", "away_team_name", match_label().alias("match_label"),
         "event_id",
     ).orderBy(F.desc("app_events_plus_minus_5m"), "match_id", "event_id")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fanpulse.functions.joins import join_validated
-from fanpulse.functions.scalar import round6, safe_divide
+from fanpulse.functions.scalar import safe_divide
 from fanpulse.schemas import PAID_CHANNELS
 
 # The campaign target sheet (channel, target spend, target CAC,
@@ -30,8 +30,8 @@ def campaign_targets(spark: SparkSession) -> DataFrame:
 
 
 def _daily_revenue(events: DataFrame) -> DataFrame:
-    """Pre-aggregate revenue to (user, day) so a heavy user joins as few rows."""
-    return events.groupBy("user_id", "event_date").agg(F.sum("revenue_usd").alias("_rev"))
+    """Revenue per (user, day), so a heavy user joins as few rows. Zero revenue changes no sum: the filter reaches the scan."""
+    return events.where(F.col("revenue_usd") != 0).groupBy("user_id", "event_date").agg(F.sum("revenue_usd").alias("_rev"))
 
 
 def check_spend_grain(spend: DataFrame) -> None:
@@ -67,7 +67,7 @@ def unit_economics(
         .agg(F.sum(F.coalesce(rev["_rev"], F.lit(0.0))).alias("revenue_30d"))
     )
     rollup = per_user.groupBy("signup_date", "channel").agg(
-        F.count_distinct("user_id").alias("new_users"), F.sum("revenue_30d").alias("u_revenue_30d")
+        F.count("user_id").alias("new_users"), F.sum("revenue_30d").alias("u_revenue_30d")
     )
     s = spend.alias("s")
     j = s.join(
@@ -77,15 +77,15 @@ def unit_economics(
     )
     return j.select(
         F.col("s.spend_date").alias("metric_date"), F.col("s.channel").alias("channel"),
-        "impressions", "clicks", "installs", round6("spend_usd").alias("spend_usd"),
-        round6("target_spend_usd").alias("target_spend_usd"),
+        "impressions", "clicks", "installs", F.col("spend_usd"),
+        F.col("target_spend_usd"),
         F.coalesce("new_users", F.lit(0)).alias("new_users"),
-        round6(F.coalesce("u_revenue_30d", F.lit(0.0))).alias("revenue_30d"),
-        round6(safe_divide("spend_usd", "new_users")).alias("cac_usd"),
-        round6(safe_divide("u_revenue_30d", "new_users")).alias("ltv_30d_usd"),
-        round6(safe_divide("u_revenue_30d", "spend_usd")).alias("roas_30d"),
-        round6(safe_divide("clicks", "impressions")).alias("click_through_rate"),
-        round6(safe_divide("installs", "clicks")).alias("click_to_install_rate"),
+        F.coalesce("u_revenue_30d", F.lit(0.0)).alias("revenue_30d"),
+        safe_divide("spend_usd", "new_users").alias("cac_usd"),
+        safe_divide("u_revenue_30d", "new_users").alias("ltv_30d_usd"),
+        safe_divide("u_revenue_30d", "spend_usd").alias("roas_30d"),
+        safe_divide("clicks", "impressions").alias("click_through_rate"),
+        safe_divide("installs", "clicks").alias("click_to_install_rate"),
     )
 
 
@@ -108,13 +108,13 @@ def channel_economics(users: DataFrame, events: DataFrame, spend: DataFrame, win
         "revenue_30d": F.coalesce("_r30", F.lit(0.0)),
     })
     return j.select(
-        "channel", "impressions", "clicks", "installs", round6("spend_usd").alias("spend_usd"),
-        round6("target_spend_usd").alias("target_spend_usd"), "new_users", round6("revenue_30d").alias("revenue_30d"),
-        round6(safe_divide("spend_usd", "new_users")).alias("cac_usd"),
-        round6(safe_divide("revenue_30d", "new_users")).alias("ltv_30d_usd"),
-        round6(safe_divide("revenue_30d", "spend_usd")).alias("roas_30d"),
-        round6(safe_divide("clicks", "impressions")).alias("ctr"),
-        round6(safe_divide("installs", "clicks")).alias("install_rate"),
+        "channel", "impressions", "clicks", "installs", F.col("spend_usd"),
+        F.col("target_spend_usd"), "new_users", F.col("revenue_30d"),
+        safe_divide("spend_usd", "new_users").alias("cac_usd"),
+        safe_divide("revenue_30d", "new_users").alias("ltv_30d_usd"),
+        safe_divide("revenue_30d", "spend_usd").alias("roas_30d"),
+        safe_divide("clicks", "impressions").alias("ctr"),
+        safe_divide("installs", "clicks").alias("install_rate"),
     )
 
 
@@ -131,7 +131,7 @@ def target_blend(channels: DataFrame, targets: DataFrame) -> DataFrame:
     j = join_validated(actual, targets, "channel", "left", validate="many_to_one")
     return j.select(
         "channel", "spend_usd", "target_spend_usd",
-        round6(safe_divide("spend_usd", "target_spend_usd")).alias("spend_to_target"),
+        safe_divide("spend_usd", "target_spend_usd").alias("spend_to_target"),
         "cac_usd", "target_cac_usd", (F.col("cac_usd") > F.col("target_cac_usd")).alias("cac_above_target"),
         "roas_30d", "target_roas_30d", (F.col("roas_30d") < 1).alias("roas_below_one"),
     )

@@ -4,24 +4,15 @@ A new session starts at a key's first event or when the gap to the previous
 event (ordered by time, then tiebreak) is more than ``gap_minutes`` *whole*
 minutes (truncating, so a 30m59s gap stays in the session).
 
-Scale design: a plain ``Window.partitionBy(key)`` puts all events of one key
-into one task, which breaks when a single key holds a large share of the
-rows. Both forms here run their event-level windows per (key, time bucket)
-and only windows over per-bucket summaries (bounded by time span / bucket
-width per key) are partitioned by key alone:
-
-* ``derived_sessions`` - the session mart, one exchange of the events (see
-  its docstring); used by the registered query.
-* ``sessionize`` - event-level labels (flag + session number per event): a
-  narrow pass (key, bucket, time, tiebreak) yields the bucket offsets, one
-  full pass labels the events.
-* ``sessionize_single_window`` - the textbook one-window form, kept as the
-  reference in tests.
+Scale design: events are first aggregated to time bins of the gap's width, which
+no session break can fall into; only windows over a key's bins are partitioned
+by key. ``sessionize_single_window`` is the textbook one-window form, kept as the
+reference in tests.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fanpulse.functions.scalar import bin_of, count_if, first_by_time, whole_minutes, whole_seconds
@@ -29,21 +20,13 @@ from fanpulse.functions.scalar import bin_of, count_if, first_by_time, whole_min
 _UNB = Window.unboundedPreceding
 
 
-def _bucket_offsets(pieces: DataFrame, key: str, b: str, gap_minutes: int) -> DataFrame:
-    """From per-(key, bucket) provisional piece counts and first/last timestamps:
-    whether the bucket's first piece continues the previous bucket's last
-    session (``_cont``) and how many sessions started in earlier buckets
-    (``_offset``). Window over bucket summaries: bounded per key by the time
-    span / bucket width, whatever the key's event volume."""
-    by_key = Window.partitionBy(key).orderBy(b)
-    prev_last = F.lag("_blast").over(by_key)
-    per_bucket = pieces.withColumn(
-        "_cont", F.when(prev_last.isNotNull() & (whole_minutes(prev_last, F.col("_bfirst")) <= gap_minutes), 1).otherwise(0)
-    ).withColumn("_new_sessions", F.col("_pieces") - F.col("_cont"))
-    return per_bucket.select(
-        key, b, "_cont",
-        F.coalesce(F.sum("_new_sessions").over(by_key.rowsBetween(_UNB, -1)), F.lit(0)).alias("_offset"),
-    )
+def _numbered_bins(bins: DataFrame, key: str, b: str, gap_minutes: int) -> DataFrame:
+    """Adds ``_new`` and ``_number`` to bins with ``_first_ts`` and ``_last_ts``: a bin starts a session when the gap to
+    the key's bin before is too long. At most a row per ``gap_minutes`` and key, whatever the key's event volume."""
+    w = Window.partitionBy(key).orderBy(b)
+    before = F.lag("_last_ts").over(w)
+    new = F.when(before.isNull() | (whole_minutes(before, F.col("_first_ts")) > gap_minutes), 1).otherwise(0)
+    return bins.withColumn("_new", new).withColumn("_number", F.sum("_new").over(w.rowsBetween(_UNB, 0)).cast("long"))
 
 
 def sessionize(
@@ -52,37 +35,21 @@ def sessionize(
     ts: str = "event_ts",
     tiebreak: str = "event_id",
     gap_minutes: int = 30,
-    bucket_seconds: int = 6 * 3600,
     number_col: str = "derived_session_number",
     flag_col: str = "is_new_session",
 ) -> DataFrame:
-    """Return ``events`` with ``is_new_session`` (0/1) and the session number per key.
-
-    A narrow pass over (key, bucket, ts, tiebreak) counts the provisional
-    session starts per bucket (a bucket's first event always counts) and
-    derives the bucket offsets; the full pass then labels every event with
-    one window per (key, bucket) and the small offset table.
-    """
-    b = "_bucket"
-    e = events.withColumn(b, bin_of(ts, bucket_seconds))
-
-    def starts(df: DataFrame) -> Column:
-        prev = F.lag(F.col(ts)).over(Window.partitionBy(key, b).orderBy(ts, tiebreak))
-        return F.when(prev.isNull() | (whole_minutes(prev, F.col(ts)) > gap_minutes), 1).otherwise(0)
-
-    narrow = e.select(key, b, ts, tiebreak).withColumn("_new", starts(e))
-    pieces = narrow.groupBy(key, b).agg(
-        F.sum("_new").alias("_pieces"), F.min(ts).alias("_bfirst"), F.max(ts).alias("_blast"))
-    offsets = _bucket_offsets(pieces, key, b, gap_minutes)
-
-    w = Window.partitionBy(key, b).orderBy(ts, tiebreak)
-    full = e.join(offsets, [key, b], "inner")
-    first_in_bucket = F.lag(F.col(ts)).over(w).isNull()
-    full = full.withColumn("_prov", starts(full)).withColumn("_local", F.sum("_prov").over(w.rowsBetween(_UNB, 0)))
-    full = full.withColumn(flag_col, F.when(first_in_bucket & (F.col("_cont") == 1), 0).otherwise(F.col("_prov")))
-    return full.withColumn(number_col, (F.col("_offset") + F.col("_local") - F.col("_cont")).cast("long")).drop(
-        b, "_prov", "_local", "_offset", "_cont"
-    )
+    """Return ``events`` with ``is_new_session`` (0/1) and the session number per key. NULL keys are one key.
+
+    The numbers come from the bins; an event takes its bin's number, and the first event of a starting bin is the new
+    session's first."""
+    b = "_bin"
+    e = events.withColumn(b, bin_of(ts, gap_minutes * 60))
+    bins = e.groupBy(key, b).agg(F.min(ts).alias("_first_ts"), F.max(ts).alias("_last_ts"))
+    bins = _numbered_bins(bins, key, b, gap_minutes).select(F.col(key).alias("_k"), F.col(b).alias("_b"), "_new", "_number")
+    j = e.join(bins, F.col(key).eqNullSafe(F.col("_k")) & (F.col(b) == F.col("_b")))
+    first = F.row_number().over(Window.partitionBy(key, b).orderBy(ts, tiebreak)) == 1
+    return j.withColumn(flag_col, F.when(first, F.col("_new")).otherwise(0)).withColumn(number_col, F.col("_number")).drop(
+        b, "_k", "_b", "_new", "_number")
 
 
 def sessionize_single_window(
@@ -109,32 +76,16 @@ def derived_sessions(
     ts: str = "event_ts",
     tiebreak: str = "event_id",
     gap_minutes: int = 30,
-    bucket_seconds: int = 6 * 3600,
-    checkpoint: bool = True,
 ) -> DataFrame:
-    """Session mart directly from events, with a single exchange of the events.
-
-    1. Events are partitioned by (key, time bucket); inside each bucket a lag
-       window flags provisional session starts (a bucket's first event always
-       counts) and numbers them -> *pieces* (key, bucket, local number) are
-       aggregated on the same partitioning (no second exchange). Pieces are
-       checkpointed to the shared checkpoint folder: they are read twice and
-       are far smaller than the events.
-    2. Per (key, bucket): pieces, first and last timestamp -> a window over
-       these bucket summaries (bounded by time span / bucket width per key)
-       decides whether the bucket's first piece continues the previous
-       bucket's last session, and gives each bucket its number offset.
-    3. Pieces get their global session number and are merged per session
-       (a session spanning buckets has one piece per bucket).
-    """
+    """Session mart directly from events.
+
+    Two events in the same bin of ``gap_minutes`` are never split, so a bin is atomic: events are aggregated to
+    (key, bin) with map-side combine, a window over a key's bins numbers the sessions, and bins are rolled up. Two
+    exchanges, no event-level sort; a hot key costs a row per bin and task. NULL keys are one key."""
     name = F.col("event_name")
-    b = "_bucket"
-    e = events.withColumn(b, bin_of(ts, bucket_seconds))
-    w = Window.partitionBy(key, b).orderBy(ts, tiebreak)
-    prev = F.lag(F.col(ts)).over(w)
-    e = e.withColumn("_new", F.when(prev.isNull() | (whole_minutes(prev, F.col(ts)) > gap_minutes), 1).otherwise(0))
-    e = e.withColumn("_local", F.sum("_new").over(w.rowsBetween(_UNB, 0)))
-    pieces = e.groupBy(key, b, "_local").agg(
+    b = "_bin"
+    e = events.withColumn(b, bin_of(ts, gap_minutes * 60))
+    bins = e.groupBy(key, b).agg(
         F.min(ts).alias("_first_ts"),
         F.max(ts).alias("_last_ts"),
         F.min(F.struct(F.col(ts).alias("t"), F.col(tiebreak).alias("k"), F.col("match_id").alias("m"))).alias("_first"),
@@ -145,17 +96,7 @@ def derived_sessions(
         F.bool_or(name == "subscription_start").alias("_conv"),
         F.sum("revenue_usd").alias("_rev"),
     )
-    if checkpoint:
-        from fanpulse.session import cut_lineage
-
-        pieces = cut_lineage(pieces)
-    per_bucket = pieces.groupBy(key, b).agg(
-        F.max("_local").alias("_pieces"), F.min("_first_ts").alias("_bfirst"), F.max("_last_ts").alias("_blast")
-    )
-    offsets = _bucket_offsets(per_bucket, key, b, gap_minutes)
-    numbered = pieces.join(offsets, [key, b]).withColumn(
-        "derived_session_number", (F.col("_offset") + F.col("_local") - F.col("_cont")).cast("long")
-    )
+    numbered = _numbered_bins(bins, key, b, gap_minutes).withColumnRenamed("_number", "derived_session_number")
     g = numbered.groupBy(key, "derived_session_number").agg(
         F.min("_first").alias("_first"),
         F.min("_first_ts").alias("session_started_at"),
@@ -180,7 +121,7 @@ def derived_sessions(
         "viewed_match_center",
         "viewed_highlight",
         "converted",
-        F.round("net_revenue_usd", 6).alias("net_revenue_usd"),
+        "net_revenue_usd",
     )
 
 
@@ -217,7 +158,7 @@ def session_rollup(
         "viewed_match_center",
         "viewed_highlight",
         "converted",
-        F.round("net_revenue_usd", 6).alias("net_revenue_usd"),
+        "net_revenue_usd",
     )
 
 

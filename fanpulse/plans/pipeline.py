@@ -32,7 +32,7 @@ def generate(tables: Tables, out: str, as_of: str | None = None) -> dict[str, in
     """Validate, then write every table with its layout plus manifest and exports."""
     results = quality.assert_valid(tables, as_of=as_of)
     io.write_tables({"data_quality_results": results}, out)
-    counts = io.write_with_layout(tables, out, skip_unknown=False)
+    counts = io.write_with_layout(tables, out)
     io.write_manifest(tables, f"{out}/manifest")
     io.export_campaign_targets(tables["fact_campaign_spend"], f"{out}/campaign_targets_csv")
     io.export_event_sample(tables["fact_app_events"], f"{out}/event_sample_csv")

@@ -53,10 +53,17 @@ def register(name: str, sql: str | None = None):
 DATE_OUTPUTS = ("date", "event_date", "metric_date", "cohort_date", "funnel_date", "match_date")
 
 
-def dates_as_timestamps(df: DataFrame) -> DataFrame:
-    cols = [F.col(f.name).cast("timestamp_ntz").alias(f.name) if f.dataType.typeName() == "date" else F.col(f.name)
-            for f in df.schema.fields]
-    return df.select(*cols)
+def comparable(df: DataFrame) -> DataFrame:
+    """Dates as midnight timestamps; doubles to 6 places, so that no result depends on the order of a sum.
+
+    This is the only place that rounds: operators and decisions work on exact values."""
+    def edge(f):
+        kind = f.dataType.typeName()
+        if kind == "date":
+            return F.col(f.name).cast("timestamp_ntz").alias(f.name)
+        return F.round(f.name, 6).alias(f.name) if kind == "double" else F.col(f.name)
+
+    return df.select(*map(edge, df.schema.fields))
 
 
 def oracle_dates_as_timestamps(sql: str, columns) -> str:
@@ -71,7 +78,7 @@ def spark_query(name: str) -> Callable[[SparkSession, str], DataFrame]:
     builder = BUILDERS[name]
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return dates_as_timestamps(builder(canonical_tables(spark, sf_dir)))
+        return comparable(builder(canonical_tables(spark, sf_dir)))
 
     run.__name__ = name
     return run

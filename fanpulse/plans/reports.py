@@ -11,11 +11,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fanpulse.functions.scalar import campaign_key, count_if, round6, safe_divide
+from fanpulse.functions.scalar import campaign_key, count_if, safe_divide
 from fanpulse.operators import engagement, experiment, football, marketing, quality
 from fanpulse.operators.experiment import assign_variant, event_conversion_rate
 from fanpulse.plans import marts
-from fanpulse.plans.oracle import _COHORT, _FUNNEL_MART, _MART_CHECKS, _USER_DAYS, AS_OF, r6, sdiv
+from fanpulse.plans.oracle import _COHORT, _FUNNEL_MART, _MART_CHECKS, _USER_DAYS, AS_OF, funnel_sql, r6, sdiv
 from fanpulse.plans.oracle_bindings import with_tables
 from fanpulse.plans.registry import register, conversion_on_test_data
 from fanpulse.schemas import CONTRACTS, PAID_CHANNELS, PRIMARY_KEYS
@@ -50,17 +50,17 @@ def r5(t):
     return marketing.channel_economics(t["dim_users"], t["fact_app_events"], t["fact_campaign_spend"])
 
 
-def r6_(t):
-    return experiment.ab_test_report(t["fact_experiment_assignments"], t["fact_app_events"], conversion=conversion_on_test_data())
+def r6_(t, conversion=None):
+    return experiment.ab_test_report(t["fact_experiment_assignments"], t["fact_app_events"], conversion=conversion)
 
 
 def r7(t, keep_id=False):
     return football.key_moments_report(t["fact_match_events"], t["fact_app_events"], t["dim_matches"], keep_id=keep_id)
 
 
-def r8(t):
-    bucket = F.floor(F.col("event_id") / F.lit(1 << 16))
-    return quality.with_checked_at(quality.validate(t, session_bucket=bucket), AS_OF)
+def r8(t, as_of=None):
+    """``as_of``: the time of the check, now if not given. Ids may be of any type."""
+    return quality.with_checked_at(quality.validate(t), as_of)
 
 
 def match_rollup(sports_rows: DataFrame, by: str = "match_label") -> DataFrame:
@@ -78,12 +78,12 @@ def r9(t):
     return match_rollup(r4(t))
 
 
-def r10(t):
+def r10(t, conversion=None):
     daily = r1(t).select(
         F.col("dau").alias("_dau"), F.col("mau").alias("_mau"), F.col("revenue_usd").alias("_rev"),
         F.col("active_viewers").alias("_av"), *[F.lit(None).cast("double").alias(c) for c in ("_rl", "_lo", "_hi")],
     )
-    ab = r6_(t).where(F.col("variant") == "treatment").select(
+    ab = r6_(t, conversion).where(F.col("variant") == "treatment").select(
         *[F.lit(None).cast(tp).alias(c) for c, tp in (("_dau", "long"), ("_mau", "long"), ("_rev", "double"), ("_av", "long"))],
         F.col("relative_lift").alias("_rl"), F.col("ci_95_lower").alias("_lo"), F.col("ci_95_upper").alias("_hi"),
     )
@@ -133,7 +133,7 @@ def funnel_steps(funnel_rows: DataFrame, platform: str = "all", variant: str = "
     first = _STEP_LABELS[0][1]
     steps = F.array(*[
         F.struct(F.lit(label).alias("step"), F.col(c).alias("users"),
-                 round6(safe_divide(c, first)).alias("share_of_first"))
+                 safe_divide(c, first).alias("share_of_first"))
         for label, c in _STEP_LABELS
     ])
     return sums.select(F.inline(steps))
@@ -144,13 +144,13 @@ def weighted_retention(retention_rows: DataFrame, days=(1, 7, 30)) -> DataFrame:
     w = retention_rows.agg(*[
         safe_divide(F.sum(F.col(f"retention_d{d}") * F.col("cohort_size")), F.sum("cohort_size")).alias(f"_d{d}")
         for d in days])
-    arr = F.array(*[F.struct(F.lit(d).alias("day"), round6(f"_d{d}").alias("retention")) for d in days])
+    arr = F.array(*[F.struct(F.lit(d).alias("day"), F.col(f"_d{d}").alias("retention")) for d in days])
     return w.select(F.inline(arr))
 
 
 def retention_by_channel(retention_rows: DataFrame) -> DataFrame:
     return retention_rows.groupBy("acquisition_channel").agg(
-        round6(safe_divide(F.sum(F.col("retention_d30") * F.col("cohort_size")), F.sum("cohort_size"))).alias("retention_d30")
+        safe_divide(F.sum(F.col("retention_d30") * F.col("cohort_size")), F.sum("cohort_size")).alias("retention_d30")
     ).orderBy(F.desc("retention_d30"), "acquisition_channel")
 
 
@@ -181,9 +181,9 @@ def d6(t):
     return marketing.target_blend(r5(t), marketing.campaign_targets(t["fact_app_events"].sparkSession))
 
 
-def d7(t):
+def d7(t, conversion=None):
     return experiment.experiment_decision(marts.experiment.ab_test_mart(
-        t["fact_experiment_assignments"], t["fact_app_events"], conversion=conversion_on_test_data()))
+        t["fact_experiment_assignments"], t["fact_app_events"], conversion=conversion))
 
 
 def d8(t):
@@ -197,7 +197,7 @@ def d9(t):
     rows = marts.mart_retention_cohort(t)
     g = rows.groupingSets([["platform"], ["acquisition_channel"]], "platform", "acquisition_channel").agg(
         F.sum("retained_d30").alias("_r"), F.sum("cohort_size").alias("_n"))
-    return g.select("platform", "acquisition_channel", round6(F.lit(1.0) - safe_divide("_r", "_n")).alias("churn_d30"))
+    return g.select("platform", "acquisition_channel", (F.lit(1.0) - safe_divide("_r", "_n")).alias("churn_d30"))
 
 
 _SCORE_GROUPS = (
@@ -264,9 +264,9 @@ def d12(t, start: str | None = None, end: str | None = None):
     if end:
         rows = rows.where(F.col("event_date") <= F.lit(end).cast("date"))
     return rows.agg(
-        round6(F.avg("dau")).alias("dau"), F.max("mau").alias("mau"), round6(F.avg("stickiness")).alias("stickiness"),
-        round6(safe_divide(F.sum("subscriptions"), F.sum("dau"))).alias("conversion"),
-        round6(safe_divide(F.sum("revenue_usd"), F.sum("dau"))).alias("arpu_usd"),
+        F.avg("dau").alias("dau"), F.max("mau").alias("mau"), F.avg("stickiness").alias("stickiness"),
+        safe_divide(F.sum("subscriptions"), F.sum("dau")).alias("conversion"),
+        safe_divide(F.sum("revenue_usd"), F.sum("dau")).alias("arpu_usd"),
         F.sum("active_viewers").alias("active_viewers"),
     )
 
@@ -276,9 +276,7 @@ def g1(t):
 
 
 def g2(t):
-    a = assign_variant(t["dim_users"], "match_center_v2")
-    per = a.groupBy("user_id", "experiment_name").agg(F.count_distinct("variant").alias("_n"), F.first("variant").alias("variant"))
-    return per.groupBy("variant").agg(F.count(F.lit(1)).alias("users"), count_if(F.col("_n") > 1).alias("crossover_users"))
+    return assign_variant(t["dim_users"], "match_center_v2")
 
 
 def g3(t):
@@ -349,54 +347,26 @@ retention AS (
     AND s.platform IS NOT DISTINCT FROM r.platform)
 """
 
-_FUNNEL_REPORT = """
-, steps AS (
-  SELECT user_id, match_id, platform, experiment_variant,
-    MIN(CASE WHEN event_name = 'notification_click' THEN event_ts END) AS notification_at,
-    MIN(CASE WHEN event_name = 'match_center_view' THEN event_ts END) AS match_center_at,
-    MIN(CASE WHEN event_name = 'highlight_view' THEN event_ts END) AS highlight_at,
-    MIN(CASE WHEN event_name = 'subscription_start' THEN event_ts END) AS subscription_at
-  FROM app_events
-  WHERE event_name IN ('notification_click', 'match_center_view', 'highlight_view', 'subscription_start')
-    AND user_id IS NOT NULL AND match_id IS NOT NULL AND platform IS NOT NULL AND experiment_variant IS NOT NULL
-  GROUP BY user_id, match_id, platform, experiment_variant),
-ordered AS (
-  SELECT *, notification_at IS NOT NULL AS r1, match_center_at > notification_at AS r2,
-    match_center_at > notification_at AND highlight_at > match_center_at AS r3,
-    match_center_at > notification_at AND highlight_at > match_center_at AND subscription_at > highlight_at AS r4
-  FROM steps),
-funnel AS (
-  SELECT platform, experiment_variant, COUNT(*) AS journeys,
-    COUNT(*) FILTER (WHERE r1) AS notification_users, COUNT(*) FILTER (WHERE r2) AS match_center_users,
-    COUNT(*) FILTER (WHERE r3) AS highlight_users, COUNT(*) FILTER (WHERE r4) AS subscription_users,
-    """ + r6(sdiv("COUNT(*) FILTER (WHERE r2)", "COUNT(*) FILTER (WHERE r1)")) + """ AS notification_to_match,
-    """ + r6(sdiv("COUNT(*) FILTER (WHERE r3)", "COUNT(*) FILTER (WHERE r2)")) + """ AS match_to_highlight,
-    """ + r6(sdiv("COUNT(*) FILTER (WHERE r4)", "COUNT(*) FILTER (WHERE r3)")) + """ AS highlight_to_subscription,
-    """ + r6(sdiv("COUNT(*) FILTER (WHERE r4)", "COUNT(*)")) + """ AS end_to_end_conversion
-  FROM ordered GROUP BY platform, experiment_variant)
-"""
+_FUNNEL_REPORT = funnel_sql("funnel", "platform, experiment_variant", "journeys", known_keys=True)
 
 _SPORTS = """
-, engagement AS (
-  SELECT e.match_id, c.content_type, COUNT(*) AS views, COUNT(DISTINCT e.user_id) AS unique_viewers,
-    COUNT(DISTINCT e.session_id) AS sessions,
-    COUNT(*) FILTER (WHERE e.event_name = 'subscription_start') AS subscriptions, SUM(e.revenue_usd) AS revenue_usd
-  FROM app_events e LEFT JOIN dim_content c ON e.content_id = c.content_id
-  GROUP BY e.match_id, c.content_type),
-football AS (
-  SELECT match_id, COUNT(*) FILTER (WHERE event_type = 'Shot') AS shots,
-    COUNT(*) FILTER (WHERE event_type = 'Shot' AND shot_outcome = 'Goal') AS goals,
-    SUM(COALESCE(shot_xg, 0)) AS xg, COUNT(*) FILTER (WHERE event_type = 'Pass') AS passes,
-    COUNT(*) FILTER (WHERE duel_type = 'Tackle') AS tackles
-  FROM match_events WHERE period <= 4 GROUP BY match_id),
+, typed AS (
+  SELECT match_id, user_id, session_id, event_name, revenue_usd,
+    (SELECT c.content_type FROM dim_content c WHERE c.content_id = a.content_id) AS content_type
+  FROM app_events a),
+pitch AS (
+  SELECT match_id, COUNT(*) FILTER (WHERE event_type = 'Shot') AS shots, COUNT(*) FILTER (WHERE (event_type, shot_outcome) = ('Shot', 'Goal')) AS goals,
+    COALESCE(SUM(shot_xg), 0) AS xg, COUNT(*) FILTER (WHERE event_type = 'Pass') AS passes, COUNT(*) FILTER (WHERE duel_type = 'Tackle') AS tackles
+  FROM match_events WHERE period < 5 GROUP BY match_id),
 sports AS (
-  SELECT g.match_id, g.content_type, g.views, g.unique_viewers, g.sessions, g.subscriptions,
-    ROUND(g.revenue_usd, 6) AS revenue_usd, f.shots, f.goals, ROUND(f.xg, 6) AS xg, f.passes, f.tackles,
+  SELECT t.match_id, t.content_type, COUNT(*) AS views, COUNT(DISTINCT t.user_id) AS unique_viewers,
+    COUNT(DISTINCT t.session_id) AS sessions, COUNT(*) FILTER (WHERE t.event_name = 'subscription_start') AS subscriptions,
+    ROUND(SUM(t.revenue_usd), 6) AS revenue_usd, p.shots, p.goals, ROUND(p.xg, 6) AS xg, p.passes, p.tackles,
     m.match_date, m.kick_off, m.competition_id, m.competition_name, m.season_id, m.season_name, m.home_team_id,
     m.home_team_name, m.away_team_id, m.away_team_name, m.home_score, m.away_score,
-    """ + r6(sdiv("g.subscriptions", "g.unique_viewers")) + """ AS viewer_conversion_rate,
-    m.home_team_name || ' vs ' || m.away_team_name AS match_label
-  FROM engagement g JOIN football f ON g.match_id = f.match_id JOIN dim_matches m ON g.match_id = m.match_id)
+    """ + r6(sdiv("COUNT(*) FILTER (WHERE t.event_name = 'subscription_start')", "COUNT(DISTINCT t.user_id)")) + """ AS viewer_conversion_rate,
+    concat_ws(' vs ', m.home_team_name, m.away_team_name) AS match_label
+  FROM typed t JOIN pitch p USING (match_id) JOIN dim_matches m USING (match_id) GROUP BY ALL)
 """
 
 _MARKETING = """
@@ -525,10 +495,10 @@ register("report_funnel", with_tables(["app_events"], _FUNNEL_REPORT + "SELECT *
 register("report_sports_engagement", with_tables(
     ["app_events", "dim_content", "match_events", "dim_matches"], _SPORTS + "SELECT * FROM sports"))(r4)
 register("report_marketing", with_tables(["app_events", "dim_users", "campaign_spend"], _MARKETING + "SELECT * FROM marketing"))(r5)
-register("report_ab_test", with_tables(["app_events", "assignments"], _AB_REPORT + "SELECT * FROM ab"))(r6_)
+register("report_ab_test", with_tables(["app_events", "assignments"], _AB_REPORT + "SELECT * FROM ab"))(lambda t: r6_(t, conversion_on_test_data()))
 register("report_key_moments", with_tables(
     ["app_events", "match_events", "dim_matches"], _MOMENTS_REPORT + f"SELECT {_R7_COLS} FROM moments_report"))(r7)
-register("report_quality", with_tables(_ALL_TABLES, _quality_sql() + "SELECT * FROM quality"))(r8)
+register("report_quality", with_tables(_ALL_TABLES, _quality_sql() + "SELECT * FROM quality"))(lambda t: r8(t, AS_OF))
 register("match_rollup", with_tables(["app_events", "dim_content", "match_events", "dim_matches"], _SPORTS + """
 SELECT match_label, MAX(unique_viewers) AS unique_viewers, CAST(SUM(views) AS BIGINT) AS views,
   CAST(SUM(subscriptions) AS BIGINT) AS subscriptions, MAX(xg) AS xg
@@ -539,7 +509,7 @@ SELECT (SELECT MAX(dau) FROM executive) AS peak_dau, (SELECT MAX(mau) FROM execu
   (SELECT CAST(SUM(active_viewers) AS BIGINT) FROM executive) AS active_viewers,
   (SELECT ROUND(relative_lift, 4) FROM ab WHERE variant = 'treatment') AS ab_relative_lift,
   (SELECT ROUND(ci_95_lower, 4) FROM ab WHERE variant = 'treatment') AS ab_ci_lower,
-  (SELECT ROUND(ci_95_upper, 4) FROM ab WHERE variant = 'treatment') AS ab_ci_upper"""))(r10)
+  (SELECT ROUND(ci_95_upper, 4) FROM ab WHERE variant = 'treatment') AS ab_ci_upper"""))(lambda t: r10(t, conversion_on_test_data()))
 register("top_match", with_tables(["app_events", "dim_content", "match_events", "dim_matches"], _SPORTS + """
 SELECT match_label, MAX(unique_viewers) AS unique_viewers, CAST(SUM(views) AS BIGINT) AS views,
   CAST(SUM(subscriptions) AS BIGINT) AS subscriptions, MAX(xg) AS xg
@@ -584,7 +554,7 @@ SELECT m.channel, m.spend_usd, CAST(t.target_spend_usd AS DOUBLE) AS target_spen
   m.cac_usd, CAST(t.target_cac_usd AS DOUBLE) AS target_cac_usd, m.cac_usd > t.target_cac_usd AS cac_above_target,
   m.roas_30d, CAST(t.target_roas_30d AS DOUBLE) AS target_roas_30d, m.roas_30d < 1 AS roas_below_one
 FROM marketing m LEFT JOIN targets t ON m.channel = t.channel"""))(d6)
-register("experiment_decision")(d7)
+register("experiment_decision")(lambda t: d7(t, conversion_on_test_data()))
 register("shot_map", with_tables(["match_events", "dim_players"], """
 SELECT e.match_id, e.event_id, e.x, e.y, e.shot_outcome, e.shot_xg, p.player_name
 FROM match_events e LEFT JOIN dim_players p ON e.player_id = p.player_id WHERE e.event_type = 'Shot'"""))(d8)
@@ -625,7 +595,7 @@ SELECT ROUND(AVG(dau), 6) AS dau, MAX(mau) AS mau, ROUND(AVG(stickiness), 6) AS
   """ + r6(sdiv("SUM(revenue_usd)", "SUM(dau)")) + """ AS arpu_usd, CAST(SUM(active_viewers) AS BIGINT) AS active_viewers
 FROM executive"""))(d12)
 register("date_dimension", with_tables(["dim_date"], "SELECT * FROM dim_date"))(g1)
-register("experiment_assignment", None)(g2)
+register("experiment_assignment")(g2)
 register("session_anchor_audit", with_tables(["app_events", "match_events"], """
 , starts AS (SELECT session_id, MIN(event_ts) AS s FROM app_events GROUP BY session_id),
 pairs AS (SELECT DISTINCT session_id, match_id FROM app_events),

@@ -80,8 +80,11 @@ PRIMARY_KEYS: dict[str, tuple[str, ...]] = {
 # Physical layout: a date partition column (derived for match events) and
 # the columns to sort by inside each partition (min/max skipping).
 LAYOUT: dict[str, dict[str, object]] = {
-    "dim_date": {"partition": "date"},
-    "dim_matches": {"partition": "match_date", "clusters": ["competition_id"]},
+    "dim_date": {"clusters": ["date"]},  # dimensions are sorted: a folder per date would hold a row each
+    "dim_users": {},
+    "dim_matches": {"clusters": ["match_date", "competition_id"]},
+    "dim_teams": {},
+    "data_quality_results": {},
     "dim_players": {"clusters": ["team_id"]},
     "dim_content": {"clusters": ["match_id", "content_type"]},
     "fact_match_events": {"partition": "event_ts", "day": True, "clusters": ["match_id", "event_type"]},

@@ -7,11 +7,9 @@ cluster names one; only an unset value is filled in (tests, local runs).
 
 from __future__ import annotations
 
-import os
 import tempfile
-import warnings
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 SESSION_CONF: dict[str, str] = {
     "spark.sql.session.timeZone": "UTC",
@@ -65,24 +63,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or current
 
 
-def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint into the cluster's shared checkpoint folder.
-
-    Survives executor loss (unlike local checkpoints); used between job
-    phases whose plans would otherwise be recomputed.
-    """
-    try:
-        ensure_checkpoint_dir(df.sparkSession)
-        return df.checkpoint(eager=eager)
-    except Exception as exc:  # unwritable folder: same result, longer lineage
-        warnings.warn(f"checkpoint skipped ({type(exc).__name__}): {exc}", RuntimeWarning, stacklevel=2)
-        return df
-
-
-def default_parallelism() -> int:
-    return int(os.environ.get("BENCH_CPUS", os.cpu_count() or 8))
-
-
 def scale_conf(input_bytes: int, executors: int, cores_per_executor: int,
                target_partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Shuffle and scan sizing for a cluster run (e.g. 100 TB on 1000 executors).

@@ -15,10 +15,6 @@ from pyspark.sql import functions as F
 from fanpulse.functions.scalar import campaign_key, col
 from fanpulse.schemas import CONTENT_TYPES, PAID_CHANNELS
 
-RAW_TABLES = (
-    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
-)
-
 # Fixed values of the binding (chosen for the test data, not derived):
 # market segment -> acquisition channel, daily target spend per paid channel,
 # signup epoch, match calendar start and the experiment name.
@@ -37,10 +33,6 @@ EXPERIMENT = "match_center_v2"
 N_MATCHES = 8
 
 
-def read_raw(spark: SparkSession, sf_dir: str, names=RAW_TABLES) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in names}
-
-
 def _channel(segment: Column) -> Column:
     expr = None
     for seg, channel in SEGMENT_CHANNEL.items():
@@ -259,14 +251,12 @@ def dim_date_from(users: DataFrame, events: DataFrame) -> DataFrame:
 class CanonicalTables(dict):
     """Lazy mapping of the ten canonical tables over one test-data folder.
 
-    A table's plan is built on first access only (driver-side analysis of
-    unused tables is skipped) and then reused by every query of the session.
+    A table's plan is built on first access only and then reused; no job runs.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str, materialize_to: str | None = None):
+    def __init__(self, spark: SparkSession, sf_dir: str):
         super().__init__()
         self.spark, self.sf_dir = spark, sf_dir
-        self.materialize_to = materialize_to
         self._raw: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
@@ -290,30 +280,9 @@ class CanonicalTables(dict):
     def __missing__(self, name: str) -> DataFrame:
         if name not in self._BUILD:
             raise KeyError(name)
-        df = self._BUILD[name](self)
-        if self.materialize_to:
-            try:
-                df = self._materialize(name, df)
-            except Exception as exc:  # unwritable folder: keep the lazy plan
-                import warnings
-
-                warnings.warn(f"{name} not materialised ({type(exc).__name__}); using the lazy plan", RuntimeWarning)
-        self[name] = df
+        self[name] = df = self._BUILD[name](self)
         return df
 
-    def _materialize(self, name: str, df: DataFrame) -> DataFrame:
-        """Write the table once (date partitions, clustered files) and read it
-        back: later plans start from Parquet with pruning instead of
-        re-deriving the binding, and the lineage is cut."""
-        from fanpulse.sources.io import layout_plan, read_layout_table
-
-        out, parts = layout_plan(df, name)
-        w = out.write.mode("overwrite")
-        if parts:
-            w = w.partitionBy(*parts)
-        w.parquet(f"{self.materialize_to}/{name}")
-        return read_layout_table(self.spark, self.materialize_to, name).select(*df.columns)
-
     def keys(self):  # every canonical table counts as present
         return self._BUILD.keys()
 
@@ -333,31 +302,9 @@ class CanonicalTables(dict):
         return [self[k] for k in self._BUILD]
 
 
-_CACHE: dict[tuple[int, str], CanonicalTables] = {}
-
-
-def canonical_tables(spark: SparkSession, sf_dir: str, materialize: bool | None = None) -> CanonicalTables:
-    """All ten canonical tables over ``sf_dir`` (memoised per session).
-
-    With ``materialize`` (default: on unless FANPULSE_MATERIALIZE=0) each table
-    is written once to the session's shared checkpoint folder with its layout
-    and read back, like the ingest step that produces the star schema.
-    """
-    import os
-    import re
-
-    from fanpulse.session import ensure_checkpoint_dir
-
-    if materialize is None:
-        materialize = os.environ.get("FANPULSE_MATERIALIZE", "1") != "0"
-    key = (id(spark._jsparkSession), sf_dir, materialize)
-    if key not in _CACHE:
-        target = None
-        if materialize:
-            slug = re.sub(r"[^A-Za-z0-9_.-]+", "_", sf_dir.strip("/"))
-            target = f"{ensure_checkpoint_dir(spark).rstrip('/')}/canonical/{slug}"
-        _CACHE[key] = CanonicalTables(spark, sf_dir, target)
-    return _CACHE[key]
+def canonical_tables(spark: SparkSession, sf_dir: str) -> CanonicalTables:
+    """All ten canonical tables over ``sf_dir``, as plans: building a query starts no job and writes nothing."""
+    return CanonicalTables(spark, sf_dir)
 
 
-__all__ = ["canonical_tables", "read_raw", "col"]
+__all__ = ["canonical_tables", "col"]

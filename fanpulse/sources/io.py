@@ -52,25 +52,17 @@ def layout_plan(df: DataFrame, table: str) -> tuple[DataFrame, list[str]]:
     return df, parts
 
 
-def write_with_layout(tables: Mapping[str, DataFrame], path: str, skip_unknown: bool = True) -> dict[str, int]:
-    """Write each table with its layout (tables outside the layout map are
-    skipped when ``skip_unknown``); return the row count of each written table
-    (counted from the written files, metadata-cheap)."""
+def write_with_layout(tables: Mapping[str, DataFrame], path: str) -> dict[str, int]:
+    """Write every table given, with its layout where it has one; return the row count of each (counted from the
+    written files, metadata-cheap)."""
     counts: dict[str, int] = {}
-    spark = None
     for name, df in tables.items():
-        if skip_unknown and name not in LAYOUT:
-            continue
-        spark = df.sparkSession
         out, parts = layout_plan(df, name)
         w = out.write.mode("overwrite")
         if parts:
             w = w.partitionBy(*parts)
         w.parquet(f"{path}/{name}")
-    for name in tables:
-        if skip_unknown and name not in LAYOUT:
-            continue
-        counts[name] = spark.read.parquet(f"{path}/{name}").count()
+        counts[name] = df.sparkSession.read.parquet(f"{path}/{name}").count()
     return counts
 
 

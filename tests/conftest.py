@@ -35,10 +35,6 @@ def d(s: str) -> dt.date:
     return dt.date.fromisoformat(s)
 
 
-APP_EVENT_COLS = ["event_id", "user_id", "session_id", "event_ts", "event_date", "event_name", "match_id",
-                  "content_id", "platform", "acquisition_channel", "experiment_variant", "campaign_id", "revenue_usd"]
-
-
 def app_events(spark, rows):
     """rows: (event_id, user_id, ts, event_name[, match_id, revenue, session, platform, variant, content])."""
     from fanpulse.schemas import CONTRACTS

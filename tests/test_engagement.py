@@ -84,3 +84,16 @@ def test_funnel_never_increases(tables):
                   "OR subscription_users > highlight_users")
     assert bad.count() == 0
     assert f.select(F.sum("user_match_journeys")).first()[0] > 0
+
+
+def test_null_users_are_nobody(spark):
+    from fanpulse.operators.engagement import executive_daily, product_daily
+
+    ev = app_events(spark, [(1, 1, "2024-01-01 10:00:00", "app_open"), (2, None, "2024-01-01 10:00:00", "app_open"),
+                            (3, None, "2024-01-02 12:00:00", "app_open")])
+    daily = {r.metric_date.day: (r.dau, r.mau, r.events) for r in product_daily(ev).collect()}
+    assert daily == {1: (1, 1, 2), 2: (0, 1, 1)}
+    assert {r.event_date.day: (r.dau, r.mau) for r in executive_daily(ev).collect()} == {1: (1, 1), 2: (0, 1)}
+    for method in ("ranges", "explode"):
+        rows = trailing_distinct(ev, method=method).collect()
+        assert {r.metric_date.day: r.mau for r in rows} == {1: 1, 2: 1}

@@ -55,3 +55,13 @@ def test_spend_grain_guard(spark):
     with pytest.raises(CardinalityError):
         check_spend_grain(spend)
     check_spend_grain(spend.limit(1))
+
+
+def test_decisions_use_exact_values(spark):
+    from fanpulse.operators.experiment import experiment_decision
+    from fanpulse.operators.marketing import marketing_decision
+
+    ch = spark.createDataFrame([("social", 1.0, 1.0, 1.0, 0.9999997)], "channel string, spend_usd double, cac_usd double, ltv_30d_usd double, roas_30d double")
+    assert marketing_decision(ch).first().decision == "Rework"
+    ab = spark.createDataFrame([(0.1, 0.1, 4.3e-7, 0.2)], "absolute_lift double, relative_lift double, ci_95_lower double, ci_95_upper double")
+    assert experiment_decision(ab).first().decision == "Significant lift"

@@ -4,6 +4,7 @@ class-P patterns, and column pruning / filter pushdown into the scans."""
 import pytest
 
 from fanpulse.plans.registry import BUILDERS, _load_extensions
+from fanpulse.sources.io import read_layout_table, write_with_layout
 
 _load_extensions()
 
@@ -17,8 +18,10 @@ def test_no_python_udf_or_cartesian(tables, name):
         assert bad not in plan, f"{name}: {bad}"
 
 
-def test_projection_and_filter_reach_the_scan(tables):
-    df = BUILDERS["mart_football_team_match"](tables)
+def test_projection_and_filter_reach_the_scan(spark, tables, tmp_path):
+    names = ("dim_matches", "fact_match_events")
+    write_with_layout({n: tables[n] for n in names}, str(tmp_path))
+    df = BUILDERS["mart_football_team_match"]({n: read_layout_table(spark, str(tmp_path), n) for n in names})
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(period), LessThanOrEqual(period,4)" in plan
     assert "ReadSchema: struct<" in plan and "x:double" not in plan   # unused columns pruned
