@@ -46,7 +46,7 @@ LINEUP_SCHEMA = _st(
 
 
 def read_matches(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(MATCH_SCHEMA).option("multiLine", True).json(path)
+    return spark.read.schema(MATCH_SCHEMA).option("multiLine", True).option("mode", "FAILFAST").json(path)
 
 
 def normalize_matches(raw: DataFrame) -> DataFrame:
@@ -70,13 +70,13 @@ def normalize_matches(raw: DataFrame) -> DataFrame:
 
 def normalize_teams(matches: DataFrame) -> DataFrame:
     """Home and away (id, name) pairs; the first occurrence per team id wins
-    under the explicit order (match date, match id, home before away)."""
+    under the explicit order (all home sides before all away sides, match date, match id)."""
     sides = F.array(
         F.struct(F.lit(0).alias("side"), F.col("home_team_id").alias("team_id"), F.col("home_team_name").alias("team_name")),
         F.struct(F.lit(1).alias("side"), F.col("away_team_id").alias("team_id"), F.col("away_team_name").alias("team_name")),
     )
     pairs = matches.select("match_date", "match_id", F.inline(sides))
-    firsts = dedupe_first(pairs, ["team_id"], ["match_date", "match_id", "side"])
+    firsts = dedupe_first(pairs, ["team_id"], ["side", "match_date", "match_id"])
     return firsts.select("team_id", "team_name")
 
 
@@ -86,7 +86,7 @@ def _match_id_from_file() -> Column:
 
 def read_events(spark: SparkSession, events_dir: str) -> DataFrame:
     """All event files of a folder, each row tagged with its file's match id."""
-    raw = spark.read.schema(EVENT_SCHEMA).option("multiLine", True).json(f"{events_dir}/*.json")
+    raw = spark.read.schema(EVENT_SCHEMA).option("multiLine", True).option("mode", "FAILFAST").json(f"{events_dir}/*.json")
     return raw.withColumn("_match_id", _match_id_from_file())
 
 
@@ -137,7 +137,7 @@ def read_lineups(spark: SparkSession, lineups_dir: str) -> DataFrame:
     """Lineup files read whole (one row per file) so array positions are kept."""
     raw = spark.read.option("wholetext", True).text(f"{lineups_dir}/*.json")
     raw = raw.withColumn("_match_id", _match_id_from_file())
-    teams = raw.select("_match_id", F.posexplode(F.from_json("value", T.ArrayType(LINEUP_SCHEMA))).alias("_team_pos", "t"))
+    teams = raw.select("_match_id", F.posexplode(F.from_json("value", T.ArrayType(LINEUP_SCHEMA), {"mode": "FAILFAST"})).alias("_team_pos", "t"))
     return teams.select("_match_id", "_team_pos", "t.*")
 
 
