@@ -47,6 +47,17 @@ def join_validated(
     return left.join(right, on=keys, how=how)
 
 
+def unique_by(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """``df``, whose job fails if a key occurs twice: the guard of a merge's "one" side, inside the plan.
+
+    One aggregate with map-side combine; no job runs while the plan is built. Pass only the columns that are needed."""
+    others = [c for c in df.columns if c not in keys]
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(F.lit(0).alias("_"), *others)).alias("_row"))
+    message = F.concat(F.lit(f"merge keys are not unique in {name}: "), F.to_json(F.struct(*keys)))
+    per_key = per_key.where(F.when(F.col("_n") == 1, F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
+    return per_key.select(*[F.col(c) if c in keys else F.col(f"_row.{c}") for c in df.columns])
+
+
 def dedupe_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """Keep the first row per key under an explicit order (no reliance on file order).
 

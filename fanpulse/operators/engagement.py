@@ -47,22 +47,45 @@ def trailing_distinct(
         return active_dates.join(fanned, out_date, "left").groupBy(out_date).agg(F.count_distinct("_k").alias(out_col))
     if method != "ranges":
         raise ValueError(f"unknown method {method!r}")
+    edges = _coverage_edges(user_days, days)
+    # every active date gets a row (delta 0) so the running sum is evaluated there
+    marks = active_dates.select(F.col(out_date).alias("_day"), F.lit(0).alias("_delta"))
+    deltas = edges.unionByName(marks).groupBy("_day").agg(F.sum("_delta").alias("_delta"))
+    # one row per calendar date touched: the running sum is a small ordered scan
+    calendar = Window.orderBy("_day").rowsBetween(Window.unboundedPreceding, 0)
+    counts = deltas.select(F.col("_day").alias(out_date), F.sum("_delta").over(calendar).cast("long").alias(out_col))
+    return counts.join(active_dates, out_date, "left_semi")
+
+
+def _coverage_edges(user_days: DataFrame, days: int) -> DataFrame:
+    """``user_days``: distinct _d, _k. _day, _delta: +1 where a key's merged coverage begins, -1 after it ends."""
     by_key = Window.partitionBy("_k").orderBy("_d")
     prev = F.lag("_d").over(by_key)
     starts = user_days.withColumn("_new", F.when(prev.isNull() | (F.datediff("_d", prev) >= days), 1).otherwise(0))
     ranged = starts.withColumn("_r", F.sum("_new").over(by_key.rowsBetween(Window.unboundedPreceding, 0)))
     spans = ranged.groupBy("_k", "_r").agg(F.min("_d").alias("_lo"), F.max("_d").alias("_hi"))
-    edges = spans.select(F.explode(F.array(
+    return spans.select(F.explode(F.array(
         F.struct(F.col("_lo").alias("_day"), F.lit(1).alias("_delta")),
         F.struct(F.date_add("_hi", days).alias("_day"), F.lit(-1).alias("_delta")),
     )).alias("_e")).select("_e._day", "_e._delta")
-    # every active date gets a row (delta 0) so the running sum is evaluated there
-    marks = active_dates.select(F.col(out_date).alias("_day"), F.lit(0).alias("_delta"))
-    deltas = edges.unionByName(marks).groupBy("_day").agg(F.sum("_delta").alias("_delta"))
-    # one row per calendar date touched: the running sum is a small ordered scan
-    calendar = Window.orderBy("_day").rowsBetween(Window.unboundedPreceding, 0)
-    counts = deltas.select(F.col("_day").alias(out_date), F.sum("_delta").over(calendar).cast("long").alias(out_col))
-    return counts.join(active_dates, out_date, "left_semi")
+
+
+def with_trailing_distinct(
+    daily: DataFrame, day_col: str, activity: DataFrame, date_col: str = "event_date", key: str = "user_id",
+    days: int = 30, out_col: str = "mau",
+) -> DataFrame:
+    """``daily`` (one row per date) with the distinct keys of the trailing ``days`` days of ``activity``.
+
+    The daily rows are marks on the calendar of the running sum and carry their columns along: no join back, and
+    ``activity`` is read once, for two columns."""
+    pairs = activity.select(F.col(date_col).alias("_d"), F.col(key).alias("_k")).where("_k is not null").distinct()
+    edges = _coverage_edges(pairs, days).groupBy("_day").agg(F.sum("_delta").alias("_delta"))
+    row = F.struct(*daily.columns)
+    marks = daily.select(F.col(day_col).alias("_day"), F.lit(0).cast("long").alias("_delta"), row.alias("_row"))
+    both = marks.unionByName(edges, allowMissingColumns=True)
+    calendar = Window.orderBy("_day").rangeBetween(Window.unboundedPreceding, 0)  # rows bounded by the date span
+    out = both.select("_row", F.sum("_delta").over(calendar).alias(out_col)).where("_row is not null")
+    return out.select("_row.*", out_col)
 
 
 # --------------------------------------------------------------------------- product daily (M2)
@@ -85,8 +108,7 @@ def product_daily(events: DataFrame, days: int = 30) -> DataFrame:
         F.sum("subscriptions").alias("subscriptions"),
         F.sum("net_revenue_usd").alias("revenue_usd"),
     )
-    mau = trailing_distinct(ud, "event_date", "user_id", days)
-    j = daily.join(mau, "metric_date", "inner")
+    j = with_trailing_distinct(daily, "metric_date", events, days=days)
     return j.select(
         "metric_date", "dau", "mau", "sessions", "events", "subscriptions",
         F.col("revenue_usd"),
@@ -126,8 +148,7 @@ def executive_daily(events: DataFrame, days: int = 30) -> DataFrame:
     )
     sessions = events.select("event_date", "session_id").distinct().groupBy("event_date").agg(
         F.count("session_id").alias("sessions"))
-    mau = trailing_distinct(ud, "event_date", "user_id", days, out_date="event_date")
-    j = daily.join(sessions, "event_date", "inner").join(mau, "event_date", "inner")
+    j = with_trailing_distinct(daily.join(sessions, "event_date", "inner"), "event_date", events, days=days)
     return j.select(
         "event_date", "dau", "sessions", "events", "subscriptions", "cancellations",
         F.col("revenue_usd"), "active_viewers", "mau",

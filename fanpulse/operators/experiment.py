@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fanpulse.functions.joins import unique_by
 from fanpulse.functions.scalar import count_if, safe_divide
 
 Z_95 = 1.96  # two-sided 95% critical value
@@ -134,8 +135,11 @@ def ab_test_mart(
 
 def ab_test_report(assignments: DataFrame, events: DataFrame, conversion: Column | None = None, experiment: str | None = None) -> DataFrame:
     """Report form: two rows by variant; users without events are left out of
-    the means (skip-NULL); significance = unpooled CI excludes 0."""
-    o = user_outcomes(assignments, events, experiment, conversion)
+    the means (skip-NULL); significance = unpooled CI excludes 0. Fails if a
+    user is assigned twice (choose one ``experiment`` where there are several)."""
+    a = assignments if experiment is None else assignments.where(F.col("experiment_name") == experiment)
+    a = unique_by(a.select("user_id", "variant"), ["user_id"], "assignments")
+    o = user_outcomes(a, events, None, conversion)
     nulls = lambda c: F.when(F.col("has_events"), F.col(c))
     m = o.groupBy("variant").agg(
         F.count_distinct("user_id").alias("users"),

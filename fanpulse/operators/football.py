@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fanpulse.functions.joins import unique_by
 from fanpulse.functions.scalar import add_minutes, bin_of, count_if, safe_divide, whole_minutes
 from fanpulse.schemas import KEY_MOMENT_TYPES
 
@@ -124,7 +125,9 @@ def match_label(home: str = "home_team_name", away: str = "away_team_name") -> C
 
 
 def sports_report(app_events: DataFrame, content: DataFrame, match_events: DataFrame, matches: DataFrame) -> DataFrame:
-    """Extract form: adds tackles and every match column plus a label."""
+    """Extract form: adds tackles and every match column plus a label. Fails if a content or match id occurs twice."""
+    content = unique_by(content.select("content_id", "content_type"), ["content_id"], "content")
+    matches = unique_by(matches.select("match_id", *MATCH_COLUMNS), ["match_id"], "matches")
     et = F.col("event_type")
     football = regular_play(match_events).groupBy("match_id").agg(
         count_if(et == "Shot").alias("shots"),
@@ -143,7 +146,103 @@ def sports_report(app_events: DataFrame, content: DataFrame, match_events: DataF
     )
 
 
-# --------------------------------------------------------------------------- interval join (M7, R7, G3)
+# --------------------------------------------------------------------------- linear interval counts (M7, R7, G3)
+def window_counts(
+    moments: DataFrame,
+    events: DataFrame,
+    key: str,
+    moment_ts: str,
+    event_ts: str,
+    before_minutes: int,
+    after_minutes: int,
+    counts: Mapping[str, Column],
+    distinct: Mapping[str, str] | None = None,
+    half_open: bool = False,
+    nearest: str | None = None,
+) -> DataFrame:
+    """For every moment, the events of its ``key`` with ``moment - before <= event <= moment + after``
+    (``< moment + after`` when ``half_open``), counted without pairing moments and events.
+
+    ``counts``: name -> condition, the events for which it is true. ``distinct``: name -> column, its distinct
+    values. ``nearest``: name of a column for the time of the nearest event of the key, however far (ties: earlier).
+
+    An event counts for the moments in ``[event - after, event + before]``. So a count at a moment is the number of
+    such spans begun by then less those ended before it: running sums on one timeline per key. Of a distinct value,
+    overlapping spans are merged first; its events are reduced to the least and greatest time per window-wide bin,
+    whose spans always overlap. Running sums are taken per (key, bin) and offset by the sums of earlier bins, so no
+    task holds all of a key. Work grows with distinct event times plus moments. Moments keep their rows; a NULL key
+    or time counts nothing.
+    """
+    distinct = distinct or {}
+    names = [*counts, *distinct]
+    width = (before_minutes + after_minutes) * 60
+    begin, end = add_minutes(F.col("_e"), -after_minutes), add_minutes(F.col("_e"), before_minutes)
+    known = events.where(F.col(key).isNotNull() & F.col(event_ts).isNotNull())
+
+    def points(rows: DataFrame, first: Column, last: Column, values: Mapping[str, Column], here: Column | None = None) -> DataFrame:
+        """Two timeline rows for a span, and one at the event itself where its time is asked for."""
+        zero = F.lit(0).cast("long")
+        ts_type = rows.schema["_e"].dataType
+
+        def point(t: Column, begins: bool, ends: bool, at: Column | None = None) -> Column:
+            sums = [(values[n] if n in values and on else zero).cast("long").alias(f"{side}{i}")
+                    for side, on in (("_b", begins), ("_z", ends)) for i, n in enumerate(names)]
+            at = F.lit(None).cast(ts_type) if at is None else at
+            return F.struct(t.alias("_t"), *sums, at.alias("_at"), F.lit(False).alias("_asked"))
+
+        made = [point(first, True, False), point(last, False, True)]
+        made += [point(here, False, False, here)] if here is not None else []
+        return rows.select("_k", F.inline(F.array(*made)))
+
+    at_time = known.groupBy(F.col(key).alias("_k"), F.col(event_ts).alias("_e")).agg(
+        *[count_if(cond).alias(f"_n{i}") for i, cond in enumerate(counts.values())])
+    line = points(at_time, begin, end, {n: F.col(f"_n{i}") for i, n in enumerate(counts)}, F.col("_e") if nearest else None)
+    for name, value in distinct.items():
+        per_bin = known.where(F.col(value).isNotNull()).groupBy(
+            F.col(key).alias("_k"), F.col(value).alias("_v"), bin_of(F.col(event_ts), width).alias("_bin")
+        ).agg(F.min(event_ts).alias("_e"), F.max(event_ts).alias("_last"))
+        in_order = Window.partitionBy("_k", "_v").orderBy("_bin")
+        apart = F.coalesce(F.lag("_last").over(in_order) < add_minutes(F.col("_e"), -(before_minutes + after_minutes)), F.lit(True))
+        spans = per_bin.withColumn("_apart", apart).withColumn("_run", F.sum(F.col("_apart").cast("int")).over(in_order)).groupBy(
+            "_k", "_v", "_run").agg(F.min("_e").alias("_e"), F.max("_last").alias("_last"))
+        line = line.unionByName(points(spans, begin, add_minutes(F.col("_last"), before_minutes), {name: F.lit(1)}))
+
+    sums = [f"{side}{i}" for side in ("_b", "_z") for i in range(len(names))]
+    asked = moments.where(F.col(key).isNotNull() & F.col(moment_ts).isNotNull()).select(
+        F.col(key).alias("_k"), F.col(moment_ts).alias("_t"), *[F.lit(0).cast("long").alias(c) for c in sums],
+        F.lit(None).cast(line.schema["_at"].dataType).alias("_at"), F.lit(True).alias("_asked"))
+    line = line.unionByName(asked).groupBy("_k", "_t").agg(
+        *[F.sum(c).alias(c) for c in sums], F.max("_at").alias("_at"), F.bool_or("_asked").alias("_asked"))
+    line = line.withColumn("_bin", bin_of(F.col("_t"), width))
+
+    # offsets of a bin: sums of the key's earlier bins, and the nearest event times outside it
+    earlier = Window.partitionBy("_k").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    later = Window.partitionBy("_k").orderBy("_bin").rowsBetween(1, Window.unboundedFollowing)
+    totals = line.groupBy("_k", "_bin").agg(*[F.sum(c).alias(c) for c in sums], F.min("_at").alias("_lo"), F.max("_at").alias("_hi"))
+    offsets = totals.select(
+        F.col("_k").alias("_ok"), F.col("_bin").alias("_obin"), *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"_o{c}") for c in sums],
+        *([F.max("_hi").over(earlier).alias("_o_prev"), F.min("_lo").over(later).alias("_o_next")] if nearest else []))
+    inside = Window.partitionBy("_k", "_bin").orderBy("_t")
+    so_far = inside.rowsBetween(Window.unboundedPreceding, 0)
+    running = line.select(
+        "_k", "_t", "_bin", "_asked", *[F.col(f"_b{i}").alias(f"_own{i}") for i in range(len(names))], *[F.col(f"_z{i}").alias(f"_zown{i}") for i in range(len(names))],
+        *[F.sum(c).over(so_far).alias(c) for c in sums],
+        *([F.max("_at").over(so_far).alias("_prev"), F.min("_at").over(inside.rowsBetween(0, Window.unboundedFollowing)).alias("_next")] if nearest else []))
+    found = running.where("_asked").join(offsets, (F.col("_k") == F.col("_ok")) & (F.col("_bin") == F.col("_obin")))
+    begun = [F.col(f"_b{i}") + F.col(f"_o_b{i}") - (F.col(f"_own{i}") if half_open else F.lit(0)) for i in range(len(names))]
+    ended = [F.col(f"_z{i}") + F.col(f"_o_z{i}") - F.col(f"_zown{i}") for i in range(len(names))]
+    out = [(b - z).alias(f"_c{i}") for i, (b, z) in enumerate(zip(begun, ended))]
+    if nearest:
+        prev, following, us = F.coalesce("_prev", "_o_prev"), F.coalesce("_next", "_o_next"), lambda c: F.unix_micros(c.cast("timestamp"))
+        near = F.when(prev.isNull() | (us(following) - us(F.col("_t")) < us(F.col("_t")) - us(prev)), following).otherwise(prev)
+        out.append(near.alias("_near"))
+    found = found.select(F.col("_k").alias("_fk"), F.col("_t").alias("_ft"), *out)
+    j = moments.join(found, (moments[key] == F.col("_fk")) & (moments[moment_ts] == F.col("_ft")), "left")
+    return j.select(*[moments[c] for c in moments.columns], *[F.coalesce(f"_c{i}", F.lit(0)).alias(n) for i, n in enumerate(names)],
+                    *([F.col("_near").alias(nearest)] if nearest else []))
+
+
+# --------------------------------------------------------------------------- interval join with any aggregate (J6)
 def interval_counts(
     moments: DataFrame,
     events: DataFrame,
@@ -158,7 +257,8 @@ def interval_counts(
 ) -> DataFrame:
     """Left interval join + aggregate: for every moment, aggregate the events of
     the same ``key`` with ``moment - before <= event <= moment + after``
-    (``< moment + after`` when ``half_open``).
+    (``< moment + after`` when ``half_open``). For aggregates that ``window_counts``
+    cannot take as running sums: it pairs moments with the events of their windows.
 
     Binned equi-join: every event gets the one fixed-width time bin it lies in,
     every moment the (at most two) bins its window overlaps; the join is on
@@ -234,13 +334,13 @@ _MOMENT_COLS = ("event_id", "match_id", "event_ts", "minute", "event_type", "tea
 def key_moment_engagement(match_events: DataFrame, app_events: DataFrame, minutes: int = 5) -> DataFrame:
     moments = key_moments(match_events).select(*_MOMENT_COLS)
     ev = app_events.select("match_id", "event_ts", "event_id", "user_id", "event_name")
-    counts = interval_counts(
+    counts = window_counts(
         moments, ev, "match_id", "event_ts", "event_ts", minutes, minutes,
-        aggs=[
-            F.count("_e_event_id").alias("app_events_plus_minus_5m"),
-            F.count_distinct("_e_user_id").alias("users_plus_minus_5m"),
-            count_if(F.col("_e_event_name") == "subscription_start").alias("subscriptions_plus_minus_5m"),
-        ],
+        counts={
+            "app_events_plus_minus_5m": F.col("event_id").isNotNull(),
+            "subscriptions_plus_minus_5m": F.col("event_name") == "subscription_start",
+        },
+        distinct={"users_plus_minus_5m": "user_id"},
     )
     base = baseline_rate(match_windows(match_events), app_events)
     j = counts.join(base, "match_id")
@@ -255,15 +355,15 @@ def key_moments_report(
     match_events: DataFrame, app_events: DataFrame, matches: DataFrame, minutes: int = 5, keep_id: bool = False
 ) -> DataFrame:
     """Extract form: all shots, half-open windows, fractional-minute baseline,
-    sorted by engagement (ties by match and event id)."""
+    sorted by engagement (ties by match and event id). Fails if a match id occurs twice."""
     moments = key_moments(match_events, all_shots=True).select(*_MOMENT_COLS)
     ev = app_events.select("match_id", "event_ts", "event_id")
-    counts = interval_counts(
-        moments, ev, "match_id", "event_ts", "event_ts", minutes, minutes, half_open=True,
-        aggs=[F.count("_e_event_id").alias("app_events_plus_minus_5m")],
+    counts = window_counts(
+        moments, ev, "match_id", "event_ts", "event_ts", minutes, minutes,
+        counts={"app_events_plus_minus_5m": F.col("event_id").isNotNull()}, half_open=True,
     )
     base = baseline_rate(match_windows(match_events), app_events, half_open=True, fractional=True)
-    m = matches.select("match_id", "competition_name", "home_team_name", "away_team_name")
+    m = unique_by(matches.select("match_id", "competition_name", "home_team_name", "away_team_name"), ["match_id"], "matches")
     j = counts.join(base, "match_id").join(m, "match_id")
     j = j.select(
         "match_id", "minute", "event_type", "shot_outcome", "shot_xg", "team_id", "player_id",
@@ -280,20 +380,10 @@ def session_anchor_audit(app_events: DataFrame, match_events: DataFrame, minutes
     the session's matches, with the nearest such anchor (ties: earlier anchor)."""
     starts = app_events.groupBy("session_id").agg(F.min("event_ts").alias("session_started_at"))
     pairs = app_events.select("session_id", "match_id").distinct().join(starts, "session_id")
-    # one anchor row per (match, timestamp): the count is summed, and the
-    # nearest-anchor tie-break (gap, time, id) needs only the smallest id
-    anchors = match_events.groupBy("match_id", F.col("event_ts").alias("anchor_ts")).agg(
-        F.min("event_id").alias("anchor_id"), F.count(F.lit(1)).alias("anchor_n"))
-    gap = F.abs(F.unix_micros(F.col("_e_anchor_ts").cast("timestamp")) - F.unix_micros(F.col("session_started_at").cast("timestamp")))
-    near = interval_counts(
-        pairs, anchors, "match_id", "session_started_at", "anchor_ts", minutes, minutes,
-        aggs=[
-            F.coalesce(F.sum("_e_anchor_n"), F.lit(0)).alias("anchors_within"),
-            F.min_by(
-                F.col("_e_anchor_ts"),
-                F.when(F.col("_e_anchor_ts").isNotNull(), F.struct(gap, F.col("_e_anchor_ts"), F.col("_e_anchor_id"))),
-            ).alias("nearest_anchor_ts"),
-        ],
+    anchors = match_events.select("match_id", "event_ts")
+    near = window_counts(
+        pairs, anchors, "match_id", "session_started_at", "event_ts", minutes, minutes,
+        counts={"anchors_within": F.lit(True)}, nearest="nearest_anchor_ts",
     )
     return near.where(F.col("anchors_within") > 0).select(
         "session_id", "match_id", "session_started_at", "nearest_anchor_ts",

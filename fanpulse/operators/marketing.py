@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fanpulse.functions.joins import join_validated
+from fanpulse.functions.joins import join_validated, unique_by
 from fanpulse.functions.scalar import safe_divide
 from fanpulse.schemas import PAID_CHANNELS
 
@@ -91,13 +91,13 @@ def unit_economics(
 
 def channel_economics(users: DataFrame, events: DataFrame, spend: DataFrame, window_days: int = 30) -> DataFrame:
     """Whole-period economics per paid channel (report form): counts every user
-    of the channel and revenue from events 0..30 days after signup."""
+    of the channel and revenue from events 0..30 days after signup. Fails if a user id occurs twice."""
     totals = spend.groupBy("channel").agg(
         F.sum("impressions").alias("impressions"), F.sum("clicks").alias("clicks"),
         F.sum("installs").alias("installs"), F.sum("spend_usd").alias("spend_usd"),
         F.sum("target_spend_usd").alias("target_spend_usd"),
     )
-    u = users.select("user_id", "signup_date", F.col("acquisition_channel").alias("channel"))
+    u = unique_by(users.select("user_id", "signup_date", F.col("acquisition_channel").alias("channel")), ["user_id"], "users")
     rev = _daily_revenue(events).join(u, "user_id")
     age = F.datediff("event_date", "signup_date")
     revenue = rev.where(age.between(0, window_days)).groupBy("channel").agg(F.sum("_rev").alias("_r30"))

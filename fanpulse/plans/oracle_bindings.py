@@ -30,7 +30,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
       WHEN event_type = 'click' THEN 'highlight_view'
       WHEN event_type = 'error' AND k % 2 = 0 THEN 'app_open'
       WHEN event_type = 'error' THEN 'content_view' END AS event_name,
-    CAST(k % 8 AS BIGINT) AS match_id
+    CAST((user_id + (k // 4) % 8) % (SELECT COUNT(*) FROM supplier) AS BIGINT) AS match_id
   FROM _ev_k"""),
     "app_events": (("_ev_named",), """
   SELECT event_id, user_id,
@@ -58,32 +58,34 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     CASE WHEN c.c_acctbal > 5000 THEN 'premium' ELSE 'free' END AS subscription_tier
   FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey"""),
     "dim_matches": ((), """
-  SELECT CAST(h.n_nationkey // 2 AS BIGINT) AS match_id,
-    CAST(DATE '2024-01-05' + CAST(3 * (h.n_nationkey // 2) AS INTEGER) AS DATE) AS match_date,
+  SELECT h.s_suppkey AS match_id,
+    CAST(DATE '2024-01-05' + CAST(3 * (h.s_suppkey % 8) AS INTEGER) AS DATE) AS match_date,
     '00:00:00' AS kick_off,
-    CAST(h.n_regionkey AS BIGINT) AS competition_id, r.r_name AS competition_name,
+    CAST(n.n_regionkey AS BIGINT) AS competition_id, r.r_name AS competition_name,
     CAST(1 AS BIGINT) AS season_id, '2024' AS season_name,
-    CAST(h.n_nationkey AS BIGINT) AS home_team_id, h.n_name AS home_team_name,
-    CAST(a.n_nationkey AS BIGINT) AS away_team_id, a.n_name AS away_team_name,
-    CAST(h.n_nationkey % 3 AS BIGINT) AS home_score, CAST(a.n_nationkey % 3 AS BIGINT) AS away_score
-  FROM nation h JOIN nation a ON a.n_nationkey = h.n_nationkey + 1
-  LEFT JOIN region r ON r.r_regionkey = h.n_regionkey
-  WHERE h.n_nationkey < 16 AND h.n_nationkey % 2 = 0"""),
+    h.s_suppkey AS home_team_id, h.s_name AS home_team_name,
+    a.s_suppkey AS away_team_id, a.s_name AS away_team_name,
+    h.s_suppkey % 3 AS home_score, a.s_suppkey % 3 AS away_score
+  FROM supplier h JOIN supplier a ON a.s_suppkey = (h.s_suppkey + 1) % (SELECT COUNT(*) FROM supplier)
+  LEFT JOIN nation n ON n.n_nationkey = h.s_nationkey LEFT JOIN region r ON r.r_regionkey = n.n_regionkey"""),
     "dim_content": (("dim_matches",), """
   SELECT 'C' || CAST(m.match_id AS VARCHAR) || '_' || t.content_type AS content_id, m.match_id,
     t.content_type, CAST(m.match_date AS TIMESTAMP) AS published_at, m.home_team_id AS team_id,
     CAST(NULL AS BIGINT) AS player_id
   FROM dim_matches m CROSS JOIN (VALUES ('match_center'), ('highlight'), ('live_blog'), ('player_story')) t(content_type)"""),
-    "match_events": ((), """
-  SELECT o_orderkey AS event_id, o_orderkey % 8 AS match_id, CAST(o_orderkey AS INTEGER) AS event_index,
+    "_orders_matched": ((), """
+  SELECT *, o_orderkey % teams AS match_id, (o_orderkey % teams + o_custkey % 2) % teams AS team_id
+  FROM orders, (SELECT COUNT(*) AS teams FROM supplier) t"""),
+    "match_events": (("_orders_matched",), """
+  SELECT o_orderkey AS event_id, match_id, CAST(o_orderkey AS INTEGER) AS event_index,
     TIMESTAMP '2024-01-01 00:00:00' + to_minutes(CAST((o_orderkey * 29) % 43200 AS BIGINT)) AS event_ts,
     CAST(1 + o_orderkey % 5 AS INTEGER) AS period,
     CAST(((o_orderkey * 29) % 43200) % 120 AS INTEGER) AS minute, 0 AS second,
     CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'Shot' WHEN '2' THEN 'Pass' WHEN '3' THEN 'Duel'
       WHEN '4' THEN 'Substitution' WHEN '5' THEN 'Bad Behaviour' END AS event_type,
-    2 * (o_orderkey % 8) + o_custkey % 2 AS team_id,
+    team_id,
     o_custkey % 100 AS player_id,
-    CASE WHEN o_orderkey % 11 <> 0 THEN 2 * (o_orderkey % 8) + o_custkey % 2 END AS possession_team_id,
+    CASE WHEN o_orderkey % 11 <> 0 THEN team_id END AS possession_team_id,
     CAST(o_orderkey % 121 AS DOUBLE) AS x, CAST(o_orderkey % 81 AS DOUBLE) AS y,
     CAST(NULL AS DOUBLE) AS end_x, CAST(NULL AS DOUBLE) AS end_y,
     CASE WHEN substr(o_orderpriority, 1, 1) = '1' THEN ((o_orderkey * 37) % 101) / 100.0 END AS shot_xg,
@@ -94,7 +96,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     CASE WHEN substr(o_orderpriority, 1, 1) = '3' THEN
       CASE WHEN o_orderstatus = 'F' THEN 'Tackle' ELSE 'Aerial Lost' END END AS duel_type,
     o_totalprice > 100000 AS under_pressure, CAST(0.0 AS DOUBLE) AS duration_seconds
-  FROM orders"""),
+  FROM _orders_matched"""),
     "campaign_spend": ((), """
   SELECT spend_date, channel || '_' || strftime(spend_date, '%Y%m%d') AS campaign_id, channel,
     50 * clicks AS impressions, clicks, installs, spend_usd,
@@ -116,10 +118,11 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     CAST(signup_date AS TIMESTAMP) AS assigned_at
   FROM dim_users"""),
     "dim_teams": ((), """
-  SELECT CAST(n_nationkey AS BIGINT) AS team_id, n_name AS team_name FROM nation WHERE n_nationkey < 16"""),
+  SELECT s_suppkey AS team_id, s_name AS team_name FROM supplier"""),
     "dim_players": (("dim_teams",), """
-  SELECT c.c_custkey AS player_id, c.c_name AS player_name, c.c_custkey % 16 AS team_id, t.team_name
-  FROM customer c LEFT JOIN dim_teams t ON t.team_id = c.c_custkey % 16"""),
+  SELECT p.player_id, p.player_name, p.team_id, t.team_name
+  FROM (SELECT c_custkey AS player_id, c_name AS player_name, c_custkey % (SELECT COUNT(*) FROM supplier) AS team_id
+        FROM customer) p LEFT JOIN dim_teams t ON t.team_id = p.team_id"""),
     "dim_date": (("dim_users", "app_events"), """
   SELECT d AS date, CAST(year(d) AS INTEGER) AS year, CAST(quarter(d) AS INTEGER) AS quarter,
     CAST(month(d) AS INTEGER) AS month, monthname(d) AS month_name, CAST(weekofyear(d) AS INTEGER) AS iso_week,

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fanpulse.functions.joins import unique_by
 from fanpulse.functions.scalar import campaign_key, count_if, safe_divide
 from fanpulse.operators import engagement, experiment, football, marketing, quality
 from fanpulse.operators.experiment import assign_variant, event_conversion_rate
@@ -35,7 +36,8 @@ def r1(t):
 
 
 def r2(t):
-    return engagement.cohort_retention(t["dim_users"], t["fact_app_events"], by_cohort_date=False)
+    users = t["dim_users"].select("user_id", "signup_date", "acquisition_channel", "platform")
+    return engagement.cohort_retention(unique_by(users, ["user_id"], "users"), t["fact_app_events"], by_cohort_date=False)
 
 
 def r3(t):

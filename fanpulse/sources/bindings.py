@@ -30,7 +30,8 @@ SIGNUP_EPOCH = "2023-12-20"
 MATCH_EPOCH = "2024-01-05"
 EVENT_EPOCH = "2024-01-01"
 EXPERIMENT = "match_center_v2"
-N_MATCHES = 8
+FOLLOWED = 8  # matches that a user's events are about, next to each other in number
+MATCH_DAYS = 8  # match days of the calendar, three days apart
 
 
 def _channel(segment: Column) -> Column:
@@ -49,14 +50,19 @@ def _variant(user_id: Column) -> Column:
     return F.when(F.pmod(user_id, F.lit(2)) == 0, "control").otherwise("treatment")
 
 
-def app_events(events: DataFrame, customer: DataFrame) -> DataFrame:
+def _match_count(supplier: DataFrame) -> Column:
+    """Matches and teams there are: one for each supplier, so their number grows with the data."""
+    return supplier.agg(F.count(F.lit(1))).scalar()
+
+
+def app_events(events: DataFrame, customer: DataFrame, supplier: DataFrame) -> DataFrame:
     k = F.get_json_object(F.col("props"), "$.k").cast("int")
     e = events.select(
         "event_id", "user_id", F.col("ts").alias("event_ts"), "event_type", "value", k.alias("_k")
     )
     c = customer.select(F.col("c_custkey").alias("user_id"), F.col("c_mktsegment").alias("_seg"))
     j = e.join(c, "user_id", "left")
-    m = F.pmod(F.col("_k"), F.lit(N_MATCHES))
+    m = F.pmod(F.col("user_id") + F.pmod(F.floor(F.col("_k") / 4), F.lit(FOLLOWED)), _match_count(supplier))
     name = (
         F.when((F.col("event_type") == "purchase") & (F.col("value") < 5), "subscription_cancel")
         .when(F.col("event_type") == "purchase", "subscription_start")
@@ -110,29 +116,30 @@ def dim_users(customer: DataFrame, nation: DataFrame) -> DataFrame:
     )
 
 
-def dim_matches(nation: DataFrame, region: DataFrame) -> DataFrame:
-    home = nation.where((F.col("n_nationkey") < 2 * N_MATCHES) & (F.pmod("n_nationkey", F.lit(2)) == 0))
-    away = nation.select(
-        (F.col("n_nationkey") - 1).alias("_hk"), F.col("n_nationkey").alias("away_team_id"),
-        F.col("n_name").alias("away_team_name"),
-    )
+def dim_matches(supplier: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
+    """A match per supplier: at home against the next one, the last against the first; the competition is the home region."""
+    mid = F.col("s_suppkey")
+    away_id = F.pmod(mid + 1, _match_count(supplier))
+    home = supplier.select(mid.alias("match_id"), F.col("s_name").alias("home_team_name"), F.col("s_nationkey").alias("n_nationkey"),
+                           away_id.alias("away_team_id"))
+    away = supplier.select(mid.alias("away_team_id"), F.col("s_name").alias("away_team_name"))
     r = region.select(F.col("r_regionkey").alias("n_regionkey"), F.col("r_name").alias("competition_name"))
-    j = home.join(away, home["n_nationkey"] == away["_hk"]).join(r, "n_regionkey", "left")
-    mid = F.floor(F.col("n_nationkey") / 2).cast("long")
+    j = home.join(away, "away_team_id").join(nation.select("n_nationkey", "n_regionkey"), "n_nationkey", "left").join(r, "n_regionkey", "left")
+    mid = F.col("match_id")
     return j.select(
-        mid.alias("match_id"),
-        F.date_add(F.lit(MATCH_EPOCH).cast("date"), (mid * 3).cast("int")).alias("match_date"),
+        "match_id",
+        F.date_add(F.lit(MATCH_EPOCH).cast("date"), (F.pmod(mid, F.lit(MATCH_DAYS)) * 3).cast("int")).alias("match_date"),
         F.lit("00:00:00").alias("kick_off"),
         F.col("n_regionkey").cast("long").alias("competition_id"),
         "competition_name",
         F.lit(1).cast("long").alias("season_id"),
         F.lit("2024").alias("season_name"),
-        F.col("n_nationkey").cast("long").alias("home_team_id"),
-        F.col("n_name").alias("home_team_name"),
-        F.col("away_team_id").cast("long").alias("away_team_id"),
+        mid.alias("home_team_id"),
+        "home_team_name",
+        "away_team_id",
         "away_team_name",
-        F.pmod("n_nationkey", F.lit(3)).cast("long").alias("home_score"),
-        F.pmod("away_team_id", F.lit(3)).cast("long").alias("away_score"),
+        F.pmod(mid, F.lit(3)).alias("home_score"),
+        F.pmod("away_team_id", F.lit(3)).alias("away_score"),
     )
 
 
@@ -148,7 +155,7 @@ def dim_content(matches: DataFrame) -> DataFrame:
     )
 
 
-def match_events(orders: DataFrame) -> DataFrame:
+def match_events(orders: DataFrame, supplier: DataFrame) -> DataFrame:
     key = F.col("o_orderkey")
     offset = F.pmod(key * 29, F.lit(43200))
     prio = F.substring("o_orderpriority", 1, 1)
@@ -158,8 +165,9 @@ def match_events(orders: DataFrame) -> DataFrame:
     )
     status = F.col("o_orderstatus")
     is_shot, is_pass, is_duel = etype == "Shot", etype == "Pass", etype == "Duel"
-    match_id = F.pmod(key, F.lit(N_MATCHES))
-    team = 2 * match_id + F.pmod("o_custkey", F.lit(2))
+    matches = _match_count(supplier)
+    match_id = F.pmod(key, matches)
+    team = F.pmod(match_id + F.pmod("o_custkey", F.lit(2)), matches)
     return orders.select(
         key.alias("event_id"),
         match_id.alias("match_id"),
@@ -222,19 +230,16 @@ def experiment_assignments(users: DataFrame) -> DataFrame:
     )
 
 
-def dim_teams(nation: DataFrame) -> DataFrame:
-    return nation.where(F.col("n_nationkey") < 2 * N_MATCHES).select(
-        F.col("n_nationkey").cast("long").alias("team_id"), F.col("n_name").alias("team_name")
-    )
+def dim_teams(supplier: DataFrame) -> DataFrame:
+    return supplier.select(F.col("s_suppkey").alias("team_id"), F.col("s_name").alias("team_name"))
 
 
-def dim_players(customer: DataFrame, nation: DataFrame) -> DataFrame:
-    t = dim_teams(nation)
+def dim_players(customer: DataFrame, supplier: DataFrame) -> DataFrame:
     p = customer.select(
         F.col("c_custkey").alias("player_id"), F.col("c_name").alias("player_name"),
-        F.pmod("c_custkey", F.lit(2 * N_MATCHES)).alias("team_id"),
+        F.pmod("c_custkey", _match_count(supplier)).alias("team_id"),
     )
-    return p.join(t, "team_id", "left").select("player_id", "player_name", "team_id", "team_name")
+    return p.join(dim_teams(supplier), "team_id", "left").select("player_id", "player_name", "team_id", "team_name")
 
 
 def dim_date_from(users: DataFrame, events: DataFrame) -> DataFrame:
@@ -266,13 +271,13 @@ class CanonicalTables(dict):
 
     _BUILD = {
         "dim_users": lambda t: dim_users(t.raw("customer"), t.raw("nation")),
-        "fact_app_events": lambda t: app_events(t.raw("events"), t.raw("customer")),
-        "dim_matches": lambda t: dim_matches(t.raw("nation"), t.raw("region")),
+        "fact_app_events": lambda t: app_events(t.raw("events"), t.raw("customer"), t.raw("supplier")),
+        "dim_matches": lambda t: dim_matches(t.raw("supplier"), t.raw("nation"), t.raw("region")),
         "dim_date": lambda t: dim_date_from(t["dim_users"], t["fact_app_events"]),
-        "dim_teams": lambda t: dim_teams(t.raw("nation")),
-        "dim_players": lambda t: dim_players(t.raw("customer"), t.raw("nation")),
+        "dim_teams": lambda t: dim_teams(t.raw("supplier")),
+        "dim_players": lambda t: dim_players(t.raw("customer"), t.raw("supplier")),
         "dim_content": lambda t: dim_content(t["dim_matches"]),
-        "fact_match_events": lambda t: match_events(t.raw("orders")),
+        "fact_match_events": lambda t: match_events(t.raw("orders"), t.raw("supplier")),
         "fact_campaign_spend": lambda t: campaign_spend(t.raw("lineitem"), t.raw("orders"), t.raw("customer")),
         "fact_experiment_assignments": lambda t: experiment_assignments(t["dim_users"]),
     }

@@ -1,9 +1,11 @@
 import datetime as dt
 
+import pytest
 from conftest import app_events, d, ts
 from pyspark.sql import functions as F
 
-from fanpulse.operators.football import interval_counts, key_moment_engagement, team_match
+from fanpulse.operators.experiment import ab_test_report
+from fanpulse.operators.football import interval_counts, key_moment_engagement, session_anchor_audit, sports_report, team_match, window_counts
 from fanpulse.schemas import CONTRACTS
 
 
@@ -36,6 +38,55 @@ def test_interval_counts_equals_brute_force(tables):
             assert got[m.event_id] == (len(inside), len({e.user_id for e in inside}))
 
 
+def test_window_counts_equal_paired_counts(tables):
+    """Dense made-up moments over the given events: closed and half-open bounds, ties, repeated rows, NULL keys and users."""
+    ev = tables["fact_app_events"].select(
+        "match_id", F.date_trunc("minute", F.col("event_ts")).cast("timestamp_ntz").alias("event_ts"), "event_id", "user_id", "event_name")
+    ev = ev.withColumn("match_id", F.when(F.col("event_id") % 17 != 0, F.col("match_id") % 2)).withColumn(
+        "event_ts", F.expr("timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, cast(pmod(hash(event_id), 600) as int))"))
+    ev = ev.withColumn("user_id", F.when(F.col("event_id") % 5 != 0, F.col("user_id"))).union(ev.where("event_id % 9 = 0"))
+    mo = ev.select(F.col("event_id").alias("m_id"), "match_id", "event_ts").where("m_id % 3 = 0").distinct()
+    for half_open in (False, True):
+        slow = interval_counts(mo, ev, "match_id", "event_ts", "event_ts", 4, 6, half_open=half_open, aggs=[
+            F.count("_e_event_id").alias("n"), F.count_if(F.col("_e_event_name") == "highlight_view").alias("views"),
+            F.count_distinct("_e_user_id").alias("users")])
+        fast = window_counts(mo, ev, "match_id", "event_ts", "event_ts", 4, 6, half_open=half_open, counts={
+            "n": F.lit(True), "views": F.col("event_name") == "highlight_view"}, distinct={"users": "user_id"})
+        key = lambda r: (r.m_id, r.n)
+        a, b = ([tuple(r[c] for c in ("m_id", "n", "views", "users")) for r in sorted(x.collect(), key=key)] for x in (slow, fast))
+        assert a == b and len(a) > 100 and max(r[1] for r in a) > 5
+        assert all(r[1] == 0 for r in b if r[0] % 17 == 0)
+
+
+def test_window_counts_without_events_or_moments(tables):
+    ev = tables["fact_app_events"].select("match_id", "event_ts", "event_id", "user_id")
+    mo = ev.limit(3)
+    args = ("match_id", "event_ts", "event_ts", 5, 5, {"n": F.lit(True)}, {"u": "user_id"})
+    got = window_counts(mo, ev.where("false"), *args, nearest="near").collect()
+    assert [(r.n, r.u, r.near) for r in got] == [(0, 0, None)] * 3
+    assert window_counts(mo.where("false"), ev, *args).count() == 0
+
+
+def test_nearest_anchor_takes_the_earlier_of_two(spark):
+    me = _match_events(spark, [
+        (i, 1, t, 1, "Pass", 10, 10, None, None, None, None)
+        for i, t in enumerate(("2024-01-01 00:00:00", "2024-01-01 00:08:00", "2024-01-01 00:16:00", "2024-01-01 00:16:00"))])
+    ev = app_events(spark, [(1, 1, "2024-01-01 00:12:00", "app_open", 1), (2, 2, "2024-01-01 00:30:00", "app_open", 1)])
+    rows = session_anchor_audit(ev, me).collect()
+    assert [(r.anchors_within, r.nearest_anchor_ts, r.anchor_gap_seconds) for r in rows] == [(3, ts("2024-01-01 00:08:00"), 240.0)]
+
+
+def test_report_merges_fail_on_repeated_keys(tables):
+    content = tables["dim_content"]
+    with pytest.raises(Exception, match="not unique in content"):
+        sports_report(tables["fact_app_events"], content.union(content.limit(1)), tables["fact_match_events"], tables["dim_matches"]).collect()
+    twice = tables["fact_experiment_assignments"]
+    twice = twice.union(twice.withColumn("experiment_name", F.lit("other")))
+    with pytest.raises(Exception, match="not unique in assignments"):
+        ab_test_report(twice, tables["fact_app_events"]).collect()
+    assert ab_test_report(twice, tables["fact_app_events"], experiment="match_center_v2").count() == 2
+
+
 def test_key_moment_window_bounds_and_left_semantics(spark):
     me = _match_events(spark, [
         (1, 1, "2024-01-01 00:10:00", 1, "Shot", 10, 10, "Goal", 0.5, None, None),

@@ -23,7 +23,7 @@ def test_write_with_layout_roundtrip(tables, tmp_path):
 
 def test_manifest_and_sample(tables, tmp_path):
     m = {r.table: r.rows for r in manifest({k: tables[k] for k in ("dim_users", "dim_matches")}).collect()}
-    assert m["dim_matches"] == 8 and m["dim_users"] == tables["dim_users"].count()
+    assert m["dim_matches"] == 10 and m["dim_users"] == tables["dim_users"].count()
     export_event_sample(tables["fact_app_events"], str(tmp_path / "sample"), n=10)
     rows = tables["fact_app_events"].sparkSession.read.option("header", True).csv(str(tmp_path / "sample")).collect()
     assert sorted(int(r.event_id) for r in rows) == list(range(10))

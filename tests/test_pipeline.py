@@ -12,7 +12,7 @@ def test_generate_marts_extracts(tables, tmp_path):
     assert counts["fact_app_events"] == tables["fact_app_events"].count()
     spark = tables["fact_app_events"].sparkSession
     man = {r.table: r.rows for r in spark.read.json(f"{out}/manifest").collect()}
-    assert man["dim_matches"] == 8
+    assert man["dim_matches"] == 10
     written = build_marts(t, str(tmp_path / "marts"), as_of="2024-02-01 00:00:00")
     assert list(written) == list(MART_ORDER)
     dq = spark.read.parquet(written["mart_data_quality"])
