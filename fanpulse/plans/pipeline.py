@@ -52,7 +52,8 @@ def build_marts(tables: Tables, out: str, as_of: str | None = None) -> dict[str,
         else:
             df = builders[name](tables)
         path = f"{out}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        df, parts = io.layout_plan(df, name)
+        df.write.mode("overwrite").partitionBy(*parts).parquet(path)
         written[name] = path
     return written
 
@@ -68,10 +69,13 @@ def build_extracts(tables: Tables, out: str) -> DataFrame:
     """Write the CSV extracts and the insights record; return the record."""
     extracts = {name: fn(tables) for name, fn in EXTRACTS.items()}
     io.export_extracts(extracts, out)
-    charts = {
-        "executive_daily": extracts["executive_daily"], "funnel": extracts["funnel"],
-        "retention": extracts["retention"], "sports": reports.r9(tables), "marketing": extracts["marketing"],
-        "ab_test": extracts["ab_test"], "key_moments": reports.key_moments_top12(tables),
+    charts = {  # each with the order of its array
+        "executive_daily": (extracts["executive_daily"], ["event_date"]),
+        "funnel": (extracts["funnel"], ["platform", "experiment_variant"]),
+        "retention": (extracts["retention"], ["acquisition_channel", "platform"]),
+        "sports": (reports.r9(tables), [-F.col("unique_viewers"), "match_label"]),
+        "marketing": (extracts["marketing"], ["channel"]), "ab_test": (extracts["ab_test"], ["variant"]),
+        "key_moments": (reports.key_moments_top12(tables), [-F.col("app_events_plus_minus_5m"), "match_id", "minute"]),
     }
     tops = {"top_match": reports.r11_top_match(tables), "best_channel": reports.r11_best_channel(tables),
             "top_moment": reports.r11_top_moment(tables)}
@@ -81,4 +85,4 @@ def build_extracts(tables: Tables, out: str) -> DataFrame:
 
 
 def chart_sizes(record: DataFrame) -> DataFrame:
-    return record.select(*[F.size(c).alias(c) for c in record.columns if c.startswith("chart_")])
+    return record.select(*[F.size(f"charts.{c}").alias(c) for c in record.schema["charts"].dataType.names])

@@ -32,7 +32,7 @@ ORACLE_NAME = {
 
 # ============================================================== Spark builders
 def r1(t):
-    return engagement.executive_daily(t["fact_app_events"])
+    return engagement.executive_daily(t["fact_app_events"]).orderBy("event_date")
 
 
 def r2(t):
@@ -246,12 +246,14 @@ def freshness(events: DataFrame, as_of: str, max_lag_days: int = 2) -> DataFrame
 
 
 def d11(t):
-    ev = t["fact_app_events"].join(t["dim_content"].select("content_id", "content_type"), "content_id", "left")
+    # one row per (match, content, user) before the joins: the rollup copies these, not the events
+    ev = t["fact_app_events"].groupBy("match_id", "content_id", "user_id").agg(
+        F.count(F.lit(1)).alias("_views"), count_if(F.col("event_name") == "subscription_start").alias("_subs"))
+    ev = ev.join(t["dim_content"].select("content_id", "content_type"), "content_id", "left")
     ev = ev.join(t["dim_matches"].select("match_id", "competition_name"), "match_id", "left")
     g = ev.rollup("competition_name", "match_id", "content_type").agg(
-        F.grouping_id().alias("level"), F.count(F.lit(1)).alias("views"),
-        F.count_distinct("user_id").alias("unique_viewers"),
-        count_if(F.col("event_name") == "subscription_start").alias("subscriptions"),
+        F.grouping_id().alias("level"), F.sum("_views").alias("views"),
+        F.count_distinct("user_id").alias("unique_viewers"), F.sum("_subs").alias("subscriptions"),
     )
     # match_id is a drill label here (NULL on the competition and total levels):
     # emitted as text so NULL-able ids never turn into floats downstream

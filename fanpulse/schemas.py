@@ -91,6 +91,15 @@ LAYOUT: dict[str, dict[str, object]] = {
     "fact_app_events": {"partition": "event_date", "clusters": ["user_id", "match_id", "event_name"]},
     "fact_campaign_spend": {"partition": "spend_date", "clusters": ["channel"]},
     "fact_experiment_assignments": {"clusters": ["experiment_name", "variant"]},
+    # marts: only sessions have more than a handful of rows a date; the others are sorted, a folder per date would be tiny
+    "mart_sessions": {"partition": "event_date", "clusters": ["user_id", "match_id"]},
+    "mart_product_daily": {"clusters": ["metric_date"]},
+    "mart_retention_cohort": {"clusters": ["cohort_date", "acquisition_channel", "platform"]},
+    "mart_conversion_funnel": {"clusters": ["funnel_date", "platform", "experiment_variant"]},
+    "mart_sports_engagement": {"clusters": ["competition_name", "match_id", "content_type"]},
+    "mart_football_team_match": {"clusters": ["match_id", "team_id"]},
+    "mart_key_moment_engagement": {"clusters": ["match_id", "event_type"]},
+    "mart_marketing_economics": {"clusters": ["metric_date", "channel"]},
 }
 
 # Fixed values of the product domain.

@@ -9,9 +9,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fanpulse.operators.marketing import TARGET_SCHEMA
@@ -115,9 +115,11 @@ def nan_safe(df: DataFrame) -> DataFrame:
 
 
 def insights_record(
-    kpis: DataFrame, sources: DataFrame, charts: Mapping[str, DataFrame], tops: Mapping[str, DataFrame]
+    kpis: DataFrame, sources: DataFrame, charts: Mapping[str, tuple[DataFrame, Sequence[str | Column]]], tops: Mapping[str, DataFrame]
 ) -> DataFrame:
-    """One nested record: generated_from, kpis, top_* and the chart arrays.
+    """One nested record: generated_from, kpis, top_* and charts, with an array per chart.
+
+    ``charts``: name -> (rows, order); an array is sorted by that order, as ``collect_list`` promises none.
 
     Each input is already small (one row, or a top-k / per-day extract); the
     chart arrays are built by ``collect_list`` inside Spark and the one-row
@@ -127,15 +129,19 @@ def insights_record(
              nan_safe(kpis).select(F.struct("*").alias("kpis"))]
     for name, df in tops.items():
         parts.append(nan_safe(df).agg(F.first(F.struct("*")).alias(name)))
-    for name, df in charts.items():
-        parts.append(nan_safe(df).agg(F.collect_list(F.struct("*")).alias(f"chart_{name}")))
+    for name, (df, order) in charts.items():
+        keys = F.struct(*[(F.col(k) if isinstance(k, str) else k).alias(f"_{i}") for i, k in enumerate(order)])
+        rows = nan_safe(df).select(F.struct(keys.alias("_order"), F.struct("*").alias("_row")).alias("_chart"))
+        parts.append(rows.agg(F.transform(F.array_sort(F.collect_list("_chart")), lambda r: r["_row"]).alias(f"chart_{name}")))
     fields = [(p.columns[0], p.schema[p.columns[0]].dataType) for p in parts]
     out = None
     for p in parts:
         own = p.columns[0]
         row = p.select(*[F.col(n) if n == own else F.lit(None).cast(t).alias(n) for n, t in fields])
         out = row if out is None else out.unionByName(row)
-    return out.agg(*[F.first(n, ignorenulls=True).alias(n) for n, _ in fields])
+    out = out.agg(*[F.first(n, ignorenulls=True).alias(n) for n, _ in fields])
+    plain = [n for n, _ in fields if not n.startswith("chart_")]
+    return out.select(*plain, F.struct(*[F.col(f"chart_{n}").alias(n) for n in charts]).alias("charts"))
 
 
 def write_insights(record: DataFrame, path: str) -> None:

@@ -33,12 +33,12 @@ def test_insights_nan_to_null(spark, tmp_path):
     kpis = spark.createDataFrame([(1, float("nan"))], "peak_dau long, ab_relative_lift double")
     src = spark.createDataFrame([(10, 2)], "app_events long, matches long")
     chart = spark.createDataFrame([("a", 1.0), ("b", float("nan"))], "k string, v double")
-    rec = insights_record(kpis, src, {"c": chart}, {"top": chart.limit(1)})
+    rec = insights_record(kpis, src, {"c": (chart, [chart.columns[0]])}, {"top": chart.limit(1)})
     write_insights(rec, str(tmp_path / "ins"))
     f = [p for p in os.listdir(tmp_path / "ins") if p.endswith(".json")][0]
     doc = json.loads(open(tmp_path / "ins" / f).read())
     assert "ab_relative_lift" not in doc["kpis"] or doc["kpis"]["ab_relative_lift"] is None
-    assert doc["generated_from"]["matches"] == 2 and len(doc["chart_c"]) == 2
+    assert doc["generated_from"]["matches"] == 2 and len(doc["charts"]["c"]) == 2
 
 
 def test_read_campaign_targets(spark, tmp_path):

@@ -17,8 +17,13 @@ def test_generate_marts_extracts(tables, tmp_path):
     assert list(written) == list(MART_ORDER)
     dq = spark.read.parquet(written["mart_data_quality"])
     assert dq.where("status = 'PASS'").count() == 5
+    assert any(f.startswith("event_date=") for f in os.listdir(written["mart_sessions"]))
     record = build_extracts(t, str(tmp_path / "extracts"))
     sizes = chart_sizes(record).collect()[0].asDict()
-    assert sizes["chart_key_moments"] <= 12 and sizes["chart_funnel"] == 6
+    assert sizes["key_moments"] <= 12 and sizes["funnel"] == 6
+    row = record.select("charts.executive_daily", "charts.sports").first()
+    assert [r.event_date for r in row.executive_daily] == sorted(r.event_date for r in row.executive_daily)
+    viewers = [r.unique_viewers for r in row.sports]
+    assert viewers == sorted(viewers, reverse=True)
     assert os.path.isdir(tmp_path / "extracts" / "insights")
     assert record.select(F.col("kpis.peak_dau")).first()[0] > 0
