@@ -71,9 +71,3 @@ def dedupe_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column | st
         F.min_by(F.struct(*[F.col(c) for c in others]), ordered).alias("_row")
     )
     return picked.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in others]).select(*df.columns)
-
-
-def row_number_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
-    """Window form of keep-first (for small dimension tables)."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")

@@ -22,18 +22,6 @@ class DataQualityError(ValueError):
     pass
 
 
-def _row(spark: SparkSession, name: str, observed: Column, expected: str, source: DataFrame | None = None) -> DataFrame:
-    """One result row; ``observed`` is an aggregate over ``source`` (or a literal)."""
-    obs = observed.cast("string")
-    base = source.agg(obs.alias("observed")) if source is not None else spark.range(1).select(obs.alias("observed"))
-    return base.select(
-        F.lit(name).alias("check_name"),
-        F.when(F.col("observed") == F.lit(expected), "PASS").otherwise("FAIL").alias("status"),
-        "observed",
-        F.lit(expected).alias("expected"),
-    )
-
-
 def key_stats(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """(duplicates beyond the first per key with NULLs equal, rows with a NULL key part)
     in one two-stage aggregate (partial aggregation keeps hot keys cheap)."""
@@ -47,15 +35,6 @@ def key_stats(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def unknown_refs(child: DataFrame, child_col: str, parent: DataFrame, parent_col: str, skip_null: bool = False) -> DataFrame:
-    """Child rows whose reference is not in the parent (NULL counts as unknown unless skipped)."""
-    c = child.select(F.col(child_col).alias("_ref"))
-    if skip_null:
-        c = c.where(F.col("_ref").isNotNull())
-    p = parent.select(F.col(parent_col).alias("_ref")).distinct()
-    return c.join(p, "_ref", "left_anti")
-
-
 def backwards_in_order(
     df: DataFrame, group: str, order: str, value: str, bucket: Column | None = None
 ) -> DataFrame:

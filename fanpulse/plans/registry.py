@@ -91,7 +91,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 # date columns of each query's result (kept in sync by tests/test_oracle.py)
 ORACLE_DATE_COLUMNS: dict[str, tuple[str, ...]] = {
-    "date_dimension": ("date",), "mart_conversion_funnel": ("funnel_date",),
+    "date_dimension": ("date",), "ingest_last_matches": ("match_date",), "ingest_matches": ("match_date",), "mart_conversion_funnel": ("funnel_date",),
     "mart_football_team_match": ("match_date",), "mart_marketing_economics": ("metric_date",),
     "mart_product_daily": ("metric_date",), "mart_retention_cohort": ("cohort_date",),
     "mart_sessions": ("event_date",), "mart_sports_engagement": ("match_date",), "metric_selector": ("event_date",),
@@ -107,4 +107,4 @@ def all_oracles() -> dict[str, str]:
 
 def _load_extensions() -> None:
     # report / dashboard / primitive queries register themselves on import
-    from fanpulse.plans import reports  # noqa: F401
+    from fanpulse.plans import ingest_queries, reports  # noqa: F401

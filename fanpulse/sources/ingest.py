@@ -1,13 +1,16 @@
 """Nested football JSON -> star-schema tables (matches, teams, players, events).
 
-Input layout (files already in storage): ``matches.json`` (array of
-matches), ``events/<match_id>.json`` and ``lineups/<match_id>.json`` (arrays).
+Input layout (files already in storage): ``matches.json`` or
+``matches/<competition>/<season>.json`` (array of matches),
+``events/<match_id>.json`` and ``lineups/<match_id>.json`` (arrays).
 Everything is read with explicit schemas and flattened with struct access,
 ``get`` for coordinates, ``explode`` / ``posexplode`` for arrays; no row loop.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -84,9 +87,13 @@ def _match_id_from_file() -> Column:
     return F.regexp_extract(F.col("_metadata.file_name"), r"(\d+)\.json$", 1).cast("long")
 
 
-def read_events(spark: SparkSession, events_dir: str) -> DataFrame:
-    """All event files of a folder, each row tagged with its file's match id."""
-    raw = spark.read.schema(EVENT_SCHEMA).option("multiLine", True).option("mode", "FAILFAST").json(f"{events_dir}/*.json")
+def _match_files(folder: str, match_ids: Sequence[int] | None) -> list[str]:
+    return [f"{folder}/*.json"] if match_ids is None else [f"{folder}/{i}.json" for i in match_ids]
+
+
+def read_events(spark: SparkSession, events_dir: str, match_ids: Sequence[int] | None = None) -> DataFrame:
+    """The event files of a folder (all, or those of ``match_ids``), each row tagged with its file's match id."""
+    raw = spark.read.schema(EVENT_SCHEMA).option("multiLine", True).option("mode", "FAILFAST").json(_match_files(events_dir, match_ids))
     return raw.withColumn("_match_id", _match_id_from_file())
 
 
@@ -133,9 +140,9 @@ def normalize_events(raw: DataFrame, matches: DataFrame) -> DataFrame:
     )
 
 
-def read_lineups(spark: SparkSession, lineups_dir: str) -> DataFrame:
+def read_lineups(spark: SparkSession, lineups_dir: str, match_ids: Sequence[int] | None = None) -> DataFrame:
     """Lineup files read whole (one row per file) so array positions are kept."""
-    raw = spark.read.option("wholetext", True).text(f"{lineups_dir}/*.json")
+    raw = spark.read.option("wholetext", True).text(_match_files(lineups_dir, match_ids))
     raw = raw.withColumn("_match_id", _match_id_from_file())
     teams = raw.select("_match_id", F.posexplode(F.from_json("value", T.ArrayType(LINEUP_SCHEMA), {"mode": "FAILFAST"})).alias("_team_pos", "t"))
     return teams.select("_match_id", "_team_pos", "t.*")
@@ -152,21 +159,38 @@ def normalize_lineups(raw: DataFrame) -> DataFrame:
     )
 
 
-def load_football_data(spark: SparkSession, root: str, max_matches: int) -> dict[str, DataFrame]:
-    """The last ``max_matches`` matches by (date, id) with their events, teams
-    and players (first occurrence per player id in match/team/lineup order)."""
-    matches = normalize_matches(read_matches(spark, f"{root}/matches.json"))
-    kept = matches.orderBy(F.desc("match_date"), F.desc("match_id")).limit(max_matches)
-    kept_ids = kept.select(F.col("match_id").alias("_match_id"))
-    events = normalize_events(read_events(spark, f"{root}/events").join(kept_ids, "_match_id", "left_semi"), kept)
-    lineups = normalize_lineups(read_lineups(spark, f"{root}/lineups").join(kept_ids, "_match_id", "left_semi"))
-    order = kept.select(F.col("match_id").alias("_match_id"), "match_date")
+def football_tables(matches: DataFrame, raw_events: DataFrame, raw_lineups: DataFrame, max_matches: int | None = None) -> dict[str, DataFrame]:
+    """Star tables from normalised matches and raw events and lineups (tagged with ``_match_id``): all matches, or the
+    last ``max_matches`` by (date, id). A player's first listing in (date, match, team, lineup) order stands."""
+    if max_matches is not None:
+        matches = matches.orderBy(F.desc("match_date"), F.desc("match_id")).limit(max_matches)
+        kept_ids = matches.select(F.col("match_id").alias("_match_id"))
+        raw_events = raw_events.join(kept_ids, "_match_id", "left_semi")
+        raw_lineups = raw_lineups.join(kept_ids, "_match_id", "left_semi")
+    order = matches.select(F.col("match_id").alias("_match_id"), "match_date")
     players = dedupe_first(
-        lineups.join(order, "_match_id"), ["player_id"], ["match_date", "_match_id", "_team_pos", "_player_pos"]
+        normalize_lineups(raw_lineups).join(order, "_match_id"), ["player_id"], ["match_date", "_match_id", "_team_pos", "_player_pos"]
     ).select("player_id", "player_name", "team_id", "team_name")
     return {
-        "dim_matches": kept,
-        "dim_teams": normalize_teams(kept),
+        "dim_matches": matches,
+        "dim_teams": normalize_teams(matches),
         "dim_players": players,
-        "fact_match_events": events,
+        "fact_match_events": normalize_events(raw_events, matches),
     }
+
+
+def load_football_data(spark: SparkSession, root: str, max_matches: int) -> dict[str, DataFrame]:
+    """The last ``max_matches`` matches of ``matches.json`` with their events, teams and players."""
+    matches = normalize_matches(read_matches(spark, f"{root}/matches.json"))
+    return football_tables(matches, read_events(spark, f"{root}/events"), read_lineups(spark, f"{root}/lineups"), max_matches)
+
+
+def load_season(spark: SparkSession, root: str, competition_id: int, season_id: int, max_matches: int) -> dict[str, DataFrame]:
+    """The last ``max_matches`` matches of ``matches/<competition>/<season>.json``; only their own event and lineup files
+    are read. The driver holds the kept match ids, at most ``max_matches``; a missing file fails the read."""
+    matches = normalize_matches(read_matches(spark, f"{root}/matches/{competition_id}/{season_id}.json"))
+    kept = matches.orderBy(F.desc("match_date"), F.desc("match_id")).limit(max_matches)
+    ids = [r.match_id for r in kept.select("match_id").collect()]
+    if not ids:
+        raise ValueError(f"no matches for competition {competition_id}, season {season_id}")
+    return football_tables(kept, read_events(spark, f"{root}/events", ids), read_lineups(spark, f"{root}/lineups", ids))

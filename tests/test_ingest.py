@@ -3,7 +3,7 @@ import os
 
 import pytest
 
-from fanpulse.sources.ingest import (load_football_data, normalize_events, normalize_lineups, normalize_matches,
+from fanpulse.sources.ingest import (load_football_data, load_season, normalize_events, normalize_lineups, normalize_matches,
                                      normalize_teams, read_events, read_lineups, read_matches)
 
 MATCH = {"match_id": 7, "match_date": "2031-05-09", "kick_off": "21:15:00.000",
@@ -71,6 +71,24 @@ def test_load_football_data_keeps_last_matches_and_first_player(spark, tmp_path)
     assert one["fact_match_events"].count() == 0
 
 
+def test_load_season_reads_only_its_own_files(spark, tmp_path):
+    root = str(tmp_path)
+    _write(root)
+    os.makedirs(f"{root}/matches/5")
+    json.dump([MATCH, MATCH2], open(f"{root}/matches/5/61.json", "w"))
+    json.dump([], open(f"{root}/matches/5/62.json", "w"))
+    open(f"{root}/events/99.json", "w").write("[{")  # another match's broken file is never opened
+    data = load_season(spark, root, 5, 61, max_matches=2)
+    assert data["dim_matches"].count() == 2 and data["fact_match_events"].count() == 2
+    assert {r.player_id for r in data["dim_players"].collect()} == {9, 10}
+    os.remove(f"{root}/events/7.json")
+    assert load_season(spark, root, 5, 61, max_matches=1)["fact_match_events"].count() == 0
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        load_season(spark, root, 5, 61, max_matches=2)
+    with pytest.raises(ValueError, match="no matches"):
+        load_season(spark, root, 5, 62, max_matches=2)
+
+
 @pytest.mark.parametrize("part", ["matches", "events/7", "lineups/7"])
 def test_truncated_files_raise(spark, tmp_path, part):
     root = str(tmp_path)
