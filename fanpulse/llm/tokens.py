@@ -2,7 +2,8 @@
 
 The tokenizer in use drops white space, so a text's ids are those of its blank-separated chunks in order. Chunks are cut
 further into letter runs, digits and signs only where that cannot change the result (each such piece is exactly one
-pre-token); all other chunks go to the library as they are. New pieces are encoded many at a time.
+pre-token); all other chunks go to the library as they are. New pieces are encoded many at a time. Arrow does the cutting
+and the laying out; Python sees each distinct piece of a batch once.
 """
 
 from __future__ import annotations
@@ -17,11 +18,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Encodings of pieces and of chunks that a worker keeps at most (about 250 MB); beyond that it starts anew.
+#: Encodings of pieces that a worker keeps at most (about 200 MB); beyond that it starts anew.
 KEPT_PIECES = 1_200_000
-KEPT_CHUNKS = 600_000
 
 _PLAIN = re.compile(r"[a-z]+|[0-9]|[!-/:-@\[-`{-~]+")
+_SIMPLE = re.compile(r"[a-z]+|[0-9]|[!-&(-/:-@\[-`{-~]+")
 _LETTERS = re.compile(r"[^\W\d_]+|[0-9]|[!-/:-@\[-`{-~]+")
 
 
@@ -43,8 +44,7 @@ class PieceEncoder:
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         for word, i in vocabulary.items():
             self.ends[i] = word.endswith("</w>")
-        self.pieces: dict[str, bytes] = {}
-        self.chunks: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {"": b""}
         self.dtype = np.dtype("<u2") if len(self.ends) <= 1 << 16 else np.dtype("<u4")
 
     @staticmethod
@@ -69,19 +69,25 @@ class PieceEncoder:
                 return pieces
         return [chunk]
 
-    def _learn(self, cuts: list[list[str]], chunks: list[str]) -> None:
-        """Encode the pieces of ``cuts`` that aren't known; whole chunks that were not cut go one by one."""
+    def _learn(self, new: list[str]) -> None:
+        """Encode unknown pieces: simple ones many at a time, others cut up where that is certain, else one by one."""
         known = self.pieces
-        simple, rest = set(), set()
-        for chunk, cut in zip(chunks, cuts):
-            if len(cut) == 1 and cut[0] == chunk and not chunk.isalnum():
-                if chunk not in known:
-                    rest.add(chunk)
-            else:
-                simple.update(p for p in cut if p not in known)
-        new = list(simple)
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
+        simple, rest, parts = [], set(), {}
+        seen: set[str] = set()
+        for p in new:
+            if _SIMPLE.fullmatch(p) and "<|" not in p:
+                simple.append(p)
+                continue
+            cut = self._cut(p)
+            if len(cut) == 1 and cut[0] == p and not p.isalnum():
+                rest.add(p)
+                continue
+            seen.update(c for c in cut if c not in known)
+            if cut != [p]:
+                parts[p] = cut
+        simple = list(seen.union(simple)) if seen else simple
+        for at in range(0, len(simple), 4096):
+            part = simple[at : at + 4096]
             ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, dtype=self.dtype)
             ends = (np.flatnonzero(self.ends[ids]) + 1) * self.dtype.itemsize
             if len(ends) == len(part):
@@ -95,36 +101,35 @@ class PieceEncoder:
             one_by_one = list(rest)
             for piece, e in zip(one_by_one, self.tokenizer.encode_batch_fast(one_by_one, add_special_tokens=False)):
                 known[piece] = np.array(e.ids, dtype=self.dtype).tobytes()
+        for p, cut in parts.items():
+            known[p] = b"".join([known[c] for c in cut])
 
-    def _bytes_of(self, chunks: list[str]) -> list[bytes]:
-        if len(self.chunks) > KEPT_CHUNKS:
-            self.chunks.clear()
+    def _ids_of(self, pieces: list[str]) -> list[bytes]:
         if len(self.pieces) > KEPT_PIECES:
-            self.pieces.clear()
-        known = self.chunks
-        new = [c for c in chunks if c not in known]
-        cuts = list(map(self._cut, new))
-        self._learn(cuts, new)
-        piece = self.pieces
-        for c, cut in zip(new, cuts):
-            known[c] = piece[cut[0]] if len(cut) == 1 else b"".join([piece[p] for p in cut])
-        return [known[c] for c in chunks]
+            self.pieces = {"": b""}
+        known = self.pieces
+        self._learn([p for p in pieces if p not in known])
+        return [known[p] for p in pieces]
+
+    def _bytes_of(self, chunks: pa.Array) -> pa.Array:
+        """The ids' bytes of each chunk. Chunks of ASCII signs are cut into pieces by Arrow, others are one piece."""
+        plain = pc.and_not(pc.match_substring_regex(chunks, r"^[a-zA-Z0-9!-&(-/:-@\[-`{-~]+$"), pc.match_substring(chunks, "<|"))
+        spaced = pc.replace_substring_regex(pc.ascii_lower(chunks), r"([0-9]|[!-/:-@\[-`{-~]+)", r" \1 ")
+        cut = pc.ascii_split_whitespace(pc.if_else(plain, spaced, chunks))
+        coded, at = cut.flatten().dictionary_encode(), np.asarray(cut.offsets)
+        laid = pa.array(self._ids_of(coded.dictionary.to_pylist()), pa.large_binary()).take(coded.indices)
+        ends = np.frombuffer(laid.buffers()[1], np.int64, len(laid) + 1)
+        return pa.Array.from_buffers(pa.large_binary(), len(chunks), [None, pa.py_buffer(ends[at - at[0]]), laid.buffers()[2]])
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after another, number of ids of each text); null texts have none."""
         split = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))
         flat, offsets = split.flatten(), np.asarray(split.offsets)
-        coded = flat.dictionary_encode()
-        codes = coded.indices.to_numpy(zero_copy_only=False)
-        if not len(codes):
+        if not len(flat):
             return np.zeros(0, self.dtype), np.zeros(len(texts), np.int64)
-        of_chunk = self._bytes_of(coded.dictionary.to_pylist())
-        n = np.fromiter(map(len, of_chunk), np.int32, len(of_chunk)) // np.int32(self.dtype.itemsize)
-        values = np.frombuffer(b"".join(of_chunk), dtype=self.dtype)
-        first = np.cumsum(n, dtype=np.int32) - n
-        lengths = n[codes]
-        total = np.concatenate([np.zeros(1, np.int64), np.cumsum(lengths, dtype=np.int64)])
-        # place of a token = place of its chunk's first id + its number in the chunk
-        at = np.repeat((first[codes] - total[:-1]).astype(np.int64), lengths)
-        at += np.arange(len(at))
-        return values[at], np.diff(total[offsets - offsets[0]])
+        coded = flat.dictionary_encode()
+        # the ids' bytes of each chunk, laid one after another by Arrow
+        laid = self._bytes_of(coded.dictionary).take(coded.indices)
+        ends = np.frombuffer(laid.buffers()[1], np.int64, len(laid) + 1) // self.dtype.itemsize
+        tokens = np.frombuffer(laid.buffers()[2], self.dtype, int(ends[-1])) if ends[-1] else np.zeros(0, self.dtype)
+        return tokens, np.diff(ends[offsets - offsets[0]])
