@@ -9,14 +9,19 @@ Two documents link when 100 * intersection >= 80 * union of their sets of distin
    linked sets share a prefix shingle. Classes with identical prefixes and size are collapsed into one group.
 3. Group pairs that share a prefix shingle are filtered by size and by the place of the shingle. First only one hub per
    shingle and size band is paired with the others; the links found give components. Then all pairs whose members are
-   still in different components are paired, so no link that could join two components is lost, while a large group of
-   near copies costs few pairs per member instead of all.
-4. Pairs are expanded to members and verified on the whole sets from the texts.
+   still in different components are paired and verified on the whole sets from the texts.
+4. Inside a component every pair counts: its classes are cut by size into blocks, and two blocks (or one with itself)
+   whose sizes can meet are compared in one task as a product of 0/1 matrices over their common shingles. A text is read
+   once per block pair, not once per pair, so a large group of near copies is counted whole.
+
+A document's links are all other rows whose text links with its own: those of linked classes and of its own class. No
+pair is left out: it lies in one component of step 3 and is counted in step 4, or in two and is verified in step 3.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z; with fewer than five, the whole sequence is one shingle. Null and
-empty texts have empty sets and link with nothing; their component is their own id. Rows that share a doc_id are one
-document, for which one of its texts stands in comparisons with other texts; each keeps its row. Null ids link like others but never name a component;
-the component of documents without any id is null. Other columns are ignored.
+empty texts have empty sets and link with nothing; their component is their own id. A row is known by its id and text, and
+a class by its least row, so rows that share a doc_id with different texts are compared each by its own text; components
+and classes are reported by their least doc_id. Null ids link like others but never name a component; the component of
+documents without any id is null. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import scratch_path, stored, table, text_slices
@@ -38,8 +43,11 @@ PERCENT = 80
 SKETCH_BITS = 22  # counters of the frequency sketch: 4 million, whatever the input
 SLICES = 64
 MAX_BROADCAST_IDS = 4_000_000  # ids of 8 bytes
+BLOCK_SHINGLES = 1 << 21  # of a block's sets together; a class weighs at least MIN_WEIGHT, so a block has at most 1024
+MIN_WEIGHT = 1 << 11
+COLUMNS = 4096  # shingles per matrix product
 
-FIRST = "kind string, doc_id long, n int, s1 long, s2 long, slice int, counts binary"
+FIRST = "kind string, doc_id long, row long, n int, s1 long, s2 long, slice int, counts binary"
 _MASK = np.uint64((1 << SKETCH_BITS) - 1)
 
 
@@ -51,9 +59,9 @@ def set_key(hashes: np.ndarray) -> tuple[int, int]:
 
 
 def first_pass(docs: DataFrame, path: str) -> None:
-    """Writes kind=set: doc_id, n, s1, s2 of every document; kind=sketch: each task's counts, in slices."""
-    names = ["kind", "doc_id", "n", "s1", "s2", "slice", "counts"]
-    types = [pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+    """Writes kind=set: doc_id, row, n, s1, s2 of every document; kind=sketch: each task's counts, in slices."""
+    names = ["kind", "doc_id", "row", "n", "s1", "s2", "slice", "counts"]
+    types = [pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << SKETCH_BITS, np.uint32)
@@ -62,13 +70,13 @@ def first_pass(docs: DataFrame, path: str) -> None:
             counts += np.bincount((np.concatenate(sets) & _MASK).astype(np.int64), minlength=1 << SKETCH_BITS).astype(np.uint32)
             keys = [set_key(s) for s in sets]
             n = len(sets)
-            values = [["set"] * n, batch.column(0), [len(s) for s in sets], [k[0] for k in keys], [k[1] for k in keys], [None] * n, [None] * n]
+            values = [["set"] * n, batch.column(0), batch.column(2), [len(s) for s in sets], [k[0] for k in keys], [k[1] for k in keys], [None] * n, [None] * n]
             yield pa.RecordBatch.from_arrays([v if isinstance(v, pa.Array) else pa.array(v, t) for v, t in zip(values, types)], names=names)
         for i, part in enumerate(np.split(counts, SLICES)):
             at = np.flatnonzero(part).astype("<u2")
             if len(at):  # places and counts
                 data = np.uint32(len(at)).tobytes() + at.tobytes() + part[at].astype("<u4").tobytes()
-                yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(["sketch", None, None, None, None, i, data], types)], names=names)
+                yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(["sketch", None, None, None, None, None, i, data], types)], names=names)
 
     docs.mapInArrow(run, FIRST).write.partitionBy("kind").option("compression", "zstd").parquet(path)
 
@@ -109,24 +117,24 @@ def _classes_only(batch: pa.RecordBatch) -> pa.RecordBatch:
 
 
 def prefixes(docs: DataFrame, classes: np.ndarray) -> DataFrame:
-    """s1, s2, n, doc_id, prefix: the first shingles of each non-empty set in the global order, as 64-bit tokens."""
+    """s1, s2, n, doc_id, row, prefix: the first shingles of each non-empty set in the global order, as 64-bit tokens."""
     shared = docs.sparkSession.sparkContext.broadcast(classes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequency = shared.value
         for batch in text_slices(batches):
-            ids, rows = batch.column(0).to_pylist(), []
-            for doc_id, s in zip(ids, shingle_sets(batch.column(1).to_pylist(), WIDTH)):
+            rows = []
+            for doc_id, row, s in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), shingle_sets(batch.column(1).to_pylist(), WIDTH)):
                 if n := len(s):
                     size = n - -(-PERCENT * n // 100) + 1
                     token = (frequency[(s & _MASK).astype(np.int64)].astype(np.uint64) << np.uint64(56)) | (mix64(s) >> np.uint64(8))
                     first = np.partition(token, size - 1)[:size] if size < n else token
-                    rows.append((*set_key(s), n, doc_id, np.sort(first).astype(np.int64)))
+                    rows.append((*set_key(s), n, doc_id, row, np.sort(first).astype(np.int64)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int64())))],
-                names=["s1", "s2", "n", "doc_id", "prefix"])
+                [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64())))],
+                names=["s1", "s2", "n", "doc_id", "row", "prefix"])
 
-    return docs.mapInArrow(run, "s1 long, s2 long, n int, doc_id long, prefix array<long>")
+    return docs.mapInArrow(run, "s1 long, s2 long, n int, doc_id long, row long, prefix array<long>")
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -154,18 +162,85 @@ def fits(n1: str, p1: str, n2: str, p2: str):
     return (F.expr(f"100 * least({n1}, {n2}) >= {PERCENT} * greatest({n1}, {n2})")) & (F.expr(f"least({n1} - {p1}, {n2} - {p2})") >= least)
 
 
+def common(one: list[np.ndarray], two: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of each set of ``one`` with each of ``two``, exact."""
+    out = np.zeros((len(one), len(two)))
+    shared = np.intersect1d(np.concatenate(one), np.concatenate(two))
+
+    def cells(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """(column, row) of every shared shingle, by column."""
+        values, rows = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        at = np.minimum(np.searchsorted(shared, values), len(shared) - 1)
+        keep = shared[at] == values
+        order = np.argsort(at[keep], kind="stable")
+        return at[keep][order], rows[keep][order]
+
+    if not len(shared):
+        return out
+    sides = [cells(one), cells(two)]
+    for first in range(0, len(shared), COLUMNS):  # a product adds at most COLUMNS ones, exact in 32 bits
+        parts = []
+        for (column, row), sets in zip(sides, (one, two)):
+            lo, hi = np.searchsorted(column, [first, first + COLUMNS])
+            part = np.zeros((len(sets), min(COLUMNS, len(shared) - first)), np.float32)
+            part[row[lo:hi], column[lo:hi] - first] = 1
+            parts.append(part)
+        out += parts[0] @ parts[1].T
+    return out
+
+
+def block_links(group: pa.Table) -> pa.Table:
+    """The links between the classes of two blocks, or inside one, as cid, n_links (rows of the linked classes)."""
+    i, j = group["i"][0].as_py(), group["j"][0].as_py()
+    cid, blk, rows = (group[c].to_numpy() for c in ("cid", "blk", "rows"))
+    sets = shingle_sets(group["text"].to_pylist(), WIDTH)
+    sizes = np.array([len(x) for x in sets], np.int64)
+    x, y = np.flatnonzero(blk == i), np.flatnonzero(blk == j)
+    same = common([sets[k] for k in x], [sets[k] for k in y]).astype(np.int64)
+    linked = 100 * same >= PERCENT * (sizes[x][:, None] + sizes[y][None, :] - same)
+    if i == j:
+        np.fill_diagonal(linked, False)
+        names, n = cid[x], linked @ rows[y]
+    else:
+        names, n = np.concatenate([cid[x], cid[y]]), np.concatenate([linked @ rows[y], linked.T @ rows[x]])
+    return pa.table({"cid": pa.array(names, pa.int64()), "n_links": pa.array(n, pa.int64())}).filter(pa.array(n > 0))
+
+
+def links_inside(comps: DataFrame, found: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """cid, n_links: rows of linked classes of the same component. ``classes``: cid, n, rows; ``found``: its verified links."""
+    of_comp = stored(comps.groupBy("comp").agg(F.count("*").alias("held")), "held")
+    nodes = stored(comps.join(of_comp, "comp").join(classes.select(F.col("cid").alias("node"), "n", "rows"), "node").select(F.col("node").alias("cid"), "comp", "held", "n", "rows"), "nodes")
+    # components of two classes: their one link is known
+    two = nodes.where("held = 2").select("cid", "rows")
+    a, b = (two.select(F.col("cid").alias(c), F.col("rows").alias(f"rows_{c}")) for c in "ab")
+    alone = found.join(a, "a").join(b, "b").select(F.explode(F.array(
+        F.struct(F.col("a").alias("cid"), F.col("rows_b").alias("n_links")), F.struct(F.col("b").alias("cid"), F.col("rows_a").alias("n_links")))).alias("x")).select("x.*")
+
+    by_size = Window.partitionBy("comp").orderBy("n", "cid").rowsBetween(Window.unboundedPreceding, -1)
+    weight = F.greatest(F.col("n").cast("long"), F.lit(MIN_WEIGHT))
+    rest = nodes.where("held > 2").withColumn("blk", F.floor(F.coalesce(F.sum(weight).over(by_size), F.lit(0)) / BLOCK_SHINGLES).cast("int"))
+    rest = stored(rest.select("comp", "blk", "cid", "n", "rows"), "blocks")
+    blocks = rest.groupBy("comp", "blk").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    x, y = (blocks.select("comp", *[F.col(c).alias(f"{c}_{s}") for c in ("blk", "least", "most")]) for s in "xy")
+    pairs = x.join(y, "comp").where(f"blk_x <= blk_y and 100 * most_x >= {PERCENT} * least_y")  # sizes rise with the blocks
+    pairs = pairs.select("comp", F.col("blk_x").alias("i"), F.col("blk_y").alias("j"))
+    both = pairs.withColumn("blk", F.explode(F.array_distinct(F.array("i", "j"))))
+    members = rest.join(texts, "cid").join(both, ["comp", "blk"]).select("comp", "i", "j", "blk", "cid", "rows", "text")
+    return members.groupBy("comp", "i", "j").applyInArrow(block_links, "cid long, n_links long").unionByName(alone)
+
+
 def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(doc_id, n, cid of every document; links a, b between classes that suffice for the components; node, comp)."""
+    """(doc_id, row, n, cid of every document; every class's cid, rows, least doc_id, n_links; node, comp)."""
     spark = docs.sparkSession
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), row_key(id_col, text_col).alias("row"))
     path = scratch_path(spark, "sets")
     first_pass(docs, path)
-    sets = spark.read.schema(FIRST).parquet(path).where("kind = 'set'").select("doc_id", "n", "s1", "s2")
+    sets = spark.read.schema(FIRST).parquet(path).where("kind = 'set'").select("doc_id", "row", "n", "s1", "s2")
 
-    # classes of equal sets, named by their least id; classes without any id get a negative name
+    # classes of equal sets, named by their least row
     sized = prefixes(docs, frequency_classes(spark, path))
-    of_class = sized.groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("cid"), F.any_value("prefix").alias("prefix"))
-    of_class = of_class.withColumn("cid", F.coalesce("cid", F.expr("-1 - (s1 & 9223372036854775807)")))
+    of_class = sized.groupBy("s1", "s2", "n").agg(
+        F.min("row").alias("cid"), F.min("doc_id").alias("least"), F.count("*").alias("rows"), F.any_value("prefix").alias("prefix"))
     of_class = stored(of_class, "classes")
     # groups: identical prefix and size; the least class stands for its group
     group_key = [F.xxhash64("prefix"), F.xxhash64(F.lit(7), F.col("prefix")), F.col("n")]
@@ -200,12 +275,9 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tu
 
     wanted = stored(tokens.select(F.col("gid").alias("cid")).distinct(), "wanted")
     small = wanted.limit(MAX_BROADCAST_IDS + 1).count() <= MAX_BROADCAST_IDS
-    texts = docs.where("text is not null").join(F.broadcast(wanted) if small else wanted, F.col("doc_id") == F.col("cid"), "left_semi")
-    texts = texts.select(F.col("doc_id").alias("cid"), "text")
-    if not sets.where("doc_id is null and n > 0").isEmpty():  # classes of rows without an id are named by their set
-        texts = texts.unionByName(_unnamed(docs, wanted))
-    texts = stored(texts, "texts")
-    if not texts.groupBy("cid").count().where("count > 1").isEmpty():  # rows that share an id: one of their texts stands for them
+    texts = docs.where("text is not null").join(F.broadcast(wanted) if small else wanted, F.col("row") == F.col("cid"), "left_semi")
+    texts = stored(texts.select(F.col("row").alias("cid"), "text"), "texts")
+    if not texts.groupBy("cid").count().where("count > 1").isEmpty():  # repeated rows, with the same text
         texts = stored(texts.dropDuplicates(["cid"]), "texts")
     found = stored(verified(pairs, texts), "links")
     comps = components(found)
@@ -218,37 +290,36 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tu
     cross = x.join(y, (x["token"] == y["token"]) & F.expr("gid_x < gid_y and comp_x <> comp_y") & fits("n_x", "p_x", "n_y", "p_y"))
     cross = cross.select(F.col("gid_x").alias("a"), F.col("gid_y").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
     more = stored(verified(stored(cross, "pairs"), texts), "links")
-    found = found.unionByName(more)
+    inside = links_inside(comps, found, of_class.select("cid", "n", "rows"), texts)
+    ends = more.select(F.col("a").alias("cid"), F.col("b").alias("to")).unionByName(more.select(F.col("b").alias("cid"), F.col("a").alias("to")))
+    across = ends.join(of_class.select(F.col("cid").alias("to"), "rows"), "to").select("cid", F.col("rows").alias("n_links"))
+    n_links = stored(inside.unionByName(across).groupBy("cid").agg(F.sum("n_links").alias("n_links")), "counts")
     if not more.isEmpty():
-        comps = components(found)
-    class_of = of_class.select("s1", "s2", "n", "cid")
-    documents = sets.join(class_of, ["s1", "s2", "n"], "left").select("doc_id", "n", "cid")
-    return documents, found, comps
+        comps = components(found.unionByName(more))
+    classes = of_class.select("cid", "least", "rows").join(n_links, "cid", "left").select("cid", "least", "rows", (F.coalesce("n_links", F.lit(0)) + F.col("rows") - 1).alias("n_links"))
+    documents = sets.join(of_class.select("s1", "s2", "n", "cid"), ["s1", "s2", "n"], "left").select("doc_id", "row", "n", "cid")
+    return documents, classes, comps
 
 
-def _unnamed(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Texts of classes that only rows without an id belong to."""
+def row_key(id_col: str, text_col: str) -> Column:
+    """One long for a row's id and text."""
+    return F.xxhash64(F.col(id_col).cast("long"), F.col(text_col))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches):
-            keys = [set_key(s)[0] if len(s) else None for s in shingle_sets(batch.column(1).to_pylist(), WIDTH)]
-            names = [None if k is None else -1 - (k & ((1 << 63) - 1)) for k in keys]
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), batch.column(1)], names=["cid", "text"])
 
-    rows = docs.where("doc_id is null and text is not null").mapInArrow(run, "cid long, text string")
-    return rows.join(wanted.where("cid < 0"), "cid", "left_semi").dropDuplicates(["cid"])
+def labelled_classes(classes: DataFrame, comps: DataFrame) -> DataFrame:
+    """``classes`` with comp (its name inside the join) and first (the least doc_id of the component, or null)."""
+    out = classes.join(comps.select(F.col("node").alias("cid"), "comp"), "cid", "left")
+    first = stored(out.where("comp is not null").groupBy(F.col("comp").alias("c")).agg(F.min("least").alias("of_comp")), "least")
+    out = out.join(first, F.col("comp") == F.col("c"), "left")
+    return out.withColumn("first", F.when(F.col("comp").isNull(), F.col("least")).otherwise(F.col("of_comp"))).withColumn("comp", F.coalesce("comp", "cid")).drop("c", "of_comp")
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id, class_id (documents with the same set) for every row."""
-    documents, _, comps = links(docs, id_col, text_col)
-    out = documents.join(comps.select(F.col("node").alias("cid"), "comp"), "cid", "left").withColumn("comp", F.coalesce("comp", "cid", "doc_id"))
-    out = out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), "comp", F.col("cid").alias("class_id"))
-    named = out.where("comp < 0 and doc_id is not null and class_id is not null")
-    if not documents.where("doc_id is null and cid is not null").isEmpty():  # a component named by its set takes its least id, or null
-        least = stored(named.groupBy(F.col("comp").alias("c")).agg(F.min("doc_id").alias("least")), "least")
-        out = out.join(least, F.col("comp") == F.col("c"), "left").withColumn("comp", F.when((F.col("comp") < 0) & F.col("class_id").isNotNull(), F.col("least")).otherwise(F.col("comp"))).drop("c", "least")
-    return out.select("doc_id", "n_shingles", F.col("comp").alias("component_id"), "class_id")
+    """doc_id, n_shingles, component_id, class_id (documents with the same set), n_links (other rows it links with)."""
+    documents, classes, comps = links(docs, id_col, text_col)
+    out = documents.join(labelled_classes(classes, comps).drop("comp"), "cid", "left")
+    own = F.when(F.col("cid").isNull(), F.col("doc_id"))
+    return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("first", own).alias("component_id"), F.col("least").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -51,6 +51,23 @@ def test_jaccard_join_matches_brute_force(spark):
     assert got == _components(rows)
 
 
+def test_jaccard_join_counts_every_link(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "BLOCK_SHINGLES", 40 * jaccard_join.MIN_WEIGHT)  # several blocks in the group
+    rng = random.Random(3)
+    rows = []
+    for k in range(150):  # one component; members link with some of the others only
+        copy = [f"g{i}" for i in range(200 + k % 40)]
+        for at in rng.sample(range(200), rng.randrange(4)):
+            copy[at] = f"h{rng.randrange(10)}"
+        rows.append((len(rows), " ".join(copy)))
+    rows += [(200, rows[0][1]), (201, rows[0][1].upper()), (202, "a b"), (203, "A  b"), (204, "a b c"), (205, None), (206, ""), (207, "")]
+    rows += [(300 + k, " ".join(f"p{i}" for i in range(60 + k))) for k in range(2)]
+    sets = _sets(rows)
+    expected = {d: sum(a != d and bool(x & y) and 100 * len(x & y) >= 80 * len(x | y) for a, y in sets) for d, x in sets}
+    got = {r.doc_id: r.n_links for r in jaccard_join.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == expected and got[202] == 1 and 0 < got[10] < 149
+
+
 def test_jaccard_join_nulls_and_repeats(spark):
     text = " ".join(f"w{i}" for i in range(40))
     rows = [(None, text), (5, text), (5, text), (None, "only null ids here " * 3), (None, "only null ids here " * 3), (-4, text + " more"), (8, "alone")]
