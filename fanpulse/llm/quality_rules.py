@@ -1,8 +1,9 @@
 """Quality rules: compression bands.
 
 The zstandard ratio (raw bytes / compressed bytes) of a whole text and of its fixed chunks must stay inside a band that
-depends on the length: repetitive text lies above it, incompressible text (keys, encoded data) below. Base counts that
-the rules also use: words, characters in words, symbols, repeated lines and repeated 5-word windows.
+depends on the length: repetitive text lies above it, incompressible text (keys, encoded data) below. A rest after the
+last chunk is tested in a chunk that ends with the text, so chunks cover every byte; texts under a chunk's length have
+shorter chunks, those under 512 bytes only the whole ratio. Base counts that the rules also use: words, characters in words, symbols, repeated lines and repeated 5-word windows.
 
 Words are ``[^\\x20\\x09-\\x0D]+``. A text with no words fails the base rule (under 10 words). Null counts as empty: its
 ratio is null. A text is compressed in pieces, whole however long. Repeated rows each get their own result row.
@@ -25,17 +26,24 @@ SYMBOLS = "#*$%&|<>"
 
 @dataclass(frozen=True)
 class Bands:
-    """Limits by length in bytes: (from this length on, least ratio, most ratio); chunks have one band of their own."""
+    """Limits by length in bytes: (from this length on, least ratio, most ratio). Chunks: (from this length of the text on,
+    bytes of a chunk, least ratio, most ratio); their least ratios lie between base64 (1.18 and 1.29) and prose (1.39 and 1.6)."""
 
     whole: tuple[tuple[int, float, float], ...] = ((0, 0.0, 2.5), (128, 0.9, 3.5), (512, 1.15, 4.0), (2048, 1.4, 5.0), (16384, 1.45, 6.0))  # text in base64 has 1.33
-    chunk_bytes: int = 2048
-    chunk: tuple[float, float] = (1.4, 6.0)
-    most_outside: float = 0.25  # share of the chunks that may lie outside
+    chunk: tuple[tuple[int, int, float, float], ...] = ((512, 512, 1.25, 6.0), (2048, 2048, 1.4, 6.0))
+    one_outside: int = 8192  # from this length on a single chunk may lie outside,
+    most_outside: float = 0.02  # or this share of the chunks, where it is more
     level: int = 3
 
     def limits(self, n_bytes: int) -> tuple[float, float]:
         return next((low, high) for least, low, high in reversed(self.whole) if n_bytes >= least)
 
+    def chunks(self, n_bytes: int) -> tuple[int, float, float] | None:
+        return next((rest for least, *rest in reversed(self.chunk) if n_bytes >= least), None)
+
+    def may_lie_outside(self, n_bytes: int, n_chunks: int) -> int:
+        return max(1, int(self.most_outside * n_chunks)) if n_bytes >= self.one_outside else 0
+
 
 def repeated_windows(words: list[bytes], width: int = 5) -> int:
     """Words that lie in a window of ``width`` words found twice or more, the first finding included."""
@@ -70,16 +78,20 @@ def ratios(data: bytes, bands: Bands, coder: zstandard.ZstdCompressor) -> tuple[
     if not data:
         return None, []
     whole = len(data) / len(coder.compress(data))
-    n = bands.chunk_bytes
-    return whole, [n / len(coder.compress(data[i : i + n])) for i in range(0, len(data) - n + 1, n)]
+    if (chunk := bands.chunks(len(data))) is None:
+        return whole, []
+    n = chunk[0]
+    starts = [*range(0, len(data) - n + 1, n)] + ([len(data) - n] if len(data) % n else [])
+    return whole, [n / len(coder.compress(data[i : i + n])) for i in starts]
 
 
 def in_bands(n_bytes: int, whole: float | None, chunks: list[float], bands: Bands) -> bool:
     if whole is None:
         return False
     low, high = bands.limits(n_bytes)
-    outside = sum(not bands.chunk[0] <= r <= bands.chunk[1] for r in chunks)
-    return low <= whole <= high and outside <= bands.most_outside * len(chunks)
+    _, least, most = bands.chunks(n_bytes) or (0, 0.0, 0.0)
+    outside = sum(not least <= r <= most for r in chunks)
+    return low <= whole <= high and outside <= bands.may_lie_outside(n_bytes, len(chunks))
 
 
 SCHEMA = (

@@ -91,6 +91,26 @@ def test_bands_reject_both_ends(spark):
     assert got[1][1] is False and got[2] == (False, False)
 
 
+def test_bands_cover_tails_and_long_texts(spark):
+    import base64
+    import random
+
+    rng = random.Random(4)
+    vocabulary = ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randrange(2, 8))) for _ in range(400)]
+
+    def prose(n):
+        return " ".join(rng.choice(vocabulary) for _ in range(n))[:n]
+
+    def encoded(n):
+        return " ".join(re.findall(".{1,76}", base64.b64encode(rng.randbytes(n)).decode()))[:n]
+
+    rows = [(1, prose(2060) + encoded(1950)), (2, prose(4010)), (3, prose(900) + encoded(700)), (4, prose(1600)), (5, prose(82_000) + encoded(18_000)),
+            (6, prose(100_000)), (7, encoded(2048) + prose(98_000)), (8, prose(300))]
+    got = {r.doc_id: (r.base_failed, r.kept, r.n_chunks) for r in quality_rules.rules(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {i for i, r in got.items() if r[1]} == {2, 4, 6, 7, 8} and not any(r[0] for r in got.values())
+    assert [got[i][2] for i in (1, 4, 6, 8)] == [2, 4, 49, 0]
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     for f in (license_scan.scan, secret_scan.scan, quality_rules.rules):
