@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -79,16 +80,41 @@ def permuted(index: np.ndarray, n: int, key: int) -> np.ndarray:
     return out.astype(np.int64)
 
 
+def _hypergeometric(good: int, bad: int, n: int, rng: np.random.Generator) -> int:
+    """How many of ``n`` slots drawn without replacement are among the ``good`` ones, for totals beyond numpy's range.
+
+    Inversion over all counts within nine standard deviations and 100 of the mode; what lies outside has less chance than
+    a double's resolution. Chances follow from their exact ratios, so no large factorials are subtracted.
+    """
+    total = good + bad
+    least, most = max(0, n - bad), min(n, good)
+    mode = (n + 1) * (good + 1) // (total + 2)
+    reach = 100 + int(9 * math.sqrt(n / total * good * (bad / total) * ((total - n) / max(1, total - 1))))
+    lo, hi = max(least, mode - reach), min(most, mode + reach)
+    k = np.arange(lo, hi, dtype=np.float64)  # ratio of k + 1 to k
+    step = np.log((good - k) * (n - k)) - np.log((k + 1) * (bad - n + k + 1))
+    logs = np.concatenate([[0.0], np.cumsum(step)])
+    chance = np.cumsum(np.exp(logs - logs.max()))
+    return lo + int(np.searchsorted(chance, rng.random() * chance[-1], side="right"))
+
+
 def _split(counts: np.ndarray, n_left: int, rng: np.random.Generator) -> np.ndarray:
-    """Counts of a part of ``n_left`` slots out of sum(counts). Beyond numpy's range a share comes off by proportion first."""
-    total = int(counts.sum())
-    if total < 10**9:
-        return rng.multivariate_hypergeometric(counts, n_left, method="marginals")
-    fixed = np.array([int(c) * n_left // total for c in counts], dtype=np.int64)
-    rest = n_left - int(fixed.sum())  # fewer than there are sources
-    if rest:
-        fixed[rng.choice(len(counts), rest, replace=False, p=None)] += 1
-    return np.minimum(fixed, counts) if (fixed <= counts).all() else fixed
+    """Counts of a part of ``n_left`` slots out of sum(counts), drawn source by source until the rest is in numpy's range."""
+    out = np.zeros(len(counts), np.int64)
+    total, n = int(counts.sum()), n_left
+    for i, count in enumerate(map(int, counts)):
+        if total < 10**9:
+            out[i:] = rng.multivariate_hypergeometric(counts[i:], n, method="marginals")
+            break
+        out[i] = _hypergeometric(count, total - count, n, rng) if count and n else 0
+        total, n = total - count, n - int(out[i])
+    return out
+
+
+@lru_cache(maxsize=256)
+def _left(counts: tuple[int, ...], n_left: int, seed: int, lo: int, hi: int) -> np.ndarray:
+    """A node's left counts; neighbouring shards share the upper nodes."""
+    return _split(np.array(counts, np.int64), n_left, np.random.default_rng([seed, lo, hi]))
 
 
 def shard_counts(draws: np.ndarray, per_shard: int, shard: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -97,7 +123,7 @@ def shard_counts(draws: np.ndarray, per_shard: int, shard: int, seed: int) -> tu
     counts, before = draws.astype(np.int64), np.zeros(len(draws), np.int64)
     while hi - lo > 1:
         mid = (lo + hi) // 2
-        left = _split(counts, (mid - lo) * per_shard, np.random.default_rng([seed, lo, hi]))
+        left = _left(tuple(counts.tolist()), (mid - lo) * per_shard, seed, lo, hi)
         if shard < mid:
             counts, hi = left, mid
         else:

@@ -108,6 +108,25 @@ def test_permutation_and_shards_cover():
     assert (total == draws).all()
 
 
+def test_splits_are_drawn_at_every_size():
+    counts = np.array([0, 700_000_000, 0, 1_300_000_000, 5, 1, 0])  # 2e9 slots, with empty sources
+    drawn = []
+    for seed in range(300):
+        left = mixing._split(counts, 1_000_000_007, np.random.default_rng(seed))
+        assert left.sum() == 1_000_000_007 and (left >= 0).all() and (left <= counts).all()
+        drawn.append(left)
+    p, n, total = 0.35, 1_000_000_007, int(counts.sum())
+    sd = (n * p * (1 - p) * (total - n) / total) ** 0.5
+    first = np.array([d[1] for d in drawn], float)
+    assert abs(first.mean() - n * p) < 5 * sd / 300**0.5 and 0.8 < first.std() / sd < 1.2
+    assert 1.5 < np.mean([d[4] for d in drawn]) < 3.5 and 0.3 < np.mean([d[5] for d in drawn]) < 0.7
+    small = [mixing._hypergeometric(30, 50, 20, np.random.default_rng(s)) for s in range(4000)]
+    assert abs(np.mean(small) - 7.5) < 0.15 and abs(np.var(small) - 20 * 0.375 * 0.625 * 60 / 79) < 0.4
+    shards = [mixing.shard_counts(counts, 1 << 14, s, 5) for s in (0, 1, 61_035, 122_070)]
+    assert all((c >= 0).all() and (b + c <= counts).all() and not c[counts == 0].any() for c, b in shards)
+    assert (shards[0][0] == shards[1][1]).all() and (shards[3][0] + shards[3][1] == counts).all()
+
+
 def test_mix_meets_targets(spark):
     rng = random.Random(5)
     rows = [(i, " ".join(f"w{i}-{k}" for k in range(rng.randrange(150))), rng.choice(["a", "a", "a", "b", "c", None])) for i in range(400)] + [(3, "one two", "a")] * 2 + [(4, None, "b")]
