@@ -83,13 +83,18 @@ class _Parts:
         i = bisect_right(self.starts, end + reach)
         return i > 0 and self.last[i - 1] >= start - reach
 
+    def covers(self, start: int, end: int) -> bool:
+        """One span holds the whole of start..end."""
+        i = bisect_right(self.starts, start)
+        return i > 0 and self.last[i - 1] >= end
+
 
 def linked(text: str, strong: list[Span], weak: list[Span], reach: int) -> list[Span]:
     """The weak parts that meet all roles they need inside their scope."""
     breaks = [m.start() for m in BLANK.finditer(text)] if "\n" in text else []
     scopes: dict[int, list[Span]] = {}
     covered = _Parts([s for s in strong])
-    for span in strong + [w for w in weak if not covered.meets(w[0] + 1, w[2] - 1, 0)]:  # a part of a strong span adds nothing
+    for span in strong + [w for w in weak if not covered.covers(w[0], w[2])]:  # a part of a strong span adds nothing
         scopes.setdefault(bisect_left(breaks, span[0]), []).append(span)
     out: list[Span] = []
     for spans in scopes.values():

@@ -62,6 +62,17 @@ def test_weak_parts_need_complements():
     assert "user" in spans("ann@example.com password=abcdefghijklm") and spans("ann@example.com") == []
 
 
+def test_endpoints_that_contain_secrets():
+    def endpoints(text):
+        return [text[s:e] for s, k, e in secret_scan.scan_text(text)[1] if secret_scan.KINDS[k] == "endpoint"]
+
+    access = "AKIA" + "A1" * 8
+    assert endpoints(f"{access} https://host/?token=abcdefghijklmnop&x=1") == ["https://host/?token=abcdefghijklmnop&x=1"]
+    assert endpoints(f"{access} postgres://user:{'0123456789abcdef' * 2}@host/db") == [f"postgres://user:{'0123456789abcdef' * 2}@host/db"]
+    assert endpoints("https://host/?token=abcdefghijklmnop") == []  # no identifier
+    assert endpoints(f"{access} password=10.20.30.40.password1 ") == []  # inside a strong span
+
+
 def test_quality_matches_brute_force(docs):
     got = {r.doc_id: r for r in quality_rules.rules(docs).collect()}
     for i, text in enumerate(TEXTS):
