@@ -7,7 +7,8 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 #: Bytes that are white space in the word rule ``[^\x20\x09-\x0D]+``; ``bytes.split()`` splits at the same six.
 SPACES = " \t\n\x0b\x0c\r"
@@ -40,6 +41,43 @@ def stored(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def entered(docs: DataFrame) -> DataFrame:
+    """``docs`` with its columns as own_0, own_1, ...: an operator's own column names then clash with none of them."""
+    return docs.toDF(*[f"own_{i}" for i in range(len(docs.columns))])
+
+
+def own(docs: DataFrame, name: str) -> str:
+    """The name that column ``name`` of ``docs`` has in ``entered(docs)``."""
+    return f"own_{docs.columns.index(name)}"
+
+
+def restored(df: DataFrame, docs: DataFrame, *more: str) -> DataFrame:
+    """The columns of ``docs`` under their names again, then ``more`` columns of ``df``, which replace those of their names."""
+    back = [F.col(f"own_{i}").alias(c) for i, c in enumerate(docs.columns) if c not in more]
+    return df.select(*back, *more)
+
+
+def numbered(df: DataFrame, by: list[str], order: list[str], name: str = "pos", total: str = "of") -> DataFrame:
+    """``df`` with ``name``, the place of a row among those of equal ``by`` in ``order`` (from 0), and ``total``, their number.
+
+    Rows are sorted by range over (by, order), so a key that holds a third of all rows is spread over many partitions;
+    places follow from the partitions' counts. A window sees one row per partition and key, never the rows themselves.
+    Nulls come first and are a key of their own.
+    """
+    keys = [*by, *order]
+    rows = stored(df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("nr_at", F.monotonically_increasing_id()), "sorted")
+    rows = rows.withColumn("nr_part", F.shiftright("nr_at", 33))  # the id's upper bits are the partition's number
+    parts = rows.groupBy("nr_part", *by).agg(F.min("nr_at").alias("nr_first"), F.count("*").alias("nr_n"))
+    of_key = Window.partitionBy(*by)
+    before = of_key.orderBy("nr_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select(
+        F.col("nr_part").alias("nr_p"), *[F.col(c).alias(f"nr_by{i}") for i, c in enumerate(by)], "nr_first",
+        F.coalesce(F.sum("nr_n").over(before), F.lit(0)).alias("nr_before"), F.sum("nr_n").over(of_key).alias("nr_of"))
+    same = [F.col("nr_part") == F.col("nr_p"), *[F.col(c).eqNullSafe(F.col(f"nr_by{i}")) for i, c in enumerate(by)]]
+    rows = rows.join(parts, same)
+    return rows.select(*df.columns, (F.col("nr_before") + F.col("nr_at") - F.col("nr_first")).alias(name), F.col("nr_of").alias(total))
+
+
 def text_slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
     """Arrow batches cut to few rows, so that what a task holds besides a batch stays small."""
     for batch in batches:
