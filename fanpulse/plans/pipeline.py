@@ -2,8 +2,9 @@
 
 * ``generate``       canonical tables -> quality gate (raises before writing)
                      -> Parquet with layout, manifest, CSV exports
-* ``build_marts``    the ten marts in dependency order, each written replacing;
-                     the quality mart reads the *written* product-daily mart
+* ``build_marts``    the ten marts in dependency order, each replaced in one commit:
+                     a mart that fails leaves its last version readable; the
+                     quality mart reads the *written* product-daily mart
 * ``build_extracts`` report extracts as CSV plus one nested insights record
 """
 
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 
 from fanpulse.operators import quality
 from fanpulse.plans import marts, reports
-from fanpulse.sources import io
+from fanpulse.sources import io, versions
 
 Tables = Mapping[str, DataFrame]
 
@@ -33,7 +34,8 @@ def generate(tables: Tables, out: str, as_of: str | None = None) -> dict[str, in
     results = quality.assert_valid(tables, as_of=as_of)
     io.write_tables({"data_quality_results": results}, out)
     counts = io.write_with_layout(tables, out)
-    io.write_manifest(tables, f"{out}/manifest")
+    spark = results.sparkSession
+    spark.createDataFrame(list(counts.items()), "table string, rows long").coalesce(1).write.mode("overwrite").json(f"{out}/manifest")
     io.export_campaign_targets(tables["fact_campaign_spend"], f"{out}/campaign_targets_csv")
     io.export_event_sample(tables["fact_app_events"], f"{out}/event_sample_csv")
     return counts
@@ -51,10 +53,8 @@ def build_marts(tables: Tables, out: str, as_of: str | None = None) -> dict[str,
                 tables["fact_experiment_assignments"], daily, as_of=as_of)
         else:
             df = builders[name](tables)
-        path = f"{out}/{name}"
-        df, parts = io.layout_plan(df, name)
-        df.write.mode("overwrite").partitionBy(*parts).parquet(path)
-        written[name] = path
+        io.write_table(df, out, name)
+        written[name] = versions.folder(spark, f"{out}/{name}")
     return written
 
 

@@ -107,4 +107,4 @@ def all_oracles() -> dict[str, str]:
 
 def _load_extensions() -> None:
     # report / dashboard / primitive queries register themselves on import
-    from fanpulse.plans import ingest_queries, reports  # noqa: F401
+    from fanpulse.plans import ingest_queries, layout_queries, reports  # noqa: F401

@@ -1,8 +1,9 @@
 """Parquet / CSV / JSON sources and sinks.
 
-* ``read_tables``      - load named Parquet tables (S1)
-* ``write_tables``     - one Parquet dataset per table, replacing (S7)
-* ``write_with_layout``- date partitions + sorted (clustered) files, returns row counts (S11)
+* ``read_tables``      - load named Parquet tables, the committed version where they are versioned (S1)
+* ``write_tables``     - one Parquet dataset per table, replaced atomically (S7)
+* ``write_with_layout``- date partitions + sorted (clustered) files, replaced atomically, returns row counts (S11)
+* ``replace_dates``    - replay of some dates of such a table; all other dates keep their files
 * ``export_*``         - CSV extracts, manifest, insights record (S8-S10, S13, S14)
 * ``read_campaign_targets`` - target sheet CSV with an explicit schema (S15)
 """
@@ -15,16 +16,22 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fanpulse.operators.marketing import TARGET_SCHEMA
-from fanpulse.schemas import LAYOUT
+from fanpulse.schemas import LAYOUT, PRIMARY_KEYS
+from fanpulse.sources import versions
+
+
+#: Exports keep a timestamp's microseconds (the CSV writer's own format ends at milliseconds).
+CSV = {"header": "true", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
 
 def read_tables(spark: SparkSession, path: str, names: Iterable[str]) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(f"{path}/{name}") for name in names}
+    at = {name: f"{path}/{name}" for name in names}
+    return {name: versions.read(spark, p) if versions.numbers(spark, p) else spark.read.parquet(p) for name, p in at.items()}
 
 
 def write_tables(tables: Mapping[str, DataFrame], path: str) -> None:
     for name, df in tables.items():
-        df.write.mode("overwrite").parquet(f"{path}/{name}")
+        versions.write(df, f"{path}/{name}")
 
 
 def layout_plan(df: DataFrame, table: str) -> tuple[DataFrame, list[str]]:
@@ -52,28 +59,48 @@ def layout_plan(df: DataFrame, table: str) -> tuple[DataFrame, list[str]]:
     return df, parts
 
 
+def write_table(df: DataFrame, path: str, table: str, only_touched: bool = False) -> dict:
+    """Write one table with its layout and commit it; the manifest of the new version."""
+    out, parts = layout_plan(df, table)
+    keys = [k for k in PRIMARY_KEYS.get(table, ()) if k in df.columns]
+    return versions.write(out, f"{path}/{table}", parts, only_touched, keys)
+
+
 def write_with_layout(tables: Mapping[str, DataFrame], path: str) -> dict[str, int]:
-    """Write every table given, with its layout where it has one; return the row count of each (counted from the
-    written files, metadata-cheap)."""
-    counts: dict[str, int] = {}
-    for name, df in tables.items():
-        out, parts = layout_plan(df, name)
-        w = out.write.mode("overwrite")
-        if parts:
-            w = w.partitionBy(*parts)
-        w.parquet(f"{path}/{name}")
-        counts[name] = df.sparkSession.read.parquet(f"{path}/{name}").count()
-    return counts
+    """Write every table given, with its layout where it has one; return the row count of each, taken while writing."""
+    return {name: write_table(df, path, name)["metrics"]["rows"] for name, df in tables.items()}
+
+
+def replace_dates(df: DataFrame, path: str, table: str) -> dict:
+    """Replay: the dates that ``df`` has rows of are replaced by them, in one commit; other dates stay as they are."""
+    return write_table(df, path, table, only_touched=True)
 
 
 def read_layout_table(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """Read a table written by ``write_with_layout`` back in its contract shape
-    (the derived day partition column of match events is dropped)."""
-    df = spark.read.parquet(f"{path}/{table}")
+    """The committed rows of a table written by ``write_with_layout``, in its contract shape.
+
+    A filter on the timestamp of a table partitioned by its day is no filter on the folders: ``day_range`` adds one.
+    """
+    df = versions.read(spark, f"{path}/{table}")
     spec = LAYOUT.get(table, {})
-    if spec.get("day"):
-        df = df.drop(f"{spec['partition']}_day")
-    return df
+    return df.drop(f"{spec['partition']}_day") if spec.get("day") else df
+
+
+def day_range(spark: SparkSession, path: str, table: str, first: str, last: str) -> DataFrame:
+    """Rows of the days ``first`` to ``last``, both included; only their folders are read."""
+    spec = LAYOUT[table]
+    day = f"{spec['partition']}_day" if spec.get("day") else spec["partition"]
+    df = versions.read(spark, f"{path}/{table}").where(F.col(day).between(F.lit(first).cast("date"), F.lit(last).cast("date")))
+    return df.drop(day) if spec.get("day") else df
+
+
+def layout_manifest(spark: SparkSession, path: str, names: Iterable[str]) -> DataFrame:
+    """table, version, rows, null_keys, folders: what the writers of the committed versions counted; no table is read."""
+    rows = []
+    for name in names:
+        m = versions.manifest(spark, f"{path}/{name}")
+        rows.append((name, m["version"], m["metrics"]["rows"], m["metrics"]["null_keys"], len(m["folders"])))
+    return spark.createDataFrame(rows, "table string, version long, rows long, null_keys long, folders long")
 
 
 def export_campaign_targets(spend: DataFrame, path: str) -> None:
@@ -82,7 +109,7 @@ def export_campaign_targets(spend: DataFrame, path: str) -> None:
 
 def export_event_sample(events: DataFrame, path: str, n: int = 5000) -> None:
     """First ``n`` events by event id (explicit order: files have none)."""
-    events.orderBy("event_id").limit(n).write.mode("overwrite").option("header", True).csv(path)
+    events.orderBy("event_id").limit(n).write.mode("overwrite").options(**CSV).csv(path)
 
 
 def manifest(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -100,7 +127,7 @@ def write_manifest(tables: Mapping[str, DataFrame], path: str) -> None:
 
 def export_extracts(extracts: Mapping[str, DataFrame], path: str) -> None:
     for name, df in extracts.items():
-        df.write.mode("overwrite").option("header", True).csv(f"{path}/{name}")
+        df.write.mode("overwrite").options(**CSV).csv(f"{path}/{name}")
 
 
 def nan_safe(df: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from fanpulse.sources import versions
 from fanpulse.sources.io import (export_event_sample, insights_record, manifest, read_campaign_targets,
                                  read_layout_table, write_insights, write_with_layout)
 
@@ -14,7 +15,8 @@ def test_write_with_layout_roundtrip(tables, tmp_path):
     assert set(counts) == set(sub)                        # no table given is left out
     assert counts["dim_users"] == tables["dim_users"].count()
     assert counts["fact_app_events"] == tables["fact_app_events"].count()
-    assert os.path.isdir(f"{out}/fact_app_events/event_date=2024-01-01")
+    folder = versions.folder(tables["fact_app_events"].sparkSession, f"{out}/fact_app_events")
+    assert os.path.isdir(f"{folder}/event_date=2024-01-01")
     back = read_layout_table(tables["fact_app_events"].sparkSession, out, "fact_match_events")
     assert set(back.columns) == set(tables["fact_match_events"].columns)
     plan = back.where(F.col("event_ts_day") == F.lit("2024-01-02").cast("date")) if "event_ts_day" in back.columns else None
