@@ -213,13 +213,10 @@ _SCORE_GROUPS = (
 
 
 def d10(t, max_lag_days: int = 2):
-    """Scorecard groups over the contract suite and the mart checks; every
-    check row is tagged with all its groups (array + explode), so the suite
-    is computed once."""
-    suite = r8(t).select("check_name", "status", F.col("observed").try_cast("long").alias("observed"),
-                         F.lit(True).alias("_suite"))
-    mart = marts.mart_data_quality(t, as_of=AS_OF).select("check_name", "status", "observed", F.lit(False).alias("_suite"))
-    allc = suite.unionByName(mart)
+    """Scorecard groups over the contract suite and the mart checks, which share
+    one tagged stream (``quality.suite_and_mart_checks``); every check row is
+    tagged with all its groups (array + explode)."""
+    allc = quality.suite_and_mart_checks(t, marts.mart_product_daily(t)).withColumnRenamed("suite", "_suite")
     tags = [F.when(F.col("_suite"), F.lit("quality_checks"))]
     for name, patterns in _SCORE_GROUPS:
         cond = None
@@ -246,19 +243,10 @@ def freshness(events: DataFrame, as_of: str, max_lag_days: int = 2) -> DataFrame
 
 
 def d11(t):
-    # one row per (match, content, user) before the joins: the rollup copies these, not the events
-    ev = t["fact_app_events"].groupBy("match_id", "content_id", "user_id").agg(
-        F.count(F.lit(1)).alias("_views"), count_if(F.col("event_name") == "subscription_start").alias("_subs"))
-    ev = ev.join(t["dim_content"].select("content_id", "content_type"), "content_id", "left")
-    ev = ev.join(t["dim_matches"].select("match_id", "competition_name"), "match_id", "left")
-    g = ev.rollup("competition_name", "match_id", "content_type").agg(
-        F.grouping_id().alias("level"), F.sum("_views").alias("views"),
-        F.count_distinct("user_id").alias("unique_viewers"), F.sum("_subs").alias("subscriptions"),
-    )
+    g = engagement.engagement_drill(t["fact_app_events"], t["dim_content"], t["dim_matches"])
     # match_id is a drill label here (NULL on the competition and total levels):
     # emitted as text so NULL-able ids never turn into floats downstream
-    return g.select("competition_name", F.col("match_id").cast("string").alias("match_id"), "content_type",
-                    F.col("level").cast("int").alias("level"), "views", "unique_viewers", "subscriptions")
+    return g.withColumn("match_id", F.col("match_id").cast("string"))
 
 
 def d12(t, start: str | None = None, end: str | None = None):
