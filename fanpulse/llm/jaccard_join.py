@@ -8,19 +8,22 @@ Two documents link when 100 * intersection >= 80 * union of their sets of distin
    this one keeps common passages out of prefixes. A set of n shingles has its n - ceil(0.8 n) + 1 first ones as prefix:
    linked sets share a prefix shingle. Classes with identical prefixes and size are collapsed into one group.
 3. Group pairs that share a prefix shingle are filtered by size and by the place of the shingle. First only one hub per
-   shingle and size band is paired with the others; the links found give components. Then all pairs whose members are
-   still in different components are paired and verified on the whole sets from the texts.
-4. Inside a component every pair counts: its classes are cut by size into blocks, and two blocks (or one with itself)
+   shingle and size band is paired with the others and verified; the links found, and every prefix shingle that more than
+   ``HOT`` classes hold, tie classes to neighbourhoods. Pairs of different neighbourhoods share only shingles that at most
+   ``HOT`` classes hold: they are paired row by row, and verified on the whole sets from the texts. So no shingle makes
+   pairs with the square of its holders.
+4. Inside a neighbourhood every pair counts: its classes are cut by size into blocks, and two blocks (or one with itself)
    whose sizes can meet are compared in one task as a product of 0/1 matrices over their common shingles. A text is read
-   once per block pair, not once per pair, so a large group of near copies is counted whole.
+   once per block pair, not once per pair, so a large group of near copies, or of texts around one passage, is counted
+   whole. A neighbourhood of b blocks sends a text to b tasks at most.
 
 A document's links are all other rows whose text links with its own: those of linked classes and of its own class. No
-pair is left out: it lies in one component of step 3 and is counted in step 4, or in two and is verified in step 3.
+pair is left out: it lies in one neighbourhood and is counted in step 4, or in two and is verified in step 3.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z; with fewer than five, the whole sequence is one shingle. Null and
-empty texts have empty sets and link with nothing; their component is their own id. A row is known by its id and text, and
-a class by its least row, so rows that share a doc_id with different texts are compared each by its own text; components
-and classes are reported by their least doc_id. Null ids link like others but never name a component; the component of
+empty texts have empty sets and link with nothing; their component is their own id. A class is known by the 128-bit hash of
+its set and gets a number of its own; rows that share a doc_id with different texts are compared each by its own text.
+Components and classes are reported by their least doc_id. Null ids link like others but never name a component; the component of
 documents without any id is null. Other columns are ignored.
 """
 
@@ -33,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import scratch_path, stored, table, text_slices
+from .common import entered, numbered, own, restored, scratch_path, stored, table, text_slices
 from .components import components
 from .decontaminate import maybe_broadcast
 from .shingles import mix64, shingle_sets
@@ -46,6 +49,7 @@ MAX_BROADCAST_IDS = 4_000_000  # ids of 8 bytes
 BLOCK_SHINGLES = 1 << 21  # of a block's sets together; a class weighs at least MIN_WEIGHT, so a block has at most 1024
 MIN_WEIGHT = 1 << 11
 COLUMNS = 4096  # shingles per matrix product
+HOT = 64  # a prefix shingle of more classes ties them to one neighbourhood instead of making their pairs
 
 FIRST = "kind string, doc_id long, row long, n int, s1 long, s2 long, slice int, counts binary"
 _MASK = np.uint64((1 << SKETCH_BITS) - 1)
@@ -165,7 +169,12 @@ def fits(n1: str, p1: str, n2: str, p2: str):
 def common(one: list[np.ndarray], two: list[np.ndarray]) -> np.ndarray:
     """Sizes of the intersections of each set of ``one`` with each of ``two``, exact."""
     out = np.zeros((len(one), len(two)))
-    shared = np.intersect1d(np.concatenate(one), np.concatenate(two))
+    if one is two:  # a shingle of one set only meets nothing but itself
+        values, times = np.unique(np.concatenate(one), return_counts=True)
+        shared = values[times > 1]
+        np.fill_diagonal(out, [len(x) - np.isin(x, shared, assume_unique=True).sum() for x in one])
+    else:
+        shared = np.intersect1d(np.concatenate(one), np.concatenate(two))
 
     def cells(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """(column, row) of every shared shingle, by column."""
@@ -189,59 +198,101 @@ def common(one: list[np.ndarray], two: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def forest(linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges that span the components of a symmetric relation: at most one less than its members."""
+    seen, left, right = np.zeros(len(linked), bool), [], []
+    for start in range(len(linked)):
+        if seen[start]:
+            continue
+        seen[start], todo = True, [start]
+        while todo:
+            at = todo.pop()
+            new = np.flatnonzero(linked[at] & ~seen)
+            seen[new] = True
+            left.append(np.full(len(new), at))
+            right.append(new)
+            todo += new.tolist()
+    return np.concatenate([np.zeros(0, int), *left]), np.concatenate([np.zeros(0, int), *right])
+
+
+BLOCK_LINKS = "cid long, n_links long, a long, b long"
+
+
 def block_links(group: pa.Table) -> pa.Table:
-    """The links between the classes of two blocks, or inside one, as cid, n_links (rows of the linked classes)."""
+    """The links between the classes of two blocks, or inside one: rows (cid, n_links), the rows of the linked classes, and
+    rows (a, b), links that span their components."""
     i, j = group["i"][0].as_py(), group["j"][0].as_py()
     cid, blk, rows = (group[c].to_numpy() for c in ("cid", "blk", "rows"))
     sets = shingle_sets(group["text"].to_pylist(), WIDTH)
     sizes = np.array([len(x) for x in sets], np.int64)
     x, y = np.flatnonzero(blk == i), np.flatnonzero(blk == j)
-    same = common([sets[k] for k in x], [sets[k] for k in y]).astype(np.int64)
+    one = [sets[k] for k in x]
+    same = common(one, one if i == j else [sets[k] for k in y]).astype(np.int64)
     linked = 100 * same >= PERCENT * (sizes[x][:, None] + sizes[y][None, :] - same)
     if i == j:
         np.fill_diagonal(linked, False)
-        names, n = cid[x], linked @ rows[y]
+        names, n, all_ = cid[x], linked @ rows[y], linked
     else:
         names, n = np.concatenate([cid[x], cid[y]]), np.concatenate([linked @ rows[y], linked.T @ rows[x]])
-    return pa.table({"cid": pa.array(names, pa.int64()), "n_links": pa.array(n, pa.int64())}).filter(pa.array(n > 0))
-
-
-def links_inside(comps: DataFrame, found: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
-    """cid, n_links: rows of linked classes of the same component. ``classes``: cid, n, rows; ``found``: its verified links."""
+        all_ = np.zeros((len(names), len(names)), bool)
+        all_[: len(x), len(x) :], all_[len(x) :, : len(x)] = linked, linked.T
+    a, b = forest(all_)
+    counted = n > 0
+    none = lambda k: pa.nulls(k, pa.int64())
+    return pa.concat_tables([
+        pa.table([pa.array(names[counted], pa.int64()), pa.array(n[counted], pa.int64()), none(int(counted.sum())), none(int(counted.sum()))], names=["cid", "n_links", "a", "b"]),
+        pa.table([none(len(a)), none(len(a)), pa.array(names[a], pa.int64()), pa.array(names[b], pa.int64())], names=["cid", "n_links", "a", "b"]),
+    ])
+
+
+def blocks_of(nodes: DataFrame) -> DataFrame:
+    """``nodes`` (comp, cid, n, rows) with blk: classes of a neighbourhood by size, so many to a block that their sets together
+    have at most BLOCK_SHINGLES shingles. Sizes rise with the blocks' numbers."""
+    rows = numbered(nodes, ["comp"], ["n", "cid"], "place", "held_")
+    band = F.ceil(F.log2(F.greatest(F.col("n"), F.lit(MIN_WEIGHT)))).cast("int")  # no class of the band has more than 2**band
+    each = F.greatest(F.lit(BLOCK_SHINGLES) / F.pow(F.lit(2.0), band), F.lit(1.0))
+    return rows.select(*nodes.columns, (band.cast("long") * F.lit(1 << 40) + F.floor(F.col("place") / each)).alias("blk"))
+
+
+def links_inside(comps: DataFrame, found: DataFrame, classes: DataFrame, texts: DataFrame, only: DataFrame | None = None) -> DataFrame:
+    """Rows of ``block_links`` of all pairs of the same neighbourhood. ``classes``: cid, n, rows; ``found``: verified links;
+    ``only``: neighbourhoods (comp) to look at, by default all."""
     of_comp = stored(comps.groupBy("comp").agg(F.count("*").alias("held")), "held")
     nodes = stored(comps.join(of_comp, "comp").join(classes.select(F.col("cid").alias("node"), "n", "rows"), "node").select(F.col("node").alias("cid"), "comp", "held", "n", "rows"), "nodes")
-    # components of two classes: their one link is known
+    # neighbourhoods of two classes: their one link is known
     two = nodes.where("held = 2").select("cid", "rows")
     a, b = (two.select(F.col("cid").alias(c), F.col("rows").alias(f"rows_{c}")) for c in "ab")
+    none = F.lit(None).cast("long")
     alone = found.join(a, "a").join(b, "b").select(F.explode(F.array(
-        F.struct(F.col("a").alias("cid"), F.col("rows_b").alias("n_links")), F.struct(F.col("b").alias("cid"), F.col("rows_a").alias("n_links")))).alias("x")).select("x.*")
+        F.struct(F.col("a").alias("cid"), F.col("rows_b").alias("n_links")), F.struct(F.col("b").alias("cid"), F.col("rows_a").alias("n_links")))).alias("x")).select("x.*", none.alias("a"), none.alias("b"))
 
-    by_size = Window.partitionBy("comp").orderBy("n", "cid").rowsBetween(Window.unboundedPreceding, -1)
-    weight = F.greatest(F.col("n").cast("long"), F.lit(MIN_WEIGHT))
-    rest = nodes.where("held > 2").withColumn("blk", F.floor(F.coalesce(F.sum(weight).over(by_size), F.lit(0)) / BLOCK_SHINGLES).cast("int"))
-    rest = stored(rest.select("comp", "blk", "cid", "n", "rows"), "blocks")
+    many = nodes.where("held > 2").select("comp", "cid", "n", "rows")
+    rest = stored(blocks_of(many if only is None else many.join(only, "comp", "left_semi")), "blocks")
     blocks = rest.groupBy("comp", "blk").agg(F.min("n").alias("least"), F.max("n").alias("most"))
     x, y = (blocks.select("comp", *[F.col(c).alias(f"{c}_{s}") for c in ("blk", "least", "most")]) for s in "xy")
     pairs = x.join(y, "comp").where(f"blk_x <= blk_y and 100 * most_x >= {PERCENT} * least_y")  # sizes rise with the blocks
     pairs = pairs.select("comp", F.col("blk_x").alias("i"), F.col("blk_y").alias("j"))
     both = pairs.withColumn("blk", F.explode(F.array_distinct(F.array("i", "j"))))
     members = rest.join(texts, "cid").join(both, ["comp", "blk"]).select("comp", "i", "j", "blk", "cid", "rows", "text")
-    return members.groupBy("comp", "i", "j").applyInArrow(block_links, "cid long, n_links long").unionByName(alone)
+    return members.groupBy("comp", "i", "j").applyInArrow(block_links, BLOCK_LINKS).unionByName(alone)
 
 
-def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(doc_id, row, n, cid of every document; every class's cid, rows, least doc_id, n_links; node, comp)."""
+def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counted: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(doc_id, row, n, cid of every document; every class's cid, rows, least doc_id, n_links; node, comp).
+
+    Without ``counted`` n_links is null, and neighbourhoods that no hot shingle ties are not compared in blocks: their
+    links are known to connect them."""
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), row_key(id_col, text_col).alias("row"))
     path = scratch_path(spark, "sets")
     first_pass(docs, path)
     sets = spark.read.schema(FIRST).parquet(path).where("kind = 'set'").select("doc_id", "row", "n", "s1", "s2")
 
-    # classes of equal sets, named by their least row
+    # classes of equal sets; one of a class's rows lends it its text
     sized = prefixes(docs, frequency_classes(spark, path))
     of_class = sized.groupBy("s1", "s2", "n").agg(
-        F.min("row").alias("cid"), F.min("doc_id").alias("least"), F.count("*").alias("rows"), F.any_value("prefix").alias("prefix"))
-    of_class = stored(of_class, "classes")
+        F.min(F.struct("row", "doc_id")).alias("own"), F.min("doc_id").alias("least"), F.count("*").alias("rows"), F.any_value("prefix").alias("prefix"))
+    of_class = stored(of_class.withColumn("cid", F.monotonically_increasing_id()), "classes")
     # groups: identical prefix and size; the least class stands for its group
     group_key = [F.xxhash64("prefix"), F.xxhash64(F.lit(7), F.col("prefix")), F.col("n")]
     of_group = of_class.groupBy(*[k.alias(f"g{i}") for i, k in enumerate(group_key)]).agg(F.min("cid").alias("gid"), F.count("*").alias("members"))
@@ -273,30 +324,43 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tu
     pairs = hub_pairs.select(F.least("gid", "hub").alias("a"), F.greatest("gid", "hub").alias("b")).unionByName(star).distinct()
     pairs = stored(pairs, "pairs")
 
-    wanted = stored(tokens.select(F.col("gid").alias("cid")).distinct(), "wanted")
+    wanted = tokens.select(F.col("gid").alias("cid")).distinct().join(of_class.select("cid", "own.row", F.col("own.doc_id").alias("of")), "cid")
+    wanted = stored(wanted, "wanted")
     small = wanted.limit(MAX_BROADCAST_IDS + 1).count() <= MAX_BROADCAST_IDS
-    texts = docs.where("text is not null").join(F.broadcast(wanted) if small else wanted, F.col("row") == F.col("cid"), "left_semi")
-    texts = stored(texts.select(F.col("row").alias("cid"), "text"), "texts")
+    texts = docs.where("text is not null").join(F.broadcast(wanted) if small else wanted, [docs["row"] == wanted["row"], docs["doc_id"].eqNullSafe(wanted["of"])])
+    texts = stored(texts.select("cid", "text"), "texts")
     if not texts.groupBy("cid").count().where("count > 1").isEmpty():  # repeated rows, with the same text
         texts = stored(texts.dropDuplicates(["cid"]), "texts")
     found = stored(verified(pairs, texts), "links")
-    comps = components(found)
 
-    # all other pairs that could join two components
-    labelled = tokens.join(comps.select(F.col("node").alias("gid"), "comp"), "gid", "left").withColumn("comp", F.coalesce("comp", "gid"))
+    # neighbourhoods: verified links, and shingles that many classes hold
+    hot = stored(tokens.groupBy("token").agg(F.count("*").alias("held"), F.min("gid").alias("hub")).where(F.col("held") > HOT).select("token", "hub"), "hot")
+    tied = tokens.join(hot, "token").where("gid <> hub").select(F.col("hub").alias("a"), F.col("gid").alias("b")).distinct()
+    comps = components(found.unionByName(tied))
+
+    # all other pairs: of different neighbourhoods, by shingles that few classes hold
+    labelled = tokens.join(hot, "token", "left_anti").join(comps.select(F.col("node").alias("gid"), "comp"), "gid", "left").withColumn("comp", F.coalesce("comp", "gid"))
     mixed = labelled.groupBy("token").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 <> c2").select("token")
     open_ = stored(labelled.join(mixed, "token", "left_semi"), "open")
     x, y = (open_.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("gid", "n", "p", "comp")]) for s in "xy")
     cross = x.join(y, (x["token"] == y["token"]) & F.expr("gid_x < gid_y and comp_x <> comp_y") & fits("n_x", "p_x", "n_y", "p_y"))
     cross = cross.select(F.col("gid_x").alias("a"), F.col("gid_y").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
     more = stored(verified(stored(cross, "pairs"), texts), "links")
-    inside = links_inside(comps, found, of_class.select("cid", "n", "rows"), texts)
-    ends = more.select(F.col("a").alias("cid"), F.col("b").alias("to")).unionByName(more.select(F.col("b").alias("cid"), F.col("a").alias("to")))
-    across = ends.join(of_class.select(F.col("cid").alias("to"), "rows"), "to").select("cid", F.col("rows").alias("n_links"))
-    n_links = stored(inside.unionByName(across).groupBy("cid").agg(F.sum("n_links").alias("n_links")), "counts")
-    if not more.isEmpty():
-        comps = components(found.unionByName(more))
-    classes = of_class.select("cid", "least", "rows").join(n_links, "cid", "left").select("cid", "least", "rows", (F.coalesce("n_links", F.lit(0)) + F.col("rows") - 1).alias("n_links"))
+
+    plain = hot.isEmpty()
+    only = None if counted else comps.join(hot.select(F.col("hub").alias("node")).distinct(), "node", "left_semi").select("comp").distinct()
+    edges = found.unionByName(more)
+    if counted or not plain:
+        inside = stored(links_inside(comps, found, of_class.select("cid", "n", "rows"), texts, only), "inside")
+        edges = edges.unionByName(inside.where("a is not null").select("a", "b"))
+    classes = of_class.select("cid", "least", "rows", F.lit(None).cast("long").alias("n_links"))
+    if counted:
+        ends = more.select(F.col("a").alias("cid"), F.col("b").alias("to")).unionByName(more.select(F.col("b").alias("cid"), F.col("a").alias("to")))
+        across = ends.join(of_class.select(F.col("cid").alias("to"), "rows"), "to").select("cid", F.col("rows").alias("n_links"))
+        n_links = stored(inside.where("cid is not null").select("cid", "n_links").unionByName(across).groupBy("cid").agg(F.sum("n_links").alias("n_links")), "counts")
+        classes = of_class.select("cid", "least", "rows").join(n_links, "cid", "left").select("cid", "least", "rows", (F.coalesce("n_links", F.lit(0)) + F.col("rows") - 1).alias("n_links"))
+    if not (plain and more.isEmpty()):
+        comps = components(edges)
     documents = sets.join(of_class.select("s1", "s2", "n", "cid"), ["s1", "s2", "n"], "left").select("doc_id", "row", "n", "cid")
     return documents, classes, comps
 
@@ -318,17 +382,32 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     """doc_id, n_shingles, component_id, class_id (documents with the same set), n_links (other rows it links with)."""
     documents, classes, comps = links(docs, id_col, text_col)
     out = documents.join(labelled_classes(classes, comps).drop("comp"), "cid", "left")
-    own = F.when(F.col("cid").isNull(), F.col("doc_id"))
-    return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("first", own).alias("component_id"), F.col("least").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    own_id = F.when(F.col("cid").isNull(), F.col("doc_id"))
+    return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("first", own_id).alias("component_id"), F.col("least").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One document of each component, with all its columns; empty documents and those without any id stay."""
-    found = stored(join(docs, id_col, text_col).where((F.col("doc_id") != F.col("component_id"))).select(F.col("doc_id").alias("__gone")).distinct(), "copies")
-    out = docs.join(maybe_broadcast(found, MAX_BROADCAST_IDS), F.col(id_col).cast("long") == F.col("__gone"), "left_anti")
-    if not out.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").isEmpty():  # rows that share an id are one document
-        out = out.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]).unionByName(out.where(F.col(id_col).isNull()))
-    return out
+    """One document of each component, with all its columns; empty documents and those without any id stay.
+
+    The row with the least id stays. Rows that share an id are told apart by their texts: of linked or equal ones the one
+    with the least text hash stays, texts that don't link all stay. Column names of ``docs`` clash with nothing.
+    """
+    documents, classes, comps = links(docs, id_col, text_col, counted=False)
+    rows = documents.join(labelled_classes(classes, comps).select("cid", "comp", "first"), "cid").where("doc_id is not null")
+    rows = stored(rows.select("doc_id", "row", "comp", "first"), "labels")
+    kept = rows.where("doc_id = first").groupBy("doc_id", "comp").agg(F.min("row").alias("row"))
+    gone = rows.select("doc_id", "row").distinct().join(kept.select("doc_id", "row"), ["doc_id", "row"], "left_anti")
+    gone = stored(gone.select(F.col("doc_id").alias("gone_id"), F.col("row").alias("gone_row")), "copies")
+    mine = entered(docs)
+    name, text = own(docs, id_col), own(docs, text_col)
+    key = row_key(name, text)
+    out = mine.join(maybe_broadcast(gone, MAX_BROADCAST_IDS), (F.col(name).cast("long") == F.col("gone_id")) & (key == F.col("gone_row")), "left_anti")
+    twins = stored(rows.groupBy("doc_id", "row").count().where("count > 1").select(F.col("doc_id").alias("twin_id"), F.col("row").alias("twin_row")), "twins")
+    if not twins.isEmpty():  # repeated rows
+        same = (F.col(name).cast("long") == F.col("twin_id")) & (key == F.col("twin_row"))
+        twins = maybe_broadcast(twins, MAX_BROADCAST_IDS)
+        out = out.join(twins, same, "left_anti").unionByName(out.join(twins, same, "left_semi").dropDuplicates([name, text]))
+    return restored(out, docs)
 
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

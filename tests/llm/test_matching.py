@@ -152,3 +152,40 @@ def test_pipeline_stages(spark, sf):
             rows = [(r.doc_id, r.text) for r in docs.collect()]
             assert all(d == c or n == 0 for d, n, c in _components(rows))
     assert {"shard", "slot"} <= set(docs.columns)
+
+
+def _expected_links(rows):
+    sets = _sets(rows)
+    return {d: sum(a != d and bool(x & y) and 100 * len(x & y) >= 80 * len(x | y) for a, y in sets) for d, x in sets}
+
+
+def test_jaccard_join_of_one_shared_passage(spark, monkeypatch):
+    """Many texts around one passage, linked with some of the others or none: more than HOT classes hold its shingles."""
+    monkeypatch.setattr(jaccard_join, "HOT", 8)
+    monkeypatch.setattr(jaccard_join, "BLOCK_SHINGLES", 30 * jaccard_join.MIN_WEIGHT)
+    rng, rows = random.Random(9), []
+    passage = [f"p{i}" for i in range(90)]
+    for k in range(120):
+        tail = [f"t{k % 7 if k % 3 else k}x{i}" for i in range(rng.randrange(0, 26))]
+        cut = rng.randrange(0, 20)
+        rows.append((k, " ".join(passage[cut:] + tail)))
+    rows += [(500 + k, " ".join(f"q{k}w{i}" for i in range(50))) for k in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = jaccard_join.join(docs).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == _components(rows)
+    assert {r.doc_id: r.n_links for r in got} == _expected_links(rows)
+    kept = sorted(r.doc_id for r in jaccard_join.representatives(docs).collect())
+    assert kept == sorted({c for _, _, c in _components(rows)})
+
+
+def test_representatives_of_shared_ids_and_clashing_names(spark):
+    text, other = " ".join(f"w{i}" for i in range(40)), " ".join(f"v{i}" for i in range(40))
+    rows = [(5, text), (5, text + " x"), (5, other), (5, other), (7, other + " y"), (8, None), (8, None), (None, text), (9, "short")]
+    names = ["doc_id", "text", "n", "size", "row", "cid", "comp", "__gone", "gone_id", "first", "token", "own_0"]
+    docs = spark.createDataFrame([(d, t, *range(10)) for d, t in rows], "doc_id long, text string, " + ", ".join(f"{c} int" for c in names[2:]))
+    got = jaccard_join.representatives(docs)
+    assert got.columns == names
+    left = [(r.doc_id, r.text) for r in got.collect()]
+    assert left.count((5, other)) == 1 and sum(d == 5 and t in (text, text + " x") for d, t in left) == 1
+    assert (7, other + " y") not in left and (9, "short") in left and (None, text) in left and left.count((8, None)) == 2
+    assert jaccard_join.join(docs).count() == len(rows)
