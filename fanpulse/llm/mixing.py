@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import stored, table
+from .common import entered, own, restored, stored, table
 
 WEIGHTS = (5, 2, 1)
 MOST_REPEATS = 3
@@ -111,19 +110,18 @@ def _split(counts: np.ndarray, n_left: int, rng: np.random.Generator) -> np.ndar
     return out
 
 
-@lru_cache(maxsize=256)
-def _left(counts: tuple[int, ...], n_left: int, seed: int, lo: int, hi: int) -> np.ndarray:
-    """A node's left counts; neighbouring shards share the upper nodes."""
-    return _split(np.array(counts, np.int64), n_left, np.random.default_rng([seed, lo, hi]))
-
-
-def shard_counts(draws: np.ndarray, per_shard: int, shard: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """(draws of each source in this shard, those in the shards before it)."""
+def shard_counts(draws: np.ndarray, per_shard: int, shard: int, seed: int, known: dict | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(draws of each source in this shard, those in the shards before it). ``known`` keeps the left counts of nodes that
+    neighbouring shards share, for as long as the caller likes."""
     lo, hi = 0, max(1, math.ceil(int(draws.sum()) / per_shard))
-    counts, before = draws.astype(np.int64), np.zeros(len(draws), np.int64)
+    counts, before, known = draws.astype(np.int64), np.zeros(len(draws), np.int64), {} if known is None else known
     while hi - lo > 1:
         mid = (lo + hi) // 2
-        left = _left(tuple(counts.tolist()), (mid - lo) * per_shard, seed, lo, hi)
+        if (lo, hi) not in known:
+            if len(known) >= 256:
+                known.clear()
+            known[lo, hi] = _split(counts, (mid - lo) * per_shard, np.random.default_rng([seed, lo, hi]))
+        left = known[lo, hi]
         if shard < mid:
             counts, hi = left, mid
         else:
@@ -181,9 +179,10 @@ def slots(spark: SparkSession, sources: list[tuple], seed: int = 17, per_shard:
     n_shards = max(1, math.ceil(int(draws.sum()) / per_shard)) if len(draws) else 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict = {}
         for batch in batches:
             for shard in batch.column(0).to_pylist():
-                counts, before = shard_counts(draws, per_shard, shard, seed)
+                counts, before = shard_counts(draws, per_shard, shard, seed, known)
                 cols: list[list[np.ndarray]] = [[], [], []]
                 for src in np.flatnonzero(counts):
                     number = before[src] + np.arange(counts[src])
@@ -233,7 +232,8 @@ def mixed_documents(docs: DataFrame, seed: int = 17) -> DataFrame:
     """The mix as documents with the columns of ``docs``: for every run over a source, a document's taken words.
 
     A document taken whole keeps its text; of one taken in part, the taken words stay in order with the blanks after
-    them. ``n_chars`` follows where there is such a column.
+    them, and blanks before its first word are left out. ``n_chars`` follows where there is such a column. Other columns
+    pass through, whatever their names; an empty table gives an empty one.
     """
     spark = docs.sparkSession
     rows = stored(packed(docs), "sizes")
@@ -245,13 +245,14 @@ def mixed_documents(docs: DataFrame, seed: int = 17) -> DataFrame:
     known = F.broadcast(source_table(spark, sources).select("src", "s_source"))
     taken = numbered.join(known, F.col("source").eqNullSafe(F.col("s_source"))).join(taken, ["src", "start"]).select(
         F.col("doc_id").alias("t_id"), F.col("text_hash").alias("t_hash"), F.col("source").alias("t_source"), F.col("copy").alias("t_copy"), "epoch", "n", "size", "pieces")
-    own = docs.withColumn("__hash", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
-    own = own.withColumn("__copy", F.row_number().over(Window.partitionBy("doc_id", "__hash", "source").orderBy("__hash")))
-    on = own["doc_id"].eqNullSafe(F.col("t_id")) & (F.col("__hash") == F.col("t_hash")) & own["source"].eqNullSafe(F.col("t_source")) & (F.col("__copy") == F.col("t_copy"))
-    words = F.regexp_extract_all(own["text"], F.lit(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"), F.lit(0))
-    cut = F.array_join(F.transform("pieces", lambda p: F.array_join(F.slice("__words", p["from_word"].cast("int") + 1, p["n"].cast("int")), "")), "")
-    out = own.join(taken, on)
-    out = out.withColumn("__words", F.when(F.col("n") < F.col("size"), words)).withColumn("text", F.when(F.col("n") < F.col("size"), cut).otherwise(F.col("text")))
+    doc_id, text, source = (own(docs, c) for c in ("doc_id", "text", "source"))
+    mine = entered(docs).withColumn("own_hash", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
+    mine = mine.withColumn("own_copy", F.row_number().over(Window.partitionBy(doc_id, "own_hash", source).orderBy("own_hash")))
+    on = F.col(doc_id).eqNullSafe(F.col("t_id")) & (F.col("own_hash") == F.col("t_hash")) & F.col(source).eqNullSafe(F.col("t_source")) & (F.col("own_copy") == F.col("t_copy"))
+    words = F.regexp_extract_all(F.col(text), F.lit(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"), F.lit(0))
+    cut = F.array_join(F.transform("pieces", lambda p: F.array_join(F.slice("own_words", p["from_word"].cast("int") + 1, p["n"].cast("int")), "")), "")
+    out = mine.join(taken, on)
+    out = out.withColumn("own_words", F.when(F.col("n") < F.col("size"), words)).withColumn(text, F.when(F.col("n") < F.col("size"), cut).otherwise(F.col(text)))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+        out = out.withColumn(own(docs, "n_chars"), F.length(text).cast(docs.schema["n_chars"].dataType))
+    return restored(out, docs)

@@ -30,8 +30,11 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ASSIGN_WORDS = ("password", "passwd", "secret", "token", "api")
 ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")  # maximal runs, so a match under 18 characters hides none
 HEX = re.compile(r"[0-9a-f]{16,}")
-ENDPOINT = re.compile(r"[a-z][a-z0-9+.-]{1,15}://[^\s\"'<>]{1,2048}|(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?::\d{1,5})?(?![\d.])", re.ASCII)
-USER = re.compile(r"(?<![A-Za-z0-9._+-])[A-Za-z0-9._+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})+", re.ASCII)
+# No count limits a part: a scheme is walked back from its ``://``, runs are matched possessively from their beginning.
+AUTHORITY = re.compile(r"://[^\s\"'<>]+", re.ASCII)
+SCHEME = frozenset("abcdefghijklmnopqrstuvwxyz0123456789+.-")
+ADDRESS = re.compile(r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?::\d{1,5})?(?![\d.])", re.ASCII)
+USER = re.compile(r"(?<![A-Za-z0-9._+-])[A-Za-z0-9._+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", re.ASCII)
 KEY = re.compile(r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{20,}", re.ASCII)
 BLANK = re.compile(r"\n[ \t\r]*\n")
 
@@ -58,8 +61,26 @@ def base_spans(text: str) -> list[Span]:
     return sorted(out)
 
 
+def endpoints(text: str) -> list[tuple[int, int]]:
+    """(start, end) of URLs, whole, and of IP addresses outside of them."""
+    out, at = [], 0
+    while m := AUTHORITY.search(text, at):
+        start = m.start()
+        while start > at and text[start - 1] in SCHEME:
+            start -= 1
+        while start < m.start() and not text[start].isalpha():  # a scheme begins with a letter
+            start += 1
+        if m.start() - start >= 2:
+            out.append((start, m.end()))
+            at = m.end()
+        else:
+            at = m.start() + 3
+    inside = _Parts([(s, 0, e) for s, e in out])
+    return sorted(out + [(m.start(), m.end()) for m in ADDRESS.finditer(text) if not inside.covers(m.start(), m.end())])
+
+
 def weak_spans(text: str) -> list[Span]:
-    out: list[Span] = [(m.start(), 3, m.end()) for m in ENDPOINT.finditer(text)] if "." in text or "://" in text else []
+    out: list[Span] = [(s, 3, e) for s, e in endpoints(text)] if "." in text or "://" in text else []
     if "@" in text:
         out += [(m.start(), 4, m.end()) for m in USER.finditer(text)]
     out += [

@@ -94,15 +94,18 @@ def test_containment_matches_brute_force(spark):
         rows.append((100 + k, f"before. {' '.join(cut).upper()}, after it"))
     rows += [(300, "Two, words!"), (301, "two words more"), (302, None), (303, ""), (100, "item without any id at all"), (100, "item without any id at all")]
     words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").lower())
-    sets = lambda t: {tuple(w)} if 0 < len(w := words(t)) < 5 else {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
-    want = {(d, i) for (d, t), (i, u) in itertools.product(rows, items) if sets(u) and len(sets(t) & sets(u)) >= 0.8 * len(sets(u)) - 1e-9}
+    runs = lambda w, k: {tuple(w[i : i + k]) for i in range(len(w) - k + 1)}
+    size = lambda u: min(5, len(words(u)))  # words of an item's shingles
+    held = lambda t, u: size(u) > 0 and len(runs(words(t), size(u)) & runs(words(u), size(u))) >= 0.8 * len(runs(words(u), size(u))) - 1e-9
+    want = {(d, i) for (d, t), (i, u) in itertools.product(rows, items) if held(t, u)}
+    assert {(300, 70), (301, 70)} <= want  # a short item alone and inside a longer text
     docs = spark.createDataFrame([(d, t, "x") for d, t in rows], "doc_id long, text string, item_id string")
     bench = spark.createDataFrame(items, "item_id long, text string")
     got = decontaminate.contained(docs, bench)
     assert {(r.doc_id, r.item_id) for r in got.collect()} == want
     kept = decontaminate.clean(docs, bench)
     assert kept.columns == docs.columns
-    assert sorted((d, t or "") for d, t, _ in kept.collect()) == sorted((d, t or "") for d, t in rows if not any(sets(u) and len(sets(t) & sets(u)) >= 0.8 * len(sets(u)) - 1e-9 for _, u in items))
+    assert sorted((d, t or "") for d, t, _ in kept.collect()) == sorted((d, t or "") for d, t in rows if not any(held(t, u) for _, u in items))
     assert decontaminate.contained(docs, bench.limit(0)).count() == 0 and decontaminate.contained(docs.limit(0), bench).count() == 0
 
 
