@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from fanpulse.functions.joins import unique_by
 from fanpulse.functions.scalar import add_minutes, bin_of, count_if, safe_divide, whole_minutes
+from fanpulse.operators.windows import window_merged
 from fanpulse.schemas import KEY_MOMENT_TYPES
 
 MATCH_COLUMNS = (
@@ -217,17 +218,19 @@ def window_counts(
 
     # offsets of a bin: sums of the key's earlier bins, and the nearest event times outside it
     earlier = Window.partitionBy("_k").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
-    later = Window.partitionBy("_k").orderBy("_bin").rowsBetween(1, Window.unboundedFollowing)
+    # backwards in an order of its own: a frame that reaches to the end of its partition is recomputed for every row
+    later = Window.partitionBy("_k").orderBy(F.desc("_bin")).rowsBetween(Window.unboundedPreceding, -1)
     totals = line.groupBy("_k", "_bin").agg(*[F.sum(c).alias(c) for c in sums], F.min("_at").alias("_lo"), F.max("_at").alias("_hi"))
     offsets = totals.select(
         F.col("_k").alias("_ok"), F.col("_bin").alias("_obin"), *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"_o{c}") for c in sums],
         *([F.max("_hi").over(earlier).alias("_o_prev"), F.min("_lo").over(later).alias("_o_next")] if nearest else []))
     inside = Window.partitionBy("_k", "_bin").orderBy("_t")
     so_far = inside.rowsBetween(Window.unboundedPreceding, 0)
+    back = Window.partitionBy("_k", "_bin").orderBy(F.desc("_t")).rowsBetween(Window.unboundedPreceding, 0)
     running = line.select(
         "_k", "_t", "_bin", "_asked", *[F.col(f"_b{i}").alias(f"_own{i}") for i in range(len(names))], *[F.col(f"_z{i}").alias(f"_zown{i}") for i in range(len(names))],
         *[F.sum(c).over(so_far).alias(c) for c in sums],
-        *([F.max("_at").over(so_far).alias("_prev"), F.min("_at").over(inside.rowsBetween(0, Window.unboundedFollowing)).alias("_next")] if nearest else []))
+        *([F.max("_at").over(so_far).alias("_prev"), F.min("_at").over(back).alias("_next")] if nearest else []))
     found = running.where("_asked").join(offsets, (F.col("_k") == F.col("_ok")) & (F.col("_bin") == F.col("_obin")))
     begun = [F.col(f"_b{i}") + F.col(f"_o_b{i}") - (F.col(f"_own{i}") if half_open else F.lit(0)) for i in range(len(names))]
     ended = [F.col(f"_z{i}") + F.col(f"_o_z{i}") - F.col(f"_zown{i}") for i in range(len(names))]
@@ -375,6 +378,19 @@ def key_moments_report(
     return j if keep_id else j.drop("event_id")
 
 
+def moment_revenue_extremes(match_events: DataFrame, app_events: DataFrame, minutes: int = 5) -> DataFrame:
+    """Per key moment: least and greatest payment, revenue, and the first and last event within ``minutes`` of it."""
+    moments = key_moments(match_events).select("event_id", "match_id", "event_ts", "event_type")
+    ev = app_events.select("match_id", "event_ts", "event_id", "event_name", "revenue_usd")
+    paid = F.when(F.col("revenue_usd") != 0, F.col("revenue_usd"))
+    return window_merged(
+        moments, ev, "match_id", "event_ts", "event_ts", minutes, minutes, tiebreak="event_id",
+        aggs={
+            "least_payment_usd": ("min", paid), "greatest_payment_usd": ("max", paid), "revenue_usd": ("sum", F.col("revenue_usd")),
+            "first_event": ("first", F.col("event_name")), "last_event": ("last", F.col("event_name")),
+        })
+
+
 def session_anchor_audit(app_events: DataFrame, match_events: DataFrame, minutes: int = 10) -> DataFrame:
     """Sessions whose start lies within ``minutes`` of a football event of one of
     the session's matches, with the nearest such anchor (ties: earlier anchor)."""

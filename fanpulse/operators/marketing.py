@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from fanpulse.functions.joins import join_validated, unique_by
 from fanpulse.functions.scalar import safe_divide
+from fanpulse.operators.windows import span_sums
 from fanpulse.schemas import PAID_CHANNELS
 
 # The campaign target sheet (channel, target spend, target CAC,
@@ -30,7 +31,7 @@ def campaign_targets(spark: SparkSession) -> DataFrame:
 
 
 def _daily_revenue(events: DataFrame) -> DataFrame:
-    """Revenue per (user, day), so a heavy user joins as few rows. Zero revenue changes no sum: the filter reaches the scan."""
+    """Revenue per (user, day), so a heavy user has few rows. Zero revenue changes no sum: the filter reaches the scan."""
     return events.where(F.col("revenue_usd") != 0).groupBy("user_id", "event_date").agg(F.sum("revenue_usd").alias("_rev"))
 
 
@@ -56,16 +57,8 @@ def unit_economics(
     acquired = users.where(F.col("acquisition_channel").isin(*PAID_CHANNELS)).select(
         "signup_date", F.col("acquisition_channel").alias("channel"), "user_id"
     )
-    rev = _daily_revenue(events)
-    cond = (
-        (acquired["user_id"] == rev["user_id"])
-        & rev["event_date"].between(acquired["signup_date"], F.date_add(acquired["signup_date"], window_days))
-    )
-    per_user = (
-        acquired.join(rev, cond, "left")
-        .groupBy(acquired["signup_date"], acquired["channel"], acquired["user_id"])
-        .agg(F.sum(F.coalesce(rev["_rev"], F.lit(0.0))).alias("revenue_30d"))
-    )
+    per_user = span_sums(acquired, _daily_revenue(events), "user_id", "signup_date", F.date_add("signup_date", window_days),
+                         "event_date", "_rev", "_revenue").groupBy("signup_date", "channel", "user_id").agg(F.sum("_revenue").alias("revenue_30d"))
     rollup = per_user.groupBy("signup_date", "channel").agg(
         F.count("user_id").alias("new_users"), F.sum("revenue_30d").alias("u_revenue_30d")
     )
@@ -98,11 +91,9 @@ def channel_economics(users: DataFrame, events: DataFrame, spend: DataFrame, win
         F.sum("target_spend_usd").alias("target_spend_usd"),
     )
     u = unique_by(users.select("user_id", "signup_date", F.col("acquisition_channel").alias("channel")), ["user_id"], "users")
-    rev = _daily_revenue(events).join(u, "user_id")
-    age = F.datediff("event_date", "signup_date")
-    revenue = rev.where(age.between(0, window_days)).groupBy("channel").agg(F.sum("_rev").alias("_r30"))
-    counts = u.groupBy("channel").agg(F.count_distinct("user_id").alias("_users"))
-    j = totals.join(counts, "channel", "left").join(revenue, "channel", "left")
+    per_user = span_sums(u, _daily_revenue(events), "user_id", "signup_date", F.date_add("signup_date", window_days),
+                         "event_date", "_rev", "_revenue")
+    j = totals.join(per_user.groupBy("channel").agg(F.count("user_id").alias("_users"), F.sum("_revenue").alias("_r30")), "channel", "left")
     j = j.withColumns({
         "new_users": F.coalesce("_users", F.lit(0)),
         "revenue_30d": F.coalesce("_r30", F.lit(0.0)),

@@ -640,3 +640,19 @@ register("match_rank_top5", with_tables(["app_events", "dim_content", "match_eve
 SELECT match_label, MAX(unique_viewers) AS unique_viewers, CAST(SUM(views) AS BIGINT) AS views,
   CAST(SUM(subscriptions) AS BIGINT) AS subscriptions, MAX(xg) AS xg
 FROM sports GROUP BY match_label ORDER BY unique_viewers DESC, match_label LIMIT 5"""))(match_rank_top5)
+
+
+# ============================================================== aggregates around moments
+def moment_revenue_extremes(t):
+    return football.moment_revenue_extremes(t["fact_match_events"], t["fact_app_events"])
+
+
+register("moment_revenue_extremes", with_tables(["app_events", "match_events"], f"""
+SELECT p.event_id, p.match_id, p.event_ts, p.event_type, {r6('around.least')} AS least_payment_usd, {r6('around.greatest')} AS greatest_payment_usd,
+  {r6('around.revenue')} AS revenue_usd, around.opening AS first_event, around.closing AS last_event
+FROM match_events p, LATERAL (
+  SELECT MIN(a.revenue_usd) FILTER (WHERE a.revenue_usd <> 0) AS least, MAX(a.revenue_usd) FILTER (WHERE a.revenue_usd <> 0) AS greatest,
+    SUM(a.revenue_usd) AS revenue, (array_agg(a.event_name ORDER BY a.event_ts, a.event_id))[1] AS opening,
+    (array_agg(a.event_name ORDER BY a.event_ts DESC, a.event_id DESC))[1] AS closing
+  FROM app_events a WHERE a.match_id = p.match_id AND abs(epoch_us(a.event_ts) - epoch_us(p.event_ts)) <= 300000000) around
+WHERE p.period < 5 AND (p.event_type IN ('Substitution', 'Bad Behaviour') OR (p.event_type = 'Shot' AND p.shot_outcome = 'Goal'))"""))(moment_revenue_extremes)
