@@ -643,8 +643,11 @@ FROM sports GROUP BY match_label ORDER BY unique_viewers DESC, match_label LIMIT
 
 
 # ============================================================== aggregates around moments
+HALF_DAY = 720   # minutes before and after a moment
+
+
 def moment_revenue_extremes(t):
-    return football.moment_revenue_extremes(t["fact_match_events"], t["fact_app_events"])
+    return football.moment_revenue_extremes(t["fact_match_events"], t["fact_app_events"], HALF_DAY)
 
 
 register("moment_revenue_extremes", with_tables(["app_events", "match_events"], f"""
@@ -654,5 +657,5 @@ FROM match_events p, LATERAL (
   SELECT MIN(a.revenue_usd) FILTER (WHERE a.revenue_usd <> 0) AS least, MAX(a.revenue_usd) FILTER (WHERE a.revenue_usd <> 0) AS greatest,
     SUM(a.revenue_usd) AS revenue, (array_agg(a.event_name ORDER BY a.event_ts, a.event_id))[1] AS opening,
     (array_agg(a.event_name ORDER BY a.event_ts DESC, a.event_id DESC))[1] AS closing
-  FROM app_events a WHERE a.match_id = p.match_id AND abs(epoch_us(a.event_ts) - epoch_us(p.event_ts)) <= 300000000) around
+  FROM app_events a WHERE a.match_id = p.match_id AND abs(epoch_us(a.event_ts) - epoch_us(p.event_ts)) <= {HALF_DAY * 60_000_000}) around
 WHERE p.period < 5 AND (p.event_type IN ('Substitution', 'Bad Behaviour') OR (p.event_type = 'Shot' AND p.shot_outcome = 'Goal'))"""))(moment_revenue_extremes)
