@@ -4,13 +4,15 @@ A token file is a stream of little-endian ids, each document followed by the end
 documents begin. Files are read as blocks of fixed length that cut documents anywhere. Each block is searched for the end
 id at once (numpy) and yields its separators, the tokens before its first and after its last one. A prefix scan over the
 blocks' summaries (separators before a block; open tokens carried into it) stitches the documents that cross blocks. The
-scan runs per file; the window over a file has one small row per block.
+scan runs per file over one row of four numbers per block; the separators themselves, stored beside the summaries, are
+joined back by (file, block), so a file of any length is spread over many tasks. The table of names is numbered likewise.
 
 The files are stored by Spark's committer as Parquet rows (file, block, bytes), so lost executors leave no halves and
 readers need no local path. A file's last document may lack its end id: it is counted and marked ``open``.
 
 Nulls: a null text is an empty document (its end id alone, 0 tokens); a null doc_id stays null. An end id among a text's
-own ids would split its document, so the writer raises then; the query uses an id outside the vocabulary.
+own ids would split its document, so the writer raises then; the query uses an id outside the vocabulary. Repeated rows
+are documents of their own. Other columns are ignored. Empty tables and empty blocks give no rows.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import scratch_path, table, text_slices
+from .common import scratch_path, stored, table, text_slices
 from .tokens import PieceEncoder, tokenizer_path
 
 BLOCK_TOKENS = 1 << 19
@@ -85,13 +87,15 @@ def count_tokens(files: DataFrame, end_id: int, id_bytes: int = 2) -> DataFrame:
             yield pa.RecordBatch.from_arrays([v if t is None else pa.array(v, t) for v, t in values], names=["file", "block", "n", "n_ends", "after_last", "ends"])
 
     blocks = files.select("file", "block", "data").mapInArrow(scan, "file int, block int, n long, n_ends long, after_last long, ends array<long>")
+    blocks = stored(blocks, "separators")
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy("file").orderBy("block")
     first = F.coalesce(F.sum("n").over(before), F.lit(0))  # the block's first token in its file
-    stitched = blocks.select("file", "block", "n", "n_ends", "after_last", "ends", first.alias("first"), F.coalesce(F.sum("n_ends").over(before), F.lit(0)).alias("docs_before"), F.lead("block").over(whole).alias("next"))
+    stitched = blocks.select("file", "block", "n", "n_ends", "after_last", first.alias("first"), F.coalesce(F.sum("n_ends").over(before), F.lit(0)).alias("docs_before"), F.lead("block").over(whole).alias("next"))
     # the place after the last end before this block: where the document begins that is open at its first token
     stitched = stitched.withColumn("open_at", F.coalesce(F.max(F.col("first") + F.col("after_last")).over(before), F.lit(0)))
-    closed = stitched.select(
+    closed = stitched.select("file", "block", "docs_before", "first", "open_at").join(blocks.where("n_ends > 0").select("file", "block", "ends"), ["file", "block"])
+    closed = closed.select(
         "file", "docs_before", "first", "open_at",
         F.posexplode(F.transform("ends", lambda e, i: F.struct((e).alias("end"), F.when(i > 0, F.get("ends", i - 1) + 1).alias("own_start")))).alias("i", "d"),
     )
@@ -106,7 +110,9 @@ def count_tokens(files: DataFrame, end_id: int, id_bytes: int = 2) -> DataFrame:
 def names_of(files: DataFrame) -> DataFrame:
     """file, ordinal, doc_id from the table of names."""
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    rows = files.select("file", "doc_ids", F.coalesce(F.sum(F.size("doc_ids")).over(before), F.lit(0)).alias("names_before"))
+    sizes = files.select("file", "block", F.size("doc_ids").alias("n"))
+    sizes = sizes.select("file", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("names_before"))
+    rows = files.select("file", "block", "doc_ids").join(sizes, ["file", "block"])
     rows = rows.select("file", "names_before", F.posexplode("doc_ids").alias("i", "doc_id"))
     return rows.select("file", (F.col("names_before") + F.col("i")).alias("ordinal"), "doc_id")
 
