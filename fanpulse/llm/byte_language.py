@@ -30,6 +30,7 @@ SEGMENT = 64
 HIDDEN = 8
 TRAIN_DOCS = 1_600
 TRAIN_SEGMENTS = 4
+SALTS = 16  # parts of a language when its sample is taken
 STEPS = 200
 BATCH = 128
 AT_ONCE = 2048  # segments in the network at once
@@ -236,7 +237,10 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", bound:
     if len(languages) > bound:
         raise ValueError(f"more languages than the {bound} documents of the sample")
     each = bound // len(languages)
-    chosen = rows.select("lang", "h").distinct().withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("k") <= each)
+    # the first ``each`` of a language are among the first ``each`` of its salts: no window sees a whole language
+    chosen = rows.select("lang", "h").distinct().withColumn("salt", F.pmod("h", F.lit(SALTS)))
+    chosen = chosen.withColumn("k", F.row_number().over(Window.partitionBy("lang", "salt").orderBy("h"))).where(F.col("k") <= each)
+    chosen = chosen.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("k") <= each)
     chosen = chosen.select(F.col("lang").alias("c_lang"), F.col("h").alias("c_h"), "k")
     rows = rows.join(F.broadcast(stored(chosen, "chosen")), (F.col("lang") == F.col("c_lang")) & (F.col("h") == F.col("c_h")))  # at most ``bound`` rows
 
