@@ -6,7 +6,8 @@ the start ``file position - template position``, votes are intersected by that r
 when the template's mandatory key phrases are verified word by word at their places.
 
 Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after lower-casing A-Z. Null and empty texts have no words, no label and
-score 0. Repeated rows each get their own result row; other columns are ignored. Texts are scanned whole.
+score 0. Repeated rows each get their own result row; other columns are ignored. Texts are scanned whole. An empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -25,34 +26,81 @@ from .common import table, text_slices
 # Phrases and labels that every scan reports at all their places.
 BASE_PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
-# Customary sentences of public licences; the parts in brackets are the mandatory key phrases.
+# Customary notices and the sentences of public licence bodies, each a template of its own, so that a body
+# pasted in part keeps its label; the parts in brackets are the mandatory key phrases, a star stands for any one word.
 TEMPLATES = {
-    "apache-2.0": ["licensed under the [apache license] version [2 0]"],
+    "apache-2.0": [
+        "licensed under the [apache license] version [2 0]",
+        "you may [not use this file except in compliance with the license] you may obtain a copy of the license at",
+        "unless required by applicable law or agreed to in writing software [distributed under the license is distributed on an as is "
+        "basis] without warranties or conditions of any kind either express or implied",
+        "subject to the terms and conditions of this license [each contributor hereby grants to you a perpetual worldwide non exclusive "
+        "no charge royalty free irrevocable] copyright license to reproduce prepare derivative works of publicly display publicly perform "
+        "sublicense and distribute the work and such derivative works in source or object form",
+    ],
     "mit": [
         "released under the [mit license]",
         "licensed under the [mit license]",
         "[permission is hereby granted free of charge] to any person obtaining a copy of this software and associated "
         "documentation files the software to [deal in the software without restriction]",
+        "the above copyright notice and this permission notice shall be [included in all copies or substantial portions of the software]",
+        "[the software is provided as is without warranty of any kind] express or implied including but not limited to the warranties of "
+        "merchantability fitness for a particular purpose and noninfringement",
+        "in no event shall the authors or copyright holders be liable for any claim damages or other liability whether in an action of "
+        "contract tort or otherwise arising from out of or in connection with [the software or the use or other dealings in the software]",
     ],
     "bsd": [
         "[redistribution and use in source and binary forms] with or without modification are permitted provided that "
         "the following conditions are met",
         "licensed under the [bsd] 3 clause [license]",
+        "licensed under the [bsd] 2 clause [license]",
+        "[redistributions of source code must retain the above copyright notice] this list of conditions and the following disclaimer",
+        "[redistributions in binary form must reproduce the above copyright notice] this list of conditions and the following disclaimer "
+        "in the documentation and or other materials provided with the distribution",
+        "this software is provided by the copyright holders and contributors as is and [any express or implied warranties] including but "
+        "not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed",
+    ],
+    "bsd-3-clause": [
+        "neither the name of the copyright holder nor the names of its contributors may be used to [endorse or promote products derived "
+        "from this software without specific prior written permission]",
+    ],
+    "bsd-4-clause": ["[all advertising materials mentioning features or use of this software must display the following acknowledgement]"],
+    "isc": [
+        "[permission to use copy modify and or distribute this software] for any purpose with or without fee is hereby granted",
+        "the software is provided as is and the [author disclaims all warranties with regard to this software] including all implied "
+        "warranties of merchantability and fitness",
     ],
-    "isc": ["[permission to use copy modify and or distribute this software] for any purpose with or without fee is hereby granted"],
+    "zlib": ["[the origin of this software must not be misrepresented] you must not claim that you wrote the original software"],
+    "bsl-1.0": ["distributed under the [boost software license] version 1 0"],
     "gpl-notice": [
         "this program is free software you can redistribute it and or modify it under the terms of the [gnu general "
-        "public license] as published by the free software foundation"
+        "public license] as published by the free software foundation",
+        "this program is [distributed in the hope that it will be useful but without any warranty] without even the implied warranty of "
+        "merchantability or fitness for a particular purpose",
+        "you should have received a copy of the [gnu general public license] along with this program",
     ],
+    "gpl-2.0": ["[the licenses for most software are designed to take away your freedom to share and change it]"],
+    "gpl-3.0": ["the [gnu general public license is a free copyleft license for software and other kinds of works]"],
     "lgpl": ["under the terms of the [gnu lesser general public license]"],
-    "mpl-2.0": ["this source code form is subject to the terms of the [mozilla public license] v 2 0"],
-    "unlicense": ["this is [free and unencumbered software] released into the public domain"],
+    "agpl": ["under the terms of the [gnu affero general public license]"],
+    "mpl-2.0": [
+        "this source code form is subject to the terms of the [mozilla public license] v 2 0",
+        "if a copy of the [mpl was not distributed with this file] you can obtain one at",
+    ],
+    "epl-2.0": ["made available under the terms of the [eclipse public license] v 2 0"],
+    "unlicense": [
+        "this is [free and unencumbered software] released into the public domain",
+        "[anyone is free to copy modify publish use compile sell or distribute this software] either in source code form or as a compiled "
+        "binary for any purpose commercial or non commercial and by any means",
+    ],
     "cc-by-nc": ["licensed under [cc by nc] 4 0"],
     "cc-by-sa": ["licensed under [cc by sa] 4 0"],
     "cc0": ["released under [cc0] 1 0"],
-    "proprietary": ["copyright c company [all rights reserved]"],
+    "proprietary": [f"copyright c {'* ' * n}[all rights reserved]" for n in range(7)],  # year and holder: up to six words
 }
 
+ANY = b"*"  # no word holds a star
+
 _TO_WORDS = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
 SCHEMA = (
@@ -117,7 +165,8 @@ class RareWordIndex:
         self.postings: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
         self.need: list[int] = []
         for t, tpl in enumerate(templates):
-            rarest = sorted(range(len(tpl.words)), key=lambda i: (-idf[tpl.words[i]], i))[: 1 if tpl.base else anchors]
+            named = [i for i, w in enumerate(tpl.words) if w != ANY]
+            rarest = sorted(named, key=lambda i: (-idf[tpl.words[i]], i))[: 1 if tpl.base else anchors]
             for i in rarest:
                 self.postings[tpl.words[i]].append((t, i))
             self.need.append(1 if tpl.base else min(2, len(rarest)))
@@ -136,15 +185,16 @@ class RareWordIndex:
                 continue
             if all(start + i >= 0 and tuple(words[start + i : start + i + len(key)]) == key for i, key in tpl.keys):
                 same = sum(0 <= start + i < len(words) and words[start + i] == w for i, w in enumerate(tpl.words))
-                if tpl.base or same >= self.min_coverage * len(tpl.words):
-                    found.append((tpl, start, same / len(tpl.words)))
+                named = len(tpl.words) - tpl.words.count(ANY)
+                if tpl.base or same >= self.min_coverage * named:
+                    found.append((tpl, start, same / named))
         return sorted(found, key=lambda m: (m[1], m[0].label, m[0].words))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: list[Template] | None = None, anchors: int = 3) -> DataFrame:
     """One row per document: counts, labels, score (best share of a template's words found in place) and all matches."""
     templates = templates or parse_templates()
-    idf = word_idf(docs, text_col, {w for t in templates for w in t.words})
+    idf = word_idf(docs, text_col, {w for t in templates for w in t.words if w != ANY})
     index = RareWordIndex(templates, idf, anchors)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
