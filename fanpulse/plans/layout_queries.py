@@ -163,3 +163,30 @@ def target_sheet_blend(t) -> DataFrame:
 
 
 register("target_sheet_blend", SQL["target_blend"])(target_sheet_blend)
+
+
+# chart -> (label, value) fields of an entry
+CHARTED = {"executive_daily": ("event_date", "dau"), "sports": ("match_label", "unique_viewers"), "marketing": ("channel", "spend_usd")}
+
+
+def insights_charts(t) -> DataFrame:
+    """Charts of the written insights document: every entry at its place."""
+    path, daily, economics = scratch(t), reports.r1(t), reports.r5(t)
+    charts = {"executive_daily": (daily, ["event_date"]), "sports": (reports.r9(t), [-F.col("unique_viewers"), "match_label"]), "marketing": (economics, ["channel"])}
+    io.write_insights_document(reports.r12(t), reports.r12(t), charts, {"best_channel": reports.r11_best_channel(t)}, path)
+
+    def field(i: int):
+        return F.coalesce(*[F.when(F.col("chart") == name, F.get_json_object("entry", f"$.{of[i]}")) for name, of in CHARTED.items()])
+
+    return io.read_insights(t.spark, path).select("chart", "position", "of", field(0).alias("label"), field(1).cast("double").alias("value"))
+
+
+def _charts_sql() -> str:
+    parts = {"executive_daily": ("report_executive_daily", "CAST(CAST(event_date AS DATE) AS VARCHAR)", "event_date"),
+             "sports": ("match_rollup", "match_label", "unique_viewers DESC, match_label"), "marketing": ("report_marketing", "channel", "channel")}
+    return "\nUNION ALL ".join(
+        f"SELECT '{chart}' AS chart, ROW_NUMBER() OVER (ORDER BY {order}) - 1 AS position, COUNT(*) OVER () AS of, {label} AS label, ROUND(CAST({CHARTED[chart][1]} AS DOUBLE), 6) AS value FROM ({SQL[query]}) AS q"
+        for chart, (query, label, order) in parts.items())
+
+
+register("insights_charts", _charts_sql())(insights_charts)

@@ -5,7 +5,7 @@
 * ``build_marts``    the ten marts in dependency order, each replaced in one commit:
                      a mart that fails leaves its last version readable; the
                      quality mart reads the *written* product-daily mart
-* ``build_extracts`` report extracts as CSV plus one nested insights record
+* ``build_extracts`` report extracts as CSV plus one insights document
 """
 
 from __future__ import annotations
@@ -66,7 +66,7 @@ EXTRACTS: dict[str, Callable[[Tables], DataFrame]] = {
 
 
 def build_extracts(tables: Tables, out: str) -> DataFrame:
-    """Write the CSV extracts and the insights record; return the record."""
+    """Write the CSV extracts and the insights document; return the record, which nothing computes until it is read."""
     extracts = {name: fn(tables) for name, fn in EXTRACTS.items()}
     io.export_extracts(extracts, out)
     charts = {  # each with the order of its array
@@ -79,9 +79,9 @@ def build_extracts(tables: Tables, out: str) -> DataFrame:
     }
     tops = {"top_match": reports.r11_top_match(tables), "best_channel": reports.r11_best_channel(tables),
             "top_moment": reports.r11_top_moment(tables)}
-    record = io.insights_record(reports.r10(tables), reports.r12(tables), charts, tops)
-    io.write_insights(record, f"{out}/insights")
-    return record
+    kpis, sources = reports.r10(tables), reports.r12(tables)
+    io.write_insights_document(kpis, sources, charts, tops, f"{out}/insights")
+    return io.insights_record(kpis, sources, charts, tops)
 
 
 def chart_sizes(record: DataFrame) -> DataFrame:

@@ -179,18 +179,23 @@ def football_tables(matches: DataFrame, raw_events: DataFrame, raw_lineups: Data
     }
 
 
-def load_football_data(spark: SparkSession, root: str, max_matches: int) -> dict[str, DataFrame]:
-    """The last ``max_matches`` matches of ``matches.json`` with their events, teams and players."""
-    matches = normalize_matches(read_matches(spark, f"{root}/matches.json"))
-    return football_tables(matches, read_events(spark, f"{root}/events"), read_lineups(spark, f"{root}/lineups"), max_matches)
-
-
-def load_season(spark: SparkSession, root: str, competition_id: int, season_id: int, max_matches: int) -> dict[str, DataFrame]:
-    """The last ``max_matches`` matches of ``matches/<competition>/<season>.json``; only their own event and lineup files
-    are read. The driver holds the kept match ids, at most ``max_matches``; a missing file fails the read."""
-    matches = normalize_matches(read_matches(spark, f"{root}/matches/{competition_id}/{season_id}.json"))
+def _load_last(spark: SparkSession, root: str, matches_file: str, max_matches: int) -> dict[str, DataFrame]:
+    matches = normalize_matches(read_matches(spark, f"{root}/{matches_file}"))
     kept = matches.orderBy(F.desc("match_date"), F.desc("match_id")).limit(max_matches)
     ids = [r.match_id for r in kept.select("match_id").collect()]
     if not ids:
-        raise ValueError(f"no matches for competition {competition_id}, season {season_id}")
+        raise ValueError(f"no matches in {matches_file}")
+    kept = matches.where(F.col("match_id").isin(ids))
     return football_tables(kept, read_events(spark, f"{root}/events", ids), read_lineups(spark, f"{root}/lineups", ids))
+
+
+def load_football_data(spark: SparkSession, root: str, max_matches: int) -> dict[str, DataFrame]:
+    """The last ``max_matches`` matches of ``matches.json`` with their events, teams and players; only the event and lineup
+    files of those matches are read. The driver holds the kept match ids, at most ``max_matches``; a missing file fails the
+    read."""
+    return _load_last(spark, root, "matches.json", max_matches)
+
+
+def load_season(spark: SparkSession, root: str, competition_id: int, season_id: int, max_matches: int) -> dict[str, DataFrame]:
+    """The same for ``matches/<competition>/<season>.json``."""
+    return _load_last(spark, root, f"matches/{competition_id}/{season_id}.json", max_matches)

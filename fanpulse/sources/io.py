@@ -4,19 +4,23 @@
 * ``write_tables``     - one Parquet dataset per table, replaced atomically (S7)
 * ``write_with_layout``- date partitions + sorted (clustered) files, replaced atomically, returns row counts (S11)
 * ``replace_dates``    - replay of some dates of such a table; all other dates keep their files
-* ``export_*``         - CSV extracts, manifest, insights record (S8-S10, S13, S14)
+* ``export_*``         - CSV extracts, manifest (S8-S10, S13)
+* ``write_insights_document`` - the insights record as one JSON document in ordered parts (S14)
 * ``read_campaign_targets`` - target sheet CSV with an explicit schema (S15)
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fanpulse.operators.marketing import TARGET_SCHEMA
 from fanpulse.schemas import LAYOUT, PRIMARY_KEYS
+from fanpulse.session import ensure_checkpoint_dir
 from fanpulse.sources import versions
 
 
@@ -148,9 +152,9 @@ def insights_record(
 
     ``charts``: name -> (rows, order); an array is sorted by that order, as ``collect_list`` promises none.
 
-    Each input is already small (one row, or a top-k / per-day extract); the
-    chart arrays are built by ``collect_list`` inside Spark and the one-row
-    parts are combined by a union + ``first(ignorenulls)`` aggregate (no join).
+    For small charts only (top-k or per-day extracts): an array is one value, built
+    by ``collect_list``; ``write_insights_document`` takes charts of any length. The
+    one-row parts are combined by a union + ``first(ignorenulls)`` aggregate (no join).
     """
     parts = [nan_safe(sources).select(F.struct("*").alias("generated_from")),
              nan_safe(kpis).select(F.struct("*").alias("kpis"))]
@@ -175,5 +179,60 @@ def write_insights(record: DataFrame, path: str) -> None:
     record.coalesce(1).write.mode("overwrite").json(path)
 
 
+def _as_json() -> Column:
+    return F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
+
+
+def chart_entries(spark: SparkSession, charts: Mapping[str, tuple[DataFrame, Sequence[str | Column]]]) -> DataFrame:
+    """chart, position (from 0 in the chart's order), of (its length), entry (the row as JSON).
+
+    A chart is sorted by range over its order, equal places by their JSON, and stored; positions follow from the number of
+    rows in each sorted part. A window sees one row per part, so a chart may be of any length.
+    """
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/charts-{uuid.uuid4().hex}"
+    for name, (df, order) in charts.items():
+        keys = [(F.col(k) if isinstance(k, str) else k).alias(f"k{i}") for i, k in enumerate(order)]
+        rows = nan_safe(df).select(*keys, _as_json().alias("entry")).orderBy(*[f"k{i}" for i in range(len(order))], "entry")
+        rows.select(F.monotonically_increasing_id().alias("at"), "entry").write.parquet(f"{path}/chart={name}")
+    rows = spark.read.schema("at long, entry string, chart string").parquet(path).withColumn("part", F.shiftright("at", 33))
+    parts = rows.groupBy("chart", "part").agg(F.min("at").alias("first"), F.count("*").alias("n"))
+    of_chart = Window.partitionBy("chart")
+    before = of_chart.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select("chart", "part", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"), F.sum("n").over(of_chart).alias("of"))
+    return rows.join(parts, ["chart", "part"]).select("chart", (F.col("before") + F.col("at") - F.col("first")).alias("position"), "of", "entry")
+
+
+def write_insights_document(
+    kpis: DataFrame, sources: DataFrame, charts: Mapping[str, tuple[DataFrame, Sequence[str | Column]]], tops: Mapping[str, DataFrame], path: str
+) -> None:
+    """The record of ``insights_record`` without a task that holds a chart.
+
+    ``<path>/entries`` is the committed table of chart entries. ``<path>/document`` holds the lines of one JSON document,
+    sorted by range over (section, position): its parts in the order of their names are the document. An empty chart is
+    an empty array, an empty top or record null; NaN is null.
+    """
+    spark = kpis.sparkSession
+    versions.write(chart_entries(spark, charts), f"{path}/entries")
+    names = list(charts)
+    entries = read_insights(spark, path)
+    section = F.array_position(F.array(*[F.lit(n) for n in names]).cast("array<string>"), F.col("chart"))
+    lines = entries.select(section.alias("section"), "position", F.concat("entry", F.when(F.col("position") + 1 < F.col("of"), ",").otherwise("")).alias("line"))
+    heads = {"generated_from": sources, "kpis": kpis, **tops}
+    for i, (name, df) in enumerate(heads.items()):
+        row = nan_safe(df).agg(F.coalesce(F.first(_as_json()), F.lit("null")).alias("row"))
+        lines = lines.unionByName(row.select(F.lit(0).cast("long").alias("section"), F.lit(i).cast("long").alias("position"), F.concat(F.lit(f"{json.dumps(name)}:"), "row", F.lit(",")).alias("line")))
+    last = 1 << 62
+    frame = [(0, -1, "{"), (0, last, '"charts":{'), (len(names) + 1, 0, "}}")]
+    for i, name in enumerate(names, 1):
+        frame += [(i, -1, f"{json.dumps(name)}:["), (i, last, "]," if i < len(names) else "]")]
+    lines = lines.unionByName(spark.createDataFrame(frame, "section long, position long, line string"))
+    lines.orderBy("section", "position").select("line").write.mode("overwrite").text(f"{path}/document")
+
+
+def read_insights(spark: SparkSession, path: str) -> DataFrame:
+    """chart, position, of, entry of a written insights document."""
+    return versions.read(spark, f"{path}/entries")
+
+
 def read_campaign_targets(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(TARGET_SCHEMA).option("header", True).csv(path)

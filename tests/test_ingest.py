@@ -71,6 +71,19 @@ def test_load_football_data_keeps_last_matches_and_first_player(spark, tmp_path)
     assert one["fact_match_events"].count() == 0
 
 
+def test_load_football_data_reads_only_its_own_files(spark, tmp_path):
+    root = str(tmp_path)
+    _write(root)
+    for folder in ("events", "lineups"):
+        open(f"{root}/{folder}/99.json", "w").write("[{")  # another match's broken file is never opened
+    os.remove(f"{root}/events/7.json")
+    data = load_football_data(spark, root, max_matches=1)
+    files = {f.rsplit("/", 1)[-1] for f in data["fact_match_events"].inputFiles()}
+    assert files == {"8.json", "matches.json"} and data["dim_players"].count() >= 0
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        load_football_data(spark, root, max_matches=2)
+
+
 def test_load_season_reads_only_its_own_files(spark, tmp_path):
     root = str(tmp_path)
     _write(root)

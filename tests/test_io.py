@@ -4,8 +4,8 @@ import os
 from pyspark.sql import functions as F
 
 from fanpulse.sources import versions
-from fanpulse.sources.io import (export_event_sample, insights_record, manifest, read_campaign_targets,
-                                 read_layout_table, write_insights, write_with_layout)
+from fanpulse.sources.io import (export_event_sample, insights_record, manifest, read_campaign_targets, read_insights,
+                                 read_layout_table, write_insights, write_insights_document, write_with_layout)
 
 
 def test_write_with_layout_roundtrip(tables, tmp_path):
@@ -43,6 +43,35 @@ def test_insights_nan_to_null(spark, tmp_path):
     assert doc["generated_from"]["matches"] == 2 and len(doc["charts"]["c"]) == 2
 
 
+def _document(path):
+    parts = sorted(f for f in os.listdir(path) if f.startswith("part-"))
+    texts = [open(f"{path}/{f}").read() for f in parts]
+    return json.loads("".join(texts)), [t.count("\n") for t in texts]
+
+
+def test_insights_document_of_a_million_entries(spark, tmp_path):
+    n, path = 1_000_000, str(tmp_path / "ins")
+    kpis = spark.createDataFrame([(1, float("nan"))], "peak_dau long, ab_relative_lift double")
+    src = spark.createDataFrame([(10, 2)], "app_events long, matches long")
+    long = spark.range(n).select((F.lit(n) - F.col("id")).alias("rank"), F.concat(F.lit('a "b", \n'), F.col("id") % 7).alias("label")).repartition(6)
+    ties = spark.createDataFrame([("x", 2), ("y", 1), ("x", 2), (None, None)], "k string, v long")
+    empty = ties.limit(0)
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        write_insights_document(kpis, src, {"long": (long, ["rank"]), "none": (empty, ["k"]), "ties": (ties, [-F.col("v")])}, {"top": ties.where("k = 'y'"), "no_top": empty}, path)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    doc, lines = _document(f"{path}/document")
+    assert len(lines) > 2 and max(lines) < n                      # no part, so no task, holds the chart whole
+    assert doc["kpis"] == {"peak_dau": 1, "ab_relative_lift": None} and doc["generated_from"] == {"app_events": 10, "matches": 2}
+    assert doc["top"] == {"k": "y", "v": 1} and doc["no_top"] is None and list(doc["charts"]) == ["long", "none", "ties"]
+    assert [r["rank"] for r in doc["charts"]["long"]] == list(range(1, n + 1)) and doc["charts"]["long"][-1]["label"] == 'a "b", \n0'
+    assert doc["charts"]["none"] == [] and doc["charts"]["ties"] == [{"k": None, "v": None}, {"k": "x", "v": 2}, {"k": "x", "v": 2}, {"k": "y", "v": 1}]
+    entries = read_insights(spark, path)
+    assert entries.where("chart = 'long'").agg(F.min("position"), F.max("position"), F.count_distinct("position"), F.max("of")).first()[:] == (0, n - 1, n, n)
+
+
 def test_read_campaign_targets(spark, tmp_path):
     p = tmp_path / "t.csv"
     p.write_text("channel,target_spend_usd,target_cac_usd,target_roas_30d\nsocial,57780,9,1.20\n")
