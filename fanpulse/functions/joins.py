@@ -58,6 +58,17 @@ def unique_by(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     return per_key.select(*[F.col(c) if c in keys else F.col(f"_row.{c}") for c in df.columns])
 
 
+def left_join_spread(left: DataFrame, right: DataFrame, key: str, spread: Sequence[str]) -> DataFrame:
+    """Left join on a string ``key`` whose left rows without a key are dealt over the partitions by ``spread``.
+
+    They match nothing, but a plain join by key sends all of them to one task. Here a row joins by "=" and its key or, if
+    that is NULL, by "0" and a hash, which equals no key of the right side. Rows are those of the plain join."""
+    dealt = F.concat(F.lit("0"), F.pmod(F.xxhash64(*spread), F.lit(1 << 20)).cast("string"))
+    rows = left.withColumn("_at", F.coalesce(F.concat(F.lit("="), F.col(key)), dealt))
+    found = right.select(F.concat(F.lit("="), F.col(key)).alias("_at"), *[c for c in right.columns if c != key])
+    return rows.join(found, "_at", "left").drop("_at")
+
+
 def dedupe_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """Keep the first row per key under an explicit order (no reliance on file order).
 

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fanpulse.functions.joins import unique_by
+from fanpulse.functions.joins import left_join_spread, unique_by
 from fanpulse.functions.scalar import add_minutes, bin_of, count_if, safe_divide, whole_minutes
 from fanpulse.operators.windows import window_merged
 from fanpulse.schemas import KEY_MOMENT_TYPES
@@ -81,8 +81,9 @@ def _engagement(app_events: DataFrame, content: DataFrame) -> DataFrame:
     """Per (match, content type incl. NULL): views, distinct viewers and
     sessions, subscriptions, revenue. A (match, type, user) pre-aggregate
     carries the counts and the viewer count; sessions come from a narrow
-    (match, type, session) distinct - no Expand of the event rows."""
-    ev = app_events.join(content.select("content_id", "content_type"), "content_id", "left")
+    (match, type, session) distinct - no Expand of the event rows. Events
+    without content are spread over the join's tasks."""
+    ev = left_join_spread(app_events, content.select("content_id", "content_type"), "content_id", ["user_id", "session_id"])
     keys = ["match_id", "content_type"]
     per_user = ev.groupBy(*keys, "user_id").agg(
         F.count(F.lit(1)).alias("_views"),
