@@ -71,3 +71,7 @@ def test_mart_spreads_events_without_content(spark, shuffled, monkeypatch):
     assert _busiest(spark, monkeypatch, lambda: sports_engagement(_events(spark), *_tables(spark))) < 0.5
     found = {r.content_type: (r.views, r.unique_viewers, r.sessions) for r in football._engagement(_events(spark), _tables(spark)[0]).collect()}
     assert found == {None: (404, 50, 200), "a": (2, 2, 2), "b": (1, 1, 1)}
+
+
+def test_report_spreads_events_without_content(spark, shuffled, monkeypatch):
+    assert _busiest(spark, monkeypatch, lambda: sports_report(_events(spark), *_tables(spark))) < 0.5
