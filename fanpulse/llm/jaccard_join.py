@@ -10,8 +10,8 @@ Two documents link when 100 * intersection >= 80 * union of their sets of distin
 3. Group pairs that share a prefix shingle are filtered by size and by the place of the shingle. First only one hub per
    shingle and size band is paired with the others and verified; the links found, and every prefix shingle that more than
    ``HOT`` classes hold, tie classes to neighbourhoods. Pairs of different neighbourhoods share only shingles that at most
-   ``HOT`` classes hold: they are paired row by row, and verified on the whole sets from the texts. So no shingle makes
-   pairs with the square of its holders.
+   ``HOT`` classes hold: they are paired row by row where the parity bits of their sets allow a link, and verified on the
+   whole sets from the texts. So no shingle makes pairs with the square of its holders.
 4. Inside a neighbourhood every pair counts: its classes are cut by size into blocks, and two blocks (or one with itself)
    whose sizes can meet are compared in one task as a product of 0/1 matrices over their common shingles. A text is read
    once per block pair, not once per pair, so a large group of near copies, or of texts around one passage, is counted
@@ -49,6 +49,7 @@ MAX_BROADCAST_IDS = 4_000_000  # ids of 8 bytes
 BLOCK_SHINGLES = 1 << 21  # of a block's sets together; a class weighs at least MIN_WEIGHT, so a block has at most 1024
 MIN_WEIGHT = 1 << 11
 COLUMNS = 4096  # shingles per matrix product
+PARITY_BITS = 9  # a set's parity has 512 bits: 8 longs
 HOT = 64  # a prefix shingle of more classes ties them to one neighbourhood instead of making their pairs
 
 FIRST = "kind string, doc_id long, row long, n int, s1 long, s2 long, slice int, counts binary"
@@ -120,8 +121,14 @@ def _classes_only(batch: pa.RecordBatch) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([batch.column(0), pa.array(means, pa.float64()), pa.array(logs, pa.binary())], names=["slice", "mean", "counts"])
 
 
+def parity(hashes: np.ndarray) -> np.ndarray:
+    """A bit per bucket of hashes: whether the set has an odd number there. Sets that differ in d shingles differ in at most d bits."""
+    odd = np.bincount((hashes >> np.uint64(64 - PARITY_BITS)).astype(np.int64), minlength=1 << PARITY_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view("<i8")
+
+
 def prefixes(docs: DataFrame, classes: np.ndarray) -> DataFrame:
-    """s1, s2, n, doc_id, row, prefix: the first shingles of each non-empty set in the global order, as 64-bit tokens."""
+    """s1, s2, n, doc_id, row, prefix: the first shingles of each non-empty set in the global order, as 64-bit tokens; parity."""
     shared = docs.sparkSession.sparkContext.broadcast(classes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,12 +140,12 @@ def prefixes(docs: DataFrame, classes: np.ndarray) -> DataFrame:
                     size = n - -(-PERCENT * n // 100) + 1
                     token = (frequency[(s & _MASK).astype(np.int64)].astype(np.uint64) << np.uint64(56)) | (mix64(s) >> np.uint64(8))
                     first = np.partition(token, size - 1)[:size] if size < n else token
-                    rows.append((*set_key(s), n, doc_id, row, np.sort(first).astype(np.int64)))
+                    rows.append((*set_key(s), n, doc_id, row, np.sort(first).astype(np.int64), parity(s)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64())))],
-                names=["s1", "s2", "n", "doc_id", "row", "prefix"])
+                [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())))],
+                names=["s1", "s2", "n", "doc_id", "row", "prefix", "parity"])
 
-    return docs.mapInArrow(run, "s1 long, s2 long, n int, doc_id long, row long, prefix array<long>")
+    return docs.mapInArrow(run, "s1 long, s2 long, n int, doc_id long, row long, prefix array<long>, parity array<long>")
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -166,6 +173,13 @@ def fits(n1: str, p1: str, n2: str, p2: str):
     return (F.expr(f"100 * least({n1}, {n2}) >= {PERCENT} * greatest({n1}, {n2})")) & (F.expr(f"least({n1} - {p1}, {n2} - {p2})") >= least)
 
 
+def near(one: str, n1: str, two: str, n2: str) -> Column:
+    """Parity filter: linked sets differ in at most n1 + n2 - 2 * (least common) shingles, so in no more parity bits."""
+    least = f"cast(ceil({PERCENT} * ({n1} + {n2}) / {100 + PERCENT}.0) as int)"
+    apart = " + ".join(f"bit_count({one}[{i}] ^ {two}[{i}])" for i in range((1 << PARITY_BITS) // 64))
+    return F.expr(f"{apart} <= {n1} + {n2} - 2 * {least}")
+
+
 def common(one: list[np.ndarray], two: list[np.ndarray]) -> np.ndarray:
     """Sizes of the intersections of each set of ``one`` with each of ``two``, exact."""
     out = np.zeros((len(one), len(two)))
@@ -291,7 +305,7 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", count
     # classes of equal sets; one of a class's rows lends it its text
     sized = prefixes(docs, frequency_classes(spark, path))
     of_class = sized.groupBy("s1", "s2", "n").agg(
-        F.min(F.struct("row", "doc_id")).alias("own"), F.min("doc_id").alias("least"), F.count("*").alias("rows"), F.any_value("prefix").alias("prefix"))
+        F.min(F.struct("row", "doc_id")).alias("own"), F.min("doc_id").alias("least"), F.count("*").alias("rows"), F.any_value("prefix").alias("prefix"), F.any_value("parity").alias("parity"))
     of_class = stored(of_class.withColumn("cid", F.monotonically_increasing_id()), "classes")
     # groups: identical prefix and size; the least class stands for its group
     group_key = [F.xxhash64("prefix"), F.xxhash64(F.lit(7), F.col("prefix")), F.col("n")]
@@ -341,9 +355,9 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", count
     # all other pairs: of different neighbourhoods, by shingles that few classes hold
     labelled = tokens.join(hot, "token", "left_anti").join(comps.select(F.col("node").alias("gid"), "comp"), "gid", "left").withColumn("comp", F.coalesce("comp", "gid"))
     mixed = labelled.groupBy("token").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 <> c2").select("token")
-    open_ = stored(labelled.join(mixed, "token", "left_semi"), "open")
-    x, y = (open_.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("gid", "n", "p", "comp")]) for s in "xy")
-    cross = x.join(y, (x["token"] == y["token"]) & F.expr("gid_x < gid_y and comp_x <> comp_y") & fits("n_x", "p_x", "n_y", "p_y"))
+    open_ = stored(labelled.join(mixed, "token", "left_semi").join(of_class.select(F.col("cid").alias("gid"), "parity"), "gid"), "open")
+    x, y = (open_.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("gid", "n", "p", "comp", "parity")]) for s in "xy")
+    cross = x.join(y, (x["token"] == y["token"]) & F.expr("gid_x < gid_y and comp_x <> comp_y") & fits("n_x", "p_x", "n_y", "p_y") & near("parity_x", "n_x", "parity_y", "n_y"))
     cross = cross.select(F.col("gid_x").alias("a"), F.col("gid_y").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
     more = stored(verified(stored(cross, "pairs"), texts), "links")
 

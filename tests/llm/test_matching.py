@@ -2,6 +2,7 @@ import itertools
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -192,3 +193,31 @@ def test_representatives_of_shared_ids_and_clashing_names(spark):
     assert left.count((5, other)) == 1 and sum(d == 5 and t in (text, text + " x") for d, t in left) == 1
     assert (7, other + " y") not in left and (9, "short") in left and (None, text) in left and left.count((8, None)) == 2
     assert jaccard_join.join(docs).count() == len(rows)
+
+
+def test_parity_filter_keeps_every_link(spark):
+    rng, rows = np.random.default_rng(5), []
+    for k in range(400):
+        n = int(rng.integers(1, 700))
+        one = rng.integers(0, 1 << 64, n, dtype=np.uint64)
+        kept = rng.random(n) >= rng.choice([0.0, 0.05, 0.1, 0.11, 0.2, 0.5])
+        two = np.concatenate([one[kept], rng.integers(0, 1 << 64, int(rng.integers(0, 1 + n // 8)), dtype=np.uint64)])
+        same = int(kept.sum())
+        rows.append((100 * same >= 80 * (len(one) + len(two) - same), len(one), len(two), jaccard_join.parity(one).tolist(), jaccard_join.parity(two).tolist()))
+    pairs = spark.createDataFrame(rows, "linked boolean, n1 int, n2 int, one array<long>, two array<long>").withColumn("near", jaccard_join.near("one", "n1", "two", "n2"))
+    count = {(r.linked, r.near): r["count"] for r in pairs.groupBy("linked", "near").count().collect()}
+    assert count[True, True] > 100 and (True, False) not in count and count[False, False] > 100
+
+
+def test_texts_around_rare_passages_are_not_all_verified(spark, monkeypatch):
+    """Few texts share each passage, and it is in their prefixes: their pairs are known to be far apart without their texts."""
+    rng, rows = random.Random(2), []
+    for g in range(30):
+        passage = [f"g{g}p{i}" for i in range(70)]
+        rows += [(len(rows) + k, " ".join(passage + [f"g{g}t{k}w{rng.randrange(10**6)}" for _ in range(70)])) for k in range(8)]
+    rows += [(1000 + k, " ".join([f"c{i}" for i in range(150 - k)] + [f"d{k}" for _ in range(k)])) for k in range(8)]
+    made, real = [], jaccard_join.verified
+    monkeypatch.setattr(jaccard_join, "verified", lambda pairs, texts: (made.append(pairs.count()), real(pairs, texts))[1])
+    got = jaccard_join.join(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert {r.doc_id: r.n_links for r in got} == _expected_links(rows)
+    assert len(made) == 2 and made[1] < 30  # pairs of different neighbourhoods
