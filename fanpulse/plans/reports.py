@@ -224,6 +224,7 @@ def d10(t, max_lag_days: int = 2):
             c = F.col("check_name").endswith(p[1:]) if p.startswith("*") else F.col("check_name").like(p)
             cond = c if cond is None else (cond | c)
         tags.append(F.when(cond, F.lit(name)))
+    allc = allc.repartition(1)  # a row per check, some fifty whatever the data
     tagged = allc.select("*", F.explode(F.array_compact(F.array(*tags))).alias("check_group"))
     groups = tagged.groupBy("check_group").agg(
         count_if(F.col("status") == "PASS").alias("passed"), F.count(F.lit(1)).alias("total"),
