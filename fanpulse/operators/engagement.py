@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fanpulse.functions.joins import left_join_spread
 from fanpulse.functions.scalar import count_if, min_if, safe_divide
 from fanpulse.schemas import FUNNEL_ENTRY, FUNNEL_STEPS, VIEW_EVENTS
 
@@ -283,7 +284,8 @@ def engagement_drill(events: DataFrame, content: DataFrame, matches: DataFrame)
     rows = events.groupBy("match_id", "content_id", F.bitmap_bucket_number(user).alias("_bucket")).agg(
         F.count(F.lit(1)).alias("_views"), count_if(F.col("event_name") == "subscription_start").alias("_subs"),
         F.bitmap_construct_agg(F.bitmap_bit_position(user)).alias("_users"))
-    rows = rows.join(content.select("content_id", "content_type"), "content_id", "left").join(matches.select("match_id", "competition_name"), "match_id", "left")
+    rows = left_join_spread(rows, content.select("content_id", "content_type"), "content_id", ["match_id", "_bucket"])
+    rows = rows.join(matches.select("match_id", "competition_name"), "match_id", "left")
     keys, types = ["competition_name", "match_id", "content_type"], dict(rows.dtypes)
     levels = F.array(*[
         F.struct(F.lit(level).alias("level"), *[(F.col(k) if i < depth else F.lit(None).cast(types[k])).alias(k) for i, k in enumerate(keys)])

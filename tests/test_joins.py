@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from fanpulse.functions.joins import left_join_spread
 from fanpulse.operators import football
+from fanpulse.operators.engagement import engagement_drill
 from fanpulse.operators.football import sports_engagement, sports_report
 from fanpulse.schemas import CONTRACTS
 
@@ -75,3 +76,22 @@ def test_mart_spreads_events_without_content(spark, shuffled, monkeypatch):
 
 def test_report_spreads_events_without_content(spark, shuffled, monkeypatch):
     assert _busiest(spark, monkeypatch, lambda: sports_report(_events(spark), *_tables(spark))) < 0.5
+
+
+def test_drill_spreads_groups_without_content(spark, shuffled, monkeypatch):
+    seen = []
+
+    def joined(df, *a, **k):
+        seen.append(join(df, *a, **k))
+        return seen[-1]
+
+    join = type(spark.range(1)).join
+    ev = app_events(spark, [(i, 7, "2024-01-01 10:00:00", "app_open", i) for i in range(200)])
+    content, _, matches = _tables(spark)
+    monkeypatch.setattr(type(spark.range(1)), "join", joined)
+    drill = engagement_drill(ev, content, matches)
+    monkeypatch.undo()
+    rows = next(df for df in seen if "content_type" in df.columns and "competition_name" not in df.columns)
+    counts = [r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(counts) == 200 and max(counts) < 100
+    assert drill.where("level = 7").collect()[0][4:] == (200, 1, 0)
