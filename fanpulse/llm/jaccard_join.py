@@ -8,10 +8,11 @@ Two documents link when 100 * intersection >= 80 * union of their sets of distin
    this one keeps common passages out of prefixes. A set of n shingles has its n - ceil(0.8 n) + 1 first ones as prefix:
    linked sets share a prefix shingle. Classes with identical prefixes and size are collapsed into one group.
 3. Group pairs that share a prefix shingle are filtered by size and by the place of the shingle. First only one hub per
-   shingle and size band is paired with the others and verified; the links found, and every prefix shingle that more than
-   ``HOT`` classes hold, tie classes to neighbourhoods. Pairs of different neighbourhoods share only shingles that at most
-   ``HOT`` classes hold: they are paired row by row where the parity bits of their sets allow a link, and verified on the
-   whole sets from the texts. So no shingle makes pairs with the square of its holders.
+   shingle and size band is paired with the others; the links found, and every prefix shingle that more than ``HOT``
+   classes hold, tie classes to neighbourhoods. Pairs of different neighbourhoods share only shingles that at most ``HOT``
+   classes hold and are paired row by row. Pairs of either kind are verified on the whole sets from the texts where the
+   sizes and parity bits of their sets allow a link; only their texts are read. So no shingle makes pairs with the square
+   of its holders.
 4. Inside a neighbourhood every pair counts: its classes are cut by size into blocks, and two blocks (or one with itself)
    whose sizes can meet are compared in one task as a product of 0/1 matrices over their common shingles. A text is read
    once per block pair, not once per pair, so a large group of near copies, or of texts around one passage, is counted
@@ -49,7 +50,8 @@ MAX_BROADCAST_IDS = 4_000_000  # ids of 8 bytes
 BLOCK_SHINGLES = 1 << 21  # of a block's sets together; a class weighs at least MIN_WEIGHT, so a block has at most 1024
 MIN_WEIGHT = 1 << 11
 COLUMNS = 4096  # shingles per matrix product
-PARITY_BITS = 9  # a set's parity has 512 bits: 8 longs
+PARITY_BITS = 9  # a set's parity has 512 bits, 8 longs, and finer ones after them if it is large
+LEAST_PARITY = (1 << PARITY_BITS) // 64
 HOT = 64  # a prefix shingle of more classes ties them to one neighbourhood instead of making their pairs
 
 FIRST = "kind string, doc_id long, row long, n int, s1 long, s2 long, slice int, counts binary"
@@ -63,6 +65,16 @@ def set_key(hashes: np.ndarray) -> tuple[int, int]:
     return int(a.astype(np.int64)), int(b.astype(np.int64))
 
 
+def packed(counts: np.ndarray) -> bytes:
+    """32-bit counters, compressed byte by byte: a task's counts are small, so the upper bytes are zeros."""
+    return pa.compress(np.ascontiguousarray(counts.astype("<u4").view(np.uint8).reshape(-1, 4).T), codec="zstd", asbytes=True)
+
+
+def unpacked(data: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(data, decompressed_size=4 * n, codec="zstd"), np.uint8).reshape(4, n)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+
+
 def first_pass(docs: DataFrame, path: str) -> None:
     """Writes kind=set: doc_id, row, n, s1, s2 of every document; kind=sketch: each task's counts, in slices."""
     names = ["kind", "doc_id", "row", "n", "s1", "s2", "slice", "counts"]
@@ -78,10 +90,8 @@ def first_pass(docs: DataFrame, path: str) -> None:
             values = [["set"] * n, batch.column(0), batch.column(2), [len(s) for s in sets], [k[0] for k in keys], [k[1] for k in keys], [None] * n, [None] * n]
             yield pa.RecordBatch.from_arrays([v if isinstance(v, pa.Array) else pa.array(v, t) for v, t in zip(values, types)], names=names)
         for i, part in enumerate(np.split(counts, SLICES)):
-            at = np.flatnonzero(part).astype("<u2")
-            if len(at):  # places and counts
-                data = np.uint32(len(at)).tobytes() + at.tobytes() + part[at].astype("<u4").tobytes()
-                yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(["sketch", None, None, None, None, None, i, data], types)], names=names)
+            if part.any():
+                yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(["sketch", None, None, None, None, None, i, packed(part)], types)], names=names)
 
     docs.mapInArrow(run, FIRST).write.partitionBy("kind").option("compression", "zstd").parquet(path)
 
@@ -94,9 +104,8 @@ def frequency_classes(spark: SparkSession, path: str) -> np.ndarray:
         sums: dict[int, np.ndarray] = {}
         for batch in text_slices(batches, 16):
             for i, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                n = int(np.frombuffer(data, "<u4", 1)[0])
                 total = sums.setdefault(i, np.zeros(part, np.uint64))
-                total[np.frombuffer(data, "<u2", n, 4)] += np.frombuffer(data, "<u4", n, 4 + 2 * n)
+                total += unpacked(data, part)
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([s.tobytes() for s in sums.values()], pa.binary())], names=["slice", "counts"])
 
     rows = spark.read.schema(FIRST).parquet(path).where("kind = 'sketch'").select("slice", "counts")
@@ -122,9 +131,16 @@ def _classes_only(batch: pa.RecordBatch) -> pa.RecordBatch:
 
 
 def parity(hashes: np.ndarray) -> np.ndarray:
-    """A bit per bucket of hashes: whether the set has an odd number there. Sets that differ in d shingles differ in at most d bits."""
-    odd = np.bincount((hashes >> np.uint64(64 - PARITY_BITS)).astype(np.int64), minlength=1 << PARITY_BITS) & 1
-    return np.packbits(odd.astype(np.uint8)).view("<i8")
+    """A bit per bucket of hashes: whether the set has an odd number there. Sets that differ in d shingles differ in at most d bits.
+
+    2**PARITY_BITS buckets come first; sets of more than twice as many shingles go on with twice, four times ... as many
+    buckets, to half of their shingles at least.
+    """
+    bits = PARITY_BITS + max(0, (len(hashes) - 1) >> (PARITY_BITS + 1)).bit_length()
+    levels = [np.bincount((hashes >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits).astype(np.uint8) & 1]
+    while len(levels[-1]) > 1 << PARITY_BITS:
+        levels.append(levels[-1][::2] ^ levels[-1][1::2])
+    return np.packbits(np.concatenate(levels[::-1])).view("<i8")
 
 
 def prefixes(docs: DataFrame, classes: np.ndarray) -> DataFrame:
@@ -176,10 +192,42 @@ def fits(n1: str, p1: str, n2: str, p2: str):
 def near(one: str, n1: str, two: str, n2: str) -> Column:
     """Parity filter: linked sets differ in at most n1 + n2 - 2 * (least common) shingles, so in no more parity bits."""
     least = f"cast(ceil({PERCENT} * ({n1} + {n2}) / {100 + PERCENT}.0) as int)"
-    apart = " + ".join(f"bit_count({one}[{i}] ^ {two}[{i}])" for i in range((1 << PARITY_BITS) // 64))
+    apart = " + ".join(f"bit_count({one}[{i}] ^ {two}[{i}])" for i in range(LEAST_PARITY))
     return F.expr(f"{apart} <= {n1} + {n2} - 2 * {least}")
 
 
+def nearer(one: str, n1: str, two: str, n2: str) -> Column:
+    """The same with the finest buckets that both parities have: those of w longs lie between w - LEAST_PARITY and 2 * w - LEAST_PARITY."""
+    least = f"cast(ceil({PERCENT} * ({n1} + {n2}) / {100 + PERCENT}.0) as int)"
+    longs = f"least(size({one}), size({two}))"
+    apart = f"aggregate(sequence(({longs} - {LEAST_PARITY}) div 2, {longs} - 1L), 0, (s, i) -> s + bit_count({one}[cast(i as int)] ^ {two}[cast(i as int)]))"
+    return F.expr(f"{apart} <= {n1} + {n2} - 2 * {least}")
+
+
+def possible(pairs: DataFrame, of_class: DataFrame) -> DataFrame:
+    """Those of ``pairs`` (a, b) that their sizes and parities allow to link; no linked pair is left out, and no text is read."""
+    x, y = (of_class.select(F.col("cid").alias(c), F.col("n").alias(f"n_{c}"), F.col("parity").alias(f"parity_{c}")) for c in "ab")
+    sizes = F.expr(f"100 * least(n_a, n_b) >= {PERCENT} * greatest(n_a, n_b)")
+    return pairs.join(x, "a").join(y, "b").where(sizes & nearer("parity_a", "n_a", "parity_b", "n_b")).select("a", "b")
+
+
+def texts_of(docs: DataFrame, of_class: DataFrame, cids: DataFrame) -> DataFrame:
+    """cid, text of the classes in ``cids``, stored: one of a class's rows lends it its text."""
+    wanted = cids.distinct().join(of_class.select("cid", "own.row", F.col("own.doc_id").alias("of")), "cid")
+    wanted = stored(wanted, "wanted")
+    small = wanted.limit(MAX_BROADCAST_IDS + 1).count() <= MAX_BROADCAST_IDS
+    texts = docs.where("text is not null").join(F.broadcast(wanted) if small else wanted, [docs["row"] == wanted["row"], docs["doc_id"].eqNullSafe(wanted["of"])])
+    texts = stored(texts.select("cid", "text"), "texts")
+    if not texts.groupBy("cid").count().where("count > 1").isEmpty():  # repeated rows, with the same text
+        texts = stored(texts.dropDuplicates(["cid"]), "texts")
+    return texts
+
+
+def ends(pairs: DataFrame) -> DataFrame:
+    """cid: the classes of ``pairs``."""
+    return pairs.select(F.explode(F.array("a", "b")).alias("cid"))
+
+
 def common(one: list[np.ndarray], two: list[np.ndarray]) -> np.ndarray:
     """Sizes of the intersections of each set of ``one`` with each of ``two``, exact."""
     out = np.zeros((len(one), len(two)))
@@ -336,16 +384,8 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", count
     at_hub = tokens.withColumn("band", band).join(hubs, ["token", "band"])
     hub_pairs = at_hub.select("gid", F.explode(F.array("h1", "h2")).alias("hub")).where("gid <> hub")
     pairs = hub_pairs.select(F.least("gid", "hub").alias("a"), F.greatest("gid", "hub").alias("b")).unionByName(star).distinct()
-    pairs = stored(pairs, "pairs")
-
-    wanted = tokens.select(F.col("gid").alias("cid")).distinct().join(of_class.select("cid", "own.row", F.col("own.doc_id").alias("of")), "cid")
-    wanted = stored(wanted, "wanted")
-    small = wanted.limit(MAX_BROADCAST_IDS + 1).count() <= MAX_BROADCAST_IDS
-    texts = docs.where("text is not null").join(F.broadcast(wanted) if small else wanted, [docs["row"] == wanted["row"], docs["doc_id"].eqNullSafe(wanted["of"])])
-    texts = stored(texts.select("cid", "text"), "texts")
-    if not texts.groupBy("cid").count().where("count > 1").isEmpty():  # repeated rows, with the same text
-        texts = stored(texts.dropDuplicates(["cid"]), "texts")
-    found = stored(verified(pairs, texts), "links")
+    pairs = stored(possible(pairs, of_class), "pairs")
+    found = stored(verified(pairs, texts_of(docs, of_class, ends(pairs))), "links")
 
     # neighbourhoods: verified links, and shingles that many classes hold
     hot = stored(tokens.groupBy("token").agg(F.count("*").alias("held"), F.min("gid").alias("hub")).where(F.col("held") > HOT).select("token", "hub"), "hot")
@@ -355,22 +395,30 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", count
     # all other pairs: of different neighbourhoods, by shingles that few classes hold
     labelled = tokens.join(hot, "token", "left_anti").join(comps.select(F.col("node").alias("gid"), "comp"), "gid", "left").withColumn("comp", F.coalesce("comp", "gid"))
     mixed = labelled.groupBy("token").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 <> c2").select("token")
-    open_ = stored(labelled.join(mixed, "token", "left_semi").join(of_class.select(F.col("cid").alias("gid"), "parity"), "gid"), "open")
+    open_ = stored(labelled.join(mixed, "token", "left_semi").join(of_class.select(F.col("cid").alias("gid"), F.slice("parity", 1, LEAST_PARITY).alias("parity")), "gid"), "open")
     x, y = (open_.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("gid", "n", "p", "comp", "parity")]) for s in "xy")
     cross = x.join(y, (x["token"] == y["token"]) & F.expr("gid_x < gid_y and comp_x <> comp_y") & fits("n_x", "p_x", "n_y", "p_y") & near("parity_x", "n_x", "parity_y", "n_y"))
     cross = cross.select(F.col("gid_x").alias("a"), F.col("gid_y").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
-    more = stored(verified(stored(cross, "pairs"), texts), "links")
+    cross = stored(possible(cross, of_class), "pairs")
 
+    # texts of these pairs and of the neighbourhoods compared inside
     plain = hot.isEmpty()
     only = None if counted else comps.join(hot.select(F.col("hub").alias("node")).distinct(), "node", "left_semi").select("comp").distinct()
+    needed = ends(cross)
+    if counted or not plain:
+        many = comps.groupBy("comp").agg(F.count("*").alias("held")).where("held > 2").select("comp")
+        many = many if only is None else many.join(only, "comp", "left_semi")
+        needed = needed.unionByName(comps.join(many, "comp", "left_semi").select(F.col("node").alias("cid")))
+    texts = texts_of(docs, of_class, needed)
+    more = stored(verified(cross, texts), "links")
     edges = found.unionByName(more)
     if counted or not plain:
         inside = stored(links_inside(comps, found, of_class.select("cid", "n", "rows"), texts, only), "inside")
         edges = edges.unionByName(inside.where("a is not null").select("a", "b"))
     classes = of_class.select("cid", "least", "rows", F.lit(None).cast("long").alias("n_links"))
     if counted:
-        ends = more.select(F.col("a").alias("cid"), F.col("b").alias("to")).unionByName(more.select(F.col("b").alias("cid"), F.col("a").alias("to")))
-        across = ends.join(of_class.select(F.col("cid").alias("to"), "rows"), "to").select("cid", F.col("rows").alias("n_links"))
+        sides = more.select(F.col("a").alias("cid"), F.col("b").alias("to")).unionByName(more.select(F.col("b").alias("cid"), F.col("a").alias("to")))
+        across = sides.join(of_class.select(F.col("cid").alias("to"), "rows"), "to").select("cid", F.col("rows").alias("n_links"))
         n_links = stored(inside.where("cid is not null").select("cid", "n_links").unionByName(across).groupBy("cid").agg(F.sum("n_links").alias("n_links")), "counts")
         classes = of_class.select("cid", "least", "rows").join(n_links, "cid", "left").select("cid", "least", "rows", (F.coalesce("n_links", F.lit(0)) + F.col("rows") - 1).alias("n_links"))
     if not (plain and more.isEmpty()):

@@ -221,3 +221,44 @@ def test_texts_around_rare_passages_are_not_all_verified(spark, monkeypatch):
     got = jaccard_join.join(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
     assert {r.doc_id: r.n_links for r in got} == _expected_links(rows)
     assert len(made) == 2 and made[1] < 30  # pairs of different neighbourhoods
+
+
+def test_fine_parity_keeps_every_link(spark):
+    """Sets of all sizes, those of a pair with different numbers of buckets among them."""
+    rng, rows = np.random.default_rng(8), []
+    for k in range(300):
+        n = int(rng.choice([rng.integers(1, 700), rng.integers(900, 1200), rng.integers(1800, 9000)]))
+        one = rng.integers(0, 1 << 64, n, dtype=np.uint64)
+        kept = rng.random(n) >= rng.choice([0.0, 0.05, 0.1, 0.19, 0.5, 1.0])
+        other = rng.integers(0, 1 << 64, int(rng.integers(0, 2 + n // 8)) if 2 * kept.sum() > n else n, dtype=np.uint64)
+        two = np.concatenate([one[kept], other]) if k % 3 or not kept.any() else one[kept]
+        same = int(kept.sum())
+        rows.append((100 * same >= 80 * (len(one) + len(two) - same), len(one), len(two), jaccard_join.parity(one).tolist(), jaccard_join.parity(two).tolist()))
+    assert any(r[0] and len(r[3]) != len(r[4]) for r in rows)
+    pairs = spark.createDataFrame(rows, "linked boolean, n1 int, n2 int, one array<long>, two array<long>").withColumn("near", jaccard_join.nearer("one", "n1", "two", "n2"))
+    assert pairs.where("linked and not near").isEmpty() and pairs.where("linked").count() > 50
+    assert pairs.where("not linked and not near and n1 > 3000").count() > 20
+
+
+def test_only_texts_of_possible_pairs_are_read(spark, monkeypatch):
+    """Texts that share half of their words with a hub's text or others', short and long ones: few pairs are verified, and few texts read."""
+    rng, rows = random.Random(6), []
+    for g, size in enumerate([60] * 12 + [1500] * 4):
+        passage = [f"g{g}p{i}" for i in range(size)]
+        rows += [(len(rows) + k, " ".join(passage + [f"g{g}t{k}w{rng.randrange(10**6)}" for _ in range(size)])) for k in range(6)]
+    for size in (100, 3000):
+        rows += [(len(rows) + k, " ".join([f"c{size}x{i}" for i in range(size - k)] + [f"d{size}x{k}"] * k)) for k in range(4)]
+    made, real = [], jaccard_join.verified
+    monkeypatch.setattr(jaccard_join, "verified", lambda pairs, texts: (made.append((pairs.count(), texts.count())), real(pairs, texts))[1])
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = jaccard_join.join(docs).collect()
+    assert {r.doc_id: r.n_links for r in got} == _expected_links(rows)
+    assert max(pairs for pairs, _ in made) <= 20 and max(texts for _, texts in made) <= 20  # of 104 texts
+
+
+def test_sketch_is_packed():
+    rng = np.random.default_rng(1)
+    counts = rng.poisson(0.6, 1 << 16).astype(np.uint32)  # a slice of one task's counters
+    counts[:3] = 0, 1 << 20, (1 << 32) - 1
+    data = jaccard_join.packed(counts)
+    assert (jaccard_join.unpacked(data, 1 << 16) == counts).all() and len(data) < 1 << 15
