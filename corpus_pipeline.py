@@ -12,13 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fanpulse.llm import decontaminate, hilbert_shards, jaccard_join, mixing, toxicity
-from fanpulse.llm.common import scratch_path, table
+from fanpulse.llm.common import bounded_batches, scratch_path, table
 
 TOXIC_FROM = 0.3
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is under ``TOXIC_FROM``; the lexicon is learned from the labelled rows."""
+    bounded_batches(spark)
     lexicon = toxicity.fit(docs, table(spark, sf_dir, "labels").where(~toxicity.held_out()))
     return toxicity.score(docs, lexicon, score_col="__score").where(F.col("__score") < TOXIC_FROM).select(*docs.columns)
 

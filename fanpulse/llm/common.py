@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 #: Bytes that are white space in the word rule ``[^\x20\x09-\x0D]+``; ``bytes.split()`` splits at the same six.
 SPACES = " \t\n\x0b\x0c\r"
 
+#: Of an Arrow batch between Spark and a Python worker; Spark's own bound is 10,000 rows, whatever their texts' length.
+BATCH_BYTES = "2m"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -81,6 +84,12 @@ def numbered(df: DataFrame, by: list[str], order: list[str], name: str = "pos",
     return rows.select(*df.columns, (F.col("nr_before") + F.col("nr_at") - F.col("nr_first")).alias(name), F.col("nr_of").alias(total))
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """From now on Arrow batches end at ``BATCH_BYTES`` too, unless the session has a bound of its own: both sides hold them outside the heap."""
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 def text_slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
     """Arrow batches cut to few rows, so that what a task holds besides a batch stays small."""
     for batch in batches:

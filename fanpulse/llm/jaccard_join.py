@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import entered, numbered, own, restored, scratch_path, stored, table, text_slices
+from .common import bounded_batches, entered, numbered, own, restored, scratch_path, stored, table, text_slices
 from .components import components
 from .decontaminate import maybe_broadcast
 from .shingles import mix64, shingle_sets
@@ -84,7 +84,8 @@ def first_pass(docs: DataFrame, path: str) -> None:
         counts = np.zeros(1 << SKETCH_BITS, np.uint32)
         for batch in text_slices(batches):
             sets = shingle_sets(batch.column(1).to_pylist(), WIDTH)
-            counts += np.bincount((np.concatenate(sets) & _MASK).astype(np.int64), minlength=1 << SKETCH_BITS).astype(np.uint32)
+            cells, times = np.unique(np.concatenate(sets) & _MASK, return_counts=True)
+            counts[cells.astype(np.int64)] += times.astype(np.uint32)
             keys = [set_key(s) for s in sets]
             n = len(sets)
             values = [["set"] * n, batch.column(0), batch.column(2), [len(s) for s in sets], [k[0] for k in keys], [k[1] for k in keys], [None] * n, [None] * n]
@@ -106,11 +107,11 @@ def frequency_classes(spark: SparkSession, path: str) -> np.ndarray:
             for i, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 total = sums.setdefault(i, np.zeros(part, np.uint64))
                 total += unpacked(data, part)
-        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([s.tobytes() for s in sums.values()], pa.binary())], names=["slice", "counts"])
+        yield _classes_only(sums)
 
     rows = spark.read.schema(FIRST).parquet(path).where("kind = 'sketch'").select("slice", "counts")
-    rows = rows.repartition(SLICES, "slice").mapInArrow(add, "slice int, counts binary").mapInArrow(
-        lambda it: (_classes_only(b) for b in it), "slice int, mean double, counts binary").collect()
+    # one step: a second mapInArrow behind it would take a second worker for each task, and executors keep both
+    rows = rows.repartition(SLICES, "slice").mapInArrow(add, "slice int, mean double, counts binary").collect()
     mean = sum(r["mean"] for r in rows) / SLICES
     out = np.zeros(1 << SKETCH_BITS, np.uint8)
     for r in rows:
@@ -121,13 +122,13 @@ def frequency_classes(spark: SparkSession, path: str) -> np.ndarray:
     return out
 
 
-def _classes_only(batch: pa.RecordBatch) -> pa.RecordBatch:
+def _classes_only(sums: dict[int, np.ndarray]) -> pa.RecordBatch:
     means, logs = [], []
-    for data in batch.column(1).to_pylist():
-        counts = np.frombuffer(data, np.uint64).astype(np.float64)
+    for total in sums.values():
+        counts = total.astype(np.float64)
         means.append(counts.mean())
         logs.append(np.minimum(255, np.floor(4 * np.log2(counts + 1))).astype(np.uint8).tobytes())
-    return pa.RecordBatch.from_arrays([batch.column(0), pa.array(means, pa.float64()), pa.array(logs, pa.binary())], names=["slice", "mean", "counts"])
+    return pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(means, pa.float64()), pa.array(logs, pa.binary())], names=["slice", "mean", "counts"])
 
 
 def parity(hashes: np.ndarray) -> np.ndarray:
@@ -345,6 +346,7 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", count
     Without ``counted`` n_links is null, and neighbourhoods that no hot shingle ties are not compared in blocks: their
     links are known to connect them."""
     spark = docs.sparkSession
+    bounded_batches(spark)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), row_key(id_col, text_col).alias("row"))
     path = scratch_path(spark, "sets")
     first_pass(docs, path)

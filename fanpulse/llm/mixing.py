@@ -203,7 +203,9 @@ def slots(spark: SparkSession, sources: list[tuple], seed: int = 17, per_shard:
 
 
 def source_table(spark: SparkSession, sources: list[tuple]) -> DataFrame:
-    return spark.createDataFrame(sources, "src int, s_source string, source_size long, target double, blocks long, draws long").drop("blocks", "draws")
+    """src, s_source, source_size, target; made from Arrow, which needs no Python worker on the executors."""
+    types = [("src", pa.int32()), ("s_source", pa.string()), ("source_size", pa.int64()), ("target", pa.float64())]
+    return spark.createDataFrame(pa.table({name: pa.array([s[i] for s in sources], t) for i, (name, t) in enumerate(types)}))
 
 
 def mix(spark: SparkSession, rows: DataFrame, sources: list[tuple], seed: int = 17, block_words: int = BLOCK_WORDS) -> DataFrame:

@@ -3,6 +3,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -262,3 +263,20 @@ def test_sketch_is_packed():
     counts[:3] = 0, 1 << 20, (1 << 32) - 1
     data = jaccard_join.packed(counts)
     assert (jaccard_join.unpacked(data, 1 << 16) == counts).all() and len(data) < 1 << 15
+
+
+def test_no_task_takes_two_python_workers(spark, monkeypatch):
+    """Steps in Python never follow each other inside a stage: executors would keep a worker for each."""
+    docs = spark.createDataFrame([(i, " ".join(f"w{i // 2}x{k}" for k in range(40 + i % 2))) for i in range(20)], "doc_id long, text string")
+    made, real = [], type(docs).mapInArrow
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, *a, **b: (made.append(out := real(self, *a, **b)), out)[1])
+    assert jaccard_join.representatives(docs).count() == 10
+    plans = [df._jdf.queryExecution().optimizedPlan().toString() for df in made]
+    assert len(plans) >= 4 and max(p.count("MapInArrow") for p in plans) == 1
+
+
+def test_batches_of_long_texts_are_small(spark):
+    docs = spark.range(0, 4000, 1, 1).select(F.col("id").alias("doc_id"), F.concat_ws(" ", *[F.concat(F.lit(f"w{k}x"), "id") for k in range(400)]).alias("text"))
+    docs.limit(1).transform(jaccard_join.join).collect()
+    sizes = docs.mapInArrow(lambda it: (pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["n"]) for b in it), "n long").collect()
+    assert sum(r.n for r in sizes) > 10 << 20 and max(r.n for r in sizes) < 3 << 20

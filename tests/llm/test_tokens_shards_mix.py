@@ -147,3 +147,12 @@ def test_mix_meets_targets(spark):
         words.setdefault(i, set()).update((t or "").split())
     assert all(set(r.text.split()) <= words[r.doc_id] for r in out.collect())
     assert mixing.mixed_documents(docs.limit(0)).count() == 0
+
+
+def test_source_table_needs_no_python_worker(spark):
+    sources = [(0, "a", 640, 1280.0, 10, 20), (1, None, 64, 192.0, 1, 3)]
+    got = mixing.source_table(spark, sources)
+    assert got.dtypes == [("src", "int"), ("s_source", "string"), ("source_size", "bigint"), ("target", "double")]
+    assert sorted(map(tuple, got.collect())) == [s[:4] for s in sources]
+    assert "ExistingRDD" not in got._jdf.queryExecution().executedPlan().toString()
+    assert mixing.source_table(spark, []).count() == 0
