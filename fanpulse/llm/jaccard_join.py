@@ -8,11 +8,12 @@ Two documents link when 100 * intersection >= 80 * union of their sets of distin
    this one keeps common passages out of prefixes. A set of n shingles has its n - ceil(0.8 n) + 1 first ones as prefix:
    linked sets share a prefix shingle. Classes with identical prefixes and size are collapsed into one group.
 3. Group pairs that share a prefix shingle are filtered by size and by the place of the shingle. First only one hub per
-   shingle and size band is paired with the others; the links found, and every prefix shingle that more than ``HOT``
-   classes hold, tie classes to neighbourhoods. Pairs of different neighbourhoods share only shingles that at most ``HOT``
-   classes hold and are paired row by row. Pairs of either kind are verified on the whole sets from the texts where the
-   sizes and parity bits of their sets allow a link; only their texts are read. So no shingle makes pairs with the square
-   of its holders.
+   shingle and size band is paired with the others; the links found, and every prefix shingle that more than ``TIED``
+   classes hold, tie classes to neighbourhoods. Pairs of different neighbourhoods share only shingles that at most ``TIED``
+   classes hold and are paired row by row; a shingle of more than ``HOT`` classes makes only pairs that their whole parities
+   allow. Pairs of either kind are verified on the whole sets from the texts where the sizes and parity bits of their sets
+   allow a link; only their texts are read. So no shingle makes pairs with the square of its holders, and shingles that the
+   sketch could not tell from rare ones don't tie unrelated texts to one neighbourhood, which would send each to many tasks.
 4. Inside a neighbourhood every pair counts: its classes are cut by size into blocks, and two blocks (or one with itself)
    whose sizes can meet are compared in one task as a product of 0/1 matrices over their common shingles. A text is read
    once per block pair, not once per pair, so a large group of near copies, or of texts around one passage, is counted
@@ -30,7 +31,7 @@ documents without any id is null. Other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -52,7 +53,8 @@ MIN_WEIGHT = 1 << 11
 COLUMNS = 4096  # shingles per matrix product
 PARITY_BITS = 9  # a set's parity has 512 bits, 8 longs, and finer ones after them if it is large
 LEAST_PARITY = (1 << PARITY_BITS) // 64
-HOT = 64  # a prefix shingle of more classes ties them to one neighbourhood instead of making their pairs
+HOT = 64  # pairs of a prefix shingle of more classes pass the whole parities before they are made
+TIED = 1024  # a prefix shingle of more classes ties them to one neighbourhood instead of making their pairs
 
 FIRST = "kind string, doc_id long, row long, n int, s1 long, s2 long, slice int, counts binary"
 _MASK = np.uint64((1 << SKETCH_BITS) - 1)
@@ -111,24 +113,23 @@ def frequency_classes(spark: SparkSession, path: str) -> np.ndarray:
 
     rows = spark.read.schema(FIRST).parquet(path).where("kind = 'sketch'").select("slice", "counts")
     # one step: a second mapInArrow behind it would take a second worker for each task, and executors keep both
-    rows = rows.repartition(SLICES, "slice").mapInArrow(add, "slice int, mean double, counts binary").collect()
-    mean = sum(r["mean"] for r in rows) / SLICES
+    rows = rows.repartition(SLICES, "slice").mapInArrow(add, "slice int, counts binary").collect()
     out = np.zeros(1 << SKETCH_BITS, np.uint8)
     for r in rows:
-        logs = np.frombuffer(r["counts"], np.uint8)
-        out[r["slice"] * part : (r["slice"] + 1) * part] = logs
-    noise = mean + 4 * np.sqrt(mean) + 8  # counters of rare shingles stay below
-    out[out <= np.uint8(min(255, np.ceil(4 * np.log2(noise + 1))))] = 0
+        out[r["slice"] * part : (r["slice"] + 1) * part] = np.frombuffer(r["counts"], np.uint8)
     return out
 
 
 def _classes_only(sums: dict[int, np.ndarray]) -> pa.RecordBatch:
-    means, logs = [], []
-    for total in sums.values():
-        counts = total.astype(np.float64)
-        means.append(counts.mean())
-        logs.append(np.minimum(255, np.floor(4 * np.log2(counts + 1))).astype(np.uint8).tobytes())
-    return pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(means, pa.float64()), pa.array(logs, pa.binary())], names=["slice", "mean", "counts"])
+    logs = [frequency_class(total.astype(np.float64)).tobytes() for total in sums.values()]
+    return pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(logs, pa.binary())], names=["slice", "counts"])
+
+
+def frequency_class(counts: np.ndarray) -> np.ndarray:
+    """Of each counter of a slice, by what it has over their mean: the mean, which rises with the input, hides no shingle of a few times its spread."""
+    mean = counts.mean()
+    over = counts - mean
+    return np.where(over <= 4 * np.sqrt(mean) + 8, 0, np.minimum(255, np.floor(4 * np.log2(np.maximum(over, 0) + 1)))).astype(np.uint8)
 
 
 def parity(hashes: np.ndarray) -> np.ndarray:
@@ -212,6 +213,17 @@ def possible(pairs: DataFrame, of_class: DataFrame) -> DataFrame:
     return pairs.join(x, "a").join(y, "b").where(sizes & nearer("parity_a", "n_a", "parity_b", "n_b")).select("a", "b")
 
 
+def crossing(tokens: DataFrame, comps: DataFrame, parities: DataFrame, close: Callable[[str, str, str, str], Column]) -> DataFrame:
+    """a, b: classes of different neighbourhoods that share a shingle of ``tokens`` (gid, n, p, token) and pass the filters by
+    size and place and ``close``, which sees the ``parities`` (cid, parity). A pair comes once per shingle."""
+    labelled = tokens.join(comps.select(F.col("node").alias("gid"), "comp"), "gid", "left").withColumn("comp", F.coalesce("comp", "gid"))
+    mixed = labelled.groupBy("token").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 <> c2").select("token")
+    open_ = stored(labelled.join(mixed, "token", "left_semi").join(parities.withColumnRenamed("cid", "gid"), "gid"), "open")
+    x, y = (open_.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("gid", "n", "p", "comp", "parity")]) for s in "xy")
+    pairs = x.join(y, (x["token"] == y["token"]) & F.expr("gid_x < gid_y and comp_x <> comp_y") & fits("n_x", "p_x", "n_y", "p_y") & close("parity_x", "n_x", "parity_y", "n_y"))
+    return pairs.select(F.col("gid_x").alias("a"), F.col("gid_y").alias("b"))
+
+
 def texts_of(docs: DataFrame, of_class: DataFrame, cids: DataFrame) -> DataFrame:
     """cid, text of the classes in ``cids``, stored: one of a class's rows lends it its text."""
     wanted = cids.distinct().join(of_class.select("cid", "own.row", F.col("own.doc_id").alias("of")), "cid")
@@ -389,18 +401,17 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", count
     pairs = stored(possible(pairs, of_class), "pairs")
     found = stored(verified(pairs, texts_of(docs, of_class, ends(pairs))), "links")
 
-    # neighbourhoods: verified links, and shingles that many classes hold
-    hot = stored(tokens.groupBy("token").agg(F.count("*").alias("held"), F.min("gid").alias("hub")).where(F.col("held") > HOT).select("token", "hub"), "hot")
+    # neighbourhoods: verified links, and shingles that very many classes hold
+    warm = stored(tokens.groupBy("token").agg(F.count("*").alias("held"), F.min("gid").alias("hub")).where(F.col("held") > HOT), "hot")
+    hot = warm.where(F.col("held") > TIED).select("token", "hub")
     tied = tokens.join(hot, "token").where("gid <> hub").select(F.col("hub").alias("a"), F.col("gid").alias("b")).distinct()
     comps = components(found.unionByName(tied))
 
-    # all other pairs: of different neighbourhoods, by shingles that few classes hold
-    labelled = tokens.join(hot, "token", "left_anti").join(comps.select(F.col("node").alias("gid"), "comp"), "gid", "left").withColumn("comp", F.coalesce("comp", "gid"))
-    mixed = labelled.groupBy("token").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 <> c2").select("token")
-    open_ = stored(labelled.join(mixed, "token", "left_semi").join(of_class.select(F.col("cid").alias("gid"), F.slice("parity", 1, LEAST_PARITY).alias("parity")), "gid"), "open")
-    x, y = (open_.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("gid", "n", "p", "comp", "parity")]) for s in "xy")
-    cross = x.join(y, (x["token"] == y["token"]) & F.expr("gid_x < gid_y and comp_x <> comp_y") & fits("n_x", "p_x", "n_y", "p_y") & near("parity_x", "n_x", "parity_y", "n_y"))
-    cross = cross.select(F.col("gid_x").alias("a"), F.col("gid_y").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
+    # all other pairs: of different neighbourhoods, by shingles that fewer classes hold
+    few = crossing(tokens.join(warm.select("token"), "token", "left_anti"), comps, of_class.select("cid", F.slice("parity", 1, LEAST_PARITY).alias("parity")), near)
+    warm = tokens.join(warm.where(F.col("held") <= TIED).select("token"), "token", "left_semi")
+    some = crossing(warm, comps, of_class.select("cid", "parity"), lambda *sides: near(*sides) & nearer(*sides))
+    cross = few.unionByName(some).distinct().join(pairs, ["a", "b"], "left_anti")
     cross = stored(possible(cross, of_class), "pairs")
 
     # texts of these pairs and of the neighbourhoods compared inside

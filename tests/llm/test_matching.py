@@ -280,3 +280,39 @@ def test_batches_of_long_texts_are_small(spark):
     docs.limit(1).transform(jaccard_join.join).collect()
     sizes = docs.mapInArrow(lambda it: (pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["n"]) for b in it), "n long").collect()
     assert sum(r.n for r in sizes) > 10 << 20 and max(r.n for r in sizes) < 3 << 20
+
+
+def test_jaccard_join_of_one_tied_passage(spark, monkeypatch):
+    """The same where its shingles tie their texts to one neighbourhood."""
+    monkeypatch.setattr(jaccard_join, "TIED", 8)
+    test_jaccard_join_of_one_shared_passage(spark, monkeypatch)
+
+
+def test_shingles_hidden_by_the_sketch_tie_no_unrelated_texts(spark, monkeypatch):
+    """More than HOT texts share each passage, and the sketch, as full as on large inputs, leaves them in prefixes: only real links make neighbourhoods."""
+    monkeypatch.setattr(jaccard_join, "frequency_classes", lambda *_: np.zeros(1 << jaccard_join.SKETCH_BITS, np.uint8))
+    passages = [[f"p{g}w{i}" for i in range(30)] for g in range(10)]
+    rows = [(k, " ".join(passages[k % 5] + passages[5 + k // 5 % 5] + [f"t{k}w{i}" for i in range(60)])) for k in range(400)]
+    long = [f"l{i}" for i in range(1200)]
+    rows += [(1000 + k, " ".join(long + [f"u{k}w{i}" for i in range(1200)])) for k in range(70)]
+    rows += [(2000 + k, rows[k][1] + " end" * k) for k in range(1, 5)] + [(2010 + k, rows[400 + k // 2][1] + f" end{k}") for k in range(6)]
+    compared, real = [], jaccard_join.blocks_of
+    monkeypatch.setattr(jaccard_join, "blocks_of", lambda nodes: (compared.append(nodes.count()), real(nodes))[1])
+    verified, check = [], jaccard_join.verified
+    monkeypatch.setattr(jaccard_join, "verified", lambda pairs, texts: (verified.append(pairs.count()), check(pairs, texts))[1])
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = jaccard_join.join(docs).collect()
+    assert {r.doc_id: r.n_links for r in got} == _expected_links(rows)
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == _components(rows)
+    assert compared == [9] and max(verified) <= 30  # three texts with two copies each
+
+
+def test_a_full_sketch_shows_what_stands_out(spark, tmp_path):
+    """Counters with 150 over a mean of 400 are told from the others."""
+    rng, part = np.random.default_rng(3), (1 << jaccard_join.SKETCH_BITS) // jaccard_join.SLICES
+    counts = rng.poisson(400, part).astype(np.uint32)
+    counts[:50] = 550
+    rows = [("sketch", None, None, None, None, None, i, bytearray(jaccard_join.packed(counts))) for i in range(jaccard_join.SLICES)]
+    spark.createDataFrame(rows, jaccard_join.FIRST).repartition(1).write.partitionBy("kind").parquet(f"{tmp_path}/sets")
+    classes = jaccard_join.frequency_classes(spark, f"{tmp_path}/sets").reshape(jaccard_join.SLICES, part)
+    assert (classes[:, :50] > 0).all() and (classes[:, 50:] > 0).mean() < 0.001
