@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
+from urllib.parse import unquote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -47,6 +49,18 @@ def stored(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def freed(spark: SparkSession, *tables: DataFrame | str) -> None:
+    """Delete tables of ``stored()``, or scratch folders, that nothing reads any more: what was computed from them is stored itself."""
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    for t in tables:
+        folders = {t} if isinstance(t, str) else {unquote(f.rpartition("/")[0]) for f in t.inputFiles()}
+        for folder in folders:
+            if not re.search(r"/llm-[a-z]+-[0-9a-f]{32}(/|$)", folder):
+                raise ValueError(f"{folder} is no scratch folder")
+            path = hadoop.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
+
+
 def entered(docs: DataFrame) -> DataFrame:
     """``docs`` with its columns as own_0, own_1, ...: an operator's own column names then clash with none of them."""
     return docs.toDF(*[f"own_{i}" for i in range(len(docs.columns))])

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, entered, numbered, own, restored, scratch_path, stored, table, text_slices
+from .common import bounded_batches, entered, freed, numbered, own, restored, scratch_path, stored, table, text_slices
 from .components import components
 from .decontaminate import maybe_broadcast
 from .shingles import mix64, shingle_sets
@@ -213,15 +213,17 @@ def possible(pairs: DataFrame, of_class: DataFrame) -> DataFrame:
     return pairs.join(x, "a").join(y, "b").where(sizes & nearer("parity_a", "n_a", "parity_b", "n_b")).select("a", "b")
 
 
-def crossing(tokens: DataFrame, comps: DataFrame, parities: DataFrame, close: Callable[[str, str, str, str], Column]) -> DataFrame:
-    """a, b: classes of different neighbourhoods that share a shingle of ``tokens`` (gid, n, p, token) and pass the filters by
-    size and place and ``close``, which sees the ``parities`` (cid, parity). A pair comes once per shingle."""
+def crossing(tokens: DataFrame, comps: DataFrame, parities: DataFrame, close: Callable[[str, str, str, str], Column]) -> tuple[DataFrame, DataFrame]:
+    """Rows a, b, and the stored table that they come from: classes of different neighbourhoods that share a shingle of ``tokens``
+    (gid, n, p, token) and pass the filters by size and place and ``close``, which sees the ``parities`` (cid, parity). A pair
+    comes once per shingle."""
     labelled = tokens.join(comps.select(F.col("node").alias("gid"), "comp"), "gid", "left").withColumn("comp", F.coalesce("comp", "gid"))
     mixed = labelled.groupBy("token").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 <> c2").select("token")
     open_ = stored(labelled.join(mixed, "token", "left_semi").join(parities.withColumnRenamed("cid", "gid"), "gid"), "open")
     x, y = (open_.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("gid", "n", "p", "comp", "parity")]) for s in "xy")
-    pairs = x.join(y, (x["token"] == y["token"]) & F.expr("gid_x < gid_y and comp_x <> comp_y") & fits("n_x", "p_x", "n_y", "p_y") & close("parity_x", "n_x", "parity_y", "n_y"))
-    return pairs.select(F.col("gid_x").alias("a"), F.col("gid_y").alias("b"))
+    # never by broadcast: parities repeat, so the file that the planner goes by is far smaller than its rows
+    pairs = x.hint("merge").join(y, (x["token"] == y["token"]) & F.expr("gid_x < gid_y and comp_x <> comp_y") & fits("n_x", "p_x", "n_y", "p_y") & close("parity_x", "n_x", "parity_y", "n_y"))
+    return pairs.select(F.col("gid_x").alias("a"), F.col("gid_y").alias("b")), open_
 
 
 def texts_of(docs: DataFrame, of_class: DataFrame, cids: DataFrame) -> DataFrame:
@@ -232,7 +234,8 @@ def texts_of(docs: DataFrame, of_class: DataFrame, cids: DataFrame) -> DataFrame
     texts = docs.where("text is not null").join(F.broadcast(wanted) if small else wanted, [docs["row"] == wanted["row"], docs["doc_id"].eqNullSafe(wanted["of"])])
     texts = stored(texts.select("cid", "text"), "texts")
     if not texts.groupBy("cid").count().where("count > 1").isEmpty():  # repeated rows, with the same text
-        texts = stored(texts.dropDuplicates(["cid"]), "texts")
+        texts, repeated = stored(texts.dropDuplicates(["cid"]), "texts"), texts
+        freed(docs.sparkSession, repeated)
     return texts
 
 
@@ -362,13 +365,15 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", count
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), row_key(id_col, text_col).alias("row"))
     path = scratch_path(spark, "sets")
     first_pass(docs, path)
+    sized = prefixes(docs, frequency_classes(spark, path))
+    freed(spark, f"{path}/kind=sketch")
     sets = spark.read.schema(FIRST).parquet(path).where("kind = 'set'").select("doc_id", "row", "n", "s1", "s2")
 
     # classes of equal sets; one of a class's rows lends it its text
-    sized = prefixes(docs, frequency_classes(spark, path))
     of_class = sized.groupBy("s1", "s2", "n").agg(
         F.min(F.struct("row", "doc_id")).alias("own"), F.min("doc_id").alias("least"), F.count("*").alias("rows"), F.any_value("prefix").alias("prefix"), F.any_value("parity").alias("parity"))
     of_class = stored(of_class.withColumn("cid", F.monotonically_increasing_id()), "classes")
+    names = stored(of_class.drop("prefix", "parity"), "names")  # what is needed to the end
     # groups: identical prefix and size; the least class stands for its group
     group_key = [F.xxhash64("prefix"), F.xxhash64(F.lit(7), F.col("prefix")), F.col("n")]
     of_group = of_class.groupBy(*[k.alias(f"g{i}") for i, k in enumerate(group_key)]).agg(F.min("cid").alias("gid"), F.count("*").alias("members"))
@@ -387,7 +392,8 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", count
         held = maybe_broadcast(rest)
         grouped = of_class.join(maybe_broadcast(members.select("cid")), "cid", "left_semi").select(F.col("cid").alias("gid"), "n", F.posexplode("prefix").alias("p", "token"))
         alone = tokens.join(maybe_broadcast(members.select(F.col("cid").alias("gid"))), "gid", "left_anti")
-        tokens = stored(alone.unionByName(grouped.select(alone.columns)), "tokens")
+        tokens, first = stored(alone.unionByName(grouped.select(alone.columns)), "tokens"), tokens
+        freed(spark, first)
         star = held.select(F.col("gid").alias("a"), F.col("cid").alias("b"))
     else:
         star = rest.select(F.col("gid").alias("a"), F.col("cid").alias("b"))
@@ -399,7 +405,9 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", count
     hub_pairs = at_hub.select("gid", F.explode(F.array("h1", "h2")).alias("hub")).where("gid <> hub")
     pairs = hub_pairs.select(F.least("gid", "hub").alias("a"), F.greatest("gid", "hub").alias("b")).unionByName(star).distinct()
     pairs = stored(possible(pairs, of_class), "pairs")
-    found = stored(verified(pairs, texts_of(docs, of_class, ends(pairs))), "links")
+    texts = texts_of(docs, names, ends(pairs))
+    found = stored(verified(pairs, texts), "links")
+    freed(spark, texts)
 
     # neighbourhoods: verified links, and shingles that very many classes hold
     warm = stored(tokens.groupBy("token").agg(F.count("*").alias("held"), F.min("gid").alias("hub")).where(F.col("held") > HOT), "hot")
@@ -408,11 +416,12 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", count
     comps = components(found.unionByName(tied))
 
     # all other pairs: of different neighbourhoods, by shingles that fewer classes hold
-    few = crossing(tokens.join(warm.select("token"), "token", "left_anti"), comps, of_class.select("cid", F.slice("parity", 1, LEAST_PARITY).alias("parity")), near)
+    few, open_few = crossing(tokens.join(warm.select("token"), "token", "left_anti"), comps, of_class.select("cid", F.slice("parity", 1, LEAST_PARITY).alias("parity")), near)
     warm = tokens.join(warm.where(F.col("held") <= TIED).select("token"), "token", "left_semi")
-    some = crossing(warm, comps, of_class.select("cid", "parity"), lambda *sides: near(*sides) & nearer(*sides))
+    some, open_some = crossing(warm, comps, of_class.select("cid", "parity"), lambda *sides: near(*sides) & nearer(*sides))
     cross = few.unionByName(some).distinct().join(pairs, ["a", "b"], "left_anti")
     cross = stored(possible(cross, of_class), "pairs")
+    freed(spark, open_few, open_some, tokens, of_class)
 
     # texts of these pairs and of the neighbourhoods compared inside
     plain = hot.isEmpty()
@@ -422,21 +431,22 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", count
         many = comps.groupBy("comp").agg(F.count("*").alias("held")).where("held > 2").select("comp")
         many = many if only is None else many.join(only, "comp", "left_semi")
         needed = needed.unionByName(comps.join(many, "comp", "left_semi").select(F.col("node").alias("cid")))
-    texts = texts_of(docs, of_class, needed)
+    texts = texts_of(docs, names, needed)
     more = stored(verified(cross, texts), "links")
     edges = found.unionByName(more)
     if counted or not plain:
-        inside = stored(links_inside(comps, found, of_class.select("cid", "n", "rows"), texts, only), "inside")
+        inside = stored(links_inside(comps, found, names.select("cid", "n", "rows"), texts, only), "inside")
         edges = edges.unionByName(inside.where("a is not null").select("a", "b"))
-    classes = of_class.select("cid", "least", "rows", F.lit(None).cast("long").alias("n_links"))
+    freed(spark, texts)
+    classes = names.select("cid", "least", "rows", F.lit(None).cast("long").alias("n_links"))
     if counted:
         sides = more.select(F.col("a").alias("cid"), F.col("b").alias("to")).unionByName(more.select(F.col("b").alias("cid"), F.col("a").alias("to")))
-        across = sides.join(of_class.select(F.col("cid").alias("to"), "rows"), "to").select("cid", F.col("rows").alias("n_links"))
+        across = sides.join(names.select(F.col("cid").alias("to"), "rows"), "to").select("cid", F.col("rows").alias("n_links"))
         n_links = stored(inside.where("cid is not null").select("cid", "n_links").unionByName(across).groupBy("cid").agg(F.sum("n_links").alias("n_links")), "counts")
-        classes = of_class.select("cid", "least", "rows").join(n_links, "cid", "left").select("cid", "least", "rows", (F.coalesce("n_links", F.lit(0)) + F.col("rows") - 1).alias("n_links"))
+        classes = names.select("cid", "least", "rows").join(n_links, "cid", "left").select("cid", "least", "rows", (F.coalesce("n_links", F.lit(0)) + F.col("rows") - 1).alias("n_links"))
     if not (plain and more.isEmpty()):
         comps = components(edges)
-    documents = sets.join(of_class.select("s1", "s2", "n", "cid"), ["s1", "s2", "n"], "left").select("doc_id", "row", "n", "cid")
+    documents = sets.join(names.select("s1", "s2", "n", "cid"), ["s1", "s2", "n"], "left").select("doc_id", "row", "n", "cid")
     return documents, classes, comps
 
 

@@ -316,3 +316,33 @@ def test_a_full_sketch_shows_what_stands_out(spark, tmp_path):
     spark.createDataFrame(rows, jaccard_join.FIRST).repartition(1).write.partitionBy("kind").parquet(f"{tmp_path}/sets")
     classes = jaccard_join.frequency_classes(spark, f"{tmp_path}/sets").reshape(jaccard_join.SLICES, part)
     assert (classes[:, :50] > 0).all() and (classes[:, 50:] > 0).mean() < 0.001
+
+
+@pytest.mark.parametrize("query", ["join", "representatives"])
+def test_scratch_tables_of_texts_and_shingles_are_freed(spark, query):
+    """What is left on disk beside the result is narrow: a row per document or class, no text, shingle, parity or sketch."""
+    from pathlib import Path
+    from urllib.parse import urlparse
+
+    from fanpulse.llm.common import shared_folder
+
+    top = Path(urlparse(shared_folder(spark)).path)
+    was = set(top.iterdir())
+    shared = [f"s{i}" for i in range(12)]
+    rows = [(k, " ".join([f"w{k // 3}x{i}" for i in range(80 - k % 3)] + shared)) for k in range(90)] * 2 + [(500 + k, " ".join(shared)) for k in range(9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    out = getattr(jaccard_join, query)(docs)
+    assert out.count() == (189 if query == "join" else 31)
+    left = {d.name.split("-")[1] for d in set(top.iterdir()) - was}
+    assert "names" in left and not left & {"classes", "tokens", "open", "texts"}
+    assert not [d for d in set(top.iterdir()) - was if (d / "kind=sketch").exists()]
+    assert len(out.collect()) == out.count()
+
+
+def test_only_scratch_is_freed(spark, tmp_path):
+    from fanpulse.llm.common import freed
+
+    spark.range(3).write.parquet(f"{tmp_path}/mine")
+    with pytest.raises(ValueError):
+        freed(spark, spark.read.parquet(f"{tmp_path}/mine"))
+    assert spark.read.parquet(f"{tmp_path}/mine").count() == 3
